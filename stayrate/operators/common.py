@@ -5,16 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def scalars(one_row: DataFrame, names: Sequence[str] | None = None) -> dict[str, Column]:
-    """Columns of a one-row frame as scalar subqueries.
+    """Fitted constants from a one-row aggregate, as literals.
 
-    Spark runs each subquery once (subqueries over the same plan are merged)
-    and folds the value into the outer plan: no join, no driver collect.
+    Like an ML estimator's ``fit``: one distributed aggregation, one bounded
+    row to the driver, then the values enter later plans as constants (the
+    plan does not re-run the aggregate once per use, as separate scalar
+    subqueries would).
     """
     names = list(names or one_row.columns)
-    return {n: one_row.select(n).scalar() for n in names}
+    row = one_row.select(*names).first()
+    if row is None:
+        return {n: F.lit(None) for n in names}
+    return {n: F.lit(row[n]) for n in names}
 
 
 def attach(df: DataFrame, one_row: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

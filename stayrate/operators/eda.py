@@ -1,7 +1,7 @@
 """Exploratory aggregates: churn and value by dimension, volumes, KPIs.
 
 All are ``groupBy`` aggregates with map-side partial aggregation.  Global
-totals (shares, KPI values) are scalar subqueries (``DataFrame.scalar()``):
+totals (shares, KPI values) are single scalar subqueries (``DataFrame.scalar()``):
 they run once and are folded into the plan, no join and no driver round trip.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stayrate.functions.bands import age_band, fee_band, tenure_band
 from stayrate.functions.dates import month_bucket
 from stayrate.functions.numeric import money_avg, rate_percent, safe_div
+from stayrate.operators.common import scalars
 
 CHURN = "churn_30d"
 
@@ -179,9 +180,9 @@ def churn_by_satisfaction_band(features: DataFrame, churn: DataFrame, cut: float
     band = F.when(F.col("avg_satisfaction") < F.lit(cut), F.lit("low")).otherwise(F.lit("high"))
     g = df.groupBy(band.alias("satisfaction_band")).agg(
         F.count(F.lit(1)).alias("customers"), F.avg(F.col(CHURN).cast("double")).alias("churn_rate"))
-    low = g.where(F.col("satisfaction_band") == "low").select("churn_rate").scalar()
-    high = g.where(F.col("satisfaction_band") == "high").select("churn_rate").scalar()
-    return g.withColumn("low_to_high_ratio", safe_div(low, high))
+    r = scalars(g.agg(F.max(F.when(F.col("satisfaction_band") == "low", F.col("churn_rate"))).alias("low"),
+                      F.max(F.when(F.col("satisfaction_band") == "high", F.col("churn_rate"))).alias("high")))
+    return g.withColumn("low_to_high_ratio", safe_div(r["low"], r["high"]))
 
 
 def value_and_churn_by_refunds(features: DataFrame, clv: DataFrame, churn: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayrate.functions.numeric import safe_div
+from stayrate.operators.common import scalars
 
 LABEL, SCORE, PRED = "label", "score", "prediction"
 BUCKETS = 65536
@@ -26,8 +27,8 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``order_col`` comes at or
     before this row's (``order_col`` must be unique, e.g. grouped scores)."""
     x = F.col(order_col).cast("double")
-    mn = df.select(F.min(x)).scalar()
-    mx = df.select(F.max(x)).scalar()
+    rng = scalars(df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")))
+    mn, mx = rng["mn"], rng["mx"]
     pos = F.when(mx > mn, (x - mn) / (mx - mn)).otherwise(F.lit(0.0))
     b = F.least(F.floor(pos * F.lit(float(buckets))), F.lit(buckets - 1)).cast("int")
     if descending:
@@ -65,8 +66,8 @@ def roc_curve(df: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFram
     """One point per distinct score, highest first, plus the (0, 0) start
     (threshold NULL = above every score)."""
     sc = running_totals(score_counts(df, label, score), "score", ["pos", "neg"], descending=True)
-    p = sc.select(F.sum("pos")).scalar()
-    n = sc.select(F.sum("neg")).scalar()
+    tot = scalars(sc.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")))
+    p, n = tot["p"], tot["n"]
     pts = sc.select(F.col("score").alias("threshold"), safe_div(F.col("cum_neg"), n).alias("fpr"),
                     safe_div(F.col("cum_pos"), p).alias("tpr"))
     start = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
@@ -172,8 +173,8 @@ def residuals(df: DataFrame, actual: str = "actual", predicted: str = "predicted
               key: str = "customer_id") -> DataFrame:
     """Actual, predicted and residual per row, with the actuals' range for the
     diagonal reference line."""
-    lo = df.select(F.min(actual)).scalar()
-    hi = df.select(F.max(actual)).scalar()
+    rng = scalars(df.agg(F.min(actual).alias("lo"), F.max(actual).alias("hi")))
+    lo, hi = rng["lo"], rng["hi"]
     return df.select(key, F.col(actual).alias("actual"), F.col(predicted).alias("predicted"),
                      (F.col(actual) - F.col(predicted)).alias("residual"),
                      lo.alias("axis_min"), hi.alias("axis_max"))

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.operators.common import attach
+from stayrate.operators.common import attach, scalars
 from stayrate.operators.quantiles import exact_quantiles, quantile_row
 
 
@@ -54,10 +54,9 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 def fee_summary(customers: DataFrame, clv: DataFrame) -> DataFrame:
     """Mean / median / std of the monthly fee and min / max / mean clv."""
     f = customers.agg(F.avg("monthly_fee").alias("fee_mean"), F.stddev_samp("monthly_fee").alias("fee_std"))
-    med = quantile_row(customers, "monthly_fee", [0.5], ["fee_median"]).select("fee_median").scalar()
-    c_min = clv.select(F.min("clv")).scalar()
-    c_max = clv.select(F.max("clv")).scalar()
-    c_mean = clv.select(F.avg("clv")).scalar()
+    med = scalars(quantile_row(customers, "monthly_fee", [0.5], ["fee_median"]))["fee_median"]
+    c = scalars(clv.agg(F.min("clv").alias("mn"), F.max("clv").alias("mx"), F.avg("clv").alias("avg")))
+    c_min, c_max, c_mean = c["mn"], c["mx"], c["avg"]
     return f.select("fee_mean", med.alias("fee_median"), "fee_std", c_min.alias("clv_min"),
                     c_max.alias("clv_max"), c_mean.alias("clv_mean"))
 
@@ -80,8 +79,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     all values are equal numpy widens the range to ``[v - 0.5, v + 0.5]``.
     """
     x = df.select(_numeric(df, col).alias("x")).where(F.col("x").isNotNull())
-    mn = x.select(F.min("x")).scalar()
-    mx = x.select(F.max("x")).scalar()
+    rng = scalars(x.agg(F.min("x").alias("mn"), F.max("x").alias("mx")))
+    mn, mx = rng["mn"], rng["mx"]
     lo = F.when(mn == mx, mn - F.lit(0.5)).otherwise(mn)
     hi = F.when(mn == mx, mx + F.lit(0.5)).otherwise(mx)
     n = F.lit(bins)
