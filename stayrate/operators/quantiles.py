@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayrate.session import cut_lineage
+
 DEFAULT_ACCURACY = 200_000
 
 
@@ -38,6 +40,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     by = list(by)
     probs = [float(p) for p in probs]
     data = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
+    # The passes below read the values several times: write the two projected
+    # columns once to the shared checkpoint folder instead of re-running (and
+    # re-planning) the upstream pipeline for each pass.
+    data = cut_lineage(data)
     key = by + ["p"]
     datap = data.withColumn("p", F.explode(F.array(*[F.lit(p) for p in probs])))
 
@@ -53,7 +59,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         "t": F.col("h") - F.floor("h"),
     }).withColumn("k_hi", F.least(F.col("k_lo") + 1, F.col("n") - 1))
 
-    delta = 2.0 / accuracy
+    targets = targets.cache()
+    # Bracket half-width in probability: at least 2/accuracy (the sketch's
+    # rank error) and at least 4 rows of the smallest group.
+    n_min = stats.agg(F.min("n")).first()[0] or 1
+    delta = max(2.0 / accuracy, 4.0 / n_min)
     found = None
     remaining = targets
     for round_no in range(max_rounds + 1):
@@ -77,7 +87,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         below = joined.groupBy(*key).agg(F.count_if(F.col("v") < F.col("a")).alias("below"),
                                          F.count_if((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
                                          .alias("inside"))
-        checked = brackets.join(below, key, "left").fillna(0, ["below", "inside"])
+        checked = brackets.join(below, key, "left").fillna(0, ["below", "inside"]).cache()
         ok = checked.where((F.col("below") <= F.col("k_lo")) &
                            (F.col("k_hi") < F.col("below") + F.col("inside")))
         bad = checked.join(ok.select(*key), key, "left_anti")
@@ -93,7 +103,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
             F.max(F.when((F.col("lt") <= F.col("k_hi")) & (F.col("k_hi") < F.col("le")), F.col("v")))
             .alias("v_hi"),
             F.first("t").alias("t"))
-        res = pick.select(*key, _lerp(F.col("v_lo"), F.col("v_hi"), F.col("t")).alias("quantile"))
+        res = pick.select(*key, _lerp(F.col("v_lo"), F.col("v_hi"), F.col("t")).alias("quantile")).cache()
         found = res if found is None else found.unionByName(res)
         if full:
             break

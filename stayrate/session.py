@@ -25,6 +25,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("STAYRATE_DRIVER_MEMORY", "8g"),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
