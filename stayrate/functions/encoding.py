@@ -34,6 +34,31 @@ def distinct_levels(df: DataFrame, col: str, limit: int = MAX_DUMMY_LEVELS) -> l
     return [r[0] for r in rows]
 
 
+def fit_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_DUMMY_LEVELS) -> dict[str, list]:
+    """Sorted distinct values of several categorical columns in one job.
+
+    Distinct ``(column, value)`` pairs are computed distributed; at most
+    ``limit`` levels per column (checked) reach the driver."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                for c in cols])).alias("p")
+    rows = (df.select(pairs).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
+            .limit(len(cols) * (limit + 1) + 1).collect())
+    levels: dict[str, list] = {c: [] for c in cols}
+    for r in rows:
+        levels[r["c"]].append(r["v"])
+    for c, vals in levels.items():
+        if len(vals) > limit:
+            raise ValueError(f"{c} has more than {limit} levels; pass values explicitly")
+        vals.sort()
+    return levels
+
+
+def encode_with_levels(col: str, levels: Sequence[str]):
+    """Alphabetical code of ``col`` given its fitted levels (NULL if unseen)."""
+    m = F.create_map(*[x for i, v in enumerate(levels) for x in (F.lit(v), F.lit(i))])
+    return m[F.col(col).cast("string")]
+
+
 def one_hot(df: DataFrame, col: str, values: Sequence[str] | None = None,
             prefix: str | None = None) -> DataFrame:
     """``<prefix>_<value>`` 0/1 columns, one per level, none dropped.

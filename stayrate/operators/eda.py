@@ -90,7 +90,7 @@ def kpi_overview(customers: DataFrame, churn: DataFrame, clv: DataFrame,
                  alert_rate: float = 0.10) -> DataFrame:
     """Customers, mean fee, churn rate, mean clv and a red flag above
     ``alert_rate``.  Three independent global aggregates; one output row."""
-    c = customers.agg(F.count(F.lit(1)).alias("n"), F.avg("monthly_fee").alias("fee"))
+    c = customers.agg(F.count(F.lit(1)).alias("n"), money_avg("monthly_fee").alias("fee"))
     rate = churn.select(F.avg(F.col(CHURN).cast("double"))).scalar()
     mean_clv = clv.select(F.avg("clv")).scalar()
     return c.select(F.col("n").alias("total_customers"), F.col("fee").alias("avg_monthly_fee"),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.dates import as_date, tenure_days
-from stayrate.functions.encoding import label_encode, one_hot
+from stayrate.functions.encoding import encode_with_levels, fit_levels, one_hot
 from stayrate.functions.numeric import clip_lower, money_sum, safe_div
 
 DEFAULT_AS_OF = "2024-12-31"
@@ -41,8 +41,7 @@ def _if(cond: Column, value: Column) -> Column:
 # ---------------------------------------------------------------- per table
 def rfm(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Recency / frequency / monetary over non-refund transactions."""
-    pos = positive = transactions.where(~F.col("is_refund"))
-    pos = _on_or_before(positive, "transaction_date", as_of)
+    pos = _on_or_before(transactions.where(~F.col("is_refund")), "transaction_date", as_of)
     return pos.groupBy("customer_id").agg(
         F.datediff(as_date(as_of), F.max("transaction_date")).alias("recency_days"),
         F.count("transaction_date").alias("frequency"),
@@ -142,11 +141,16 @@ def recent_ticket_count(tickets: DataFrame, as_of=DEFAULT_AS_OF,
 def customer_base(customers: DataFrame, as_of=DEFAULT_AS_OF,
                   countries: Sequence[str] | None = None) -> DataFrame:
     """Raw columns + tenure + alphabetical codes + one dummy per country."""
+    levels = fit_levels(customers, ["plan_type", "gender"] + ([] if countries is not None else ["country"]))
+    country_levels = list(countries) if countries is not None else levels["country"]
     base = customers.withColumn("tenure_days", tenure_days("signup_date", as_of))
-    base = base.withColumn("tenure_years", F.col("tenure_days") / F.lit(365.0))
-    base = label_encode(base, "plan_type", "plan_encoded")
-    base = label_encode(base, "gender", "gender_encoded")
-    return one_hot(base, "country", countries, prefix="country")
+    base = base.withColumns({
+        "tenure_years": F.col("tenure_days") / F.lit(365.0),
+        # alphabetical codes (LabelEncoder order), fitted in one pass
+        "plan_encoded": encode_with_levels("plan_type", levels["plan_type"]),
+        "gender_encoded": encode_with_levels("gender", levels["gender"]),
+    })
+    return one_hot(base, "country", country_levels, prefix="country")
 
 
 def interaction_features(df: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.functions.numeric import money_avg
 from stayrate.operators.common import attach, scalars
 from stayrate.operators.quantiles import exact_quantiles, quantile_row
+from stayrate.session import cut_lineage
 
 
 def table_shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -53,7 +55,7 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 def fee_summary(customers: DataFrame, clv: DataFrame) -> DataFrame:
     """Mean / median / std of the monthly fee and min / max / mean clv."""
-    f = customers.agg(F.avg("monthly_fee").alias("fee_mean"), F.stddev_samp("monthly_fee").alias("fee_std"))
+    f = customers.agg(money_avg("monthly_fee").alias("fee_mean"), F.stddev_samp("monthly_fee").alias("fee_std"))
     med = scalars(quantile_row(customers, "monthly_fee", [0.5], ["fee_median"]))["fee_median"]
     c = scalars(clv.agg(F.min("clv").alias("mn"), F.max("clv").alias("mx"), F.avg("clv").alias("avg")))
     c_min, c_max, c_mean = c["mn"], c["mx"], c["avg"]
@@ -125,27 +127,32 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str] = (), whis: float =
 def correlation_matrix(df: DataFrame, cols: Sequence[str], fill_zero: bool = True) -> DataFrame:
     """Pearson correlations, long form, lower triangle with the diagonal.
 
-    One aggregate pass of ``covar_pop`` / ``var_pop`` (numerically stable
-    merges); a constant column gives NULL instead of an ANSI division error.
+    The projected columns are checkpointed once, then two passes: the means
+    (one small aggregate, fitted as constants) and the sums of centred
+    squares and cross products (one sum per pair: numerically stable, one
+    buffer slot each).  A constant column gives NULL instead of an ANSI
+    division error.
     """
     cols = list(cols)
     src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     if fill_zero:
         src = src.fillna(0.0)
+    src = cut_lineage(src)
+    means = scalars(src.agg(*[F.avg(c).alias(c) for c in cols]))
+    dev = src.select(*[(F.col(c) - means[c]).alias(c) for c in cols])
     aggs = []
     for i, a in enumerate(cols):
-        aggs.append(F.var_pop(a).alias(f"v{i}"))
-        for j in range(i):
-            aggs.append(F.covar_pop(a, cols[j]).alias(f"c{i}_{j}"))
-    wide = src.agg(*aggs)
+        for j in range(i + 1):
+            aggs.append(F.sum(F.col(a) * F.col(cols[j])).alias(f"s{i}_{j}"))
+    wide = dev.agg(*aggs)
     exprs = []
     for i, a in enumerate(cols):
         for j in range(i + 1):
             if i == j:
-                r = F.when(F.col(f"v{i}") > 0, F.lit(1.0))
+                r = F.when(F.col(f"s{i}_{i}") > 0, F.lit(1.0))
             else:
-                den = F.sqrt(F.col(f"v{i}") * F.col(f"v{j}"))
-                r = F.when(den > 0, F.col(f"c{i}_{j}") / den)
+                den = F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))
+                r = F.when(den > 0, F.col(f"s{i}_{j}") / den)
             exprs.append(F.struct(F.lit(a).alias("var1"), F.lit(cols[j]).alias("var2"),
                                   r.cast("double").alias("corr")))
     return wide.select(F.explode(F.array(*exprs)).alias("s")).select("s.*")

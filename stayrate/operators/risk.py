@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.bands import tenure_band
 from stayrate.functions.dates import as_date
+from stayrate.functions.numeric import money_avg
 from stayrate.operators.quantiles import quantile_row
 from stayrate.operators.common import scalars
 
@@ -122,7 +123,7 @@ def high_value_profile(features: DataFrame, clv: DataFrame, q: float = 0.8) -> D
         F.avg("tenure_days").alias("mean_tenure_days"), F.avg("age").alias("mean_age"),
         F.avg("active_days_ratio").alias("mean_active_days_ratio"),
         F.avg("avg_satisfaction").alias("mean_satisfaction"),
-        F.avg("total_tickets").alias("mean_tickets"), F.avg("monthly_fee").alias("mean_fee"))
+        F.avg("total_tickets").alias("mean_tickets"), money_avg("monthly_fee").alias("mean_fee"))
 
 
 def high_value_plan_share(features: DataFrame, clv: DataFrame, q: float = 0.8) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayrate.functions.numeric import money_avg
 from stayrate.operators import prep
 from stayrate.operators.quantiles import quantile_row
 from stayrate.session import cut_lineage
@@ -24,6 +25,7 @@ from stayrate.session import cut_lineage
 SEG_FEATURES = ["tenure_days", "monthly_fee", "monetary", "total_events", "total_tickets",
                 "avg_satisfaction", "recency_days", "frequency"]
 VEC = "seg_vec"
+MONEY_COLS = {"monthly_fee", "monetary"}
 
 
 def segment_features(features: DataFrame, cols: Sequence[str] = SEG_FEATURES,
@@ -109,7 +111,9 @@ def segment_summary(seg: DataFrame, clv: DataFrame, churn: DataFrame, key: str =
 def segment_profiles(seg: DataFrame, features: DataFrame, cols: Sequence[str] = SEG_FEATURES,
                      key: str = "customer_id") -> DataFrame:
     df = seg.join(features.select(key, *cols), key)
-    return df.groupBy("segment").agg(*[F.avg(c).alias(f"mean_{c}") for c in cols])
+    # money columns are averaged from exact decimal sums
+    return df.groupBy("segment").agg(*[(money_avg(c) if c in MONEY_COLS else F.avg(c)).alias(f"mean_{c}")
+                                       for c in cols])
 
 
 def pca_2d(spark: SparkSession, scaled: DataFrame, cols: Sequence[str] = SEG_FEATURES,

@@ -197,7 +197,7 @@ def q_clv_by_plan(spark, sf):
 
 @register("kpi_overview", oracle_with("f_customers", "f_churn_labels", "f_clv_labels") + f"""
 SELECT (SELECT count(*) FROM f_customers) AS total_customers,
-  {R("(SELECT avg(monthly_fee) FROM f_customers)")} AS avg_monthly_fee,
+  {R("(SELECT CAST(sum(CAST(monthly_fee AS DECIMAL(18,4))) AS DOUBLE) / count(monthly_fee) FROM f_customers)")} AS avg_monthly_fee,
   {R("(SELECT avg(CAST(churn_30d AS DOUBLE)) FROM f_churn_labels)")} AS churn_rate,
   {R("(SELECT avg(clv) FROM f_clv_labels)")} AS avg_clv,
   (SELECT avg(CAST(churn_30d AS DOUBLE)) FROM f_churn_labels) > 0.1 AS churn_alert""")

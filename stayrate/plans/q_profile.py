@@ -83,7 +83,7 @@ def q_describe_clv(spark, sf):
 
 
 @register("fee_summary", oracle_with("f_customers", "f_clv_labels") + f"""
-SELECT {R("avg(monthly_fee)")} AS fee_mean, {R("quantile_cont(monthly_fee, 0.5)")} AS fee_median,
+SELECT {R("CAST(sum(CAST(monthly_fee AS DECIMAL(18,4))) AS DOUBLE) / count(monthly_fee)")} AS fee_mean, {R("quantile_cont(monthly_fee, 0.5)")} AS fee_median,
   {R("stddev_samp(monthly_fee)")} AS fee_std,
   {R("(SELECT min(clv) FROM f_clv_labels)")} AS clv_min,
   {R("(SELECT max(clv) FROM f_clv_labels)")} AS clv_max,

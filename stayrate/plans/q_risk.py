@@ -116,7 +116,7 @@ hv AS (SELECT f.*, l.clv, CASE WHEN l.clv >= (SELECT c FROM cut) THEN 'top' ELSE
 SELECT value_group, count(*) AS customers, {R("avg(clv)")} AS mean_clv,
   {R("avg(tenure_days)")} AS mean_tenure_days, {R("avg(age)")} AS mean_age,
   {R("avg(active_days_ratio)")} AS mean_active_days_ratio, {R("avg(avg_satisfaction)")} AS mean_satisfaction,
-  {R("avg(total_tickets)")} AS mean_tickets, {R("avg(monthly_fee)")} AS mean_fee
+  {R("avg(total_tickets)")} AS mean_tickets, {R("CAST(sum(CAST(monthly_fee AS DECIMAL(18,4))) AS DOUBLE) / count(monthly_fee)")} AS mean_fee
 FROM hv GROUP BY 1""")
 def q_high_value_profile(spark, sf):
     """Top clv quintile against the rest."""

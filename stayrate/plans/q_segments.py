@@ -70,8 +70,17 @@ def q_segment_summary(spark, sf):
     return finish(sg.segment_summary(assigned(spark, sf), fx.clv_labels, fx.churn_labels))
 
 
+MONEY = {"monthly_fee", "monetary"}
+
+
+def _mean_sql(c: str) -> str:
+    if c in MONEY:
+        return f"CAST(sum(CAST(f.{c} AS DECIMAL(18,4))) AS DOUBLE) / count(f.{c})"
+    return f"avg(f.{c})"
+
+
 @register("segment_profiles", with_features() + ASSIGN_SQL + "SELECT s.segment, " + ", ".join(
-    f"{R(f'avg(f.{c})')} AS mean_{c}" for c in COLS) +
+    f"{R(_mean_sql(c))} AS mean_{c}" for c in COLS) +
     " FROM seg s JOIN feat f ON s.customer_id = f.customer_id GROUP BY s.segment")
 def q_segment_profiles(spark, sf):
     return finish(sg.segment_profiles(assigned(spark, sf), features_df(spark, sf)))
