@@ -45,10 +45,12 @@ def head_rows(df: DataFrame, n: int = 3, order: Sequence[str] | None = None) ->
 
 def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max (``pandas.describe``)."""
-    basic = df.where(F.col(col).isNotNull()).groupBy(*by).agg(
+    # one checkpointed projection feeds both the moments and the quantiles
+    src = cut_lineage(df.where(F.col(col).isNotNull()).select(*by, col))
+    basic = src.groupBy(*by).agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
-    q = quantile_row(df, col, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by)
+    q = quantile_row(src, col, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by, cut=False)
     out = basic.join(q, list(by)) if by else attach(basic, q)
     return out.select(*by, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
@@ -109,11 +111,11 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str] = (), whis: float =
     """Quartiles, whiskers at the furthest datum within ``whis`` IQR of the
     box, and the number of points beyond (matplotlib's box plot)."""
     by = list(by)
-    q = quantile_row(df, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], by)
+    data = cut_lineage(df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("x")))
+    q = quantile_row(data, "x", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by, cut=False)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumns({"lo_fence": F.col("q1") - F.lit(whis) * F.col("iqr"),
                        "hi_fence": F.col("q3") + F.lit(whis) * F.col("iqr")})
-    data = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("x"))
     j = data.join(q, by) if by else attach(data, q)
     inside = (F.col("x") >= F.col("lo_fence")) & (F.col("x") <= F.col("hi_fence"))
     agg = j.groupBy(*by, "q1", "median", "q3", "iqr").agg(

@@ -25,7 +25,11 @@ from pyspark.sql import functions as F
 
 from stayrate.session import cut_lineage
 
-DEFAULT_ACCURACY = 200_000
+# Sketch accuracy: at least Spark's default, and enough that the exact step
+# sees about 2 * n / accuracy <= ~100k rows per bracket; capped for memory.
+MIN_ACCURACY = 10_000
+MAX_ACCURACY = 1_000_000
+BRACKET_ROWS = 50_000
 
 
 def _lerp(a, b, t):
@@ -35,7 +39,7 @@ def _lerp(a, b, t):
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    accuracy: int = DEFAULT_ACCURACY, max_rounds: int = 4) -> DataFrame:
+                    accuracy: int | None = None, max_rounds: int = 4, cut: bool = True) -> DataFrame:
     """Long form: ``by..., p, quantile`` with one row per group and probability."""
     by = list(by)
     probs = [float(p) for p in probs]
@@ -43,7 +47,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # The passes below read the values several times: write the two projected
     # columns once to the shared checkpoint folder instead of re-running (and
     # re-planning) the upstream pipeline for each pass.
-    data = cut_lineage(data)
+    if cut:
+        data = cut_lineage(data)
     key = by + ["p"]
     datap = data.withColumn("p", F.explode(F.array(*[F.lit(p) for p in probs])))
 
@@ -62,7 +67,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     targets = targets.cache()
     # Bracket half-width in probability: at least 2/accuracy (the sketch's
     # rank error) and at least 4 rows of the smallest group.
-    n_min = stats.agg(F.min("n")).first()[0] or 1
+    sizes = stats.agg(F.min("n").alias("lo"), F.max("n").alias("hi")).first()
+    n_min, n_max = (sizes["lo"] or 1), (sizes["hi"] or 1)
+    if accuracy is None:
+        accuracy = int(min(MAX_ACCURACY, max(MIN_ACCURACY, n_max // BRACKET_ROWS)))
     delta = max(2.0 / accuracy, 4.0 / n_min)
     found = None
     remaining = targets
@@ -117,9 +125,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
 
 def quantile_row(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                 by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 by: Sequence[str] = (), accuracy: int | None = None, cut: bool = True) -> DataFrame:
     """Wide form: one row per group with one column per probability."""
-    long = exact_quantiles(df, value, probs, by, accuracy)
+    long = exact_quantiles(df, value, probs, by, accuracy, cut=cut)
     aggs = [F.max(F.when(F.col("p") == F.lit(float(p)), F.col("quantile"))).alias(n)
             for p, n in zip(probs, names)]
     if by:

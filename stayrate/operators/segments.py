@@ -32,6 +32,9 @@ def segment_features(features: DataFrame, cols: Sequence[str] = SEG_FEATURES,
                      key: str = "customer_id") -> DataFrame:
     """The segmentation columns, nulls -> 0, standardized (population std)."""
     df = features.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).fillna(0.0)
+    # The scaler fit, centroid choice and K-Means restarts all read this
+    # narrow frame: compute the feature pipeline once.
+    df = cut_lineage(df)
     return prep.standardize(df, cols)
 
 
