@@ -193,3 +193,8 @@ def value_and_churn_by_refunds(features: DataFrame, clv: DataFrame, churn: DataF
     return df.groupBy("refund_band").agg(F.count(F.lit(1)).alias("customers"),
                                          F.avg("clv").alias("mean_clv"),
                                          F.avg(F.col(CHURN).cast("double")).alias("churn_rate"))
+
+
+def sort_by_customer_date(df: DataFrame, date_col: str) -> DataFrame:
+    """Rows ordered by customer, then date (a range-partitioned global sort)."""
+    return df.orderBy("customer_id", date_col)
