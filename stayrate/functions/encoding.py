@@ -41,8 +41,9 @@ def fit_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_DUMMY_LEVELS
     ``limit`` levels per column (checked) reach the driver."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
                                 for c in cols])).alias("p")
+    # distinct pairs are few (categorical levels): one reducer, one job
     rows = (df.select(pairs).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
-            .limit(len(cols) * (limit + 1) + 1).collect())
+            .coalesce(1).limit(len(cols) * (limit + 1) + 1).collect())
     levels: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         levels[r["c"]].append(r["v"])

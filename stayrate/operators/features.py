@@ -174,6 +174,13 @@ def fill_numeric_nulls(df: DataFrame, keep: Sequence[str] = RAW_COLUMNS, value=0
     return df.fillna(value, subset=cols)
 
 
+def _zero(c: str, dtype: str) -> Column:
+    """``coalesce(c, 0)`` keeping the column's type (the reference's fill)."""
+    # coalesce widens the literal to the column's type (int, bigint, double)
+    zero = F.lit(0.0) if dtype in ("double", "float") else F.lit(0)
+    return F.coalesce(F.col(c), zero)
+
+
 def customer_features(customers: DataFrame, transactions: DataFrame, events: DataFrame,
                       tickets: DataFrame, as_of=DEFAULT_AS_OF, fill: str = "zero",
                       countries: Sequence[str] | None = None,
@@ -184,32 +191,48 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
     customer without purchases gets recency 0).  ``fill="tenure"`` sets the
     recency of such customers to their tenure and adds ``has_txn`` /
     ``has_tickets`` flags.
+
+    Plan shape: three per-customer aggregates left-joined to the customer
+    base, then a single projection that fills, derives and orders every
+    column (one plan step instead of one per feature group).
     """
-    base = customer_base(customers, as_of, countries)
+    levels = fit_levels(customers, ["plan_type", "gender"] + ([] if countries is not None else ["country"]))
+    country_levels = sorted(countries) if countries is not None else levels["country"]
+    tenure = tenure_days("signup_date", as_of)
+    base = customers.select(
+        *customers.columns, tenure.alias("tenure_days"),
+        (tenure / F.lit(365.0)).alias("tenure_years"),
+        encode_with_levels("plan_type", levels["plan_type"]).alias("plan_encoded"),
+        encode_with_levels("gender", levels["gender"]).alias("gender_encoded"),
+        *[(F.col("country") == F.lit(v)).cast("int").alias(f"country_{v}") for v in country_levels])
+
     txn = txn_features(transactions, as_of)
     ev = event_stats(events, as_of)
     tk = ticket_stats(tickets, as_of, ticket_categories)
-
     df = base.join(txn, "customer_id", "left").join(ev, "customer_id", "left") \
              .join(tk, "customer_id", "left")
-    tenure1 = clip_lower("tenure_days", 1)
-    # Divide after the join: each customer's own tenure.
-    df = df.withColumns({
-        "events_per_day": F.col("total_events") / tenure1,
-        "active_days_ratio": F.col("active_days") / tenure1,
-    })
+
+    types = dict(df.dtypes)
+    z = {c: _zero(c, t) for c, t in types.items()
+         if c not in RAW_COLUMNS and (t in NUMERIC_TYPES or t.startswith("decimal"))}
     if fill == "tenure":
-        df = df.withColumns({
-            "has_txn": F.col("frequency").isNotNull() & (F.col("frequency") > 0),
-            "has_tickets": F.col("total_tickets").isNotNull(),
-            "recency_days": F.coalesce(F.col("recency_days"), F.col("tenure_days")),
-        })
-    df = fill_numeric_nulls(df)
-    df = interaction_features(df)
-
-    country_cols = [c for c in base.columns if c.startswith("country_")]
+        z["recency_days"] = F.coalesce(F.col("recency_days"), F.col("tenure_days"))
+    tenure1 = F.greatest(z["tenure_days"], F.lit(1))
+    # Per-day rates divide after the join: each customer's own tenure.
+    events_per_day = F.coalesce(F.col("total_events") / tenure1, F.lit(0.0))
+    active_days_ratio = F.coalesce(F.col("active_days") / tenure1, F.lit(0.0))
+    derived = {
+        "events_per_day": events_per_day,
+        "active_days_ratio": active_days_ratio,
+        "tenure_fee_interaction": z["tenure_days"] * z["monthly_fee"],
+        "events_per_ticket": z["total_events"] / (z["total_tickets"] + F.lit(1)),
+        "satisfaction_per_ticket": z["avg_satisfaction"] / (z["total_tickets"] + F.lit(1)),
+        "monetary_per_tenure": z["monetary"] / tenure1,
+        "avg_txn_per_event": z["avg_txn_amount"] / (events_per_day + F.lit(0.01)),
+    }
     order = (["customer_id", "signup_date", "age", "gender", "country", "plan_type", "monthly_fee",
-              "tenure_days", "tenure_years", "plan_encoded", "gender_encoded"] + country_cols +
+              "tenure_days", "tenure_years", "plan_encoded", "gender_encoded"] +
+             [f"country_{v}" for v in country_levels] +
              ["recency_days", "frequency", "monetary", "avg_txn_amount", "max_txn_amount",
               "std_txn_amount", "refund_count", "refund_total", "payment_method_count",
               "total_events", "unique_event_types", "total_event_value", "avg_event_value",
@@ -219,9 +242,14 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
              [f"tickets_{c}" for c in sorted(ticket_categories)] +
              ["recent_tickets", "tenure_fee_interaction", "events_per_ticket",
               "satisfaction_per_ticket", "monetary_per_tenure", "avg_txn_per_event"])
+    cols = []
+    for c in order:
+        expr = derived.get(c, z.get(c, F.col(c)))
+        cols.append(expr.alias(c))
     if fill == "tenure":
-        order += ["has_txn", "has_tickets"]
-    return df.select(*order)
+        cols += [(F.col("frequency").isNotNull() & (F.col("frequency") > 0)).alias("has_txn"),
+                 F.col("total_tickets").isNotNull().alias("has_tickets")]
+    return df.select(*cols)
 
 
 def model_columns(features: DataFrame, drop: Sequence[str] = IDENTITY_COLUMNS) -> list[str]:

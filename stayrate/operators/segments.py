@@ -9,6 +9,7 @@ inside whole-stage codegen.  Segment ids are relabelled by mean clv
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -43,24 +44,43 @@ def _vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def kmeans_best(vec: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300,
-                tol: float = 1e-4):
-    """Best of ``n_init`` K-Means runs (different seeds) by training cost."""
-    best, best_cost = None, float("inf")
-    for i in range(n_init):
+                tol: float = 1e-4, parallelism: int = 4):
+    """Best of ``n_init`` K-Means runs (different seeds) by training cost.
+
+    The runs are independent, so they are submitted as concurrent Spark jobs
+    (like ``parallelism`` in Spark ML's tuning estimators); ties in cost go to
+    the lowest seed."""
+    def fit(i):
         model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol=VEC,
                        predictionCol="cluster").fit(vec)
-        cost = model.summary.trainingCost
-        if cost < best_cost:
-            best, best_cost = model, cost
+        return i, model, model.summary.trainingCost
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
+        runs = list(pool.map(fit, range(n_init)))
+    _, best, best_cost = min(runs, key=lambda r: (r[2], r[0]))
     return best, best_cost
 
 
 def elbow(scaled: DataFrame, ks: Sequence[int] = range(2, 11), n_init: int = 10, seed: int = 42,
-          cols: Sequence[str] = SEG_FEATURES) -> DataFrame:
-    """Inertia (sum of squared distances) of the best run for each k."""
+          cols: Sequence[str] = SEG_FEATURES, parallelism: int = 8) -> DataFrame:
+    """Inertia (sum of squared distances) of the best run for each k; all
+    (k, restart) fits are independent and run as concurrent Spark jobs."""
     vec = cut_lineage(_vectors(scaled, cols).select(VEC))
-    rows = [(int(k), float(kmeans_best(vec, k, n_init, seed)[1])) for k in ks]
-    return scaled.sparkSession.createDataFrame(rows, "k int, inertia double")
+
+    def fit(job):
+        k, i = job
+        model = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol=VEC,
+                       predictionCol="cluster").fit(vec)
+        return k, model.summary.trainingCost
+
+    jobs = [(int(k), i) for k in ks for i in range(n_init)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        costs = list(pool.map(fit, jobs))
+    best = {}
+    for k, c in costs:
+        best[k] = min(best.get(k, float("inf")), c)
+    return scaled.sparkSession.createDataFrame([(k, float(best[k])) for k in sorted(best)],
+                                               "k int, inertia double")
 
 
 def assign_segment(scaled: DataFrame, centroids: Sequence[Sequence[float]],
