@@ -97,3 +97,29 @@ def q_fit_boosted_classifier(spark, sf):
     mf = _classification(spark, sf)[0]
     model = mo.fit_boosted_classifier(mf, N_TREES)
     return finish(mo.score_classification(model, mf.test))
+
+
+# One query per fitted estimator of the bake-offs, scored on the
+# test part.  They reuse the models fitted by the bake-off in this session.
+REGRESSORS = {"fit_linear": "Linear Regression", "fit_ridge": "Ridge Regression",
+              "fit_rf_regressor": "Random Forest", "fit_gbt_regressor": "Gradient Boosting"}
+CLASSIFIERS = {"fit_logistic": "Logistic Regression", "fit_rf_classifier": "Random Forest",
+               "fit_gbt_classifier": "Gradient Boosting"}
+
+for _q, _model in REGRESSORS.items():
+    def _mk(model_name):
+        def q(spark, sf):
+            mf, _, _, fitted = _regression(spark, sf)
+            return finish(mo.score_regression(fitted[model_name], mf.test))
+        q.__doc__ = f"{model_name} on log1p(clv), test-part predictions in dollars."
+        return q
+    register(_q)(_mk(_model))
+
+for _q, _model in CLASSIFIERS.items():
+    def _mk(model_name):
+        def q(spark, sf):
+            mf, _, _, fitted = _classification(spark, sf)
+            return finish(mo.score_classification(fitted[model_name], mf.test))
+        q.__doc__ = f"{model_name} churn classifier, test-part class and probability."
+        return q
+    register(_q)(_mk(_model))
