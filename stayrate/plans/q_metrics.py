@@ -37,14 +37,14 @@ def q_roc_auc(spark, sf):
 
 
 @register("roc_curve", SC + f"""
-SELECT score AS threshold, {R("cum_neg / (SELECT n FROM tt)")} AS fpr, {R("cum_pos / (SELECT p FROM tt)")} AS tpr
+SELECT {R("score")} AS threshold, {R("cum_neg / (SELECT n FROM tt)")} AS fpr, {R("cum_pos / (SELECT p FROM tt)")} AS tpr
 FROM cd UNION ALL SELECT NULL, 0.0, 0.0""")
 def q_roc_curve(spark, sf):
     return finish(me.roc_curve(scores(spark, sf)))
 
 
 @register("pr_curve", SC + f"""
-SELECT score AS threshold, {R("cum_pos / (cum_pos + cum_neg)")} AS precision,
+SELECT {R("score")} AS threshold, {R("cum_pos / (cum_pos + cum_neg)")} AS precision,
   {R("cum_pos / (SELECT p FROM tt)")} AS recall FROM cd
 UNION ALL SELECT NULL, 1.0, 0.0""")
 def q_pr_curve(spark, sf):
