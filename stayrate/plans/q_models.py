@@ -37,7 +37,7 @@ _cache: dict = {}
 
 
 def _regression(spark, sf):
-    key = ("reg", id(spark), sf)
+    key = ("reg", spark.sparkContext.applicationId, sf)
     if key not in _cache:
         mf = clv_frame(spark, sf)
         table, best, fitted = mo.compare_regressors(mf, N_TREES)
@@ -46,7 +46,7 @@ def _regression(spark, sf):
 
 
 def _classification(spark, sf):
-    key = ("cls", id(spark), sf)
+    key = ("cls", spark.sparkContext.applicationId, sf)
     if key not in _cache:
         mf = churn_frame(spark, sf)
         table, best, fitted = mo.compare_classifiers(mf, N_TREES)

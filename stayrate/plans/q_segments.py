@@ -90,7 +90,7 @@ _cache: dict = {}
 
 
 def _kmeans(spark, sf):
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _cache:
         fx = fixture(spark, sf)
         _cache[key] = sg.kmeans_segments(features_df(spark, sf), fx.clv_labels, K, N_INIT)
