@@ -12,6 +12,9 @@ in one task's memory.  Here:
 3. every bracket is verified (``below <= rank < below + inside``); a bracket
    that misses is widened and the step repeated, so the result is always exact.
 
+Groups of at most ``DIRECT_ROWS`` values skip the sketch: their distinct values
+are ranked directly, a task bounded by that size.
+
 Interpolation is linear between the two neighbouring order statistics (the
 default of ``numpy.percentile`` / ``pandas.quantile``).
 """
@@ -30,6 +33,9 @@ from stayrate.session import cut_lineage
 MIN_ACCURACY = 10_000
 MAX_ACCURACY = 1_000_000
 BRACKET_ROWS = 50_000
+# Groups of at most this many values are ranked directly (one bounded task
+# per group and probability); larger groups go through the sketch brackets.
+DIRECT_ROWS = 1_000_000
 
 
 def _lerp(a, b, t):
@@ -39,7 +45,8 @@ def _lerp(a, b, t):
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    accuracy: int | None = None, max_rounds: int = 4, cut: bool = True) -> DataFrame:
+                    accuracy: int | None = None, max_rounds: int = 4, cut: bool = True,
+                    direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Long form: ``by..., p, quantile`` with one row per group and probability."""
     by = list(by)
     probs = [float(p) for p in probs]
@@ -74,8 +81,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     delta = max(2.0 / accuracy, 4.0 / n_min)
     found = None
     remaining = targets
+    direct = n_max <= direct_rows
     for round_no in range(max_rounds + 1):
-        full = round_no == max_rounds or delta >= 1.0
+        full = direct or round_no == max_rounds or delta >= 1.0
         if full:
             brackets = remaining.withColumns({"a": F.col("vmin"), "b": F.col("vmax")})
         else:
@@ -125,9 +133,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
 
 def quantile_row(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                 by: Sequence[str] = (), accuracy: int | None = None, cut: bool = True) -> DataFrame:
+                 by: Sequence[str] = (), accuracy: int | None = None, cut: bool = True,
+                 direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Wide form: one row per group with one column per probability."""
-    long = exact_quantiles(df, value, probs, by, accuracy, cut=cut)
+    long = exact_quantiles(df, value, probs, by, accuracy, cut=cut, direct_rows=direct_rows)
     aggs = [F.max(F.when(F.col("p") == F.lit(float(p)), F.col("quantile"))).alias(n)
             for p, n in zip(probs, names)]
     if by:

@@ -22,17 +22,20 @@ def _skewed(seed, n=3000):
     return list(zip(groups.tolist(), vals.tolist()))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_exact_quantiles_match_numpy(spark, seed):
+@pytest.mark.parametrize("seed,direct_rows", [(1, 0), (2, 0), (3, qu.DIRECT_ROWS)])
+def test_exact_quantiles_match_numpy(spark, seed, direct_rows):
+    """direct_rows=0 forces the sketch-bracket path (small accuracy, so
+    brackets are narrow and get verified / widened)."""
     rows = _skewed(seed)
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {(r.g, r.p): r.quantile for r in qu.exact_quantiles(df, "v", probs, ["g"], accuracy=100).collect()}
+    got = {(r.g, r.p): r.quantile for r in qu.exact_quantiles(df, "v", probs, ["g"], accuracy=100,
+                                                              direct_rows=direct_rows).collect()}
     for g in ("a", "b"):
         arr = np.array([v for gg, v in rows if gg == g])
         for p in probs:
             assert got[(g, p)] == pytest.approx(float(np.percentile(arr, p * 100)), abs=1e-9), (g, p)
-    whole = qu.quantile_row(df, "v", [0.5], ["med"], accuracy=50).first()["med"]
+    whole = qu.quantile_row(df, "v", [0.5], ["med"], accuracy=50, direct_rows=direct_rows).first()["med"]
     assert whole == pytest.approx(float(np.median([v for _, v in rows])))
 
 
