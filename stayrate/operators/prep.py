@@ -55,8 +55,9 @@ def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
                      key: str = "customer_id") -> DataFrame:
     """Adds ``split`` = 'test' for exactly ``ceil(test_size * n)`` rows.
 
-    Fitting the cut costs two small actions (a count, then the cut hash);
-    the returned frame is a plain filter on the row hash."""
+    Fitting the cut costs a few small actions (the row count, the prefix
+    counts, the rank inside one prefix); the returned frame is a plain filter
+    on the row hash."""
     hd = df.withColumn("_h", split_hash(key, seed))
     n = hd.count()
     n_test = math.ceil(n * float(test_size))

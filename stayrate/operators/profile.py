@@ -1,7 +1,8 @@
 """Table profiles and distribution summaries.
 
-Each profile is one aggregate pass (or two where exact quantiles are needed);
-nothing is collected to the driver except schema metadata.
+Each profile is one or two aggregate passes over a projection of the input.
+Only schema metadata and fitted constants (one-row aggregates such as a
+range or the means) reach the driver.
 """
 
 from __future__ import annotations

@@ -1,8 +1,8 @@
 """Customer segmentation: K-Means with restarts, elbow, assignment, PCA.
 
 Centroids are small (k x 8 numbers), so assignment to the nearest centroid is
-pure column arithmetic with the centroids as constants: no join, and it stays
-inside whole-stage codegen.  Segment ids are relabelled by mean clv
+pure column arithmetic with the centroids as constants: no join and no Python
+code per row.  Segment ids are relabelled by mean clv
 (descending), so segment 0 is always the most valuable one.
 """
 
