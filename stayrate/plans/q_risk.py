@@ -135,11 +135,17 @@ def q_high_value_plan_share(spark, sf):
 
 @register("daily_churn_scoring")
 def q_daily_churn_scoring(spark, sf):
-    """Fit the churn pipeline on the training part, score every customer's
-    features as of the prediction date and write the scores partitioned by
-    date; returns the scores read back from that partition."""
-    from stayrate.streaming.scoring import fit_churn_pipeline, score_daily
+    """Fit the churn pipeline on the stratified training part, save it and
+    load it back, score every customer's features as of the prediction date
+    and write the scores partitioned by date; returns the scores read back
+    from that partition."""
+    from stayrate.operators import prep
+    from stayrate.streaming.scoring import fit_churn_pipeline, model_path, save_pipeline, score_daily
     fx = fixture(spark, sf)
     feats = features_df(spark, sf)
-    model, cols = fit_churn_pipeline(eda.attach_labels(feats, fx.churn_labels), n_trees=10)
+    labelled = prep.stratified_split(eda.attach_labels(feats, fx.churn_labels), "churn_30d", 0.2, 42)
+    train = labelled.where(F.col("split") == "train").drop("split")
+    model, _ = fit_churn_pipeline(train, n_trees=10)
+    tag = sf.rstrip("/").split("/")[-1]
+    model = save_pipeline(model, model_path(spark, f"churn-{tag}"))
     return finish(score_daily(spark, model, feats, AS_OF))

@@ -42,6 +42,17 @@ def fit_churn_pipeline(labelled: DataFrame, cols: Sequence[str] | None = None, n
     return pipe.fit(train), cols
 
 
+def save_pipeline(model: PipelineModel, path: str) -> PipelineModel:
+    """Save the fitted pipeline and return it reloaded from ``path`` (what a
+    daily job on another cluster would load)."""
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+def model_path(spark: SparkSession, name: str = "churn") -> str:
+    return checkpoint_dir(spark).rstrip("/") + f"/stayrate-models/{name}"
+
+
 def score(model: PipelineModel, features: DataFrame, as_of) -> DataFrame:
     """Churn probability and class for every customer, stamped with ``as_of``."""
     p = model.transform(features)
