@@ -35,7 +35,7 @@ MAX_ACCURACY = 1_000_000
 BRACKET_ROWS = 50_000
 # Groups of at most this many values are ranked directly (one bounded task
 # per group and probability); larger groups go through the sketch brackets.
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 50_000
 
 
 def _lerp(a, b, t):
