@@ -3,7 +3,7 @@
 Everything is exact (no score binning): ROC AUC averages ties, average
 precision is the step-wise sum (not a trapezoid).  Curves need running totals
 over the distinct scores; ``running_totals`` computes them without moving all
-scores into one task: scores are grouped first, cut into equal-width buckets,
+scores into one task: scores are grouped first, cut into equal-count buckets,
 prefix totals of the (at most ``buckets``) bucket sums come from a small
 window, and each bucket computes its own running sums in parallel.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,23 +20,29 @@ from stayrate.functions.numeric import safe_div
 from stayrate.operators.common import scalars
 
 LABEL, SCORE, PRED = "label", "score", "prediction"
-BUCKETS = 65536
+BUCKETS = 4096
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
                    buckets: int = BUCKETS) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``order_col`` comes at or
-    before this row's (``order_col`` must be unique, e.g. grouped scores)."""
-    x = F.col(order_col).cast("double")
-    rng = scalars(df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")))
-    mn, mx = rng["mn"], rng["mx"]
-    pos = F.when(mx > mn, (x - mn) / (mx - mn)).otherwise(F.lit(0.0))
-    b = F.least(F.floor(pos * F.lit(float(buckets))), F.lit(buckets - 1)).cast("int")
+    before this row's (``order_col`` must be unique, e.g. grouped scores).
+
+    Rows are cut into equal-count buckets by ``QuantileDiscretizer`` (an
+    approximate-quantile fit, then a binary-search ``Bucketizer``), so every
+    bucket holds about ``n / buckets`` rows whatever the score distribution.
+    Bucket offsets come from a window over the (at most ``buckets``) bucket
+    totals; each bucket runs its own running sum in parallel."""
+    src = df.where(F.col(order_col).isNotNull()).withColumn("_x", F.col(order_col).cast("double"))
+    qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_x", outputCol="_b",
+                             relativeError=1.0 / (4 * buckets), handleInvalid="keep")
+    d = qd.fit(src).transform(src)
+    b = F.col("_b").cast("int")
     if descending:
-        b = F.lit(buckets - 1) - b
-    d = df.withColumn("_bucket", b)
+        b = F.lit(buckets) - b
+    d = d.withColumn("_bucket", b).drop("_b", "_x")
     tot = d.groupBy("_bucket").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
-    # At most `buckets` rows: one small ordered window gives the bucket offsets.
+    # At most `buckets` + 1 rows: one small ordered window gives the bucket offsets.
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = tot.select("_bucket", *[(F.sum(f"_bt_{c}").over(wb) - F.col(f"_bt_{c}")).alias(f"_off_{c}")
                                   for c in sum_cols])
@@ -49,7 +56,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
 
 def score_counts(df: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
     """Positives and negatives per distinct score (partial aggregation map-side)."""
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    return df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
 
 
