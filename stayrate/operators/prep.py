@@ -27,19 +27,23 @@ def split_hash(key: str, seed: int) -> F.Column:
 
 
 def _cut_hash(part: DataFrame, n_test: int) -> str:
-    """Hash of the ``n_test``-th smallest row of ``part``.
+    """Smallest hash ``h`` with at least ``n_test`` rows hashing to ``<= h``.
 
     Rows are counted per hash prefix (at most 65,536 groups, a small ordered
-    window finds the prefix holding the cut); only that prefix's rows, about
-    n / 65,536 of them, are ranked."""
+    window finds the prefix holding the cut); inside that prefix only the
+    distinct hashes with their row counts are ranked, so a key repeated on
+    many rows is one ranked row (and all its rows land on the same side)."""
     pc = part.groupBy(F.substring("_h", 1, PREFIX_CHARS).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pc = pc.withColumn("_cum", F.sum("_c").over(w))
     hit = pc.where((F.col("_cum") - F.col("_c") < n_test) & (F.col("_cum") >= n_test)) \
             .select("_p", (F.lit(n_test) - (F.col("_cum") - F.col("_c"))).alias("_need")).first()
-    inside = part.where(F.substring("_h", 1, PREFIX_CHARS) == F.lit(hit["_p"]))
-    ranked = inside.select("_h", F.row_number().over(Window.orderBy("_h")).alias("_rn"))
-    return ranked.where(F.col("_rn") == F.lit(hit["_need"])).first()["_h"]
+    inside = part.where(F.substring("_h", 1, PREFIX_CHARS) == F.lit(hit["_p"])) \
+                 .groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    wr = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_cum", F.sum("_n").over(wr))
+    return ranked.where((F.col("_cum") - F.col("_n") < F.lit(hit["_need"]))
+                        & (F.col("_cum") >= F.lit(hit["_need"]))).first()["_h"]
 
 
 def _cut_hashes(hd: DataFrame, n_test: dict, by: str | None = None) -> dict:
@@ -53,7 +57,8 @@ def _cut_hashes(hd: DataFrame, n_test: dict, by: str | None = None) -> dict:
 
 def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
                      key: str = "customer_id") -> DataFrame:
-    """Adds ``split`` = 'test' for exactly ``ceil(test_size * n)`` rows.
+    """Adds ``split`` = 'test' for exactly ``ceil(test_size * n)`` rows when
+    ``key`` is unique per row (rows sharing a key stay on one side).
 
     Fitting the cut costs a few small actions (the row count, the prefix
     counts, the rank inside one prefix); the returned frame is a plain filter

@@ -34,3 +34,16 @@ def test_hot_customer_transaction_features(spark):
     assert g.payment_method_count == 3
     assert g.recency_days == (dt.date(2024, 12, 31) - max(r[1] for r in hot if not r[4])).days
     assert len(got) == len({r[0] for r in rows})
+
+
+def test_split_with_a_hot_key_keeps_rows_together(spark):
+    from stayrate.operators import prep
+    rows = [("HOT", i) for i in range(300)] + [(f"K{i:04d}", i) for i in range(600)]
+    df = spark.createDataFrame(rows, "customer_id string, v int").repartition(6)
+    out = prep.train_test_split(df, 0.2, 42).collect()
+    hot_sides = {r.split for r in out if r.customer_id == "HOT"}
+    assert len(hot_sides) == 1                       # the key is never split
+    n_test = sum(1 for r in out if r.split == "test")
+    assert n_test >= 180                             # ceil(0.2 * 900), whole keys
+    uniq = spark.createDataFrame([(f"K{i:04d}",) for i in range(901)], "customer_id string")
+    assert prep.train_test_split(uniq, 0.2, 42).where("split = 'test'").count() == 181
