@@ -16,6 +16,7 @@ from stayrate.functions.bands import age_band, fee_band, tenure_band
 from stayrate.functions.dates import month_bucket
 from stayrate.functions.numeric import money_avg, rate_percent, safe_div
 from stayrate.operators.common import scalars
+from stayrate.session import cut_lineage
 
 CHURN = "churn_30d"
 
@@ -156,6 +157,9 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, top: int | Non
     all non-null rows; ``top`` keeps the first n (the report's head(10))."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
+        # the grouped counts (one row per value) are written once, so the
+        # input is scanned once for both the counts and their total
+        counts = cut_lineage(counts)
         total = counts.select(F.sum("count")).scalar()
         counts = counts.withColumn("share", F.col("count") / total)
     if top is not None:

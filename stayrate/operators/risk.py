@@ -130,6 +130,7 @@ def high_value_plan_share(features: DataFrame, clv: DataFrame, q: float = 0.8) -
     """Share of each plan inside the top quintile and inside the rest."""
     df = _top_flag(features, clv, q)
     g = df.groupBy("value_group", "plan_type").agg(F.count(F.lit(1)).alias("customers"))
-    tot = df.groupBy("value_group").agg(F.count(F.lit(1)).alias("group_size"))
+    # group sizes from the grouped frame itself (its exchange is reused)
+    tot = g.groupBy("value_group").agg(F.sum("customers").alias("group_size"))
     return g.join(tot, "value_group").withColumn("share", F.col("customers") / F.col("group_size")) \
             .drop("group_size")
