@@ -10,6 +10,7 @@ window, and each bucket computes its own running sums in parallel.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import QuantileDiscretizer
@@ -21,6 +22,7 @@ from stayrate.operators.common import scalars
 
 LABEL, SCORE, PRED = "label", "score", "prediction"
 BUCKETS = 4096
+ROWS_PER_BUCKET = 100_000
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
@@ -29,18 +31,26 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     before this row's (``order_col`` must be unique, e.g. grouped scores).
 
     Rows are cut into equal-count buckets by ``QuantileDiscretizer`` (an
-    approximate-quantile fit, then a binary-search ``Bucketizer``), so every
-    bucket holds about ``n / buckets`` rows whatever the score distribution.
+    approximate-quantile fit, then a binary-search ``Bucketizer``), about
+    ``ROWS_PER_BUCKET`` rows each whatever the score distribution (at most
+    ``buckets`` buckets; up to ``ROWS_PER_BUCKET`` rows need no cut).
     Bucket offsets come from a window over the (at most ``buckets``) bucket
     totals; each bucket runs its own running sum in parallel."""
-    src = df.where(F.col(order_col).isNotNull()).withColumn("_x", F.col(order_col).cast("double"))
-    qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_x", outputCol="_b",
-                             relativeError=1.0 / (4 * buckets), handleInvalid="keep")
-    d = qd.fit(src).transform(src)
-    b = F.col("_b").cast("int")
-    if descending:
-        b = F.lit(buckets) - b
-    d = d.withColumn("_bucket", b).drop("_b", "_x")
+    src = df.where(F.col(order_col).isNotNull())
+    n = src.count()
+    # about ROWS_PER_BUCKET distinct values per bucket, at most `buckets` buckets
+    k = min(buckets, max(1, math.ceil(n / ROWS_PER_BUCKET)))
+    if k == 1:
+        d = src.withColumn("_bucket", F.lit(0))
+    else:
+        src = src.withColumn("_x", F.col(order_col).cast("double"))
+        qd = QuantileDiscretizer(numBuckets=k, inputCol="_x", outputCol="_b",
+                                 relativeError=1.0 / (4 * k), handleInvalid="keep")
+        d = qd.fit(src).transform(src)
+        b = F.col("_b").cast("int")
+        if descending:
+            b = F.lit(k) - b
+        d = d.withColumn("_bucket", b).drop("_b", "_x")
     tot = d.groupBy("_bucket").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
     # At most `buckets` + 1 rows: one small ordered window gives the bucket offsets.
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
