@@ -40,8 +40,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     n = src.count()
     # about ROWS_PER_BUCKET distinct values per bucket, at most `buckets` buckets
     k = min(buckets, max(1, math.ceil(n / ROWS_PER_BUCKET)))
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if k == 1:
-        d = src.withColumn("_bucket", F.lit(0))
+        # at most ROWS_PER_BUCKET rows: one ordered running sum, no offsets
+        w1 = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return src.withColumns({f"cum_{c}": F.sum(c).over(w1) for c in sum_cols})
     else:
         src = src.withColumn("_x", F.col(order_col).cast("double"))
         qd = QuantileDiscretizer(numBuckets=k, inputCol="_x", outputCol="_b",
@@ -56,7 +59,6 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = tot.select("_bucket", *[(F.sum(f"_bt_{c}").over(wb) - F.col(f"_bt_{c}")).alias(f"_off_{c}")
                                   for c in sum_cols])
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     wi = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding,
                                                                   Window.currentRow)
     d = d.join(F.broadcast(tot), "_bucket")
