@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm.mixing import mix_documents
 from stayrate.llm.packing import pack_documents
+from stayrate.llm.simhash import simhash_documents
 from stayrate.llm.token_files import read_token_files, write_token_files
 from stayrate.llm.warc import read_warc, write_warc
 
@@ -84,3 +85,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives and read back."""
     manifest = write_warc(_table(spark, sf_dir, "pages"))
     return read_warc(spark, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with 3-word SimHash fingerprints, linked at 3 or fewer differing bits."""
+    return simhash_documents(_table(spark, sf_dir, "documents"), shingle=3, bits=3)
