@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayrate.llm.embeddings import embedding_links
 from stayrate.llm.mixing import mix_documents
 from stayrate.llm.packing import pack_documents
 from stayrate.llm.simhash import simhash_documents
@@ -91,3 +92,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with 3-word SimHash fingerprints, linked at 3 or fewer differing bits."""
     return simhash_documents(_table(spark, sf_dir, "documents"), shingle=3, bits=3)
+
+
+@_query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked at a cosine of 0.95 or more, one of each group kept."""
+    return embedding_links(_table(spark, sf_dir, "embeddings"), threshold=0.95)
