@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stayrate.llm.embeddings import embedding_links
 from stayrate.llm.mixing import mix_documents
 from stayrate.llm.packing import pack_documents
+from stayrate.llm.quality_rules import judge
 from stayrate.llm.simhash import simhash_documents
 from stayrate.llm.token_files import read_token_files, write_token_files
 from stayrate.llm.warc import read_warc, write_warc
@@ -98,3 +99,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings linked at a cosine of 0.95 or more, one of each group kept."""
     return embedding_links(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by text counts and perplexity bands."""
+    judged = judge(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "lang", "surprise", "low", "high")

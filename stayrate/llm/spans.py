@@ -46,12 +46,27 @@ def chunks(offs: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         lo = min(hi, n)
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, text) of every word; a word ends with its text."""
+def byte_set(*members: int | range) -> np.ndarray:
+    """A table of 256 flags."""
+    t = np.zeros(256, bool)
+    for m in members:
+        t[list(m) if isinstance(m, range) else m] = True
+    return t
+
+
+def per_text(flags: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Number of set flags in each text."""
+    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    return total[offs[1:]] - total[offs[:-1]]
+
+
+def word_spans(data: np.ndarray, offs: np.ndarray,
+               gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text) of every word; words end at bytes of ``gaps`` and with their text."""
     if len(data) == 0:
         e = np.empty(0, np.int64)
         return e, e, e
-    word = ~_SPACE[data]
+    word = ~gaps[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offs] = True
     before = np.empty_like(word)
