@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from stayrate.llm import spans
 from stayrate.llm.store import materialize, ship
-from stayrate.llm.tokens import encoder
+from stayrate.llm.tokens import CHUNK_BYTES, encoder
 
 #: Pieces numbered by one task at a time, on average.
 BUCKET_ROWS = 20_000
@@ -165,7 +165,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
         for batch in batches:
             data, offs = spans.text_buffer(batch.column(1))
             doc_ids = batch.column(0).to_pylist()
-            for lo, hi in spans.chunks(offs):
+            for lo, hi in spans.chunks(offs, CHUNK_BYTES):
                 got, at = enc.encode_many(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                 got = np.insert(got, at[1:], np.uint32(end_id)).astype("<u4")
                 raw = memoryview(got.tobytes())

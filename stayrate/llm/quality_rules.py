@@ -25,9 +25,9 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 from stayrate.llm import ngram_model, spans
 from stayrate.llm.store import materialize
 
-SPREADS = 6.0
+SPREADS = 8.0
 #: The least spread (in log perplexity per byte), for languages whose texts are all alike.
-LEAST_SPREAD = 0.05
+LEAST_SPREAD = 0.02
 #: Resolution of the quartiles.
 STEP = 0.001
 _SYMBOLS = spans.byte_set(*map(ord, "#*$%&|<>"))

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayrate.llm import quality_classifier, toxicity
 from stayrate.llm.embeddings import embedding_links
 from stayrate.llm.mixing import mix_documents
 from stayrate.llm.packing import pack_documents
@@ -107,3 +108,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(_table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "lang", "surprise", "low", "high")
+
+
+@_query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for quality; one fold's labels are held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, quality_classifier.training_labels(labels))
+    scored = quality_classifier.score(docs, model, ["doc_id"]).select("row.doc_id", "score")
+    return scored.select("doc_id", quality_classifier.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their expected severity of toxicity."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, quality_classifier.training_labels(labels))
+    scored = toxicity.severity(docs, model, ["doc_id"]).select("row.doc_id", "severity", "p_toxic")
+    return scored.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"),
+                         quality_classifier.held_out("doc_id").alias("held_out"))

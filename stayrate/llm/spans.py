@@ -19,7 +19,7 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: Text bytes handled at a time inside a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -27,11 +27,13 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of a string column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.fill_null("").cast(pa.large_string())
+    if col.null_count:
+        col = col.fill_null("")
     n = len(col)
     if n == 0:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
-    offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + n + 1]
+    width = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    offs = np.frombuffer(col.buffers()[1], width)[col.offset:col.offset + n + 1].astype(np.int64)
     raw = col.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
     return data[offs[0]:offs[-1]], offs - offs[0]

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, write_file
-from stayrate.llm.tokens import encoder
+from stayrate.llm.tokens import CHUNK_BYTES, encoder
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
 #: Share of a block's differences that the packed width must hold.
 PERCENTILE = 0.9
 #: Ids after which a task starts its next file (a longer document has its own).
-FILE_IDS = 4_000_000
+FILE_IDS = 1_000_000
 
 
 # -- blocks ------------------------------------------------------------------
@@ -178,7 +178,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str |
         for batch in batches:
             data, offs = spans.text_buffer(batch.column(1))
             doc_ids = batch.column(0).to_pylist()
-            for lo, hi in spans.chunks(offs):
+            for lo, hi in spans.chunks(offs, CHUNK_BYTES):
                 got, at = enc.encode_many(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                 got = np.insert(got, at[1:], np.uint32(end_id))
                 ids.append(got)
