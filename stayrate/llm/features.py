@@ -88,21 +88,21 @@ def quality_features(data: np.ndarray, offs: np.ndarray) -> Features:
 
 
 def word_presence(data: np.ndarray, offs: np.ndarray) -> Features:
-    """Different lower-cased words (letters and digits), their first 4 and 5 bytes, and
-    word pairs of a text, weight 1 each."""
+    """Different lower-cased words (letters and digits) of a text and their first 4 and 5
+    bytes, weight 1 each."""
     data = _lower(data)
     starts, ends, text = spans.word_spans(data, offs, _NOT_LETTER)
     if not len(starts):
         e = np.empty(0, np.int64)
         return e, e, np.empty(0)
     h = spans.span_hashes(data, starts, ends)
-    kinds = [(h, text), _pairs(h, text, 1)]
+    kinds = [(h, text)]
     for n in (4, 5):
         long = ends - starts > n
         kinds.append((spans.span_hashes(data, starts[long], starts[long] + n) + np.uint64(n), text[long]))
     parts = []
     for k, (x, t) in enumerate(kinds):
-        t, index, _ = _collect(x, t, k, 4)
+        t, index, _ = _collect(x, t, k, len(kinds))
         parts.append((t, index, np.ones(len(t))))
     return _sorted(parts)
 

@@ -126,5 +126,5 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, quality_classifier.training_labels(labels))
     scored = toxicity.severity(docs, model, ["doc_id"]).select("row.doc_id", "severity", "p_toxic")
-    return scored.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"),
+    return scored.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") >= toxicity.TOXIC).alias("toxic"),
                          quality_classifier.held_out("doc_id").alias("held_out"))

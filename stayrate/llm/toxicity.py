@@ -2,15 +2,15 @@
 
 Grades 0..K are ordered; P(grade > k) = sigmoid(w.x - t_k), with one weight
 vector for all thresholds t_0 < t_1 < ...  The expected severity is the sum of
-these probabilities.  Features are the presence of hashed words, word
-beginnings and word pairs, so one word weighs the same in a short and in a
-long text.
+these probabilities.  Features are the presence of hashed words and
+word beginnings, so one word weighs the same in a short and in a long text.
 
 The model is fitted on a bounded sample of labelled documents (``TRAIN_ROWS``)
-in one task by adaptive proximal gradient steps with an L1 penalty; every
-document is scored.  Labels that only say toxic or not are graded first
+in one task: features are screened for those that toxic rows use far more
+often, then weighted by adaptive proximal gradient steps with an L1 penalty.
+Every document is scored.  Labels that only say toxic or not are graded first
 (``grade_binary``): the grade of a toxic training row is its third (of all
-toxic ones) by the number of its words that toxic rows use far more often.
+toxic ones) by the number of its screened features.
 
 Defined results: a null or empty text has the severity of the thresholds
 alone; a null id is never a training row; without training rows severity is 0;
@@ -35,9 +35,11 @@ from stayrate.llm.store import materialize, ship
 TRAIN_ROWS = 16_000
 EPOCHS = 5
 GRADES = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.05
-#: A word speaks for toxicity from this ratio of document frequencies on, in at least so many rows.
-MARKED_RATIO, MARKED_ROWS = 20.0, 5
+ALPHA, BETA, L1 = 0.3, 1.0, 1.0
+#: A feature is used from this ratio of document frequencies (toxic to other) on, in at least so many rows.
+SCREEN_RATIO, SCREEN_ROWS = 8.0, 3
+#: A document is called toxic from this probability of a grade above 0 on.
+TOXIC = 0.2
 
 
 @dataclass(frozen=True)
@@ -50,20 +52,22 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def grade_binary(y: np.ndarray, index: list[np.ndarray], grades: int = GRADES) -> np.ndarray:
-    """Grades 0..grades of rows labelled 0 or 1."""
-    toxic = np.flatnonzero(y > 0)
-    out = np.zeros(len(y), np.int64)
-    if not len(toxic):
-        return out
-    df = [np.full(features.DIMS, 0.5), np.full(features.DIMS, 0.5)]
-    for label, i in zip(y, index):
-        df[int(label > 0)][i] += 1
-    ratio = (df[1] / len(toxic)) / (df[0] / max(len(y) - len(toxic), 1))
-    marked = (ratio >= MARKED_RATIO) & (df[1] > MARKED_ROWS)
-    count = np.array([marked[index[r]].sum() for r in toxic])
-    edges = np.quantile(count, np.arange(1, grades) / grades)
-    out[toxic] = 1 + np.searchsorted(edges, count, "right")
+def screen(toxic: np.ndarray, index: list[np.ndarray]) -> np.ndarray:
+    """Which features toxic rows use far more often than others."""
+    df = [np.zeros(features.DIMS), np.zeros(features.DIMS)]
+    for t, i in zip(toxic.tolist(), index):
+        df[int(t)][i] += 1
+    n = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
+    return (df[1] >= SCREEN_ROWS) & ((df[1] + 0.5) / n[0] >= SCREEN_RATIO * (df[0] + 0.5) / n[1])
+
+
+def grade_binary(toxic: np.ndarray, index: list[np.ndarray], grades: int = GRADES) -> np.ndarray:
+    """Grades 0..grades of rows with their screened features."""
+    out = np.zeros(len(toxic), np.int64)
+    count = np.array([len(i) for i in index])
+    if toxic.any():
+        edges = np.quantile(count[toxic], np.arange(1, grades) / grades)
+        out[toxic] = 1 + np.searchsorted(edges, count[toxic], "right")
     return out
 
 
@@ -82,7 +86,7 @@ def fit_ordinal(grade: np.ndarray, index: list[np.ndarray], x: list[np.ndarray],
 
     def weights(i):
         zi = z[i]
-        return np.where(np.abs(zi) <= L1, 0.0, (np.sign(zi) * L1 - zi) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
+        return np.where(np.abs(zi) <= L1, 0.0, (np.sign(zi) * L1 - zi) / ((BETA + np.sqrt(n[i])) / ALPHA))
 
     for _ in range(epochs):
         for y, i, v in zip(grade.tolist(), index, x):
@@ -114,7 +118,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", grades: in
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y, index, x = features.read_training(batches)
         if len(y):
-            grade = grade_binary(y, index, grades) if binary else np.clip(y, 0, grades).astype(np.int64)
+            used = screen(y > 0, index)
+            x = [v[used[i]] for v, i in zip(x, index)]
+            index = [i[used[i]] for i in index]
+            grade = grade_binary(y > 0, index, grades) if binary else np.clip(y, 0, grades).astype(np.int64)
             m = fit_ordinal(grade, index, x, grades)
             some = np.flatnonzero(m.weights).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (
