@@ -15,6 +15,7 @@ from stayrate.llm.packing import pack_documents
 from stayrate.llm.quality_rules import judge
 from stayrate.llm.simhash import simhash_documents
 from stayrate.llm.token_files import read_token_files, write_token_files
+from stayrate.llm.url_filters import filter_urls
 from stayrate.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +129,51 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.severity(docs, model, ["doc_id"]).select("row.doc_id", "severity", "p_toxic")
     return scored.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") >= toxicity.TOXIC).alias("toxic"),
                          quality_classifier.held_out("doc_id").alias("held_out"))
+
+
+#: Stand-in inputs from the pages table, the same text in Spark and DuckDB: when each
+#: page was fetched, and dated list histories of domains and URLs seen in the table.
+CAPTURES = "SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919) % 366 AS INT) AS fetched_at FROM pages"
+HISTORY = r"""
+WITH h AS (
+  SELECT DISTINCT regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^(www|blog|m)[.]', '') AS pattern
+  FROM pages WHERE url IS NOT NULL),
+e AS (
+  SELECT 'domain' AS kind, pattern, length(pattern) * 37 AS k FROM h
+  UNION ALL SELECT 'url', substr(split_part(url, '#', 1), strpos(url, '://') + 3), CAST(page_id AS INT)
+  FROM pages WHERE page_id % 40 = 7)
+SELECT CASE WHEN k % 3 = 0 THEN 'adult' WHEN k % 3 = 1 THEN 'spam' ELSE 'optout' END AS list, kind, pattern, action,
+       DATE '2024-01-01' + CAST(d AS INT) AS day
+FROM (SELECT kind, pattern, k, 'add' AS action, k % 150 AS d FROM e
+      UNION ALL SELECT kind, pattern, k, 'remove', k % 150 + 60 FROM e
+      UNION ALL SELECT kind, pattern, k, 'add', k % 150 + 150 FROM e WHERE k % 2 = 0) AS x
+"""
+
+
+@_query
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages' captures against list entries active at fetch time."""
+    pages = _table(spark, sf_dir, "pages")
+    captures = spark.sql(CAPTURES.replace("pages", "{pages}"), pages=pages)
+    history = spark.sql(HISTORY.replace("strpos(url", "instr(url").replace("pages", "{pages}"), pages=pages)
+    judged = filter_urls(captures, history, carry=["page_id"])
+    return judged.select("row.page_id", "host", "day", F.array_join("lists", ",").alias("lists"), "n_hits", "blocked")
+
+
+ORACLES["op2_url_filters"] = rf"""
+WITH captures AS ({CAPTURES}), history AS ({HISTORY}),
+c AS (
+  SELECT page_id, CAST(fetched_at AS DATE) AS day,
+         rtrim(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.') AS host,
+         lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1)) AS rest FROM captures),
+-- an entry is active when the last action on it up to the day is "add"
+st AS (
+  SELECT c.page_id, h.list, h.kind, h.pattern, arg_max(h.action, (h.day, h.action = 'add')) AS last
+  FROM c JOIN history h ON h.day <= c.day AND (
+    (h.kind = 'domain' AND (c.host = h.pattern OR ends_with(c.host, '.' || h.pattern)))
+    OR (h.kind = 'url' AND lower(h.pattern) = c.host || CASE WHEN c.rest = '' THEN '/' ELSE c.rest END))
+  GROUP BY ALL),
+hit AS (SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, count(*) AS n FROM st WHERE last = 'add' GROUP BY 1)
+SELECT c.page_id, c.host, c.day, coalesce(lists, '') AS lists, coalesce(n, 0)::BIGINT AS n_hits, coalesce(n, 0) > 0 AS blocked
+FROM c LEFT JOIN hit USING (page_id)
+"""
