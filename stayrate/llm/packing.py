@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from stayrate.llm import spans
 from stayrate.llm.store import materialize, ship
-from stayrate.llm.tokens import CHUNK_BYTES, encoder
+from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder
 
 #: Pieces numbered by one task at a time, on average.
 BUCKET_ROWS = 20_000
@@ -236,5 +236,6 @@ def sequences(packed: DataFrame) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
                    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Tokenize, cut and pack documents; one row per piece."""
-    pieces = materialize(tokenize_pieces(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids), "pieces")
+    pieces = materialize(tokenize_pieces(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids),
+                         "pieces", BATCH_ROWS)
     return pack(pieces, capacity)

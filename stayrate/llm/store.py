@@ -74,11 +74,23 @@ def read_file(uri: str) -> bytes:
         return f.read()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: later steps start from it."""
+def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: later steps start from it.
+
+    ``batch_rows``: rows per Arrow batch while it is written, for tasks that hold
+    much else (the session's setting comes back afterwards).
+    """
     spark = df.sparkSession
     path = shared_uri(spark, name)
-    df.write.parquet(path)
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", None
+    if batch_rows:
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

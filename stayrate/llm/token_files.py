@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, write_file
-from stayrate.llm.tokens import CHUNK_BYTES, encoder
+from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -195,7 +195,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str |
                 names=["part", "file", "uri", "n_docs", "n_ids"])
 
     manifest = rows.mapInArrow(write, "part long, file long, uri string, n_docs long, n_ids long")
-    return materialize(manifest, "token-manifest")
+    return materialize(manifest, "token-manifest", BATCH_ROWS)
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:

@@ -23,14 +23,16 @@ import numpy as np
 from stayrate.llm import spans
 
 #: Segments and ids remembered per worker; beyond either, a worker starts anew.
-CACHE_SEGMENTS = 1_200_000
-CACHE_IDS = 6_000_000
-CACHE_PIECES = 150_000
+CACHE_SEGMENTS = 1_000_000
+CACHE_IDS = 5_000_000
+CACHE_PIECES = 100_000
 #: New segments wait in a table of their own until they are so many.
 FRESH_SEGMENTS = 120_000
 
 #: Text bytes tokenized at a time inside a task.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+#: Rows per Arrow batch of the jobs that tokenize.
+BATCH_ROWS = 1_000
 
 #: Letters whose class, case and normal form no Unicode version changes.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
