@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.llm.store import materialize
+from stayrate.llm.store import keyed_rows, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a source whose offsets one task adds up, on average.
@@ -37,12 +37,13 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size (words) and the order key of every document, stored."""
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size (words), the order key and carried columns of every document, stored."""
     return materialize(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         word_count(text_col).alias("size"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key")), "sizes")
+        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"), *carry), "sizes")
 
 
 def source_sizes(sizes: DataFrame) -> DataFrame:
@@ -134,7 +135,8 @@ def mix(sizes: DataFrame, schedule: DataFrame | None = None, max_repeats: int =
                       lambda u: u + F.col("size") / 2 < F.col("target"))
     d = d.withColumn("starts", starts).withColumn("copies", F.size("starts"))
     d = d.withColumn("positions", F.transform("starts", _time_of))
-    d = d.select("doc_id", "source", "size", "source_size", "target",
+    carried = [c for c in sizes.columns if c not in ("doc_id", "source", "size", "key")]
+    d = d.select("doc_id", "source", "size", "source_size", "target", *carried,
                  (F.col("size") * F.col("copies")).alias("taken"), "copies", "positions",
                  F.try_element_at("positions", F.lit(1)).alias("position"), "key")
     return d.orderBy(F.col("position").asc_nulls_last(), "key").drop("key")
@@ -156,11 +158,14 @@ def mix_documents(docs: DataFrame, max_repeats: int = 3) -> DataFrame:
     return mix(measured(docs), max_repeats=max_repeats)
 
 
-def training_order(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents' rows, one per taken copy, range-sorted by training position.
-
-    The copies join back by document id (a null id matches a null id).
-    """
-    copies = mixed.where("copies > 0").select(F.col("doc_id").alias("__mix_id"), F.explode("positions").alias("__mix_at"))
-    rows = docs.join(copies, docs[id_col].eqNullSafe(F.col("__mix_id")))
-    return rows.orderBy("__mix_at", "__mix_id").drop("__mix_id", "__mix_at")
+def training_order(docs: DataFrame, max_repeats: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                   source_col: str = "source") -> DataFrame:
+    """The documents' rows, one per copy that the mix takes, range-sorted by training position."""
+    keyed = keyed_rows(docs, id_col, text_col, F.col(source_col).cast("string").alias("source"))
+    sizes = measured(keyed, carry=("row_key",))
+    copies = materialize(mix(sizes, max_repeats=max_repeats).where("copies > 0").select(
+        F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key"), F.explode("positions").alias("at")), "copies")
+    if not sizes.groupBy("doc_id", "row_key").count().where("count > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["doc_id", "row_key"])  # their copies are all listed
+    rows = keyed.join(copies, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("row_key") == F.col("c_key")))
+    return rows.orderBy("at", "row_key").select("row.*")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import spans
 from stayrate.llm.components import components, merge_links
-from stayrate.llm.store import materialize, ship
+from stayrate.llm.store import keyed_rows, materialize, ship
 
 SEED = 42
 #: Distinct fingerprints of one block value from which it is split again.
@@ -182,6 +182,8 @@ def fingerprint_links(fps: DataFrame, bits: int) -> DataFrame:
     """
     spark = fps.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bits == 0:
+        return spark.createDataFrame([], "u long, v long")
     rows = fps.select("fp", F.lit(0).cast("long").alias("path"), F.col("fp").alias("rest"))
     out, width, depth = None, 64, 0
     while True:
@@ -228,16 +230,32 @@ def _join_tries(rows: DataFrame, bits: int, n: int) -> DataFrame:
 
 
 def near_duplicates(marked: DataFrame, bits: int) -> DataFrame:
-    """Add component_id (smallest doc_id reachable) to documents with fingerprints."""
+    """Add component (a label) and component_id (its smallest doc_id) to documents with fingerprints."""
     fps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     found = components(fingerprint_links(fps.select("fp"), bits))
     owner = fps.join(found, fps["fp"] == found["node"], "left").select(
-        F.col("fp"), F.coalesce("component", "fp").alias("c"), "first")
-    first = owner.groupBy("c").agg(F.min("first").alias("component_id"))
-    classes = owner.select("fp", "c").join(first, "c").select("fp", "component_id")
+        F.col("fp"), F.coalesce("component", "fp").alias("component"), "first")
+    first = owner.groupBy("component").agg(F.min("first").alias("component_id"))
+    classes = owner.select("fp", "component").join(first, "component")
     return marked.join(classes, "fp")
 
 
+def deduplicate(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with one of each group of near-duplicates: the smallest id's (null
+    ids last; rows with equal ids by a hash of the row; one of equal rows)."""
+    keyed = keyed_rows(docs, id_col, text_col)
+    marked = near_duplicates(with_fingerprints(keyed, shingle, carry=("row_key",)), bits)
+    same = marked.groupBy("component", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    kept = same.groupBy("component").agg(F.min_by(F.struct("doc_id", "row_key", "n"), order).alias("k"))
+    kept = materialize(kept.select(F.col("k.doc_id").alias("k_id"), F.col("k.row_key").alias("k_key"),
+                                   F.col("k.n").alias("n")), "kept")
+    if not kept.where("n > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["doc_id", "row_key"])
+    stay = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("row_key") == F.col("k_key")), "left_semi")
+    return stay.select("row.*")
+
+
 def simhash_documents(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
     found = near_duplicates(with_fingerprints(docs, shingle), bits)

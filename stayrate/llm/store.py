@@ -16,6 +16,7 @@ from hashlib import sha1
 
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stayrate.session import checkpoint_dir
 
@@ -94,6 +95,13 @@ def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+    """``row`` (a struct of all columns), row_key (its hash), doc_id, text and other columns:
+    the operators' names beside the row's own, whatever those are."""
+    return docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(*docs.columns).alias("row_key"),
+                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *others)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package's modules, wherever the driver found them."""
     blob = io.BytesIO()
