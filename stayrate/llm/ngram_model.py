@@ -8,12 +8,16 @@ counts (how many different bytes precede an n-gram), each order and language
 has the three discounts of modified Kneser-Ney, and orders are interpolated
 down to a uniform distribution over bytes.
 
-The finished model is the logarithms of all interpolated probabilities and of
-the back-off weights, keyed by 64-bit hashes, range-partitioned and sorted by
-hash: one file per range in the shared folder.  A task that scores text looks
+The finished model is the logarithms of all interpolated probabilities (with
+the n-grams' counts) and of the back-off weights, keyed by 64-bit hashes,
+range-partitioned and sorted by hash: one file per range in the shared folder.  A task that scores text looks
 n-grams up by binary search.  It keeps the arrays in memory while they are
 within ``CACHE_ENTRIES``; a larger model is read range by range for each
 block of sorted queries, so a task's memory has a bound and the model none.
+
+A text that was counted into the model is scored without itself: an n-gram
+that no other text has is backed off as if it were not in the model, so
+unusual text does not look usual because it has been seen once.
 """
 
 from __future__ import annotations
@@ -123,14 +127,14 @@ def _hash_sql(kind: int, level: int, lang: str, key: str) -> F.Column:
 
 
 def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(h, value): log probabilities and log back-off weights of all orders."""
-    levels = {order: materialize(counts, "ngrams")}
+    """(h, value, seen): log probabilities (with counts) and log back-off weights of all orders."""
+    levels = {order: materialize(counts.withColumn("seen", F.col("count")), "ngrams")}
     for n in range(order - 1, 0, -1):
         levels[n] = (levels[n + 1].groupBy("lang", F.col("key").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("key"))
-                     .agg(F.count(F.lit(1)).alias("count")))
+                     .agg(F.count(F.lit(1)).alias("count"), F.sum("seen").alias("seen")))
     lower, entries = None, []
     for n in range(1, order + 1):
-        rows = levels[n].select("lang", "key", "count", F.shiftright("key", 8).alias("context"),
+        rows = levels[n].select("lang", "key", "count", "seen", F.shiftright("key", 8).alias("context"),
                                 F.col("key").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1)).alias("suffix"))
         of = lambda k: F.sum(F.when(F.col("count") == k, 1).otherwise(0))
         d = rows.groupBy("lang").agg(*[of(k).alias(f"t{k}") for k in (1, 2, 3, 4)])
@@ -150,11 +154,12 @@ def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
         else:
             rows = rows.join(lower, (F.col("lang") == F.col("ll")) & (F.col("suffix") == F.col("lk")))
         p = (F.col("count") - F.col("cut")) / F.col("total") + F.col("gamma") * F.col("below")
-        rows = materialize(rows.select("lang", "key", "context", "gamma", p.alias("p")), f"order{n}")
+        rows = materialize(rows.select("lang", "key", "context", "gamma", "seen", p.alias("p")), f"order{n}")
         lower = rows.select(F.col("lang").alias("ll"), F.col("key").alias("lk"), F.col("p").alias("below"))
-        entries.append(rows.select(_hash_sql(0, n, "lang", "key").alias("h"), F.log("p").alias("value")))
+        entries.append(rows.select(_hash_sql(0, n, "lang", "key").alias("h"), F.log("p").alias("value"), "seen"))
         entries.append(rows.select("lang", "context", "gamma").distinct()
-                       .select(_hash_sql(1, n, "lang", "context").alias("h"), F.log("gamma").alias("value")))
+                       .select(_hash_sql(1, n, "lang", "context").alias("h"), F.log("gamma").alias("value"),
+                               F.lit(0).cast("long").alias("seen")))
     out = entries[0]
     for e in entries[1:]:
         out = out.union(e)
@@ -169,12 +174,13 @@ def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: s
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        got = [tuple(c.to_numpy() for c in b.columns) for b in batches]
         if not got:
             return
-        h, v = (np.concatenate(x) for x in zip(*got))
+        h, v, seen = (np.concatenate(x) for x in zip(*got))
         uri = f"{path}/part-{part:06d}.harr"
-        write_file(uri, np.array([len(h)], np.int64).tobytes(), h.tobytes(), v.astype(np.float32).tobytes())
+        write_file(uri, np.array([len(h)], np.int64).tobytes(), h.tobytes(), v.astype(np.float32).tobytes(),
+                   np.minimum(seen, 2**32 - 1).astype(np.uint32).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in (
             (int(h[0]), pa.int64()), (int(h[-1]), pa.int64()), (len(h), pa.int64()), (uri, pa.string()))],
             names=["lo", "hi", "n", "uri"])
@@ -187,10 +193,11 @@ def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: s
 
 
 # -- looking up -----------------------------------------------------------------------
-def _arrays(uri: str) -> tuple[np.ndarray, np.ndarray]:
+def _arrays(uri: str) -> tuple[np.ndarray, ...]:
     buf = read_file(uri)
     n = int(np.frombuffer(buf, np.int64, 1)[0])
-    return np.frombuffer(buf, np.int64, n, 8), np.frombuffer(buf, np.float32, n, 8 + 8 * n)
+    return (np.frombuffer(buf, np.int64, n, 8), np.frombuffer(buf, np.float32, n, 8 + 8 * n),
+            np.frombuffer(buf, np.uint32, n, 8 + 12 * n))
 
 
 class Scorer:
@@ -200,72 +207,82 @@ class Scorer:
         self.model = model
         self.small = sum(f[2] for f in model.files) <= CACHE_ENTRIES
 
-    def _files(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _files(self) -> Iterator[tuple[np.ndarray, ...]]:
         if not self.small:
             for _, _, _, uri in self.model.files:
                 yield _arrays(uri)
-            return
-        key = self.model.files[0][3] if self.model.files else ""
-        if key not in _WORKER:
-            _WORKER.clear()
-            parts = [_arrays(f[3]) for f in self.model.files]
-            _WORKER[key] = tuple(np.concatenate(x) for x in zip(*parts)) if parts else (
-                np.empty(0, np.int64), np.empty(0, np.float32))
-        yield _WORKER[key]
-
-    def look_up(self, h: np.ndarray) -> np.ndarray:
-        """Values of sorted hashes; NaN where the model has none."""
-        out = np.full(len(h), np.nan, np.float32)
-        for keys, values in self._files():
-            if not len(keys):
-                continue
+        elif self.model.files:
+            key = self.model.files[0][3]
+            if key not in _WORKER:
+                _WORKER.clear()
+                _WORKER[key] = tuple(np.concatenate(x) for x in zip(*[_arrays(f[3]) for f in self.model.files]))
+            yield _WORKER[key]
+
+    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (NaN where the model has none) and counts of sorted hashes."""
+        out, seen = np.full(len(h), np.nan, np.float32), np.zeros(len(h), np.uint32)
+        for keys, values, counts in self._files():
             lo, hi = np.searchsorted(h, keys[0]), np.searchsorted(h, keys[-1], "right")
             at = np.searchsorted(keys, h[lo:hi])
             hit = keys[at] == h[lo:hi]
             out[lo:hi][hit] = values[at[hit]]
-        return out
+            seen[lo:hi][hit] = counts[at[hit]]
+        return out, seen
 
-    def _entries(self, kind: int, level: int, lang: str, keys: np.ndarray) -> np.ndarray:
-        h = spark_hash(kind, level, lang, keys)
+    def _entries(self, kind: int, level: int, lang: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        uniq, inverse = np.unique(keys, return_inverse=True)
+        h = spark_hash(kind, level, lang, uniq)
         order = np.argsort(h)
-        out = np.empty(len(h), np.float32)
-        out[order] = self.look_up(h[order])
-        return out
+        value, seen = np.empty(len(h), np.float32), np.empty(len(h), np.uint32)
+        value[order], seen[order] = self.look_up(h[order])
+        return value[inverse], seen[inverse]
+
+    def log_probs(self, lang: str, keys: np.ndarray, own=None) -> np.ndarray:
+        """Log probability of the last byte of each n-gram given the bytes before it.
 
-    def log_probs(self, lang: str, keys: np.ndarray) -> np.ndarray:
-        """Log probability of the last byte of each (distinct) n-gram given the bytes before it."""
+        ``own(level)``: how often each n-gram's text has its last ``level`` bytes,
+        if the text is one of those counted.
+        """
         out = np.zeros(len(keys))
         open_ = np.arange(len(keys))
         for level in range(self.model.order, 0, -1):
-            mask = np.uint64((1 << 8 * level) - 1)
-            k = keys[open_] & mask
-            p = self._entries(0, level, lang, k)
+            k = keys[open_] & np.uint64((1 << 8 * level) - 1)
+            p, seen = self._entries(0, level, lang, k)
             hit = ~np.isnan(p)
+            if own is not None:
+                hit &= seen > own(level)[open_]
             out[open_[hit]] += p[hit]
             open_, k = open_[~hit], k[~hit]
             if not len(open_):
                 return out
-            gamma = self._entries(1, level, lang, k >> np.uint64(8))
+            gamma, _ = self._entries(1, level, lang, k >> np.uint64(8))
             out[open_] += np.where(np.isnan(gamma), 0.0, gamma)
         out[open_] += np.log(1 / 256)
         return out
 
     def text_scores(self, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> np.ndarray:
-        """Mean log probability per byte of each text (NaN for an empty one)."""
+        """Mean log probability per byte of each text without itself (NaN for an empty one)."""
         total = np.zeros(len(offs) - 1)
-        keys = padded_keys(data, offs, self.model.order)
+        shift = np.uint64(8 * self.model.order)
         text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+        pairs, count = np.unique((text.astype(np.uint64) << shift) | padded_keys(data, offs, self.model.order),
+                                 return_counts=True)
+        text, keys = (pairs >> shift).astype(np.int64), pairs & np.uint64((1 << int(shift)) - 1)
         code = {x: k for k, x in enumerate(dict.fromkeys(langs))}
         which = np.array([code[x] for x in langs], np.int64)
-        for lang, k in code.items():
-            if len(code) == 1:
-                own, at = keys, text
-            else:
-                mine = (which == k)[text]
-                own, at = keys[mine], text[mine]
-            if len(own):
-                uniq, inverse = np.unique(own, return_inverse=True)
-                total += np.bincount(at, self.log_probs(lang, uniq)[inverse], len(total))
+        for lang, c in code.items():
+            at = np.flatnonzero(which[text] == c) if len(code) > 1 else np.arange(len(text))
+            if len(at):
+                n, t, k = count[at], text[at], keys[at]
+
+                def own(level: int) -> np.ndarray:
+                    if level == self.model.order:
+                        return n
+                    short = (t.astype(np.uint64) << shift) | (k & np.uint64((1 << 8 * level) - 1))
+                    _, inverse = np.unique(short, return_inverse=True)
+                    return np.bincount(inverse, n)[inverse]
+
+                total += np.bincount(t, n * self.log_probs(lang, k, own), len(total))
         size = np.diff(offs)
         return np.divide(total, size, out=np.full(len(total), np.nan), where=size > 0)
 

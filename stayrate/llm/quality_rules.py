@@ -2,9 +2,10 @@
 
 A document must have enough words and not repeat itself, and its perplexity
 under the corpus's own modified Kneser-Ney model must lie in its language's
-band: ``SPREADS`` robust standard deviations (from quartiles) around the
-median of the log perplexities of the documents that pass the counts, below
-as well as above (text that is too predictable is as suspect as noise).
+band: from ``BELOW`` to ``ABOVE`` robust standard deviations (from quartiles)
+around the median of the log perplexities of the documents that pass the
+counts.  Text that is too predictable is as suspect as noise; the band is wider
+above, because good text may quote a passage in another language.
 
 Defined results: a null or empty text has no words and fails; a null language
 is a language of its own; a null id is kept as it is; repeated rows are
@@ -25,9 +26,9 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 from stayrate.llm import ngram_model, spans
 from stayrate.llm.store import materialize
 
-SPREADS = 8.0
+BELOW, ABOVE = 8.0, 30.0
 #: The least spread (in log perplexity per byte), for languages whose texts are all alike.
-LEAST_SPREAD = 0.02
+LEAST_SPREAD = 0.05
 #: Resolution of the quartiles.
 STEP = 0.001
 _SYMBOLS = spans.byte_set(*map(ord, "#*$%&|<>"))
@@ -103,7 +104,7 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
     return materialize(rows.mapInArrow(run, schema), "measured")
 
 
-def bands(measured: DataFrame, spreads: float = SPREADS) -> DataFrame:
+def bands(measured: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """(band_lang, low, high) of log perplexity, from each language's quartiles.
 
     The quartiles are read from a histogram of steps of ``STEP``, so they do not
@@ -116,14 +117,15 @@ def bands(measured: DataFrame, spreads: float = SPREADS) -> DataFrame:
     steps = steps.withColumn("below", F.sum("n").over(up)).withColumn("total", F.sum("n").over(whole))
     q = [F.min(F.when(F.col("below") >= F.col("total") * x, F.col("step"))) * STEP for x in (0.25, 0.5, 0.75)]
     out = steps.groupBy("lang").agg(*[c.alias(f"q{k}") for k, c in enumerate(q)])
-    spread = F.greatest((F.col("q2") - F.col("q0")) / 1.349, F.lit(LEAST_SPREAD)) * spreads
-    return out.select(F.col("lang").alias("band_lang"), (F.col("q1") - spread).alias("low"), (F.col("q1") + spread).alias("high"))
+    spread = F.greatest((F.col("q2") - F.col("q0")) / 1.349, F.lit(LEAST_SPREAD))
+    return out.select(F.col("lang").alias("band_lang"), (F.col("q1") - below * spread).alias("low"),
+                      (F.col("q1") + above * spread).alias("high"))
 
 
-def judge(docs: DataFrame, carry: list[str], spreads: float = SPREADS, **rules) -> DataFrame:
+def judge(docs: DataFrame, carry: list[str], below: float = BELOW, above: float = ABOVE, **rules) -> DataFrame:
     """``measure`` with the verdict ``kept``."""
     measured = measure(docs, carry, **rules)
-    limits = materialize(bands(measured, spreads), "bands")
+    limits = materialize(bands(measured, below, above), "bands")
     judged = measured.join(limits, F.col("lang") == F.col("band_lang"), "left")
     inside = F.coalesce(F.col("surprise").between(F.col("low"), F.col("high")), F.lit(False))
     return judged.withColumn("kept", ~F.col("base_failed") & inside)
