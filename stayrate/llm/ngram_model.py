@@ -40,6 +40,8 @@ COUNT_ENTRIES = 2_000_000
 #: Entries of one array file, about, and entries a worker keeps in memory.
 FILE_ENTRIES = 1_000_000
 CACHE_ENTRIES = 8_000_000
+#: Discounts of at most so many languages are broadcast.
+BROADCAST_LANGUAGES = 10_000
 #: Stands before a text's first byte.
 PAD = 0
 
@@ -144,7 +146,9 @@ def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
         d = d.select(F.col("lang").alias("dl"), *[F.coalesce(x, F.lit(0.5 * k)).alias(f"d{k}")
                                                   for k, x in zip((1, 2, 3), discount)])
         cut = F.when(F.col("count") == 1, F.col("d1")).when(F.col("count") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = rows.join(d, F.col("lang") == F.col("dl")).withColumn("cut", cut)
+        d = materialize(d, "discounts")
+        few = d.count() <= BROADCAST_LANGUAGES
+        rows = rows.join(F.broadcast(d) if few else d, F.col("lang") == F.col("dl")).withColumn("cut", cut)
         context = rows.groupBy("lang", "context").agg(F.sum("count").alias("total"), F.sum("cut").alias("freed"))
         context = context.select(F.col("lang").alias("cl"), F.col("context").alias("ck"), "total",
                                  (F.col("freed") / F.col("total")).alias("gamma"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from stayrate.llm import spans
-from stayrate.llm.store import materialize, ship
+from stayrate.llm.store import materialize, release_memory, ship
 from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder
 
 #: Pieces numbered by one task at a time, on average.
@@ -178,6 +178,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
                         out.append((doc, p, a - ends[k], b - a, zlib.crc32(piece), piece)[:len(names)])
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+        release_memory()
 
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 

@@ -126,6 +126,8 @@ def judge(docs: DataFrame, carry: list[str], below: float = BELOW, above: float
     """``measure`` with the verdict ``kept``."""
     measured = measure(docs, carry, **rules)
     limits = materialize(bands(measured, below, above), "bands")
+    # A row per language: broadcast while they are few, else a join that AQE splits.
+    limits = F.broadcast(limits) if limits.count() <= ngram_model.BROADCAST_LANGUAGES else limits
     judged = measured.join(limits, F.col("lang") == F.col("band_lang"), "left")
     inside = F.coalesce(F.col("surprise").between(F.col("low"), F.col("high")), F.lit(False))
     return judged.withColumn("kept", ~F.col("base_failed") & inside)

@@ -8,18 +8,21 @@ same time) leaves one whole file.
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import uuid
 import zipfile
 from hashlib import sha1
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.session import checkpoint_dir
 
+_LIBC = ctypes.CDLL(None)
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -95,6 +98,13 @@ def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task holds only its caches."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def keyed_rows(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
     """``row`` (a struct of all columns), row_key (its hash), doc_id, text and other columns:
     the operators' names beside the row's own, whatever those are."""

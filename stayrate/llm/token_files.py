@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.llm import spans
-from stayrate.llm.store import materialize, read_file, shared_uri, ship, write_file
+from stayrate.llm.store import materialize, read_file, release_memory, shared_uri, ship, write_file
 from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder
 
 MAGIC = b"PFORIDS1"
@@ -189,6 +189,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str |
                     flush()
                     held = 0
         flush()
+        release_memory()
         if files:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*files), (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()))],

@@ -16,21 +16,20 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 
 import numpy as np
 
 from stayrate.llm import spans
 
 #: Segments and ids remembered per worker; beyond either, a worker starts anew.
-CACHE_SEGMENTS = 1_000_000
-CACHE_IDS = 5_000_000
-CACHE_PIECES = 100_000
+CACHE_SEGMENTS = 1_800_000
+CACHE_IDS = 9_000_000
+CACHE_PIECES = 150_000
 #: New segments wait in a table of their own until they are so many.
 FRESH_SEGMENTS = 120_000
 
 #: Text bytes tokenized at a time inside a task.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 20
 #: Rows per Arrow batch of the jobs that tokenize.
 BATCH_ROWS = 1_000
 
@@ -67,15 +66,16 @@ class CachedEncoder:
         self.spaced = isinstance(self.tok.decoder, decoders.ByteLevel)
         self.marks = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.alphabet = _byte_alphabet()
-        self.pieces: dict[str, array] = {}
+        self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32  # of remembered ids
+        self.pieces: dict[str, bytes] = {}
         self._reset()
 
     def _reset(self) -> None:
         # Sorted hashes of known segments and their slots: most of them, the newest.
-        self.tables = [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
-        self.at = np.empty(0, np.int64)         # per slot: first id, number of ids
+        self.tables = [(np.empty(0, np.uint64), np.empty(0, np.int32))] * 2
+        self.at = np.empty(0, np.int32)         # per slot: first id, number of ids
         self.n = np.empty(0, np.int32)          # -1: its cut is not certain
-        self.flat = np.empty(0, np.uint32)
+        self.flat = np.empty(0, self.kind)
 
     def direct(self, text: str) -> np.ndarray:
         """The library's own ids of a text."""
@@ -108,7 +108,7 @@ class CachedEncoder:
         total = int(n.sum())
         if total:
             before = np.cumsum(n) - n
-            take = np.repeat(self.at[slot] - before, n) + np.arange(total)
+            take = np.repeat(self.at[slot].astype(np.int64) - before, n) + np.arange(total)
             if own:
                 keep = np.ones(len(out), bool)
                 for t, ids in own.items():
@@ -143,7 +143,7 @@ class CachedEncoder:
         """Slot of each different segment, learning the unseen ones."""
         if len(self.n) > CACHE_SEGMENTS or len(self.flat) > CACHE_IDS:
             self._reset()
-        slot = np.full(len(uniq), -1, np.int64)
+        slot = np.full(len(uniq), -1, np.int32)
         for keys, slots in self.tables:
             if len(keys):
                 pos = np.minimum(np.searchsorted(keys, uniq), len(keys) - 1)
@@ -152,20 +152,20 @@ class CachedEncoder:
         if len(miss):
             buf = data.tobytes()
             w = where[miss]
-            learn, flat, n = self._learn, array("I"), []
+            learn, flat, n, width = self._learn, [], [], self.flat.itemsize
             for a, b, head in zip(starts[w].tolist(), ends[w].tolist(), first[w].tolist()):
                 ids = learn(buf[a:b], head)
                 if ids is None:
                     n.append(-1)
                 else:
-                    flat += ids
-                    n.append(len(ids))
+                    flat.append(ids)
+                    n.append(len(ids) // width)
             n = np.array(n, np.int32)
-            slot[miss] = np.arange(len(self.n), len(self.n) + len(miss))
-            held = np.maximum(n, 0).astype(np.int64)
-            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(held) - held])
+            slot[miss] = np.arange(len(self.n), len(self.n) + len(miss), dtype=np.int32)
+            held = np.maximum(n, 0)
+            self.at = np.concatenate([self.at, (len(self.flat) + np.cumsum(held) - held).astype(np.int32)])
             self.n = np.concatenate([self.n, n])
-            self.flat = np.concatenate([self.flat, np.frombuffer(flat, np.uint32)])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(flat), self.kind)])
             self._remember(uniq[miss], slot[miss])
         return slot
 
@@ -178,9 +178,9 @@ class CachedEncoder:
             if k and len(keys) < FRESH_SEGMENTS:
                 self.tables[1] = (keys, slots)
                 return
-        self.tables = [(keys, slots), (np.empty(0, np.uint64), np.empty(0, np.int64))]
+        self.tables = [(keys, slots), (np.empty(0, np.uint64), np.empty(0, np.int32))]
 
-    def _learn(self, raw: bytes, head: bool) -> array | None:
+    def _learn(self, raw: bytes, head: bool) -> bytes | None:
         """Ids of one unseen segment; None if its cut is not certain."""
         w = raw.decode("utf-8", "replace")
         known = self.pieces
@@ -191,7 +191,7 @@ class CachedEncoder:
             return ids + (known.get(tail) or self._piece(tail)) if tail else ids
         if self.spaced and "\n" in w:
             # A line feed between two visible characters is a pre-token of its own.
-            ids = array("I")
+            ids = b""
             for k, part in enumerate(w.split("\n")):
                 m = _SIMPLE.fullmatch(part)
                 if m is None:
@@ -205,7 +205,7 @@ class CachedEncoder:
             return ids
         return self._learn_whole(w, head)
 
-    def _word(self, word: str, spaced: bool) -> array:
+    def _word(self, word: str, spaced: bool) -> bytes:
         """Ids of a pre-token of letters."""
         if not self.spaced:
             word = word.lower()
@@ -215,17 +215,17 @@ class CachedEncoder:
             word = self.alphabet[32] + word
         return self.pieces.get(word) or self._piece(word)
 
-    def _learn_whole(self, w: str, head: bool) -> array | None:
+    def _learn_whole(self, w: str, head: bool) -> bytes | None:
         if not self.spaced:
-            return array("I", self.direct(w))
+            return self.direct(w).astype(self.kind).tobytes()
         if not w or w[0].isspace() or w[-1].isspace() or "\ufffd" in w or any(x in w for x in self.marks):
             return None
-        return array("I", self.direct(w if head else " " + w))
+        return self.direct(w if head else " " + w).astype(self.kind).tobytes()
 
-    def _piece(self, piece: str) -> array:
+    def _piece(self, piece: str) -> bytes:
         if len(self.pieces) >= CACHE_PIECES:
             self.pieces.clear()
-        ids = self.pieces[piece] = array("I", [t.id for t in self.tok.model.tokenize(piece)])
+        ids = self.pieces[piece] = np.array([t.id for t in self.tok.model.tokenize(piece)], self.kind).tobytes()
         return ids
 
     def _careful(self, text: bytes) -> np.ndarray:
