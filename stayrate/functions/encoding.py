@@ -8,10 +8,6 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Refuse to build one column per value past this many distinct values.
-MAX_DUMMY_LEVELS = 1000
-
-
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Alphabetical integer code (``LabelEncoder`` order: sorted distinct values).
 
@@ -25,31 +21,23 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     return model.transform(df).withColumn(out, F.col(tmp).cast("int")).drop(tmp)
 
 
-def distinct_levels(df: DataFrame, col: str, limit: int = MAX_DUMMY_LEVELS) -> list[str]:
-    """Sorted distinct non-null values; refuses more than ``limit`` levels."""
-    rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(limit + 1).collect())
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} levels; pass values explicitly")
-    return [r[0] for r in rows]
+def distinct_levels(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values: as many as the result gets columns."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
 
 
-def fit_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_DUMMY_LEVELS) -> dict[str, list]:
+def fit_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     """Sorted distinct values of several categorical columns in one job.
 
-    Distinct ``(column, value)`` pairs are computed distributed; at most
-    ``limit`` levels per column (checked) reach the driver."""
+    Distinct ``(column, value)`` pairs are computed distributed; what reaches
+    the driver is one value per dummy column of the result."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
                                 for c in cols])).alias("p")
-    # distinct pairs are few (categorical levels): one reducer, one job
-    rows = (df.select(pairs).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
-            .coalesce(1).limit(len(cols) * (limit + 1) + 1).collect())
+    rows = df.select(pairs).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct().collect()
     levels: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         levels[r["c"]].append(r["v"])
-    for c, vals in levels.items():
-        if len(vals) > limit:
-            raise ValueError(f"{c} has more than {limit} levels; pass values explicitly")
+    for vals in levels.values():
         vals.sort()
     return levels
 

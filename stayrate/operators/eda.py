@@ -7,16 +7,13 @@ they run once and are folded into the plan, no join and no driver round trip.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.functions.bands import age_band, fee_band, tenure_band
+from stayrate.functions.bands import age_band, fee_band
 from stayrate.functions.dates import month_bucket
 from stayrate.functions.numeric import money_avg, rate_percent, safe_div
 from stayrate.operators.common import scalars
-from stayrate.session import cut_lineage
 
 CHURN = "churn_30d"
 
@@ -61,10 +58,11 @@ def event_count_by_label(events: DataFrame, churn: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- aggregates
 def churn_rate_by(df_churn: DataFrame, dim: str, label: str = CHURN) -> DataFrame:
-    """Churn rate in percent per value of ``dim`` (NULL groups dropped, as
-    pandas does)."""
-    return (df_churn.where(F.col(dim).isNotNull()).groupBy(dim)
-            .agg(F.count(F.lit(1)).alias("customers"), rate_percent(label).alias("churn_rate")))
+    """Churn rate in percent per value of ``dim``, highest first (NULL groups
+    dropped, as pandas does)."""
+    rates = (df_churn.where(F.col(dim).isNotNull()).groupBy(dim)
+             .agg(F.count(F.lit(1)).alias("customers"), rate_percent(label).alias("churn_rate")))
+    return rates.orderBy(F.desc("churn_rate"), dim)
 
 
 def with_bands(df: DataFrame) -> DataFrame:
@@ -72,11 +70,6 @@ def with_bands(df: DataFrame) -> DataFrame:
     return df.withColumns({"age_group": age_band("age"), "fee_group": fee_band("monthly_fee")})
 
 
-def churn_by_tenure_band(df_churn_tenure: DataFrame, label: str = CHURN) -> DataFrame:
-    return churn_rate_by(df_churn_tenure.withColumn("tenure_band", tenure_band("tenure_days")),
-                         "tenure_band", label)
-
-
 def overall_churn(churn: DataFrame, label: str = CHURN) -> DataFrame:
     return churn.agg(F.avg(F.col(label).cast("double")).alias("churn_rate"),
                      F.sum(label).cast("bigint").alias("churners"),
@@ -84,7 +77,8 @@ def overall_churn(churn: DataFrame, label: str = CHURN) -> DataFrame:
 
 
 def clv_by_plan(df_clv: DataFrame) -> DataFrame:
-    return df_clv.groupBy("plan_type").agg(F.avg("clv").alias("mean_clv"))
+    """Mean clv per plan, lowest first."""
+    return df_clv.groupBy("plan_type").agg(F.avg("clv").alias("mean_clv")).orderBy("mean_clv", "plan_type")
 
 
 def kpi_overview(customers: DataFrame, churn: DataFrame, clv: DataFrame,
@@ -116,11 +110,13 @@ def avg_amount_by_plan(txn_with_customers: DataFrame) -> DataFrame:
 
 def satisfaction_by_category(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy("ticket_category").agg(F.avg("satisfaction_score").alias("avg_satisfaction"),
-                                                  F.count(F.lit(1)).alias("tickets"))
+                                                  F.count(F.lit(1)).alias("tickets")) \
+        .orderBy("avg_satisfaction", "ticket_category")
 
 
 def satisfaction_counts(tickets: DataFrame) -> DataFrame:
-    return tickets.groupBy("satisfaction_score").agg(F.count(F.lit(1)).alias("n_tickets"))
+    """Tickets per score, in score order."""
+    return tickets.groupBy("satisfaction_score").agg(F.count(F.lit(1)).alias("n_tickets")).orderBy("satisfaction_score")
 
 
 def avg_events_by_churn(events: DataFrame, churn: DataFrame, label: str = CHURN) -> DataFrame:
@@ -157,24 +153,11 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, top: int | Non
     all non-null rows; ``top`` keeps the first n (the report's head(10))."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
-        # the grouped counts (one row per value) are written once, so the
-        # input is scanned once for both the counts and their total
-        counts = cut_lineage(counts)
+        # a scalar subquery on the grouped frame: its exchange is reused
         total = counts.select(F.sum("count")).scalar()
         counts = counts.withColumn("share", F.col("count") / total)
-    if top is not None:
-        counts = counts.orderBy(F.desc("count"), F.asc(col)).limit(top)
-    return counts
-
-
-def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``value_counts`` for several columns at once: (dimension, value, count, share)."""
-    out = None
-    for c in cols:
-        vc = value_counts(df, c).select(F.lit(c).alias("dimension"),
-                                        F.col(c).cast("string").alias("value"), "count", "share")
-        out = vc if out is None else out.unionByName(vc)
-    return out
+    counts = counts.orderBy(F.desc("count"), F.asc(col))
+    return counts if top is None else counts.limit(top)
 
 
 def churn_by_satisfaction_band(features: DataFrame, churn: DataFrame, cut: float = 3.0) -> DataFrame:
@@ -200,5 +183,6 @@ def value_and_churn_by_refunds(features: DataFrame, clv: DataFrame, churn: DataF
 
 
 def sort_by_customer_date(df: DataFrame, date_col: str) -> DataFrame:
-    """Rows ordered by customer, then date (a range-partitioned global sort)."""
-    return df.orderBy("customer_id", date_col)
+    """Rows ordered by customer, then date, then the other columns (a
+    range-partitioned global sort)."""
+    return df.orderBy("customer_id", date_col, *[c for c in df.columns if c not in ("customer_id", date_col)])

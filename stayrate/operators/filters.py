@@ -25,7 +25,3 @@ def recent_tickets(tickets: DataFrame, as_of="2024-12-31", days: int = 90) -> Da
     """Tickets dated within ``days`` days before ``as_of`` (inclusive)."""
     return tickets.where((F.col("ticket_date") >= F.date_sub(as_date(as_of), days))
                          & (F.col("ticket_date") <= as_date(as_of)))
-
-
-def on_or_before(df: DataFrame, date_col: str, as_of) -> DataFrame:
-    return df.where(F.col(date_col) <= as_date(as_of))

@@ -7,8 +7,9 @@ executor recomputes from it.  Metrics come from the SQL aggregates in
 ``operators.metrics`` on the held-out part.
 
 Parameter mapping from the reference's estimators:
-* ridge ``alpha`` -> ``regParam = alpha / n_train`` (Spark's squared loss is
-  averaged over rows and halved),
+* ridge ``alpha`` -> ``regParam = alpha * stddev(target) / n_train`` (Spark's
+  squared loss is averaged over rows and halved, and its solver divides the
+  label by its standard deviation),
 * logistic ``C = 1`` -> ``regParam = 1 / sum(weights)`` (Spark averages the
   weighted log-loss),
 * random forest regressor uses all features per split, the classifier sqrt.
@@ -41,6 +42,7 @@ class ModelFrame:
     test: DataFrame
     feature_cols: list[str]
     n_train: int
+    target_sd: float
 
 
 def build_model_frame(df: DataFrame, feature_cols: Sequence[str], target: str,
@@ -49,6 +51,8 @@ def build_model_frame(df: DataFrame, feature_cols: Sequence[str], target: str,
                       class_weighted: bool = False) -> ModelFrame:
     """Split exactly, fit the scaler on train only, assemble, weight, checkpoint."""
     cols = list(feature_cols)
+    # The split, the scaler and the weights below each read the features again.
+    df = cut_lineage(df.select(key, target, *[c for c in cols if c not in (key, target)]))
     if stratify:
         parts = prep.stratified_split(df, target, test_size, seed, key)
     else:
@@ -68,17 +72,18 @@ def build_model_frame(df: DataFrame, feature_cols: Sequence[str], target: str,
     parts = cut_lineage(parts.repartition(key))
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "test")
-    return ModelFrame(train, test, cols, train.count())
+    size = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(TARGET).alias("sd")).first()
+    return ModelFrame(train, test, cols, size["n"], size["sd"] or 1.0)
 
 
 # ------------------------------------------------------------- estimators
-def regression_estimators(n_train: int, n_trees: int = 200, seed: int = 42, alpha: float = 1.0,
-                          boosted: bool = False) -> dict:
+def regression_estimators(n_train: int, target_sd: float, n_trees: int = 200, seed: int = 42,
+                          alpha: float = 1.0, boosted: bool = False) -> dict:
     est = {
         "Linear Regression": LinearRegression(featuresCol=FEATURES, labelCol=TARGET, regParam=0.0,
                                               standardization=False),
         "Ridge Regression": LinearRegression(featuresCol=FEATURES, labelCol=TARGET,
-                                             regParam=alpha / max(n_train, 1), elasticNetParam=0.0,
+                                             regParam=alpha * target_sd / max(n_train, 1), elasticNetParam=0.0,
                                              standardization=False),
         "Random Forest": RandomForestRegressor(featuresCol=FEATURES, labelCol=TARGET, numTrees=n_trees,
                                                maxDepth=12, featureSubsetStrategy="all", seed=seed),
@@ -101,7 +106,7 @@ def classification_estimators(sum_weights: float, n_trees: int = 200, seed: int
         "Random Forest": RandomForestClassifier(featuresCol=FEATURES, labelCol=TARGET, numTrees=n_trees,
                                                 maxDepth=10, featureSubsetStrategy="sqrt", seed=seed, **wcol),
         "Gradient Boosting": GBTClassifier(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees,
-                                           maxDepth=4, stepSize=0.1, seed=seed),
+                                           maxDepth=4, stepSize=0.1, seed=seed, **wcol),
     }
     return est
 
@@ -135,36 +140,38 @@ def score_classification(model, df: DataFrame, key: str = "customer_id") -> Data
 # ------------------------------------------------------------- bake-offs
 def compare_regressors(mf: ModelFrame, n_trees: int = 200, seed: int = 42, boosted: bool = False):
     """Fit every regressor on train; RMSE / MAE / R² on test (dollar scale);
-    best = highest R² (the first one wins ties)."""
+    best (flagged ``is_best``) = highest R² (the first one wins ties)."""
     spark = mf.train.sparkSession
     rows, best, best_r2, fitted = [], None, float("-inf"), {}
-    for name, est in regression_estimators(mf.n_train, n_trees, seed, boosted=boosted).items():
+    for name, est in regression_estimators(mf.n_train, mf.target_sd, n_trees, seed, boosted=boosted).items():
         model = est.fit(mf.train)
         fitted[name] = model
         m = me.regression_metrics(score_regression(model, mf.test)).first()
         rows.append((name, float(m["rmse"]), float(m["mae"]), float(m["r2"])))
         if m["r2"] is not None and m["r2"] > best_r2:
             best, best_r2 = name, m["r2"]
-    table = spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double")
+    rows = [(*r, r[0] == best) for r in rows]
+    table = spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double, is_best boolean")
     return table, best, fitted
 
 
 def compare_classifiers(mf: ModelFrame, n_trees: int = 200, seed: int = 42, weighted: bool = True):
     """Fit every classifier on train; AUC / precision / recall / F1 on test;
-    best = highest AUC (the first one wins ties)."""
+    best (flagged ``is_best``) = highest AUC (the first one wins ties)."""
     spark = mf.train.sparkSession
     sum_w = mf.train.agg(F.sum(WEIGHT)).first()[0] or float(mf.n_train)
     rows, best, best_auc, fitted = [], None, -1.0, {}
     for name, est in classification_estimators(sum_w, n_trees, seed, weighted).items():
         model = est.fit(mf.train)
         fitted[name] = model
-        scored = score_classification(model, mf.test)
+        scored = cut_lineage(score_classification(model, mf.test))  # two metrics read it
         auc = me.roc_auc(scored).first()["auc"]
         prf = me.precision_recall_f1(scored).first()
         rows.append((name, float(auc), float(prf["precision"]), float(prf["recall"]), float(prf["f1"])))
         if auc is not None and auc > best_auc:
             best, best_auc = name, auc
-    table = spark.createDataFrame(rows, "model string, auc double, precision double, recall double, f1 double")
+    rows = [(*r, r[0] == best) for r in rows]
+    table = spark.createDataFrame(rows, "model string, auc double, precision double, recall double, f1 double, is_best boolean")
     return table, best, fitted
 
 

@@ -2,10 +2,8 @@
 
 Splits are exact and independent of partitioning: every row gets the hash
 ``md5(key || ':' || seed)``; the test part is the ``ceil(test_size * n)``
-smallest hashes.  The cut hash is found without a global sort: rows are
-counted per 4-hex-digit hash prefix (65,536 groups), a small window over those
-counts finds the prefix holding the cut, and only that prefix's rows are
-ranked.
+smallest hashes.  The cut hash is found without a global sort, four hex digits
+at a time: see ``_cut_hashes``.
 """
 
 from __future__ import annotations
@@ -18,41 +16,50 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.numeric import safe_div
 from stayrate.operators.common import scalars
+from stayrate.session import cut_lineage
 
 PREFIX_CHARS = 4
+HASH_CHARS = 32
 
 
 def split_hash(key: str, seed: int) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def _cut_hash(part: DataFrame, n_test: int) -> str:
-    """Smallest hash ``h`` with at least ``n_test`` rows hashing to ``<= h``.
-
-    Rows are counted per hash prefix (at most 65,536 groups, a small ordered
-    window finds the prefix holding the cut); inside that prefix only the
-    distinct hashes with their row counts are ranked, so a key repeated on
-    many rows is one ranked row (and all its rows land on the same side)."""
-    pc = part.groupBy(F.substring("_h", 1, PREFIX_CHARS).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pc = pc.withColumn("_cum", F.sum("_c").over(w))
-    hit = pc.where((F.col("_cum") - F.col("_c") < n_test) & (F.col("_cum") >= n_test)) \
-            .select("_p", (F.lit(n_test) - (F.col("_cum") - F.col("_c"))).alias("_need")).first()
-    inside = part.where(F.substring("_h", 1, PREFIX_CHARS) == F.lit(hit["_p"])) \
-                 .groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    wr = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("_cum", F.sum("_n").over(wr))
-    return ranked.where((F.col("_cum") - F.col("_n") < F.lit(hit["_need"]))
-                        & (F.col("_cum") >= F.lit(hit["_need"]))).first()["_h"]
-
-
-def _cut_hashes(hd: DataFrame, n_test: dict, by: str | None = None) -> dict:
-    """Cut hash per group (groups are classes: a bounded, small set)."""
-    out = {}
-    for g, nt in n_test.items():
-        part = hd if by is None else hd.where(F.col(by) == F.lit(g))
-        out[g] = _cut_hash(part, int(nt))
-    return out
+def _cut_hashes(hashes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(group, cut): per group the smallest hash with at least ``need`` rows at or below it.
+
+    ``hashes`` has (g, _h), ``wanted`` (g, need).  The hash is found digit group
+    by digit group: rows are counted per next ``PREFIX_CHARS`` characters, a
+    window over at most 65,536 counts finds those that hold the cut, and only
+    rows with that prefix are counted further, until the whole hash is known
+    or one hash is left.  All groups go through the same few jobs."""
+    todo = cut_lineage(wanted.where("need > 0").select("g", "need", F.lit("").alias("prefix")))
+    done = None
+    for length in range(PREFIX_CHARS, HASH_CHARS + 1, PREFIX_CHARS):
+        h, t = hashes.alias("h"), todo.alias("t")
+        held = h.join(t, F.col("h.g").eqNullSafe(F.col("t.g")) & F.col("h._h").startswith(F.col("t.prefix")))
+        counts = (held.groupBy("t.g", "t.need", F.substring("h._h", 1, length).alias("prefix"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.min("h._h").alias("lo"), F.max("h._h").alias("hi")))
+        w = Window.partitionBy("g").orderBy("prefix")
+        counts = counts.withColumn("cum", F.sum("c").over(w))
+        hit = cut_lineage(counts.where((F.col("cum") - F.col("c") < F.col("need")) & (F.col("cum") >= F.col("need")))
+                          .select("g", (F.col("need") - F.col("cum") + F.col("c")).alias("need"), "prefix", "lo", "hi"))
+        known = hit.where("lo = hi").select("g", F.col("lo").alias("cut"))
+        done = known if done is None else done.unionByName(known)
+        todo = hit.where("lo <> hi").select("g", "need", "prefix")
+        if todo.isEmpty():
+            break
+    return done
+
+
+def _split(hd: DataFrame, group, wanted: DataFrame) -> DataFrame:
+    """Add ``split`` by the cut hash of each row's group (an expression)."""
+    cuts = _cut_hashes(hd.select(group.alias("g"), "_h"), wanted).select(F.col("g").alias("_g"), F.col("cut").alias("_cut"))
+    out = hd.withColumn("_of", group)
+    out = out.join(cuts, F.col("_of").eqNullSafe(F.col("_g")), "left")
+    return out.withColumn("split", F.when(F.col("_h") <= F.col("_cut"), F.lit("test")).otherwise(F.lit("train"))) \
+              .drop("_h", "_of", "_g", "_cut")
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
@@ -60,17 +67,10 @@ def train_test_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     """Adds ``split`` = 'test' for exactly ``ceil(test_size * n)`` rows when
     ``key`` is unique per row (rows sharing a key stay on one side).
 
-    Fitting the cut costs a few small actions (the row count, the prefix
-    counts, the rank inside one prefix); the returned frame is a plain filter
-    on the row hash."""
+    Fitting the cut costs a few small jobs; the returned frame joins its one row."""
     hd = df.withColumn("_h", split_hash(key, seed))
-    n = hd.count()
-    n_test = math.ceil(n * float(test_size))
-    if n_test <= 0:
-        return hd.withColumn("split", F.lit("train")).drop("_h")
-    cut = _cut_hashes(hd, {None: n_test})[None]
-    return hd.withColumn("split", F.when(F.col("_h") <= F.lit(cut), F.lit("test"))
-                         .otherwise(F.lit("train"))).drop("_h")
+    n_test = F.ceil(F.count(F.lit(1)) * F.lit(float(test_size)))
+    return _split(hd, F.lit(0), hd.agg(n_test.alias("need")).select(F.lit(0).alias("g"), "need"))
 
 
 def stratified_allocation(class_counts: dict, test_size: float) -> dict:
@@ -87,22 +87,26 @@ def stratified_allocation(class_counts: dict, test_size: float) -> dict:
     return alloc
 
 
+def _allocation(counts: DataFrame, test_size: float) -> DataFrame:
+    """``stratified_allocation`` of (g, n), as a frame (g, need); a row per class."""
+    every = Window.partitionBy()
+    n_test = F.ceil(F.sum("n").over(every) * F.lit(float(test_size)))
+    exact = n_test * F.col("n") / F.sum("n").over(every)
+    c = counts.withColumn("n_test", n_test).withColumn("exact", exact).withColumn("floor", F.floor("exact"))
+    order = Window.orderBy(F.desc(F.col("exact") - F.col("floor")), "g")
+    rest = F.col("n_test") - F.sum("floor").over(every)
+    return c.select("g", (F.col("floor") + (F.row_number().over(order) <= rest).cast("int")).alias("need"))
+
+
 def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, seed: int = 42,
                      key: str = "customer_id") -> DataFrame:
     """Exact stratified split: per class, the ``alloc[c]`` smallest hashes.
 
-    The class counts (one row per class) are the only values brought to the
-    driver; the cut is found per class as in ``train_test_split``."""
+    Rows with a NULL label are a class of their own.  Nothing is collected and
+    the number of jobs does not depend on the number of classes."""
     hd = df.withColumn("_h", split_hash(key, seed))
-    counts = {r[0]: r[1] for r in hd.groupBy(label).count().collect()}
-    alloc = stratified_allocation(counts, test_size)
-    cuts = _cut_hashes(hd, {c: v for c, v in alloc.items() if v > 0}, by=label)
-    cut_col = None
-    for c, h in cuts.items():
-        cond = (F.col(label) == F.lit(c)) & (F.col("_h") <= F.lit(h))
-        cut_col = cond if cut_col is None else (cut_col | cond)
-    is_test = cut_col if cut_col is not None else F.lit(False)
-    return hd.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop("_h")
+    counts = hd.groupBy(F.col(label).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    return _split(hd, F.col(label), _allocation(counts, test_size))
 
 
 def split_rates(df: DataFrame, label: str) -> DataFrame:
@@ -145,13 +149,6 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return cls.select(label, "n_c", (tot["n"].cast("double") / (tot["k"] * F.col("n_c"))).alias("weight"))
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """Attach the balanced weight of each row's class (one row per class: a
-    proven-small broadcast side)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label)
-
-
 def scale_pos_weight(df: DataFrame, label: str) -> DataFrame:
     """Negatives / positives (the boosted model's class ratio)."""
     return df.agg(safe_div(F.count_if(F.col(label) != 1).cast("double"),

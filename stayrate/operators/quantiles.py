@@ -1,22 +1,18 @@
 """Exact quantiles without gathering a whole group in one task.
 
 ``percentile`` / ``median`` are exact but keep every distinct value of a group
-in one task's memory.  Here:
-
-1. one pass computes, per group, ``n`` and an approximate bracket
-   ``[a, b]`` around each wanted rank with ``percentile_approx`` (a mergeable
-   sketch, partial per task);
-2. one pass counts the rows below ``a`` and collects the distinct values inside
-   ``[a, b]`` with their multiplicities; a running count over only those values
-   (a small window per group and rank) finds the exact order statistics;
-3. every bracket is verified (``below <= rank < below + inside``); a bracket
-   that misses is widened and the step repeated, so the result is always exact.
-
-Groups of at most ``DIRECT_ROWS`` values skip the sketch: their distinct values
-are ranked directly, a task bounded by that size.
+in one task's memory.  Here each wanted order statistic has a bracket
+``[lo, hi]`` of values that holds it, at first the group's minimum and maximum.
+One pass counts the values of each bracket in ``BUCKETS`` equal steps (with
+partial aggregation, so a group is at most that many rows per task in the
+shuffle) and the bracket shrinks to the smallest and largest value of the step
+that holds the rank.  Brackets of at most ``RANK_ROWS`` rows, or of one value,
+are done; the passes go on for the others, each bracket by its own size.  What
+is left in the brackets is ranked in a window of that bounded size.
 
 Interpolation is linear between the two neighbouring order statistics (the
-default of ``numpy.percentile`` / ``pandas.quantile``).
+default of ``numpy.percentile`` / ``pandas.quantile``).  Nulls and NaN do not
+count; a group without values has no rows; a null group key is a group.
 """
 
 from __future__ import annotations
@@ -28,14 +24,10 @@ from pyspark.sql import functions as F
 
 from stayrate.session import cut_lineage
 
-# Sketch accuracy: at least Spark's default, and enough that the exact step
-# sees about 2 * n / accuracy <= ~100k rows per bracket; capped for memory.
-MIN_ACCURACY = 10_000
-MAX_ACCURACY = 1_000_000
-BRACKET_ROWS = 50_000
-# Groups of at most this many values are ranked directly (one bounded task
-# per group and probability); larger groups go through the sketch brackets.
-DIRECT_ROWS = 50_000
+BUCKETS = 4096
+#: Rows of one bracket that a task ranks.
+RANK_ROWS = 50_000
+_LARGEST = 1.7976931348623157e308
 
 
 def _lerp(a, b, t):
@@ -44,105 +36,96 @@ def _lerp(a, b, t):
     return F.when(t >= F.lit(0.5), b - d * (F.lit(1.0) - t)).otherwise(a + d * t)
 
 
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[k])
+    return cond
+
+
+def _step(v: str, lo: str, hi: str):
+    """Which of the equal steps of [lo, hi] a value is in (halves, as the range may overflow)."""
+    half = lambda c: F.greatest(F.least(F.col(c), F.lit(_LARGEST)), F.lit(-_LARGEST)) / 2
+    share = F.try_divide(half(v) - half(lo), half(hi) - half(lo))
+    return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    accuracy: int | None = None, max_rounds: int = 4, cut: bool = True,
-                    direct_rows: int = DIRECT_ROWS) -> DataFrame:
+                    cut: bool = True, rank_rows: int = RANK_ROWS) -> DataFrame:
     """Long form: ``by..., p, quantile`` with one row per group and probability."""
-    by = list(by)
-    probs = [float(p) for p in probs]
-    data = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
-    # The passes below read the values several times: write the two projected
-    # columns once to the shared checkpoint folder instead of re-running (and
-    # re-planning) the upstream pipeline for each pass.
+    keys = [f"g{i}" for i in range(len(by))]
+    v = F.col(value).cast("double")
+    data = df.where(v.isNotNull() & ~F.isnan(v)).select(*[F.col(c).alias(k) for c, k in zip(by, keys)], v.alias("v"))
+    # The passes read the values several times: write the projected columns
+    # once instead of re-running the upstream pipeline for each pass.
     if cut:
         data = cut_lineage(data)
-    key = by + ["p"]
-    datap = data.withColumn("p", F.explode(F.array(*[F.lit(p) for p in probs])))
-
-    # Ranks wanted per group: lower order statistic k = floor((n-1)p), upper k+1.
-    stats = data.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                  F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-    targets = stats.select(*by, "n", "vmin", "vmax",
-                           F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-    targets = targets.withColumns({
-        "h": (F.col("n") - 1).cast("double") * F.col("p"),
-    }).withColumns({
-        "k_lo": F.floor("h"),
-        "t": F.col("h") - F.floor("h"),
-    }).withColumn("k_hi", F.least(F.col("k_lo") + 1, F.col("n") - 1))
-
-    targets = targets.cache()
-    # Bracket half-width in probability: at least 2/accuracy (the sketch's
-    # rank error) and at least 4 rows of the smallest group.
-    sizes = stats.agg(F.min("n").alias("lo"), F.max("n").alias("hi")).first()
-    n_min, n_max = (sizes["lo"] or 1), (sizes["hi"] or 1)
-    if accuracy is None:
-        accuracy = int(min(MAX_ACCURACY, max(MIN_ACCURACY, n_max // BRACKET_ROWS)))
-    delta = max(2.0 / accuracy, 4.0 / n_min)
-    found = None
-    remaining = targets
-    direct = n_max <= direct_rows
-    for round_no in range(max_rounds + 1):
-        full = direct or round_no == max_rounds or delta >= 1.0
-        if full:
-            brackets = remaining.withColumns({"a": F.col("vmin"), "b": F.col("vmax")})
-        else:
-            lo_p = [max(p - delta, 0.0) for p in probs]
-            hi_p = [min(p + delta, 1.0) for p in probs]
-            approx = data.groupBy(*by).agg(
-                F.percentile_approx("v", F.array(*[F.lit(x) for x in lo_p]), accuracy).alias("alo"),
-                F.percentile_approx("v", F.array(*[F.lit(x) for x in hi_p]), accuracy).alias("ahi"))
-            approx = approx.select(*by, F.posexplode(F.arrays_zip("alo", "ahi")).alias("i", "ab"))
-            approx = approx.select(*by, F.element_at(F.array(*[F.lit(p) for p in probs]),
-                                                     F.col("i") + 1).alias("p"),
-                                   F.col("ab.alo").alias("a"), F.col("ab.ahi").alias("b"))
-            brackets = remaining.join(approx, key)
-        br = brackets.select(*key, "a", "b")
-        # Without groups the bracket frame has len(probs) rows: a proven bound.
-        joined = datap.join(br if by else F.broadcast(br), key)
-        below = joined.groupBy(*key).agg(F.count_if(F.col("v") < F.col("a")).alias("below"),
-                                         F.count_if((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
-                                         .alias("inside"))
-        checked = brackets.join(below, key, "left").fillna(0, ["below", "inside"]).cache()
-        ok = checked.where((F.col("below") <= F.col("k_lo")) &
-                           (F.col("k_hi") < F.col("below") + F.col("inside")))
-        bad = checked.join(ok.select(*key), key, "left_anti")
-        cand = (joined.where((F.col("v") >= F.col("a")) & (F.col("v") <= F.col("b")))
-                .join(ok.select(*key, "below"), key)
-                .groupBy(*key, "below", "v").agg(F.count(F.lit(1)).alias("cnt")))
-        w = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        cand = cand.withColumn("le", F.col("below") + F.sum("cnt").over(w)) \
-                   .withColumn("lt", F.col("le") - F.col("cnt"))
-        pick = cand.join(ok.select(*key, "k_lo", "k_hi", "t"), key).groupBy(*key).agg(
-            F.max(F.when((F.col("lt") <= F.col("k_lo")) & (F.col("k_lo") < F.col("le")), F.col("v")))
-            .alias("v_lo"),
-            F.max(F.when((F.col("lt") <= F.col("k_hi")) & (F.col("k_hi") < F.col("le")), F.col("v")))
-            .alias("v_hi"),
-            F.first("t").alias("t"))
-        res = pick.select(*key, _lerp(F.col("v_lo"), F.col("v_hi"), F.col("t")).alias("quantile")).cache()
-        found = res if found is None else found.unionByName(res)
-        if full:
-            break
-        bad = bad.select(*remaining.columns).cache()
-        if bad.limit(1).count() == 0:
-            bad.unpersist()
-            break
-        remaining = bad
-        delta *= 8
-    return found
+    group = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ranks = [F.struct(F.lit(i).alias("i"), F.floor((F.col("n") - 1) * F.lit(float(p))).alias("k"))
+             for i, p in enumerate(probs)]
+    both = F.array(*ranks, *[F.struct(r["i"].alias("i"), F.least(r["k"] + 1, F.col("n") - 1).alias("k")) for r in ranks])
+    wanted = (group.select(*keys, "n", "lo", "hi", F.explode(F.array_distinct(F.transform(both, lambda r: r["k"]))).alias("k"))
+              .select(*keys, "k", "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("inside")))
+    wanted = cut_lineage(wanted)
+    large = (F.col("inside") > rank_rows) & (F.col("lo") < F.col("hi"))
+    done = wanted.where(~large)
+    wanted = wanted.where(large)
+    while not wanted.isEmpty():
+        steps = (_matching(data, wanted, keys).groupBy(*keys, "lo", "hi", _step("v", "lo", "hi").alias("step"))
+                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("a"), F.max("v").alias("b")))
+        order = Window.partitionBy(*keys, "lo", "hi").orderBy("step")  # at most BUCKETS rows
+        steps = steps.withColumn("before", F.sum("c").over(order) - F.col("c"))
+        w, s = wanted.alias("w"), steps.alias("s")
+        on = ((F.col("w.lo") == F.col("s.lo")) & (F.col("w.hi") == F.col("s.hi"))
+              & (F.col("w.below") + F.col("s.before") <= F.col("w.k")) & (F.col("w.k") < F.col("w.below") + F.col("s.before") + F.col("s.c")))
+        for k in keys:
+            on = on & F.col(f"w.{k}").eqNullSafe(F.col(f"s.{k}"))
+        shrunk = cut_lineage(w.join(s, on).select(*[F.col(f"w.{k}") for k in keys], "w.k", F.col("s.a").alias("lo"),
+                                                  F.col("s.b").alias("hi"), (F.col("w.below") + F.col("s.before")).alias("below"),
+                                                  F.col("s.c").alias("inside")))
+        done, wanted = done.unionByName(shrunk.where(~large)), shrunk.where(large)
+    one = done.where("lo = hi").select(*keys, "k", F.col("lo").alias("x"))
+    few = done.where("lo < hi")
+    order = Window.partitionBy(*keys, "lo", "hi").orderBy("v")  # at most rank_rows rows
+    inside = _matching(data, few, keys).withColumn("r", F.row_number().over(order) - 1).alias("s")
+    w = few.alias("w")
+    on = (F.col("w.lo") == F.col("s.lo")) & (F.col("w.hi") == F.col("s.hi")) & (F.col("w.k") - F.col("w.below") == F.col("s.r"))
+    for k in keys:
+        on = on & F.col(f"w.{k}").eqNullSafe(F.col(f"s.{k}"))
+    found = one.unionByName(w.join(inside, on).select(*[F.col(f"w.{k}") for k in keys], "w.k", F.col("s.v").alias("x")))
+    found = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "x"))).alias("x"))  # 2 per probability
+    out = group.alias("g").join(found.alias("f"), _same(group.alias("g"), found.alias("f"), keys) if keys else F.lit(True))
+    out = out.select(*[F.col(f"g.{k}").alias(c) for c, k in zip(by, keys)], "g.n", "f.x",
+                     F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    h = (F.col("n") - 1).cast("double") * F.col("p")
+    low, high = F.floor(h), F.least(F.floor(h) + 1, F.col("n") - 1)
+    return out.select(*by, "p", _lerp(F.col("x")[low], F.col("x")[high], h - F.floor(h)).alias("quantile"))
+
+
+def _matching(data: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values with the brackets (lo, hi) of their group that hold them; equal brackets count once."""
+    sets = wanted.groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("brackets"))  # 2 per probability
+    d, s = data.alias("d"), sets.alias("b")
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}"))
+    if keys:
+        both = d.join(s, on)
+    else:
+        row = sets.first()  # without groups: one row
+        both = d.withColumn("brackets", F.array(*[F.struct(F.lit(x["lo"]).alias("lo"), F.lit(x["hi"]).alias("hi"))
+                                                  for x in row["brackets"]]) if row and row["brackets"] else
+                            F.array().cast("array<struct<lo:double,hi:double>>"))
+    held = F.filter("brackets", lambda x: (x["lo"] <= F.col("v")) & (F.col("v") <= x["hi"]))
+    return both.select(*[F.col(f"d.{k}") for k in keys], "v", F.inline(held))
 
 
 def quantile_row(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                 by: Sequence[str] = (), accuracy: int | None = None, cut: bool = True,
-                 direct_rows: int = DIRECT_ROWS) -> DataFrame:
+                 by: Sequence[str] = (), cut: bool = True, rank_rows: int = RANK_ROWS) -> DataFrame:
     """Wide form: one row per group with one column per probability."""
-    long = exact_quantiles(df, value, probs, by, accuracy, cut=cut, direct_rows=direct_rows)
+    long = exact_quantiles(df, value, probs, by, cut=cut, rank_rows=rank_rows)
     aggs = [F.max(F.when(F.col("p") == F.lit(float(p)), F.col("quantile"))).alias(n)
             for p, n in zip(probs, names)]
     if by:
         return long.groupBy(*by).agg(*aggs)
     return long.agg(*aggs)
-
-
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return quantile_row(df, value, [0.5], [name], by)

@@ -91,8 +91,9 @@ def engagement_drop(events: DataFrame, as_of, window_days: int = 7, ratio: float
 
 
 def outreach_list(scores: DataFrame, threshold: float = OUTREACH_THRESHOLD, score: str = "score") -> DataFrame:
-    """Customers whose churn probability exceeds ``threshold``."""
-    return scores.where(F.col(score) > F.lit(threshold)).select("customer_id", score)
+    """Customers whose churn probability exceeds ``threshold``, highest first (ties by id)."""
+    return (scores.where(F.col(score) > F.lit(threshold)).select("customer_id", score)
+            .orderBy(F.desc(score), F.asc("customer_id")))
 
 
 def high_risk_top(scores: DataFrame, n: int = 50, score: str = "score") -> DataFrame:

@@ -65,7 +65,7 @@ def elbow(scaled: DataFrame, ks: Sequence[int] = range(2, 11), n_init: int = 10,
           cols: Sequence[str] = SEG_FEATURES, parallelism: int = 8) -> DataFrame:
     """Inertia (sum of squared distances) of the best run for each k; all
     (k, restart) fits are independent and run as concurrent Spark jobs."""
-    vec = cut_lineage(_vectors(scaled, cols).select(VEC))
+    vec = cut_lineage(_vectors(scaled, cols).select(VEC)).persist()  # else every fit caches its own copy
 
     def fit(job):
         k, i = job
@@ -76,6 +76,7 @@ def elbow(scaled: DataFrame, ks: Sequence[int] = range(2, 11), n_init: int = 10,
     jobs = [(int(k), i) for k in ks for i in range(n_init)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         costs = list(pool.map(fit, jobs))
+    vec.unpersist()
     best = {}
     for k, c in costs:
         best[k] = min(best.get(k, float("inf")), c)
@@ -123,10 +124,10 @@ def kmeans_segments(features: DataFrame, clv: DataFrame, k: int = 4, n_init: int
 
 def segment_summary(seg: DataFrame, clv: DataFrame, churn: DataFrame, key: str = "customer_id") -> DataFrame:
     """Customers, mean and exact median clv, churn rate per segment."""
-    df = seg.join(clv, key, "left").join(churn, key, "left")
+    df = cut_lineage(seg.join(clv, key, "left").join(churn, key, "left").select("segment", key, "clv", "churn_30d"))
     base = df.groupBy("segment").agg(F.count(key).alias("customers"), F.avg("clv").alias("mean_clv"),
                                      F.avg(F.col("churn_30d").cast("double")).alias("churn_rate"))
-    med = quantile_row(df, "clv", [0.5], ["median_clv"], ["segment"])
+    med = quantile_row(df, "clv", [0.5], ["median_clv"], ["segment"], cut=False)
     return base.join(med, "segment", "left").select("segment", "customers", "mean_clv", "median_clv",
                                                     "churn_rate")
 

@@ -1,22 +1,24 @@
 """Queries: model bake-offs, scored test parts and feature importances.
 
 Models are non-deterministic across partitionings, so these carry no SQL
-oracle; tests check their properties instead.  Tree counts are a parameter:
-the queries use ``N_TREES`` (the reference's 200 are the library default).
+oracle; tests check their properties instead.  The queries that share a
+bake-off share its fitted models within a session.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from pyspark.sql import functions as F
 
 from stayrate.operators import eda
 from stayrate.operators import features as fe
+from stayrate.operators import metrics as me
 from stayrate.operators import models as mo
 from stayrate.plans.q_features import features_df
 from stayrate.plans.registry import finish, register
+from stayrate.session import cut_lineage
 from stayrate.sources.fixtures import fixture
 
-N_TREES = 10
+N_TREES = 200
 
 
 def clv_frame(spark, sf) -> mo.ModelFrame:
@@ -91,6 +93,42 @@ def q_feature_importance_classification(spark, sf):
     return finish(mo.feature_importance(spark, fitted[best], mf.feature_cols, 15))
 
 
+def _per_classifier(spark, sf, measure):
+    """``measure`` of every fitted classifier on the test part, under its name."""
+    mf, _, _, fitted = _classification(spark, sf)
+    out = None
+    for name, model in fitted.items():
+        scored = cut_lineage(mo.score_classification(model, mf.test))
+        one = measure(scored).select(F.lit(name).alias("model"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("model_roc_curves")
+def q_model_roc_curves(spark, sf):
+    """ROC curve of every fitted classifier on the test part."""
+    return finish(_per_classifier(spark, sf, me.roc_curve))
+
+
+@register("model_pr_curves")
+def q_model_pr_curves(spark, sf):
+    """Precision-recall curve of every fitted classifier on the test part."""
+    return finish(_per_classifier(spark, sf, me.pr_curve))
+
+
+@register("model_average_precision")
+def q_model_average_precision(spark, sf):
+    """Average precision of every fitted classifier on the test part."""
+    return finish(_per_classifier(spark, sf, me.average_precision))
+
+
+@register("best_model_confusion_matrix")
+def q_best_model_confusion_matrix(spark, sf):
+    """Confusion matrix of the best classifier on the test part."""
+    mf, _, best, fitted = _classification(spark, sf)
+    return finish(me.confusion_matrix(mo.score_classification(fitted[best], mf.test)))
+
+
 @register("fit_boosted_classifier")
 def q_fit_boosted_classifier(spark, sf):
     """Class-ratio weighted boosted trees (depth 5), scored on the test part."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stayrate.operators import eda
@@ -9,6 +11,7 @@ from stayrate.operators import risk as rk
 from stayrate.plans.q_features import features_df
 from stayrate.plans.registry import R, finish, register
 from stayrate.plans.sqlparts import with_features
+from stayrate.session import checkpoint_dir, cut_lineage
 from stayrate.sources.fixtures import AS_OF, BASIC_PLAN, fixture, oracle_with
 
 A = "DATE '2001-12-31'"
@@ -140,12 +143,13 @@ def q_daily_churn_scoring(spark, sf):
     and write the scores partitioned by date; returns the scores read back
     from that partition."""
     from stayrate.operators import prep
-    from stayrate.streaming.scoring import fit_churn_pipeline, model_path, save_pipeline, score_daily
+    from stayrate.streaming.scoring import fit_churn_pipeline, save_pipeline, score_daily
     fx = fixture(spark, sf)
     feats = features_df(spark, sf)
     labelled = prep.stratified_split(eda.attach_labels(feats, fx.churn_labels), "churn_30d", 0.2, 42)
     train = labelled.where(F.col("split") == "train").drop("split")
-    model, _ = fit_churn_pipeline(train, n_trees=10)
-    tag = sf.rstrip("/").split("/")[-1]
-    model = save_pipeline(model, model_path(spark, f"churn-{tag}"))
-    return finish(score_daily(spark, model, feats, AS_OF))
+    feats, train = cut_lineage(feats), cut_lineage(train)
+    model, _ = fit_churn_pipeline(train)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
+    model = save_pipeline(model, f"{base}/model")
+    return finish(score_daily(spark, model, feats, AS_OF, f"{base}/scores"))

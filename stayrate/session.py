@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "stayrate", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with AQE on, UI off and UTC time."""
+    """Create (or reuse) a session with AQE on, UI off and UTC time; on a local
+    master a temporary checkpoint folder, if none is configured."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -27,6 +28,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("STAYRATE_DRIVER_MEMORY", "8g"),
     }
+    if (master or "").startswith("local"):
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="stayrate-ckpt-")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -34,15 +37,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests)
-    a fresh folder under the system temp dir is used.
+    Raises when it is unset: a machine-local folder would lose its files with
+    the machine, so only a local harness (tests, bench) may choose one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,8 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="stayrate-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -64,10 +65,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stayrate.operators import features as fe
-from stayrate.session import checkpoint_dir
 
 LABEL = "churn_30d"
 
@@ -49,10 +48,6 @@ def save_pipeline(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def model_path(spark: SparkSession, name: str = "churn") -> str:
-    return checkpoint_dir(spark).rstrip("/") + f"/stayrate-models/{name}"
-
-
 def score(model: PipelineModel, features: DataFrame, as_of) -> DataFrame:
     """Churn probability and class for every customer, stamped with ``as_of``."""
     p = model.transform(features)
@@ -61,15 +56,12 @@ def score(model: PipelineModel, features: DataFrame, as_of) -> DataFrame:
                     F.lit(str(as_of)).cast("date").alias("as_of"))
 
 
-def scores_path(spark: SparkSession) -> str:
-    return checkpoint_dir(spark).rstrip("/") + "/stayrate-daily-scores"
-
-
 def score_daily(spark: SparkSession, model: PipelineModel, features: DataFrame, as_of,
-                path: str | None = None) -> DataFrame:
+                path: str) -> DataFrame:
     """Write one day's scores into ``path`` (partitioned by ``as_of``) and
-    return that day's partition read back (partition pruning)."""
-    path = path or scores_path(spark)
+    return that day's partition read back (partition pruning).
+
+    ``path`` is the table of one customer base; other days there stay."""
     (score(model, features, as_of).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(path))
     return spark.read.parquet(path).where(F.col("as_of") == F.lit(str(as_of)).cast("date"))

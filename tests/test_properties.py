@@ -22,20 +22,19 @@ def _skewed(seed, n=3000):
     return list(zip(groups.tolist(), vals.tolist()))
 
 
-@pytest.mark.parametrize("seed,direct_rows", [(1, 0), (2, 0), (3, qu.DIRECT_ROWS)])
-def test_exact_quantiles_match_numpy(spark, seed, direct_rows):
+@pytest.mark.parametrize("seed,rank_rows", [(1, 3), (2, 40), (3, qu.RANK_ROWS)])
+def test_exact_quantiles_match_numpy(spark, seed, rank_rows):
     """direct_rows=0 forces the sketch-bracket path (small accuracy, so
     brackets are narrow and get verified / widened)."""
     rows = _skewed(seed)
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {(r.g, r.p): r.quantile for r in qu.exact_quantiles(df, "v", probs, ["g"], accuracy=100,
-                                                              direct_rows=direct_rows).collect()}
+    got = {(r.g, r.p): r.quantile for r in qu.exact_quantiles(df, "v", probs, ["g"], rank_rows=rank_rows).collect()}
     for g in ("a", "b"):
         arr = np.array([v for gg, v in rows if gg == g])
         for p in probs:
             assert got[(g, p)] == pytest.approx(float(np.percentile(arr, p * 100)), abs=1e-9), (g, p)
-    whole = qu.quantile_row(df, "v", [0.5], ["med"], accuracy=50, direct_rows=direct_rows).first()["med"]
+    whole = qu.quantile_row(df, "v", [0.5], ["med"], rank_rows=rank_rows).first()["med"]
     assert whole == pytest.approx(float(np.median([v for _, v in rows])))
 
 
@@ -87,6 +86,98 @@ def test_models_and_importances(spark):
     assert 0 < len(imp) <= 15
     scored = QUERIES["score_classification"](spark, SMALL).collect()
     assert all(0.0 <= r.score <= 1.0 for r in scored)
+    assert sum(r.is_best for r in table) == 1 and max(table, key=lambda r: r.r2).is_best
+    classes = QUERIES["compare_models_classification"](spark, SMALL).collect()
+    assert sum(r.is_best for r in classes) == 1 and max(classes, key=lambda r: r.auc).is_best
+    auc = {r.model: r.auc for r in classes}
+    roc = QUERIES["model_roc_curves"](spark, SMALL).toPandas()
+    for name, c in roc.groupby("model"):
+        c = c.sort_values(["fpr", "tpr"])
+        area = float(np.trapezoid([0.0, *c.tpr], [0.0, *c.fpr]))
+        assert area == pytest.approx(auc[name], abs=1e-4)
+    cells = QUERIES["best_model_confusion_matrix"](spark, SMALL).collect()
+    assert cells
+    assert {r.model for r in QUERIES["model_average_precision"](spark, SMALL).collect()} == set(auc)
+    from stayrate.plans.q_models import _classification
+    best = [f for n, f in _classification(spark, SMALL)[3].items() if hasattr(f, "featureImportances")]
+    assert all(f.featureImportances.toArray().sum() == pytest.approx(1.0) for f in best)
+    assert all(f.getNumTrees == 200 for f in best)
+
+
+@pytest.mark.parametrize("alpha", [1.0, 25.0])
+def test_ridge_and_linear_equal_the_closed_form(spark, alpha):
+    from pyspark.ml.linalg import Vectors
+    from stayrate.operators import models as mo
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3))
+    x[:, 2] = 0.9 * x[:, 0] + 0.1 * x[:, 2]
+    y = 7.0 * x[:, 0] + 14.0 * x[:, 1] - 3.0 * x[:, 2] + rng.normal(scale=4.0, size=400)
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x.tolist(), y)], ["features", "target"])
+    ests = mo.regression_estimators(400, float(np.std(y, ddof=1)), alpha=alpha)
+    xc, yc = x - x.mean(0), y - y.mean()
+    for name, a in (("Ridge Regression", alpha), ("Linear Regression", 0.0)):
+        want = np.linalg.solve(xc.T @ xc + a * np.eye(3), xc.T @ yc)
+        assert ests[name].fit(df).coefficients.toArray() == pytest.approx(want, abs=1e-2)
+
+
+def test_stratified_split_with_null_and_many_labels(spark):
+    from stayrate.operators import prep
+    rows = [(k, None if k % 5 == 0 else k % 3) for k in range(500)]
+    df = spark.createDataFrame(rows, "customer_id int, y int")
+    got = prep.stratified_split(df, "y", 0.2)
+    n = {(r.y, r.split): r["count"] for r in got.groupBy("y", "split").count().collect()}
+    counts = {}
+    for _, y in rows:
+        counts[y] = counts.get(y, 0) + 1
+    assert sum(v for (_, s), v in n.items() if s == "test") == 100
+    assert all(abs(n[(y, "test")] - 0.2 * c) < 1 for y, c in counts.items())
+    many = spark.range(5000).select(F.col("id").alias("customer_id"), (F.col("id") % 1000).alias("y"))
+    got = prep.stratified_split(many, "y", 0.2).where("split = 'test'")
+    assert got.count() == 1000 and got.groupBy("y").count().where("count <> 1").isEmpty()
+
+
+def test_small_group_beside_a_large_one(spark):
+    from stayrate.operators import quantiles as q
+    df = spark.range(200_000).select(F.lit("a").alias("g"), F.sqrt(F.col("id").cast("double")).alias("v")).union(
+        spark.createDataFrame([("b", 1.0), ("b", 5.0), ("b", 2.0), (None, 3.0), ("c", None)], "g string, v double"))
+    got = {(r.g, r.p): r.quantile for r in q.exact_quantiles(df, "v", [0.25, 0.5], ["g"], rank_rows=500).collect()}
+    a = np.sqrt(np.arange(200_000.0))
+    assert got[("a", 0.5)] == pytest.approx(np.quantile(a, 0.5)) and got[("a", 0.25)] == pytest.approx(np.quantile(a, 0.25))
+    assert (got[("b", 0.5)], got[("b", 0.25)], got[(None, 0.5)]) == (2.0, 1.5, 3.0) and ("c", 0.5) not in got
+
+
+def test_ordered_results(spark):
+    from stayrate.plans import QUERIES
+    for name, key in (("clv_by_plan", lambda r: (r.mean_clv, r.plan_type)),
+                      ("churn_rate_by_country", lambda r: (-r.churn_rate, r.country)),
+                      ("value_counts_payment_method", lambda r: (-r["count"], r["value"])),
+                      ("satisfaction_counts", lambda r: r.satisfaction_score),
+                      ("satisfaction_by_category", lambda r: (r.avg_satisfaction, r.ticket_category)),
+                      ("outreach_list", lambda r: (-r.score, r.customer_id)),
+                      ("sort_by_customer_date", lambda r: (r.customer_id, r.transaction_date))):
+        rows = QUERIES[name](spark, SMALL).collect()
+        assert len(rows) > 1 and rows == sorted(rows, key=key), name
+
+
+def test_daily_scores_of_two_folders_do_not_meet(spark, tmp_path):
+    from stayrate.streaming import scoring
+    feats = spark.range(60).select(F.col("id").alias("customer_id"), (F.col("id") % 7).cast("double").alias("a"),
+                                   (F.col("id") % 2).alias("churn_30d"))
+    model, _ = scoring.fit_churn_pipeline(feats, cols=["a"], n_trees=2)
+    model = scoring.save_pipeline(model, f"{tmp_path}/model")
+    one = scoring.score_daily(spark, model, feats, "2024-01-01", f"{tmp_path}/one")
+    two = scoring.score_daily(spark, model, feats.limit(10), "2024-01-01", f"{tmp_path}/two")
+    assert (one.count(), two.count()) == (60, 10)
+
+
+def test_library_needs_a_shared_folder():
+    from unittest.mock import MagicMock
+    from stayrate.session import checkpoint_dir
+    session = MagicMock()
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.conf.get.return_value = None
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(session)
 
 
 def test_linear_fit_residuals_orthogonal(spark):
