@@ -119,8 +119,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, bound: int
     known = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label"))
              .where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
              .orderBy(F.xxhash64("id"), "id").limit(bound))
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(known, "id")
-            .select("id", "label", "text"))
+    # `bound` rows of two numbers: broadcast, so no text is shuffled.
+    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+            .join(F.broadcast(known), "id").select("id", "label", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
