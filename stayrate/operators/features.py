@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.dates import as_date, tenure_days
-from stayrate.functions.encoding import encode_with_levels, fit_levels, one_hot
+from stayrate.functions.encoding import encode_with_levels, fit_levels
 from stayrate.functions.numeric import clip_lower, money_sum, safe_div
 
 DEFAULT_AS_OF = "2024-12-31"
@@ -137,22 +137,7 @@ def recent_ticket_count(tickets: DataFrame, as_of=DEFAULT_AS_OF,
     return t.groupBy("customer_id").agg(F.count("ticket_id").alias("recent_tickets"))
 
 
-# ------------------------------------------------------------ customer base
-def customer_base(customers: DataFrame, as_of=DEFAULT_AS_OF,
-                  countries: Sequence[str] | None = None) -> DataFrame:
-    """Raw columns + tenure + alphabetical codes + one dummy per country."""
-    levels = fit_levels(customers, ["plan_type", "gender"] + ([] if countries is not None else ["country"]))
-    country_levels = list(countries) if countries is not None else levels["country"]
-    base = customers.withColumn("tenure_days", tenure_days("signup_date", as_of))
-    base = base.withColumns({
-        "tenure_years": F.col("tenure_days") / F.lit(365.0),
-        # alphabetical codes (LabelEncoder order), fitted in one pass
-        "plan_encoded": encode_with_levels("plan_type", levels["plan_type"]),
-        "gender_encoded": encode_with_levels("gender", levels["gender"]),
-    })
-    return one_hot(base, "country", country_levels, prefix="country")
-
-
+# ------------------------------------------------------------ feature table
 def interaction_features(df: DataFrame) -> DataFrame:
     """The five ratio / product features (after nulls were filled)."""
     tenure1 = clip_lower("tenure_days", 1)
@@ -174,13 +159,6 @@ def fill_numeric_nulls(df: DataFrame, keep: Sequence[str] = RAW_COLUMNS, value=0
     return df.fillna(value, subset=cols)
 
 
-def _zero(c: str, dtype: str) -> Column:
-    """``coalesce(c, 0)`` keeping the column's type (the reference's fill)."""
-    # coalesce widens the literal to the column's type (int, bigint, double)
-    zero = F.lit(0.0) if dtype in ("double", "float") else F.lit(0)
-    return F.coalesce(F.col(c), zero)
-
-
 def customer_features(customers: DataFrame, transactions: DataFrame, events: DataFrame,
                       tickets: DataFrame, as_of=DEFAULT_AS_OF, fill: str = "zero",
                       countries: Sequence[str] | None = None,
@@ -212,24 +190,15 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
     df = base.join(txn, "customer_id", "left").join(ev, "customer_id", "left") \
              .join(tk, "customer_id", "left")
 
-    types = dict(df.dtypes)
-    z = {c: _zero(c, t) for c, t in types.items()
-         if c not in RAW_COLUMNS and (t in NUMERIC_TYPES or t.startswith("decimal"))}
     if fill == "tenure":
-        z["recency_days"] = F.coalesce(F.col("recency_days"), F.col("tenure_days"))
-    tenure1 = F.greatest(z["tenure_days"], F.lit(1))
+        df = df.withColumns({"has_txn": F.coalesce(F.col("frequency") > 0, F.lit(False)),
+                             "has_tickets": F.col("total_tickets").isNotNull(),
+                             "recency_days": F.coalesce("recency_days", "tenure_days")})
+    df = fill_numeric_nulls(df)
     # Per-day rates divide after the join: each customer's own tenure.
-    events_per_day = F.coalesce(F.col("total_events") / tenure1, F.lit(0.0))
-    active_days_ratio = F.coalesce(F.col("active_days") / tenure1, F.lit(0.0))
-    derived = {
-        "events_per_day": events_per_day,
-        "active_days_ratio": active_days_ratio,
-        "tenure_fee_interaction": z["tenure_days"] * z["monthly_fee"],
-        "events_per_ticket": z["total_events"] / (z["total_tickets"] + F.lit(1)),
-        "satisfaction_per_ticket": z["avg_satisfaction"] / (z["total_tickets"] + F.lit(1)),
-        "monetary_per_tenure": z["monetary"] / tenure1,
-        "avg_txn_per_event": z["avg_txn_amount"] / (events_per_day + F.lit(0.01)),
-    }
+    df = df.withColumns({"events_per_day": F.col("total_events") / clip_lower("tenure_days", 1),
+                         "active_days_ratio": F.col("active_days") / clip_lower("tenure_days", 1)})
+    df = interaction_features(df)
     order = (["customer_id", "signup_date", "age", "gender", "country", "plan_type", "monthly_fee",
               "tenure_days", "tenure_years", "plan_encoded", "gender_encoded"] +
              [f"country_{v}" for v in country_levels] +
@@ -242,14 +211,7 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
              [f"tickets_{c}" for c in sorted(ticket_categories)] +
              ["recent_tickets", "tenure_fee_interaction", "events_per_ticket",
               "satisfaction_per_ticket", "monetary_per_tenure", "avg_txn_per_event"])
-    cols = []
-    for c in order:
-        expr = derived.get(c, z.get(c, F.col(c)))
-        cols.append(expr.alias(c))
-    if fill == "tenure":
-        cols += [(F.col("frequency").isNotNull() & (F.col("frequency") > 0)).alias("has_txn"),
-                 F.col("total_tickets").isNotNull().alias("has_tickets")]
-    return df.select(*cols)
+    return df.select(*order, *(["has_txn", "has_tickets"] if fill == "tenure" else []))
 
 
 def model_columns(features: DataFrame, drop: Sequence[str] = IDENTITY_COLUMNS) -> list[str]:

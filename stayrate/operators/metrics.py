@@ -21,25 +21,26 @@ from stayrate.functions.numeric import safe_div
 from stayrate.operators.common import scalars
 
 LABEL, SCORE, PRED = "label", "score", "prediction"
-BUCKETS = 4096
 ROWS_PER_BUCKET = 100_000
+# Bucket totals are broadcast while they are at most so many rows.
+BROADCAST_BUCKETS = 4096
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                   buckets: int = BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows whose ``order_col`` comes at or
     before this row's (``order_col`` must be unique, e.g. grouped scores).
 
     Rows are cut into equal-count buckets by ``QuantileDiscretizer`` (an
     approximate-quantile fit, then a binary-search ``Bucketizer``), about
-    ``ROWS_PER_BUCKET`` rows each whatever the score distribution (at most
-    ``buckets`` buckets; up to ``ROWS_PER_BUCKET`` rows need no cut).
-    Bucket offsets come from a window over the (at most ``buckets``) bucket
-    totals; each bucket runs its own running sum in parallel."""
+    ``ROWS_PER_BUCKET`` rows each whatever the score distribution (``buckets``
+    sets their number; up to ``ROWS_PER_BUCKET`` rows need no cut).  Bucket
+    offsets come from a window over the bucket totals; each bucket runs its own
+    running sum in parallel."""
     src = df.where(F.col(order_col).isNotNull())
     n = src.count()
-    # about ROWS_PER_BUCKET distinct values per bucket, at most `buckets` buckets
-    k = min(buckets, max(1, math.ceil(n / ROWS_PER_BUCKET)))
+    k = max(1, math.ceil(n / ROWS_PER_BUCKET))
+    k = k if buckets is None else min(buckets, k)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if k == 1:
         # at most ROWS_PER_BUCKET rows: one ordered running sum, no offsets
@@ -55,13 +56,13 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
             b = F.lit(k) - b
         d = d.withColumn("_bucket", b).drop("_b", "_x")
     tot = d.groupBy("_bucket").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
-    # At most `buckets` + 1 rows: one small ordered window gives the bucket offsets.
+    # One row per bucket: a small ordered window gives the bucket offsets.
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = tot.select("_bucket", *[(F.sum(f"_bt_{c}").over(wb) - F.col(f"_bt_{c}")).alias(f"_off_{c}")
                                   for c in sum_cols])
     wi = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding,
                                                                   Window.currentRow)
-    d = d.join(F.broadcast(tot), "_bucket")
+    d = d.join(F.broadcast(tot) if k <= BROADCAST_BUCKETS else tot, "_bucket")
     return d.withColumns({f"cum_{c}": F.col(f"_off_{c}") + F.sum(c).over(wi) for c in sum_cols}) \
         .drop("_bucket", *[f"_off_{c}" for c in sum_cols])
 

@@ -94,26 +94,17 @@ def q_fee_summary(spark, sf):
 
 
 def _hist_sql(views: tuple[str, ...], source: str, expr: str, n: int) -> str:
-    edge = "CASE WHEN {i} >= {n} THEN hi ELSE lo + CAST({i} AS DOUBLE) * step END"
-    e_b0 = edge.format(i="b0", n=n)
-    e_b1 = edge.format(i="b1 + 1", n=n)
-    e_bin = edge.format(i="bin", n=n)
-    e_up = edge.format(i="bin + 1", n=n)
+    """Counts by a range join on the bin edges (the last bin holds its upper edge)."""
     return oracle_with(*views) + f""",
 hx AS (SELECT CAST({expr} AS DOUBLE) AS x FROM {source} WHERE {expr} IS NOT NULL),
 hs AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
               CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM hx),
-hp AS (SELECT lo, hi, (hi - lo) / {n} AS step FROM hs),
-h0 AS (SELECT x, lo, hi, step,
-         least(greatest(CAST(floor((x - lo) / (hi - lo) * CAST({n} AS DOUBLE)) AS INTEGER), 0), {n} - 1) AS b0
-       FROM hx, hp),
-h1 AS (SELECT *, CASE WHEN x < {e_b0} THEN b0 - 1 ELSE b0 END AS b1 FROM h0),
-h2 AS (SELECT CASE WHEN x >= {e_b1} AND b1 <> {n} - 1 THEN b1 + 1 ELSE b1 END AS bin FROM h1),
-hc AS (SELECT bin, count(*) AS cnt FROM h2 GROUP BY bin),
-hb AS (SELECT CAST(range AS INTEGER) AS bin, lo, hi, step FROM range({n}), hp)
-SELECT hb.bin, {R(e_bin.replace("bin", "hb.bin"))} AS lower, {R(e_up.replace("bin", "hb.bin"))} AS upper,
-  CAST(coalesce(hc.cnt, 0) AS BIGINT) AS count
-FROM hb LEFT JOIN hc ON hb.bin = hc.bin"""
+hb AS (SELECT CAST(range AS INTEGER) AS bin, lo + range * ((hi - lo) / {n}) AS lower,
+              CASE WHEN range = {n} - 1 THEN hi ELSE lo + (range + 1) * ((hi - lo) / {n}) END AS upper
+       FROM range({n}), hs)
+SELECT bin, {R("lower")} AS lower, {R("upper")} AS upper, count(x) AS count
+FROM hb LEFT JOIN hx ON x >= lower AND (x < upper OR (bin = {n} - 1 AND x = upper))
+GROUP BY bin, lower, upper"""
 
 
 HISTOGRAMS = [
