@@ -89,10 +89,10 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.95, exact: bool = F
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .select(F.monotonically_increasing_id().alias("c"), "v", F.size("v").alias("dim"), "first", "n"), "vectors")
     dims = classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
-    parts = []
-    if dims is not None:
-        parts = _compare(classes, dims["dim"], dims["n"], threshold, exact, n_parts)
-    found = materialize(parts, "vector-links") if dims is not None else spark.createDataFrame([], "c long, links long, near long")
+    if dims is None:
+        found = spark.createDataFrame([], "c long, links long, near long")
+    else:
+        found = materialize(_compare(classes, dims["dim"], dims["n"], threshold, exact, n_parts), "vector-links")
     links = found.groupBy("c").agg((F.sum("links") - 1).alias("n_links"))
     group = components(found.select(F.col("c").alias("u"), F.col("near").alias("v")))
     owner = (classes.select("c", "v", "first").join(group, F.col("c") == F.col("node"), "left")
@@ -138,7 +138,8 @@ def _compare(classes: DataFrame, dim: int, n: int, threshold: float, exact: bool
     kind = classes.schema["v"].dataType.simpleString()
     blocks = (classes.mapInArrow(place(True), "cell long").groupBy("cell").count()
               .select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    blocks = F.broadcast(materialize(blocks, "cells"))  # at most a row per cell or vector length
+    blocks = materialize(blocks, "cells")  # a row per cell, and per other vector length
+    blocks = F.broadcast(blocks) if blocks.count() <= 2 * MAX_CELLS else blocks
     placed = classes.mapInArrow(place(False), f"cell long, home boolean, c long, n long, v {kind}").join(blocks, "cell")
     # Every vector meets every block of the cell; its own block holds it as a home vector.
     placed = placed.select("cell", "home", "c", "n", "v", F.pmod(F.xxhash64("c"), F.col("blocks")).alias("own"),

@@ -39,7 +39,7 @@ def text_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     """The counts of each text of a buffer."""
     n = len(offs) - 1
     starts, ends, text = spans.word_spans(data, offs)
-    gap = spans._SPACE[data] if len(data) else np.empty(0, bool)
+    gap = spans.SPACE[data] if len(data) else np.empty(0, bool)
     lead = (data & 0xC0) != 0x80  # first bytes of code points
     out = {"n_words": np.bincount(text, minlength=n), "word_chars": spans.per_text(lead & ~gap, offs),
            "n_symbols": spans.per_text(_SYMBOLS[data] if len(data) else gap, offs)}

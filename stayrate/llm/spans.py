@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 #: The six white-space bytes of the word class ``[^\x20\x09-\x0D]+``.
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -63,7 +63,7 @@ def per_text(flags: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray,
-               gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+               gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, text) of every word; words end at bytes of ``gaps`` and with their text."""
     if len(data) == 0:
         e = np.empty(0, np.int64)

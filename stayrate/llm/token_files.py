@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, release_memory, shared_uri, ship, write_file
-from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder
+from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder, forget
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -210,6 +210,8 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     files = files.select("uri", "base").repartition(n, "uri")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # a worker that has tokenized before needs its tables no more
+        release_memory()
         for batch in batches:
             for uri, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids, keys, lengths = parse_file(read_file(uri))

@@ -46,6 +46,11 @@ def encoder(path: str) -> CachedEncoder:
     return _WORKER[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders and what they remember."""
+    _WORKER.clear()
+
+
 def _byte_alphabet() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
