@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.llm.components import components, merge_links
-from stayrate.llm.store import materialize, ship
+from stayrate.llm.store import materialize, ship, task
 
 #: Distinct vectors that the centroids are fitted on, at most.
 SAMPLE = 32_768
@@ -136,11 +136,11 @@ def _compare(classes: DataFrame, dim: int, n: int, threshold: float, exact: bool
         return run
 
     kind = classes.schema["v"].dataType.simpleString()
-    blocks = (classes.mapInArrow(place(True), "cell long").groupBy("cell").count()
+    blocks = (classes.mapInArrow(task(place(True)), "cell long").groupBy("cell").count()
               .select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
     blocks = materialize(blocks, "cells")  # a row per cell, and per other vector length
     blocks = F.broadcast(blocks) if blocks.count() <= 2 * MAX_CELLS else blocks
-    placed = classes.mapInArrow(place(False), f"cell long, home boolean, c long, n long, v {kind}").join(blocks, "cell")
+    placed = classes.mapInArrow(task(place(False)), f"cell long, home boolean, c long, n long, v {kind}").join(blocks, "cell")
     # Every vector meets every block of the cell; its own block holds it as a home vector.
     placed = placed.select("cell", "home", "c", "n", "v", F.pmod(F.xxhash64("c"), F.col("blocks")).alias("own"),
                            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
@@ -160,7 +160,7 @@ def _compare(classes: DataFrame, dim: int, n: int, threshold: float, exact: bool
                     yield from group.add(batch.slice(at, min(PROBES, hi - at)))
         yield from group.end()
 
-    return dealt.mapInArrow(compare, "c long, links long, near long")
+    return dealt.mapInArrow(task(compare), "c long, links long, near long")
 
 
 class _Block:

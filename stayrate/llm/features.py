@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.llm import spans
-from stayrate.llm.store import ship
+from stayrate.llm.store import ship, task
 
 BITS = 20
 DIMS = 1 << BITS
@@ -135,7 +135,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, bound: int
                      *(pa.array([v[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()) for v in (index, x))],
                     names=["id", "label", "index", "weight"])
 
-    made = rows.mapInArrow(run, "id long, label double, index binary, weight binary")
+    made = rows.mapInArrow(task(run), "id long, label double, index binary, weight binary")
     order = F.xxhash64("id")
     return made.repartition(1).sortWithinPartitions(order, "id", "index").select("label", "index", "weight")
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayrate.llm import spans
-from stayrate.llm.store import materialize, read_file, shared_uri, ship, write_file
+from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 
 ORDER = 5
 #: Distinct n-grams a task holds before it hands its counts on.
@@ -111,7 +111,7 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text_col: str = "text", la
         for lang in list(held):
             yield out(lang)
 
-    part = rows.mapInArrow(run, "lang string, key long, count long")
+    part = rows.mapInArrow(task(run), "lang string, key long, count long")
     return part.groupBy("lang", "key").agg(F.sum("count").alias("count"))
 
 
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: s
 
     files = max(1, -(-n // FILE_ENTRIES))
     manifest = (entries.repartitionByRange(files, "h").sortWithinPartitions("h")
-                .mapInArrow(write, "lo long, hi long, n long, uri string"))
+                .mapInArrow(task(write), "lo long, hi long, n long, uri string"))
     rows = materialize(manifest, "hash-array-files").orderBy("lo").collect()  # a row per million entries
     return Model(order, tuple((r["lo"], r["hi"], r["n"], r["uri"]) for r in rows))
 

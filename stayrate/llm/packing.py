@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from stayrate.llm import spans
-from stayrate.llm.store import materialize, release_memory, ship
+from stayrate.llm.store import materialize, ship, task
 from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder
 
 #: Pieces numbered by one task at a time, on average.
@@ -168,7 +168,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
             for lo, hi in spans.chunks(offs, CHUNK_BYTES):
                 got, at = enc.encode_many(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                 got = np.insert(got, at[1:], np.uint32(end_id)).astype("<u4")
-                raw = memoryview(got.tobytes())
+                raw = got.tobytes()  # bytes: an Arrow array made of memoryviews keeps them for good
                 ends = (at + np.arange(len(at))).tolist()
                 out = []
                 for k, doc in enumerate(doc_ids[lo:hi]):
@@ -178,9 +178,8 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
                         out.append((doc, p, a - ends[k], b - a, zlib.crc32(piece), piece)[:len(names)])
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-        release_memory()
 
-    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    return rows.mapInArrow(task(cut), "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def pack(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFrame:
@@ -224,7 +223,7 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFr
                                              names=["row", "sequence_id", "offset"])
 
     schema = StructType([numbered.schema["row"], StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return numbered.mapInArrow(look_up, schema).select("row.*", "sequence_id", "offset")
+    return numbered.mapInArrow(task(look_up), schema).select("row.*", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stayrate.llm import features, spans
-from stayrate.llm.store import materialize, ship
+from stayrate.llm.store import materialize, ship, task
 
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 8_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.5
 
@@ -83,7 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: i
                                              names=["index", "weight", "bias"])
 
     weights = np.zeros(features.DIMS)
-    made = materialize(rows.mapInArrow(train, "index binary, weight binary, bias double"), "classifier")
+    made = materialize(rows.mapInArrow(task(train), "index binary, weight binary, bias double"), "classifier")
     for r in made.collect():  # one row, of at most DIMS weights
         weights[np.frombuffer(r["index"], np.int32)] = np.frombuffer(r["weight"])
         return Classifier(weights, r["bias"])
@@ -103,7 +103,7 @@ def score(docs: DataFrame, model: Classifier, carry: list[str], text_col: str =
             s = _sigmoid(features.dots(data, offs, features.quality_features, weights) + bias)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], names=["row", "score"])
 
-    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
+    return rows.mapInArrow(task(run), StructType([rows.schema["row"], StructField("score", DoubleType())]))
 
 
 def held_out(id_col: str, folds: int = 5) -> F.Column:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from stayrate.llm import ngram_model, spans
-from stayrate.llm.store import materialize
+from stayrate.llm.store import materialize, task
 
 BELOW, ABOVE = 8.0, 30.0
 #: The least spread (in log perplexity per byte), for languages whose texts are all alike.
@@ -101,7 +101,7 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),
                          StructField("surprise", DoubleType())])
-    return materialize(rows.mapInArrow(run, schema), "measured")
+    return materialize(rows.mapInArrow(task(run), schema), "measured")
 
 
 def bands(measured: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import spans
 from stayrate.llm.components import components, merge_links
-from stayrate.llm.store import keyed_rows, materialize, ship
+from stayrate.llm.store import keyed_rows, materialize, ship, task
 
 SEED = 42
 #: Distinct fingerprints of one block value from which it is split again.
@@ -103,7 +103,7 @@ def with_fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", tex
                                              names=["doc_id", "fp", *batch.schema.names[2:]])
 
     extra = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
-    return materialize(rows.mapInArrow(run, f"doc_id long, fp long{extra}"), "fingerprints")
+    return materialize(rows.mapInArrow(task(run), f"doc_id long, fp long{extra}"), "fingerprints")
 
 
 # -- the trie join ------------------------------------------------------------------
@@ -226,7 +226,7 @@ def _join_tries(rows: DataFrame, bits: int, n: int) -> DataFrame:
         f = fp[order]
         yield pa.RecordBatch.from_arrays([pa.array(f[linked]), pa.array(f[label[linked]])], names=["u", "v"])
 
-    return rows.select("fp", "path").repartition(n, "path").mapInArrow(run, "u long, v long")
+    return rows.select("fp", "path").repartition(n, "path").mapInArrow(task(run), "u long, v long")
 
 
 def near_duplicates(marked: DataFrame, bits: int) -> DataFrame:

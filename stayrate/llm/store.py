@@ -13,6 +13,7 @@ import io
 import os
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from hashlib import sha1
 
 import pyarrow as pa
@@ -98,9 +99,28 @@ def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_memory() -> None:
-    """Give freed memory back to the system: a worker that waits for its next task holds only its caches."""
-    pa.default_memory_pool().release_unused()
+def task(fn: Callable) -> Callable:
+    """A function on Arrow batches for ``mapInArrow`` whose worker gives freed memory back.
+
+    Workers stay for later tasks, beside each other and the JVM: large buffers go
+    to the system as they are freed, the rest when the task ends.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _lean_memory()
+        try:
+            yield from fn(batches)
+        finally:
+            _release_memory()
+    return run
+
+
+def _lean_memory() -> None:
+    pa.set_memory_pool(pa.system_memory_pool())
+    if hasattr(_LIBC, "mallopt"):
+        _LIBC.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which else grows
+
+
+def _release_memory() -> None:
     if hasattr(_LIBC, "malloc_trim"):
         _LIBC.malloc_trim(0)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.llm import spans
-from stayrate.llm.store import materialize, read_file, release_memory, shared_uri, ship, write_file
+from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 from stayrate.llm.tokens import BATCH_ROWS, CHUNK_BYTES, encoder, forget
 
 MAGIC = b"PFORIDS1"
@@ -189,13 +189,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str |
                     flush()
                     held = 0
         flush()
-        release_memory()
         if files:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*files), (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()))],
                 names=["part", "file", "uri", "n_docs", "n_ids"])
 
-    manifest = rows.mapInArrow(write, "part long, file long, uri string, n_docs long, n_ids long")
+    manifest = rows.mapInArrow(task(write), "part long, file long, uri string, n_docs long, n_ids long")
     return materialize(manifest, "token-manifest", BATCH_ROWS)
 
 
@@ -211,12 +210,11 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()  # a worker that has tokenized before needs its tables no more
-        release_memory()
         for batch in batches:
             for uri, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids, keys, lengths = parse_file(read_file(uri))
                 at = np.concatenate([[0], np.cumsum(lengths)])
-                raw = memoryview(ids.tobytes())
+                raw = ids.astype("<u4").tobytes()  # bytes: an Arrow array made of memoryviews keeps them for good
                 step = 512
                 for lo in range(0, len(keys), step):
                     hi = min(lo + step, len(keys))
@@ -226,4 +224,4 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                         pa.array([raw[4 * at[k]:4 * at[k + 1]] for k in range(lo, hi)], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"])
 
-    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return files.mapInArrow(task(read), "doc_id long, start long, n_tokens long, ids binary")

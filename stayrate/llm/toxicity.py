@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stayrate.llm import features, spans
-from stayrate.llm.store import materialize, ship
+from stayrate.llm.store import materialize, ship, task
 
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 10_000
 EPOCHS = 5
 GRADES = 3
 ALPHA, BETA, L1 = 0.3, 1.0, 1.0
@@ -128,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", grades: in
                 some, m.weights[some], m.thresholds)], names=["index", "weight", "thresholds"])
 
     weights = np.zeros(features.DIMS)
-    made = materialize(rows.mapInArrow(train, "index binary, weight binary, thresholds binary"), "ordinal")
+    made = materialize(rows.mapInArrow(task(train), "index binary, weight binary, thresholds binary"), "ordinal")
     for r in made.collect():  # one row, of at most DIMS weights
         weights[np.frombuffer(r["index"], np.int32)] = np.frombuffer(r["weight"])
         return OrdinalModel(weights, np.frombuffer(r["thresholds"]).copy())
@@ -150,5 +150,5 @@ def severity(docs: DataFrame, model: OrdinalModel, carry: list[str], text_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(up.sum(axis=1)), pa.array(up[:, 0])],
                                              names=["row", "severity", "p_toxic"])
 
-    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("severity", DoubleType()),
+    return rows.mapInArrow(task(run), StructType([rows.schema["row"], StructField("severity", DoubleType()),
                                             StructField("p_toxic", DoubleType())]))

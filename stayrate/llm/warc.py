@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayrate.llm.store import FileWriter, materialize, open_file, shared_uri, ship
+from stayrate.llm.store import FileWriter, materialize, open_file, shared_uri, ship, task
 
 #: A task starts its next archive after so many bytes.
 ARCHIVE_BYTES = 64 << 20
@@ -161,7 +161,7 @@ def write_warc(pages: DataFrame, path: str | None = None, min_bytes: int = 0, id
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in files], pa.string()),
                                               pa.array([k for _, k in files], pa.int64())], names=["uri", "records"])
 
-    return materialize(marked.mapInArrow(write, "uri string, records long"), "warc-manifest")
+    return materialize(marked.mapInArrow(task(write), "uri string, records long"), "warc-manifest")
 
 
 def read_warc(spark: SparkSession, manifest: DataFrame) -> DataFrame:
@@ -187,4 +187,4 @@ def read_warc(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    return manifest.select("uri").repartition(n, "uri").mapInArrow(read, _COLUMNS)
+    return manifest.select("uri").repartition(n, "uri").mapInArrow(task(read), _COLUMNS)
