@@ -1,23 +1,26 @@
 """A modified Kneser-Ney n-gram model, counted by Spark, in sorted hash arrays.
 
-The units are the bytes of the text (UTF-8), so the model needs no vocabulary,
-and n-grams of ``order`` bytes pack into one integer.  Tasks count the n-grams
-of their texts into sorted arrays and Spark adds the counts up by language;
-every document and every byte is counted.  Lower orders use continuation
-counts (how many different bytes precede an n-gram), each order and language
-has the three discounts of modified Kneser-Ney, and orders are interpolated
-down to a uniform distribution over bytes.
-
-The finished model is the logarithms of all interpolated probabilities (with
-the n-grams' counts) and of the back-off weights, keyed by 64-bit hashes,
-range-partitioned and sorted by hash: one file per range in the shared folder.  A task that scores text looks
-n-grams up by binary search.  It keeps the arrays in memory while they are
-within ``CACHE_ENTRIES``; a larger model is read range by range for each
+The units are the words of the text (``WORDS``: 32-bit hashes, and an end after the
+last) or its bytes (``BYTES``); n-grams of ``order`` units pack into one integer.
+Tasks count the n-grams of their texts into sorted arrays, so a hot n-gram is one row
+a task, and Spark adds the counts up by language; every document and every unit is
+counted, and what is gathered grows with the different n-grams of the input.  Lower
+orders use continuation counts (how many different units precede an n-gram), each
+order and language has the three discounts of modified Kneser-Ney, and orders are
+interpolated down to a uniform distribution over bytes, or over the language's words
+and an unknown one.
+
+The finished model is the discounted counts of n-grams and the totals of contexts,
+keyed by 64-bit hashes, range-partitioned and sorted by hash: one file per range in
+the shared folder; only sums by key make it, no joins.  A task that scores text looks
+n-grams up by binary search and interpolates.  It keeps the arrays in memory while
+they are within ``CACHE_ENTRIES``; a larger model is read range by range for each
 block of sorted queries, so a task's memory has a bound and the model none.
 
-A text that was counted into the model is scored without itself: an n-gram
-that no other text has is backed off as if it were not in the model, so
-unusual text does not look usual because it has been seen once.
+A text that was counted into the model is scored without itself: an n-gram or
+context that no other text has is taken as not in the model, so unusual text does not
+look usual because it has been seen once.  What occurs once in all can then never be
+found, and ``fit`` leaves it out of the arrays (not out of the counts) on request.
 """
 
 from __future__ import annotations
@@ -28,13 +31,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 
+#: Bits of a unit.
+BYTES, WORDS = 8, 32
 ORDER = 5
+WORD_ORDER = 2
 #: Distinct n-grams a task holds before it hands its counts on.
 COUNT_ENTRIES = 2_000_000
 #: Entries of one array file, about, and entries a worker keeps in memory.
@@ -42,24 +48,41 @@ FILE_ENTRIES = 1_000_000
 CACHE_ENTRIES = 8_000_000
 #: Discounts of at most so many languages are broadcast.
 BROADCAST_LANGUAGES = 10_000
-#: Stands before a text's first byte.
-PAD = 0
+#: Stands before a text's first unit, and after a text's last word.
+PAD, END = 0, 1
 
 _WORKER: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
 # -- n-grams of a buffer ----------------------------------------------------------
-def padded_keys(data: np.ndarray, offs: np.ndarray, order: int) -> np.ndarray:
-    """The n-gram that ends at each byte, as an integer; texts start after pads."""
+def word_units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of each text, then ``END``, and offsets; an empty text has no units."""
+    starts, ends, text = spans.word_spans(data, offs)
+    full = np.diff(offs) > 0
+    cut = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(full)) + full)]).astype(np.int64)
+    out = np.full(cut[-1], END, np.uint64)
+    if len(starts):
+        h = spans.span_hashes(data, starts, ends) >> np.uint64(64 - WORDS)
+        before = np.concatenate([[0], np.cumsum(full)])[text]
+        out[np.arange(len(h)) + before] = np.maximum(h, np.uint64(END + 1))
+    return out, cut
+
+
+def units_of(data: np.ndarray, offs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return word_units(data, offs) if bits == WORDS else (data, offs)
+
+
+def padded_keys(data: np.ndarray, offs: np.ndarray, order: int, bits: int = BYTES) -> np.ndarray:
+    """The n-gram that ends at each unit, as an integer; texts start after pads."""
     n = len(data)
-    start = np.repeat(offs[:-1], np.diff(offs))  # of each byte's text
+    start = np.repeat(offs[:-1], np.diff(offs))  # of each unit's text
     at = np.arange(n)
     key = data.astype(np.uint64)
     for k in range(1, order):
         prev = np.zeros(n, np.uint64)
         prev[k:] = data[:-k] if k < n else 0
         prev[at - k < start] = PAD
-        key |= prev << np.uint64(8 * k)
+        key |= prev << np.uint64(bits * k)
     return key
 
 
@@ -77,8 +100,9 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[first], np.add.reduceat(counts, first)
 
 
-def count_ngrams(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, key, count) over all bytes of all texts (a null language is '')."""
+def count_ngrams(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: str = "lang",
+                 bits: int = BYTES) -> DataFrame:
+    """(lang, key, count) over all units of all texts (a null language is '')."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
 
@@ -100,7 +124,8 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text_col: str = "text", la
                 for lo, hi in spans.chunks(offs):
                     if offs[hi] == offs[lo]:
                         continue
-                    keys, counts = count_keys(padded_keys(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], order))
+                    units, cut = units_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], bits)
+                    keys, counts = count_keys(padded_keys(units, cut, order, bits))
                     held.setdefault(lang, []).append((keys, counts))
                     size[lang] = size.get(lang, 0) + len(keys)
                     if size[lang] > COUNT_ENTRIES // 2:
@@ -122,22 +147,28 @@ class Model:
 
     order: int
     files: tuple[tuple[int, int, int, str], ...]
+    bits: int = BYTES
 
 
-def _hash_sql(kind: int, level: int, lang: str, key: str) -> F.Column:
-    return F.xxhash64(F.lit(kind), F.lit(level), F.col(lang), F.col(key))
+#: Kinds of entries: discounted count of an n-gram; total and freed count of a context;
+#: number of a language's words and the unknown one.
+GRAM, CONTEXT, SIZE = 0, 1, 2
 
 
-def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(h, value, seen): log probabilities (with counts) and log back-off weights of all orders."""
+def _entry(kind: int, level: int, key: str | F.Column, a: F.Column, b: F.Column, seen: F.Column) -> list[F.Column]:
+    return [F.xxhash64(F.lit(kind), F.lit(level), "lang", key).alias("h"), a.cast("float").alias("a"),
+            b.cast("float").alias("b"), seen.cast("long").alias("seen")]
+
+
+def estimate(counts: DataFrame, order: int = ORDER, bits: int = BYTES, singles: bool = True) -> DataFrame:
+    """(h, a, b, seen): the entries of all orders; ``singles``: also of what occurs once."""
+    zero, entries = F.lit(0), []
     levels = {order: materialize(counts.withColumn("seen", F.col("count")), "ngrams")}
     for n in range(order - 1, 0, -1):
-        levels[n] = (levels[n + 1].groupBy("lang", F.col("key").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("key"))
-                     .agg(F.count(F.lit(1)).alias("count"), F.sum("seen").alias("seen")))
-    lower, entries = None, []
-    for n in range(1, order + 1):
-        rows = levels[n].select("lang", "key", "count", "seen", F.shiftright("key", 8).alias("context"),
-                                F.col("key").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1)).alias("suffix"))
+        shorter = F.col("key").bitwiseAND(F.lit((1 << bits * n) - 1)).alias("key")
+        levels[n] = materialize(levels[n + 1].groupBy("lang", shorter)
+                                .agg(F.count(F.lit(1)).alias("count"), F.sum("seen").alias("seen")), f"order{n}")
+    for n, rows in levels.items():
         of = lambda k: F.sum(F.when(F.col("count") == k, 1).otherwise(0))
         d = rows.groupBy("lang").agg(*[of(k).alias(f"t{k}") for k in (1, 2, 3, 4)])
         y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
@@ -149,31 +180,26 @@ def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
         d = materialize(d, "discounts")
         few = d.count() <= BROADCAST_LANGUAGES
         rows = rows.join(F.broadcast(d) if few else d, F.col("lang") == F.col("dl")).withColumn("cut", cut)
-        context = rows.groupBy("lang", "context").agg(F.sum("count").alias("total"), F.sum("cut").alias("freed"))
-        context = context.select(F.col("lang").alias("cl"), F.col("context").alias("ck"), "total",
-                                 (F.col("freed") / F.col("total")).alias("gamma"))
-        rows = rows.join(context, (F.col("lang") == F.col("cl")) & (F.col("context") == F.col("ck")))
-        if lower is None:
-            rows = rows.withColumn("below", F.lit(1 / 256))
-        else:
-            rows = rows.join(lower, (F.col("lang") == F.col("ll")) & (F.col("suffix") == F.col("lk")))
-        p = (F.col("count") - F.col("cut")) / F.col("total") + F.col("gamma") * F.col("below")
-        rows = materialize(rows.select("lang", "key", "context", "gamma", "seen", p.alias("p")), f"order{n}")
-        lower = rows.select(F.col("lang").alias("ll"), F.col("key").alias("lk"), F.col("p").alias("below"))
-        entries.append(rows.select(_hash_sql(0, n, "lang", "key").alias("h"), F.log("p").alias("value"), "seen"))
-        entries.append(rows.select("lang", "context", "gamma").distinct()
-                       .select(_hash_sql(1, n, "lang", "context").alias("h"), F.log("gamma").alias("value"),
-                               F.lit(0).cast("long").alias("seen")))
+        # A partial sum a task and context: a hot context is no task's own.
+        context = (rows.groupBy("lang", F.shiftrightunsigned("key", bits).alias("context"))
+                   .agg(F.sum("count").alias("total"), F.sum("cut").alias("freed"), F.sum("seen").alias("seen")))
+        more = F.lit(True) if singles else F.col("seen") > 1
+        entries.append(rows.where(more).select(_entry(GRAM, n, "key", F.col("count") - F.col("cut"), zero, F.col("seen"))))
+        entries.append(context.where(more).select(_entry(CONTEXT, n, "context", F.col("total"), F.col("freed"), F.col("seen"))))
+    if bits == WORDS:
+        size = levels[1].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("n"))
+        entries.append(size.select(_entry(SIZE, 0, zero.cast("long"), F.col("n"), zero, zero)))
     out = entries[0]
     for e in entries[1:]:
         out = out.union(e)
     return out
 
 
-def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: str = "lang", bits: int = BYTES,
+        singles: bool = True) -> Model:
     """Count, estimate and store a model of all documents."""
     spark = docs.sparkSession
-    entries = materialize(estimate(count_ngrams(docs, order, text_col, lang_col), order), "entries")
+    entries = materialize(estimate(count_ngrams(docs, order, text_col, lang_col, bits), order, bits, singles), "entries")
     n, path = entries.count(), shared_uri(spark, "hash-arrays")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,10 +207,10 @@ def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: s
         got = [tuple(c.to_numpy() for c in b.columns) for b in batches]
         if not got:
             return
-        h, v, seen = (np.concatenate(x) for x in zip(*got))
+        h, a, b, seen = (np.concatenate(x) for x in zip(*got))
         uri = f"{path}/part-{part:06d}.harr"
-        write_file(uri, np.array([len(h)], np.int64).tobytes(), h.tobytes(), v.astype(np.float32).tobytes(),
-                   np.minimum(seen, 2**32 - 1).astype(np.uint32).tobytes())
+        write_file(uri, np.array([len(h)], np.int64).tobytes(), h.tobytes(), a.astype(np.float32).tobytes(),
+                   b.astype(np.float32).tobytes(), np.minimum(seen, 2**32 - 1).astype(np.uint32).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in (
             (int(h[0]), pa.int64()), (int(h[-1]), pa.int64()), (len(h), pa.int64()), (uri, pa.string()))],
             names=["lo", "hi", "n", "uri"])
@@ -193,19 +219,23 @@ def fit(docs: DataFrame, order: int = ORDER, text_col: str = "text", lang_col: s
     manifest = (entries.repartitionByRange(files, "h").sortWithinPartitions("h")
                 .mapInArrow(task(write), "lo long, hi long, n long, uri string"))
     rows = materialize(manifest, "hash-array-files").orderBy("lo").collect()  # a row per million entries
-    return Model(order, tuple((r["lo"], r["hi"], r["n"], r["uri"]) for r in rows))
+    return Model(order, tuple((r["lo"], r["hi"], r["n"], r["uri"]) for r in rows), bits)
 
 
 # -- looking up -----------------------------------------------------------------------
+#: Of an array file: hashes, two values, counts.
+_COLUMNS = (np.int64, np.float32, np.float32, np.uint32)
+
+
 def _arrays(uri: str) -> tuple[np.ndarray, ...]:
     buf = read_file(uri)
     n = int(np.frombuffer(buf, np.int64, 1)[0])
     return (np.frombuffer(buf, np.int64, n, 8), np.frombuffer(buf, np.float32, n, 8 + 8 * n),
-            np.frombuffer(buf, np.uint32, n, 8 + 12 * n))
+            np.frombuffer(buf, np.float32, n, 8 + 12 * n), np.frombuffer(buf, np.uint32, n, 8 + 16 * n))
 
 
 class Scorer:
-    """Log probabilities of bytes under a model, in a task."""
+    """Log probabilities of units under a model, in a task."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -219,76 +249,111 @@ class Scorer:
             key = self.model.files[0][3]
             if key not in _WORKER:
                 _WORKER.clear()
-                _WORKER[key] = tuple(np.concatenate(x) for x in zip(*[_arrays(f[3]) for f in self.model.files]))
+                whole = tuple(np.empty(sum(f[2] for f in self.model.files), t) for t in _COLUMNS)
+                at = 0
+                for _, _, n, uri in self.model.files:  # one file beside the whole
+                    for x, part in zip(whole, _arrays(uri)):
+                        x[at:at + n] = part
+                    at += n
+                _WORKER[key] = whole
             yield _WORKER[key]
 
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values (NaN where the model has none) and counts of sorted hashes."""
-        out, seen = np.full(len(h), np.nan, np.float32), np.zeros(len(h), np.uint32)
-        for keys, values, counts in self._files():
+    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both values (NaN where the model has none) and counts of sorted hashes."""
+        out = np.full(len(h), np.nan, np.float32), np.full(len(h), np.nan, np.float32), np.zeros(len(h), np.uint32)
+        for keys, *columns in self._files():
             lo, hi = np.searchsorted(h, keys[0]), np.searchsorted(h, keys[-1], "right")
             at = np.searchsorted(keys, h[lo:hi])
             hit = keys[at] == h[lo:hi]
-            out[lo:hi][hit] = values[at[hit]]
-            seen[lo:hi][hit] = counts[at[hit]]
-        return out, seen
+            for o, c in zip(out, columns):
+                o[lo:hi][hit] = c[at[hit]]
+        return out
 
-    def _entries(self, kind: int, level: int, lang: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        uniq, inverse = np.unique(keys, return_inverse=True)
-        h = spark_hash(kind, level, lang, uniq)
+    def _found(self, wanted: list[tuple[int, int, str, np.ndarray]]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Entries of each (kind, level, language, keys), all looked up in one pass over the files."""
+        uniq = [(u, inverse.astype(np.int32)) for u, inverse in (np.unique(x[3], return_inverse=True) for x in wanted)]
+        h = np.concatenate([spark_hash(kind, level, lang, u) for (kind, level, lang, _), (u, _) in zip(wanted, uniq)])
         order = np.argsort(h)
-        value, seen = np.empty(len(h), np.float32), np.empty(len(h), np.uint32)
-        value[order], seen[order] = self.look_up(h[order])
-        return value[inverse], seen[inverse]
+        got = []
+        for x in self.look_up(h[order]):
+            back = np.empty_like(x)
+            back[order] = x
+            got.append(back)
+        at = 0
+        for u, inverse in uniq:
+            yield tuple(x[at:at + len(u)][inverse] for x in got)
+            at += len(u)
 
     def log_probs(self, lang: str, keys: np.ndarray, own=None) -> np.ndarray:
-        """Log probability of the last byte of each n-gram given the bytes before it.
+        """Log probability of the last unit of each n-gram given the units before it.
 
-        ``own(level)``: how often each n-gram's text has its last ``level`` bytes,
-        if the text is one of those counted.
+        ``own(key)``: how often each n-gram's text has the key made of it, if the text is
+        one of those counted.
         """
-        out = np.zeros(len(keys))
-        open_ = np.arange(len(keys))
-        for level in range(self.model.order, 0, -1):
-            k = keys[open_] & np.uint64((1 << 8 * level) - 1)
-            p, seen = self._entries(0, level, lang, k)
-            hit = ~np.isnan(p)
-            if own is not None:
-                hit &= seen > own(level)[open_]
-            out[open_[hit]] += p[hit]
-            open_, k = open_[~hit], k[~hit]
-            if not len(open_):
-                return out
-            gamma, _ = self._entries(1, level, lang, k >> np.uint64(8))
-            out[open_] += np.where(np.isnan(gamma), 0.0, gamma)
-        out[open_] += np.log(1 / 256)
+        return self.all_log_probs([(lang, keys, own)])[0]
+
+    def all_log_probs(self, parts: list[tuple]) -> list[np.ndarray]:
+        """``log_probs`` of several languages' n-grams."""
+        bits, wanted = self.model.bits, []
+        levels = range(1, self.model.order + 1)
+        for lang, keys, _ in parts:
+            wanted.append((SIZE, 0, lang, np.zeros(1, np.uint64)))
+            for n in levels:
+                k = keys & np.uint64((1 << bits * n) - 1)
+                wanted += [(GRAM, n, lang, k), (CONTEXT, n, lang, self._context(k))]
+        found, out = self._found(wanted), []
+        for _, keys, own in parts:
+            size = next(found)[0][0]
+            p = np.full(len(keys), 1 / 256 if np.isnan(size) else 1 / float(size))
+            for n in levels:
+                k = keys & np.uint64((1 << bits * n) - 1)
+                (count, _, seen), (total, freed, all_seen) = next(found), next(found)
+                hit, known = ~np.isnan(count), ~np.isnan(total)
+                if own is not None:
+                    hit &= seen > own(k)
+                    known &= all_seen > own(self._context(k))
+                q = (np.where(hit, count, 0) + freed.astype(float) * p) / total
+                p = np.where(known, q, p)
+            out.append(np.log(p))
         return out
 
-    def text_scores(self, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> np.ndarray:
-        """Mean log probability per byte of each text without itself (NaN for an empty one)."""
-        total = np.zeros(len(offs) - 1)
-        shift = np.uint64(8 * self.model.order)
+    def _context(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.uint64(self.model.bits)
+
+    def unit_scores(self, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> np.ndarray:
+        """Log probability of each unit of the texts, each text without itself."""
         text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-        pairs, count = np.unique((text.astype(np.uint64) << shift) | padded_keys(data, offs, self.model.order),
-                                 return_counts=True)
-        text, keys = (pairs >> shift).astype(np.int64), pairs & np.uint64((1 << int(shift)) - 1)
+        keys = padded_keys(data, offs, self.model.order, self.model.bits)
+        _, at, inverse, count = np.unique(_of_text(keys, text), return_index=True, return_inverse=True, return_counts=True)
+        text, keys = text[at], keys[at]
         code = {x: k for k, x in enumerate(dict.fromkeys(langs))}
         which = np.array([code[x] for x in langs], np.int64)
+        parts, rows = [], []
         for lang, c in code.items():
-            at = np.flatnonzero(which[text] == c) if len(code) > 1 else np.arange(len(text))
+            at = np.flatnonzero(which[text] == c)
             if len(at):
-                n, t, k = count[at], text[at], keys[at]
-
-                def own(level: int) -> np.ndarray:
-                    if level == self.model.order:
-                        return n
-                    short = (t.astype(np.uint64) << shift) | (k & np.uint64((1 << 8 * level) - 1))
-                    _, inverse = np.unique(short, return_inverse=True)
+                def own(key: np.ndarray, n=count[at], t=text[at]) -> np.ndarray:
+                    _, inverse = np.unique(_of_text(key, t), return_inverse=True)
                     return np.bincount(inverse, n)[inverse]
 
-                total += np.bincount(t, n * self.log_probs(lang, k, own), len(total))
+                parts.append((lang, keys[at], own))
+                rows.append(at)
+        logs = np.empty(len(keys))
+        for at, x in zip(rows, self.all_log_probs(parts) if parts else []):
+            logs[at] = x
+        return logs[inverse]
+
+    def text_scores(self, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> np.ndarray:
+        """Mean log probability per unit of each text without itself (NaN for an empty one)."""
         size = np.diff(offs)
-        return np.divide(total, size, out=np.full(len(total), np.nan), where=size > 0)
+        text = np.repeat(np.arange(len(size)), size)
+        total = np.bincount(text, self.unit_scores(data, offs, langs), len(size))
+        return np.divide(total, size, out=np.full(len(size), np.nan), where=size > 0)
+
+
+def _of_text(keys: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """A hash of each key in its text."""
+    return spans.mix64(spans.mix64(keys) + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def spark_hash(kind: int, level: int, lang: str, keys: np.ndarray) -> np.ndarray:

@@ -27,10 +27,12 @@ from stayrate.llm import ngram_model, spans
 from stayrate.llm.store import materialize, task
 
 BELOW, ABOVE = 8.0, 30.0
-#: The least spread (in log perplexity per byte), for languages whose texts are all alike.
+#: The least spread (in log perplexity per word), for languages whose texts are all alike.
 LEAST_SPREAD = 0.05
 #: Resolution of the quartiles.
 STEP = 0.001
+#: Words scored in one pass over the model, about.
+SCORED_WORDS = 500_000
 _SYMBOLS = spans.byte_set(*map(ord, "#*$%&|<>"))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -78,25 +80,42 @@ def _twice(h: np.ndarray, text: np.ndarray) -> np.ndarray:
 def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_percent: int = 50,
             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``row`` (a struct of the carried columns), the counts, base_failed, lang and log
-    perplexity per byte of every document, stored."""
-    model = ngram_model.fit(docs, text_col=text_col, lang_col=lang_col)
+    perplexity per word (and end) of every document, stored."""
+    model = ngram_model.fit(docs, ngram_model.WORD_ORDER, text_col, lang_col, ngram_model.WORDS, singles=False)
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = ngram_model.Scorer(model)
+
+        def out(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            langs = [x for h in held for x in h[2]]
+            offs = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(h[4]) for h in held]))])
+            scores = -scorer.text_scores(np.concatenate([h[3] for h in held]), offs, langs)
+            at = 0
+            for row, c, lang, _, cut in held:
+                score = scores[at:at + len(cut) - 1]
+                at += len(score)
+                failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > repeat_percent * c["n_words"])
+                yield pa.RecordBatch.from_arrays(
+                    [row, *(pa.array(c[x].astype(np.int64)) for x in _COUNTS),
+                     pa.array(failed), pa.array(lang, pa.string()), pa.array(score, mask=np.isnan(score))],
+                    names=["row", *_COUNTS, "base_failed", "lang", "surprise"])
+
         for batch in batches:
             data, offs = spans.text_buffer(batch.column(1))
             langs = batch.column(2).to_pylist()
+            held, size = [], 0
             for lo, hi in spans.chunks(offs):
                 d, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
-                c = text_counts(d, o)
-                failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > repeat_percent * c["n_words"])
-                score = -scorer.text_scores(d, o, langs[lo:hi])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), *(pa.array(c[x].astype(np.int64)) for x in _COUNTS),
-                     pa.array(failed), pa.array(langs[lo:hi], pa.string()), pa.array(score, mask=np.isnan(score))],
-                    names=["row", *_COUNTS, "base_failed", "lang", "surprise"])
+                held.append((batch.column(0).slice(lo, hi - lo), text_counts(d, o), langs[lo:hi],
+                             *ngram_model.word_units(d, o)))
+                size += len(held[-1][3])
+                if size > SCORED_WORDS:
+                    yield from out(held)
+                    held, size = [], 0
+            if held:
+                yield from out(held)
 
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_units import ODD, WORD, brute_fingerprint
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 from conftest import MEDIUM, SMALL
 from stayrate.llm import (components, embeddings, mixing, ngram_model, packing, quality_classifier, quality_rules, queries,
-                          simhash, stages, store, token_files, toxicity, url_filters, warc)
+                          simhash, spans, stages, store, token_files, toxicity, url_filters, warc)
 
 BYTE, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 #: Columns named like the operators' own.
@@ -259,6 +260,41 @@ def test_kneser_ney_sums_to_one_and_matches_the_textbook(spark):
     assert np.allclose(big.log_probs("xx", keys), scorer.log_probs("xx", keys))
 
 
+def test_word_model_against_brute_force(spark):
+    texts = ["the cat sat on the mat", "the cat ran", "a dog sat on the  mat\n", " ", "one more text"]
+    docs = spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string")
+    grams = ngram_model.count_ngrams(docs, 2, bits=ngram_model.WORDS).collect()
+    padded = [["<s>", *WORD.findall(t), "</s>"] for t in texts]
+    want = collections.Counter(g for w in padded for g in zip(w, w[1:]))
+    assert sorted(r["count"] for r in grams) == sorted(want.values())
+    args = (2, "text", "lang", ngram_model.WORDS)
+    scorers = [ngram_model.Scorer(ngram_model.fit(docs, *args, singles=x)) for x in (True, False)]
+    units, offs = ngram_model.word_units(*spans.text_buffer(pa.array(texts)))
+    assert np.diff(offs).tolist() == [len(w) - 1 for w in padded]
+    # all words and an unknown one, after a known and an unknown word
+    every = np.append(np.unique(units), np.uint64(99))
+    for context in (units[0], np.uint64(98)):
+        assert np.exp(scorers[0].log_probs("xx", (context << np.uint64(32)) | every)).sum() == pytest.approx(1, abs=1e-5)
+    # what occurs once is found by no text but its own, which is scored without it
+    assert np.allclose(*[s.text_scores(units, offs, ["xx"] * 5) for s in scorers])
+
+
+def test_word_order_is_scored_and_the_model_grows(spark):
+    rnd = np.random.default_rng(1)
+    words = [f"w{k}" for k in range(300)]
+    chain = lambda: " ".join(words[x] for x in np.cumsum(rnd.choice([1, 7], 100)) % 300)
+    usual = [(k, chain(), "en") for k in range(200)]
+    mixed = [(900 + k, " ".join(rnd.permutation(t.split())), "en") for k, (_, t, _) in enumerate(usual[:5])]
+    df = spark.createDataFrame(usual + mixed, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["surprise"] for r in quality_rules.measure(df, ["doc_id"]).select("row.doc_id", "surprise").collect()}
+    assert min(got[k] for k in range(900, 905)) > 2 * max(got[k] for k in range(200))
+    # new words are new n-grams, however few letters they are made of
+    sizes = [ngram_model.count_ngrams(df.where(f"doc_id < {n}").withColumn("text", F.expr(
+        "concat_ws(' ', transform(split(text, ' '), (w, i) -> concat(doc_id, '0', i)))")), 2, bits=ngram_model.WORDS).count()
+        for n in (50, 200)]
+    assert sizes[1] > 3.9 * sizes[0]
+
+
 def test_quality_rules(spark, awkward, empty):
     got = rows_of(quality_rules.judge(awkward, awkward.columns).select("row.*", *[F.col(c).alias(f"q_{c}") for c in (
         "n_words", "base_failed", "kept", "surprise")]))
