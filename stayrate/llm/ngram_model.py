@@ -345,10 +345,14 @@ class Scorer:
 
     def text_scores(self, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> np.ndarray:
         """Mean log probability per unit of each text without itself (NaN for an empty one)."""
-        size = np.diff(offs)
-        text = np.repeat(np.arange(len(size)), size)
-        total = np.bincount(text, self.unit_scores(data, offs, langs), len(size))
-        return np.divide(total, size, out=np.full(len(size), np.nan), where=size > 0)
+        return text_means(self.unit_scores(data, offs, langs), offs)
+
+
+def text_means(x: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Mean of each text's units (NaN for an empty one)."""
+    size = np.diff(offs)
+    total = np.bincount(np.repeat(np.arange(len(size)), size), x, len(size))
+    return np.divide(total, size, out=np.full(len(size), np.nan), where=size > 0)
 
 
 def _of_text(keys: np.ndarray, text: np.ndarray) -> np.ndarray:

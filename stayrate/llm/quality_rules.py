@@ -2,10 +2,16 @@
 
 A document must have enough words and not repeat itself, and its perplexity
 under the corpus's own modified Kneser-Ney model must lie in its language's
-band: from ``BELOW`` to ``ABOVE`` robust standard deviations (from quartiles)
-around the median of the log perplexities of the documents that pass the
-counts.  Text that is too predictable is as suspect as noise; the band is wider
-above, because good text may quote a passage in another language.
+band: from ``BELOW`` to ``ABOVE`` robust standard deviations around the median of
+the log perplexities of the documents that pass the counts.  Text that is too
+predictable is as suspect as noise.  The deviation is that of the upper half (from
+the median and the upper quartile), as copies, which are not this operator's to
+remove, pull the lower quartile down.
+
+Good text may quote a passage in another language.  So a document above the band
+is kept if its best quarter is not: the lower quartile of the log perplexities of
+its windows of ``WINDOW`` words.  Noise and text in the wrong language are above it
+throughout.
 
 Defined results: a null or empty text has no words and fails; a null language
 is a language of its own; a null id is kept as it is; repeated rows are
@@ -26,9 +32,11 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 from stayrate.llm import ngram_model, spans
 from stayrate.llm.store import materialize, task
 
-BELOW, ABOVE = 8.0, 30.0
-#: The least spread (in log perplexity per word), for languages whose texts are all alike.
-LEAST_SPREAD = 0.05
+BELOW, ABOVE = 14.0, 2.5
+#: The least deviation (in log perplexity per word), for languages whose texts are all alike.
+LEAST_SPREAD = 0.2
+#: Words (and ends) of a window that stands for a part of a document.
+WINDOW = 20
 #: Resolution of the quartiles.
 STEP = 0.001
 #: Words scored in one pass over the model, about.
@@ -77,10 +85,25 @@ def _twice(h: np.ndarray, text: np.ndarray) -> np.ndarray:
     return count[inverse] > 1 if len(key) else np.empty(0, bool)
 
 
+def best_quarter(surprise: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Lower quartile of the means of each text's windows (NaN for an empty one)."""
+    size = np.diff(offs)
+    windows = -(-size // WINDOW)
+    first = np.concatenate([[0], np.cumsum(windows)])
+    at = np.arange(len(surprise)) - np.repeat(offs[:-1], size)
+    which = np.repeat(first[:-1], size) + at // WINDOW
+    mean = np.bincount(which, surprise, first[-1]) / np.bincount(which, minlength=first[-1])
+    mean = mean[np.lexsort((mean, np.repeat(np.arange(len(size)), windows)))]
+    out = np.full(len(size), np.nan)
+    full = size > 0
+    out[full] = mean[(first[:-1] + (windows - 1) // 4)[full]]
+    return out
+
+
 def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_percent: int = 50,
             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``row`` (a struct of the carried columns), the counts, base_failed, lang and log
-    perplexity per word (and end) of every document, stored."""
+    """``row`` (a struct of the carried columns), the counts, base_failed, lang, log perplexity
+    per word (and end) and that of the best quarter of every document, stored."""
     model = ngram_model.fit(docs, ngram_model.WORD_ORDER, text_col, lang_col, ngram_model.WORDS, singles=False)
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
@@ -91,16 +114,18 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
         def out(held: list[tuple]) -> Iterator[pa.RecordBatch]:
             langs = [x for h in held for x in h[2]]
             offs = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(h[4]) for h in held]))])
-            scores = -scorer.text_scores(np.concatenate([h[3] for h in held]), offs, langs)
+            surprise = -scorer.unit_scores(np.concatenate([h[3] for h in held]), offs, langs)
             at = 0
-            for row, c, lang, _, cut in held:
-                score = scores[at:at + len(cut) - 1]
-                at += len(score)
+            for row, c, lang, units, cut in held:
+                part = surprise[at:at + len(units)]
+                at += len(units)
+                score, best = ngram_model.text_means(part, cut), best_quarter(part, cut)
                 failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > repeat_percent * c["n_words"])
                 yield pa.RecordBatch.from_arrays(
                     [row, *(pa.array(c[x].astype(np.int64)) for x in _COUNTS),
-                     pa.array(failed), pa.array(lang, pa.string()), pa.array(score, mask=np.isnan(score))],
-                    names=["row", *_COUNTS, "base_failed", "lang", "surprise"])
+                     pa.array(failed), pa.array(lang, pa.string()), pa.array(score, mask=np.isnan(score)),
+                     pa.array(best, mask=np.isnan(best))],
+                    names=["row", *_COUNTS, "base_failed", "lang", "surprise", "best_quarter"])
 
         for batch in batches:
             data, offs = spans.text_buffer(batch.column(1))
@@ -119,7 +144,7 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
 
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),
-                         StructField("surprise", DoubleType())])
+                         StructField("surprise", DoubleType()), StructField("best_quarter", DoubleType())])
     return materialize(rows.mapInArrow(task(run), schema), "measured")
 
 
@@ -134,11 +159,11 @@ def bands(measured: DataFrame, below: float = BELOW, above: float = ABOVE) -> Da
     up = Window.partitionBy("lang").orderBy("step")
     whole = Window.partitionBy("lang")
     steps = steps.withColumn("below", F.sum("n").over(up)).withColumn("total", F.sum("n").over(whole))
-    q = [F.min(F.when(F.col("below") >= F.col("total") * x, F.col("step"))) * STEP for x in (0.25, 0.5, 0.75)]
+    q = [F.min(F.when(F.col("below") >= F.col("total") * x, F.col("step"))) * STEP for x in (0.5, 0.75)]
     out = steps.groupBy("lang").agg(*[c.alias(f"q{k}") for k, c in enumerate(q)])
-    spread = F.greatest((F.col("q2") - F.col("q0")) / 1.349, F.lit(LEAST_SPREAD))
-    return out.select(F.col("lang").alias("band_lang"), (F.col("q1") - below * spread).alias("low"),
-                      (F.col("q1") + above * spread).alias("high"))
+    spread = F.greatest((F.col("q1") - F.col("q0")) / 0.6745, F.lit(LEAST_SPREAD))
+    return out.select(F.col("lang").alias("band_lang"), (F.col("q0") - below * spread).alias("low"),
+                      (F.col("q0") + above * spread).alias("high"))
 
 
 def judge(docs: DataFrame, carry: list[str], below: float = BELOW, above: float = ABOVE, **rules) -> DataFrame:
@@ -148,5 +173,5 @@ def judge(docs: DataFrame, carry: list[str], below: float = BELOW, above: float
     # A row per language: broadcast while they are few, else a join that AQE splits.
     limits = F.broadcast(limits) if limits.count() <= ngram_model.BROADCAST_LANGUAGES else limits
     judged = measured.join(limits, F.col("lang") == F.col("band_lang"), "left")
-    inside = F.coalesce(F.col("surprise").between(F.col("low"), F.col("high")), F.lit(False))
+    inside = F.coalesce((F.col("surprise") >= F.col("low")) & (F.least("surprise", "best_quarter") <= F.col("high")), F.lit(False))
     return judged.withColumn("kept", ~F.col("base_failed") & inside)

@@ -108,7 +108,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by text counts and perplexity bands."""
     judged = judge(_table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", "kept", "lang", "surprise", "low", "high")
+                         "base_failed", "kept", "lang", "surprise", "best_quarter", "low", "high")
 
 
 @_query

@@ -322,6 +322,30 @@ def test_perplexity_bands_reject_from_both_sides(spark):
     assert got[901]["surprise"] < got[901]["low"] and not got[901]["kept"]
 
 
+def test_the_band_rejects_foreign_text_and_keeps_quotations(spark):
+    rnd = np.random.default_rng(2)
+    tongues = {x: [f"{x}{k}" for k in range(250)] for x in ("e", "f")}
+    zipf = 1 / np.arange(1, 251)
+    text = lambda x, n: " ".join(rnd.choice(tongues[x], n, p=zipf / zipf.sum()))
+    rows = [(1000 * (x == "f") + k, text(x, 150), x) for x in tongues for k in range(150)]
+    rows += [(5000 + k, text("f", 150), "e") for k in range(3)]  # in the wrong language
+    rows += [(6000 + k, text("e", 60) + " " + text("f", 80) + " " + text("e", 20), "e") for k in range(3)]  # quoting it
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(df, ["doc_id"], repeat_percent=200).select(
+        "row.doc_id", "kept", "surprise", "best_quarter", "low", "high").collect()}
+    assert np.mean([got[k]["kept"] for k in got if k < 5000]) > 0.99
+    assert not any(got[5000 + k]["kept"] for k in range(3))
+    assert all(got[6000 + k]["kept"] and got[6000 + k]["surprise"] > got[6000 + k]["high"] for k in range(3))
+
+
+def test_best_quarter():
+    x, offs = np.random.default_rng(3).random(500), np.array([0, 0, 1, 45, 45, 300, 500])
+    got = quality_rules.best_quarter(x, offs)
+    for k, (a, b) in enumerate(zip(offs, offs[1:])):
+        means = sorted(x[i:min(i + 20, b)].mean() for i in range(a, b, 20))
+        assert np.isnan(got[k]) if a == b else got[k] == pytest.approx(means[(len(means) - 1) // 4])
+
+
 # -- 7 and 4 models -------------------------------------------------------------------------
 def test_classifier_never_sees_the_held_out_fold(spark):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
