@@ -113,7 +113,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, bound: int
 
     (label, index, weight): the latter as binary int32 and float32.  Null ids
     or labels are no training rows; labels given more than once count once, by
-    their largest value.
+    their largest value, and documents that share an id by their least features.
     """
     ship(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label"))
@@ -136,8 +136,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, bound: int
                     names=["id", "label", "index", "weight"])
 
     made = rows.mapInArrow(task(run), "id long, label double, index binary, weight binary")
+    # Rows that share an id count once, added up by task first: `bound` rows at most go on.
+    made = (made.groupBy("id", "label").agg(F.min(F.struct("index", "weight")).alias("one"))
+            .select("id", "label", "one.index", "one.weight"))
     order = F.xxhash64("id")
-    return made.repartition(1).sortWithinPartitions(order, "id", "index").select("label", "index", "weight")
+    return made.repartition(1).sortWithinPartitions(order, "id").select("label", "index", "weight")
 
 
 def read_training(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:

@@ -14,7 +14,7 @@ from test_units import ODD, WORD, brute_fingerprint
 from tokenizers import Tokenizer
 
 from conftest import MEDIUM, SMALL
-from stayrate.llm import (components, embeddings, mixing, ngram_model, packing, quality_classifier, quality_rules, queries,
+from stayrate.llm import (components, embeddings, features, mixing, ngram_model, packing, quality_classifier, quality_rules, queries,
                           simhash, spans, stages, store, token_files, toxicity, url_filters, warc)
 
 BYTE, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -358,6 +358,18 @@ def test_classifier_never_sees_the_held_out_fold(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_training_rows_of_repeated_ids_count_once(spark):
+    base = [(k, f"text number {k} of many") for k in range(200)]
+    rows = base + [(7, f"another text {k % 3}") for k in range(100)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, quality int")
+    got = [features.training_rows(spark.createDataFrame(rows[::step], "doc_id long, text string").repartition(5), labels, "quality",
+                                  50, features.word_presence).collect() for step in (1, -1)]
+    assert len(got[0]) == 50 and got[0] == got[1]
+    every = features.training_rows(spark.createDataFrame(rows, "doc_id long, text string"), labels, "quality", 1000,
+                                   features.word_presence)
+    assert every.count() == 200
+
+
 def test_classifier_on_awkward_tables(spark, awkward, empty):
     labels = spark.createDataFrame([(100, 1), (101, 0), (102, 1), (None, 1), (103, None), (100, 1)], "doc_id long, quality int")
     model = quality_classifier.fit(awkward, labels)
