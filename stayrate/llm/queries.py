@@ -14,6 +14,7 @@ from stayrate.llm.mixing import mix_documents
 from stayrate.llm.packing import pack_documents
 from stayrate.llm.quality_rules import judge
 from stayrate.llm.simhash import simhash_documents
+from stayrate.llm.spelling import spelling_variants
 from stayrate.llm.token_files import read_token_files, write_token_files
 from stayrate.llm.url_filters import filter_urls
 from stayrate.llm.warc import read_warc, write_warc
@@ -97,6 +98,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_documents(_table(spark, sf_dir, "documents"), shingle=3, bits=3)
 
 
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of all documents with their commoner near word and the last word that such forms lead to."""
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings linked at a cosine of 0.95 or more, one of each group kept."""
