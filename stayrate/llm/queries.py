@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stayrate.llm import quality_classifier, toxicity
 from stayrate.llm.embeddings import embedding_links
 from stayrate.llm.mixing import mix_documents
+from stayrate.llm.negatives import hard_negatives
 from stayrate.llm.packing import pack_documents
 from stayrate.llm.quality_rules import judge
 from stayrate.llm.simhash import simhash_documents
@@ -98,6 +99,36 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_documents(_table(spark, sf_dir, "documents"), shingle=3, bits=3)
 
 
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row's positives, over all rows."""
+    x = F.transform("embedding", lambda e: F.floor(256 * e.cast("double")).cast("double"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), x.alias("v"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
 @_query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of all documents with their commoner near word and the last word that such forms lead to."""
