@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import quality_classifier, toxicity
 from stayrate.llm.embeddings import embedding_links
+from stayrate.llm.learned_partitions import nearest_neighbours
 from stayrate.llm.mixing import mix_documents
 from stayrate.llm.negatives import hard_negatives
 from stayrate.llm.packing import pack_documents
@@ -129,6 +130,12 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 """
 
 
+@_query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows of every hundredth row, found through learned partitions of all rows."""
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @_query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of all documents with their commoner near word and the last word that such forms lead to."""
