@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from stayrate.llm.store import task
 
-#: Rows of a slab, about, and slabs of one shuffle partition at least.
+#: Rows of a slab at most and at least, about, and slabs of a shuffle partition between these.
+#: Each slab hands on the best few of a query, so slabs of few rows would only make more of them.
 SLAB_ROWS = 65_536
+LEAST_SLAB_ROWS = 1_024
 SLABS_PER_TASK = 4
 #: Cells that are cut into blocks, at most (see ``layout``).
 HOT_CELLS = 65_536
@@ -74,7 +76,8 @@ def layout(placed: DataFrame, n: int) -> Layout:
     Cells of over a quarter of a slab are cut, and of over n / ``HOT_CELLS`` rows where
     that is more, so the list of them is bounded.
     """
-    slabs = max(SLABS_PER_TASK * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // SLAB_ROWS))
+    for_tasks = SLABS_PER_TASK * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slabs = max(1, min(for_tasks, n // LEAST_SLAB_ROWS), -(-n // SLAB_ROWS))
     most = max(1, n // slabs // 4, n // HOT_CELLS)
     hot = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most)
            .select("cell", F.ceil(F.col("rows") / most).alias("blocks")).orderBy("cell").collect())
