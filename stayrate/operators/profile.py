@@ -7,6 +7,7 @@ range or the means) reach the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.numeric import money_avg
 from stayrate.operators.common import attach, scalars
+from stayrate.operators.gram import gram
 from stayrate.operators.quantiles import quantile_row
 from stayrate.session import cut_lineage
 
@@ -130,32 +132,15 @@ def boxplot_stats(df: DataFrame, col: str, by: Sequence[str] = (), whis: float =
 def correlation_matrix(df: DataFrame, cols: Sequence[str], fill_zero: bool = True) -> DataFrame:
     """Pearson correlations, long form, lower triangle with the diagonal.
 
-    The projected columns are checkpointed once, then two passes: the means
-    (one small aggregate, fitted as constants) and the sums of centred
-    squares and cross products (one sum per pair: numerically stable, one
-    buffer slot each).  A constant column gives NULL instead of an ANSI
-    division error.
+    From the Gram matrix of the columns (``operators.gram``: one aggregate of one vector,
+    centred, so numerically stable); the projected columns are checkpointed once.  A
+    constant column gives NULL instead of an ANSI division error.  Without
+    ``fill_zero`` rows with a null in any column are left out.
     """
     cols = list(cols)
     src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     if fill_zero:
         src = src.fillna(0.0)
-    src = cut_lineage(src)
-    means = scalars(src.agg(*[F.avg(c).alias(c) for c in cols]))
-    dev = src.select(*[(F.col(c) - means[c]).alias(c) for c in cols])
-    aggs = []
-    for i, a in enumerate(cols):
-        for j in range(i + 1):
-            aggs.append(F.sum(F.col(a) * F.col(cols[j])).alias(f"s{i}_{j}"))
-    wide = dev.agg(*aggs)
-    exprs = []
-    for i, a in enumerate(cols):
-        for j in range(i + 1):
-            if i == j:
-                r = F.when(F.col(f"s{i}_{i}") > 0, F.lit(1.0))
-            else:
-                den = F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))
-                r = F.when(den > 0, F.col(f"s{i}_{j}") / den)
-            exprs.append(F.struct(F.lit(a).alias("var1"), F.lit(cols[j]).alias("var2"),
-                                  r.cast("double").alias("corr")))
-    return wide.select(F.explode(F.array(*exprs)).alias("s")).select("s.*")
+    corr = gram(cut_lineage(src), cols).correlation()
+    rows = [(a, cols[j], None if math.isnan(corr[i, j]) else float(corr[i, j])) for i, a in enumerate(cols) for j in range(i + 1)]
+    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, corr double")
