@@ -9,23 +9,20 @@ code per row.  Segment ids are relabelled by mean clv
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.functions.numeric import money_avg
 from stayrate.operators import prep
+from stayrate.operators.gram import gram
+from stayrate.operators.kmeans import KMeansRun, fit_many
 from stayrate.operators.quantiles import quantile_row
 from stayrate.session import cut_lineage
 
 # The reference's segmentation inputs.
 SEG_FEATURES = ["tenure_days", "monthly_fee", "monetary", "total_events", "total_tickets",
                 "avg_satisfaction", "recency_days", "frequency"]
-VEC = "seg_vec"
 MONEY_COLS = {"monthly_fee", "monetary"}
 
 
@@ -39,49 +36,27 @@ def segment_features(features: DataFrame, cols: Sequence[str] = SEG_FEATURES,
     return prep.standardize(df, cols)
 
 
-def _vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=VEC).transform(df)
+def _vectors(df: DataFrame, cols: Sequence[str], *keep: str) -> DataFrame:
+    return df.select(*keep, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
 
 
-def kmeans_best(vec: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300,
-                tol: float = 1e-4, parallelism: int = 4):
-    """Best of ``n_init`` K-Means runs (different seeds) by training cost.
-
-    The runs are independent, so they are submitted as concurrent Spark jobs
-    (like ``parallelism`` in Spark ML's tuning estimators); ties in cost go to
-    the lowest seed."""
-    def fit(i):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol=VEC,
-                       predictionCol="cluster").fit(vec)
-        return i, model, model.summary.trainingCost
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        runs = list(pool.map(fit, range(n_init)))
-    _, best, best_cost = min(runs, key=lambda r: (r[2], r[0]))
-    return best, best_cost
+def kmeans_best(vec: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> KMeansRun | None:
+    """The run of least inertia of ``n_init`` (ties: the lowest seed); all runs share their passes."""
+    runs = fit_many(vec, [(k, seed + i) for i in range(n_init)], max_iter, tol)
+    return min(runs, key=lambda r: (r.inertia, r.seed), default=None)
 
 
 def elbow(scaled: DataFrame, ks: Sequence[int] = range(2, 11), n_init: int = 10, seed: int = 42,
-          cols: Sequence[str] = SEG_FEATURES, parallelism: int = 8) -> DataFrame:
-    """Inertia (sum of squared distances) of the best run for each k; all
-    (k, restart) fits are independent and run as concurrent Spark jobs."""
-    vec = cut_lineage(_vectors(scaled, cols).select(VEC)).persist()  # else every fit caches its own copy
-
-    def fit(job):
-        k, i = job
-        model = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol=VEC,
-                       predictionCol="cluster").fit(vec)
-        return k, model.summary.trainingCost
-
-    jobs = [(int(k), i) for k in ks for i in range(n_init)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        costs = list(pool.map(fit, jobs))
+          cols: Sequence[str] = SEG_FEATURES) -> DataFrame:
+    """Inertia (sum of squared distances) of the best run for each k; all (k, restart) models
+    are updated by the same pass per iteration."""
+    vec = cut_lineage(_vectors(scaled, cols)).persist()
+    runs = fit_many(vec, [(int(k), seed + i) for k in ks for i in range(n_init)])
     vec.unpersist()
-    best = {}
-    for k, c in costs:
-        best[k] = min(best.get(k, float("inf")), c)
-    return scaled.sparkSession.createDataFrame([(k, float(best[k])) for k in sorted(best)],
-                                               "k int, inertia double")
+    best: dict[int, float] = {}
+    for r in runs:
+        best[r.k] = min(best.get(r.k, float("inf")), r.inertia)
+    return scaled.sparkSession.createDataFrame([(k, best[k]) for k in sorted(best)], "k int, inertia double")
 
 
 def assign_segment(scaled: DataFrame, centroids: Sequence[Sequence[float]],
@@ -114,12 +89,13 @@ def relabel_by_value(seg: DataFrame, clv: DataFrame, raw: str = "cluster", out:
 def kmeans_segments(features: DataFrame, clv: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42,
                     key: str = "customer_id"):
     """Best-of-``n_init`` K-Means on the scaled segment features; returns
-    ``(key, segment)`` (relabelled) and the fitted model."""
-    scaled = segment_features(features, key=key)
-    vec = cut_lineage(_vectors(scaled, SEG_FEATURES).select(key, VEC))
-    model, _ = kmeans_best(vec, k, n_init, seed)
-    seg = model.transform(vec).select(key, "cluster")
-    return relabel_by_value(seg, clv, key=key), model
+    ``(key, segment)`` (relabelled) and the best run."""
+    scaled = cut_lineage(segment_features(features, key=key)).persist()
+    run = kmeans_best(_vectors(scaled, SEG_FEATURES), k, n_init, seed)
+    centroids = run.centroids.tolist() if run else [[0.0] * len(SEG_FEATURES)]
+    seg = cut_lineage(assign_segment(scaled, centroids, out="cluster").select(key, "cluster"))
+    scaled.unpersist()
+    return relabel_by_value(seg, clv, key=key), run
 
 
 def segment_summary(seg: DataFrame, clv: DataFrame, churn: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -142,24 +118,21 @@ def segment_profiles(seg: DataFrame, features: DataFrame, cols: Sequence[str] =
 
 def pca_2d(spark: SparkSession, scaled: DataFrame, cols: Sequence[str] = SEG_FEATURES,
            key: str = "customer_id"):
-    """Two principal components of the (already centred) scaled features.
+    """Two principal components of the scaled features, from their Gram matrix.
 
     Each component's sign is fixed so that its largest absolute loading is
     positive.  Returns ``(projection, explained_variance_ratio)`` frames."""
-    vec = _vectors(scaled, cols).select(key, VEC)
-    model = PCA(k=2, inputCol=VEC, outputCol="pc").fit(vec)
-    pcs = model.pc.toArray()                       # d x 2 loadings (driver-side model)
-    signs = []
-    for j in range(pcs.shape[1]):
-        col = pcs[:, j]
-        signs.append(1.0 if col[abs(col).argmax()] >= 0 else -1.0)
-    proj = model.transform(vec).select(key, vector_to_array("pc").alias("a"))
-    proj = proj.select(key, (F.col("a")[0] * F.lit(signs[0])).alias("pc1"),
-                       (F.col("a")[1] * F.lit(signs[1])).alias("pc2"))
-    ev = model.explainedVariance.toArray().tolist()
-    ratios = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(ev)],
+    g = gram(scaled, cols)
+    loadings, shares = g.components(2)
+    parts = []
+    for j in range(loadings.shape[1]):
+        p = F.lit(0.0)
+        for c, m, w in zip(cols, g.mean.tolist(), loadings[:, j].tolist()):
+            p = p + (F.col(c) - F.lit(m)) * F.lit(w)
+        parts.append(p.alias(f"pc{j + 1}"))
+    ratios = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(shares)],
                                    "component int, explained_variance_ratio double")
-    return proj, ratios
+    return scaled.select(key, *parts), ratios
 
 
 def first_k_centroids(scaled: DataFrame, k: int, cols: Sequence[str] = SEG_FEATURES,
