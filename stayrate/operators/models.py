@@ -6,10 +6,12 @@ every iterative fit reads the checkpoint, not the raw scans, and a lost
 executor recomputes from it.  Metrics come from the SQL aggregates in
 ``operators.metrics`` on the held-out part.
 
+Linear and ridge regression solve the normal equations of one shared Gram
+aggregate (``operators.gram``), whatever the number of penalties; the optional
+boosted models are second-order histogram boosting (``operators.boosting``).
+Independent fits run as concurrent Spark jobs.
+
 Parameter mapping from the reference's estimators:
-* ridge ``alpha`` -> ``regParam = alpha * stddev(target) / n_train`` (Spark's
-  squared loss is averaged over rows and halved, and its solver divides the
-  label by its standard deviation),
 * logistic ``C = 1`` -> ``regParam = 1 / sum(weights)`` (Spark averages the
   weighted log-loss),
 * random forest regressor uses all features per split, the classifier sqrt.
@@ -17,18 +19,24 @@ Parameter mapping from the reference's estimators:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.operators import metrics as me
 from stayrate.operators import prep
+from stayrate.operators.boosting import BoostedModel, fit_boosted
+from stayrate.operators.gram import Gram, gram
+from stayrate.operators.store import register_model
 from stayrate.session import cut_lineage
 
 FEATURES = "features"
@@ -65,7 +73,7 @@ def build_model_frame(df: DataFrame, feature_cols: Sequence[str], target: str,
     if class_weighted:
         train_w = prep.class_weights(parts.where(F.col("split") == "train"), TARGET) \
                       .select(TARGET, F.col("weight").alias(WEIGHT))
-        parts = parts.join(F.broadcast(train_w), TARGET, "left").fillna(1.0, [WEIGHT])
+        parts = parts.join(train_w, TARGET, "left").fillna(1.0, [WEIGHT])
     else:
         parts = parts.withColumn(WEIGHT, F.lit(1.0))
     # Cut lineage once: the fits below iterate over this frame many times.
@@ -77,27 +85,104 @@ def build_model_frame(df: DataFrame, feature_cols: Sequence[str], target: str,
 
 
 # ------------------------------------------------------------- estimators
+@register_model
+@dataclass
+class LinearModel:
+    """Fitted coefficients; scoring is column arithmetic."""
+
+    coefficients: DenseVector
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        weights = F.array(*[F.lit(float(w)) for w in self.coefficients])
+        dot = F.aggregate(F.zip_with(vector_to_array(FEATURES), weights, lambda a, b: a * b), F.lit(0.0), lambda t, e: t + e)
+        return df.withColumn("prediction", dot + F.lit(self.intercept))
+
+    def to_json(self) -> str:
+        return json.dumps({"coefficients": self.coefficients.toArray().tolist(), "intercept": self.intercept})
+
+    @classmethod
+    def from_json(cls, text: str) -> "LinearModel":
+        d = json.loads(text)
+        return cls(DenseVector(d["coefficients"]), d["intercept"])
+
+
+class LinearFamily:
+    """Least squares with any penalties: the Gram matrix of a training frame is made once."""
+
+    def __init__(self):
+        self._of: DataFrame | None = None
+        self._gram: Gram | None = None
+
+    def gram(self, train: DataFrame) -> Gram:
+        if self._of is not train:
+            size = len(train.select(FEATURES).first()[0])
+            self._gram = gram(train, [TARGET], FEATURES, [f"x{k}" for k in range(size)])
+            self._of = train
+        return self._gram
+
+    def estimator(self, alpha: float) -> "PenalisedSquares":
+        return PenalisedSquares(self, alpha)
+
+
+@dataclass
+class PenalisedSquares:
+    """min |y - Xb - c|^2 + alpha |b|^2."""
+
+    family: LinearFamily
+    alpha: float
+
+    def fit(self, train: DataFrame) -> LinearModel:
+        coef, intercept = self.family.gram(train).solve(TARGET, self.alpha)
+        return LinearModel(DenseVector(coef), intercept)
+
+
+def fit_ridge_path(train: DataFrame, alphas: Sequence[float]) -> dict[float, LinearModel]:
+    """One model per penalty (0: least squares), all from one aggregate of the training rows."""
+    family = LinearFamily()
+    return {a: family.estimator(a).fit(train) for a in alphas}
+
+
+@dataclass
+class BoostedTrees:
+    """The optional boosted model: second-order histogram boosting."""
+
+    objective: str
+    depth: int
+    n_trees: int = 200
+    rate: float = 0.1
+    ratio_weights: bool = False
+
+    def fit(self, train: DataFrame) -> BoostedModel:
+        weight = None
+        if self.ratio_weights:
+            ratio = prep.scale_pos_weight(train, TARGET).first()["scale_pos_weight"] or 1.0
+            train = train.withColumn("ratio_weight", F.when(F.col(TARGET) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
+            weight = "ratio_weight"
+        return fit_boosted(train, TARGET, FEATURES, weight, self.objective, self.n_trees, self.depth, self.rate)
+
+
+BOOSTED = "Boosted Trees"
+
+
 def regression_estimators(n_train: int, target_sd: float, n_trees: int = 200, seed: int = 42,
                           alpha: float = 1.0, boosted: bool = False) -> dict:
+    family = LinearFamily()
     est = {
-        "Linear Regression": LinearRegression(featuresCol=FEATURES, labelCol=TARGET, regParam=0.0,
-                                              standardization=False),
-        "Ridge Regression": LinearRegression(featuresCol=FEATURES, labelCol=TARGET,
-                                             regParam=alpha * target_sd / max(n_train, 1), elasticNetParam=0.0,
-                                             standardization=False),
+        "Linear Regression": family.estimator(0.0),
+        "Ridge Regression": family.estimator(alpha),
         "Random Forest": RandomForestRegressor(featuresCol=FEATURES, labelCol=TARGET, numTrees=n_trees,
                                                maxDepth=12, featureSubsetStrategy="all", seed=seed),
-        "Gradient Boosting": GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees,
-                                          maxDepth=5, stepSize=0.1, seed=seed),
+        "Gradient Boosting": GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees, cacheNodeIds=True,
+                                          checkpointInterval=10, maxDepth=5, stepSize=0.1, seed=seed),
     }
     if boosted:
-        est["Boosted Trees (depth 6)"] = GBTRegressor(featuresCol=FEATURES, labelCol=TARGET,
-                                                      maxIter=n_trees, maxDepth=6, stepSize=0.1, seed=seed)
+        est[BOOSTED] = BoostedTrees("squared", 6, n_trees)
     return est
 
 
 def classification_estimators(sum_weights: float, n_trees: int = 200, seed: int = 42,
-                              weighted: bool = True) -> dict:
+                              weighted: bool = True, boosted: bool = False) -> dict:
     wcol = {"weightCol": WEIGHT} if weighted else {}
     est = {
         "Logistic Regression": LogisticRegression(featuresCol=FEATURES, labelCol=TARGET, maxIter=1000,
@@ -105,20 +190,23 @@ def classification_estimators(sum_weights: float, n_trees: int = 200, seed: int
                                                   standardization=False, **wcol),
         "Random Forest": RandomForestClassifier(featuresCol=FEATURES, labelCol=TARGET, numTrees=n_trees,
                                                 maxDepth=10, featureSubsetStrategy="sqrt", seed=seed, **wcol),
-        "Gradient Boosting": GBTClassifier(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees,
-                                           maxDepth=4, stepSize=0.1, seed=seed, **wcol),
+        "Gradient Boosting": GBTClassifier(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees, cacheNodeIds=True,
+                                           checkpointInterval=10, maxDepth=4, stepSize=0.1, seed=seed, **wcol),
     }
+    if boosted:  # positives weigh negatives / positives of the training part; no resampling
+        est[BOOSTED] = BoostedTrees("logistic", 5, n_trees, ratio_weights=True)
     return est
 
 
-def fit_boosted_classifier(mf: "ModelFrame", n_trees: int = 200, seed: int = 42):
+def fit_boosted_regressor(mf: "ModelFrame", n_trees: int = 200) -> BoostedModel:
+    """Depth-6 boosted trees on the training part."""
+    return BoostedTrees("squared", 6, n_trees).fit(mf.train)
+
+
+def fit_boosted_classifier(mf: "ModelFrame", n_trees: int = 200) -> BoostedModel:
     """Depth-5 boosted trees where positives weigh negatives / positives of the
     training part (the class-ratio variant; no resampling)."""
-    ratio = prep.scale_pos_weight(mf.train, TARGET).first()["scale_pos_weight"] or 1.0
-    train = mf.train.withColumn("ratio_weight", F.when(F.col(TARGET) == 1, F.lit(float(ratio)))
-                                .otherwise(F.lit(1.0)))
-    return GBTClassifier(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees, maxDepth=5, stepSize=0.1,
-                         seed=seed, weightCol="ratio_weight").fit(train)
+    return BoostedTrees("logistic", 5, n_trees, ratio_weights=True).fit(mf.train)
 
 
 # ---------------------------------------------------------------- scoring
@@ -132,46 +220,65 @@ def score_regression(model, df: DataFrame, key: str = "customer_id", log_target:
 def score_classification(model, df: DataFrame, key: str = "customer_id") -> DataFrame:
     """Class at 0.5 and the probability of class 1."""
     p = model.transform(df)
-    return p.select(key, F.col(TARGET).cast("int").alias("label"),
-                    vector_to_array("probability")[1].alias("score"),
+    one = F.col("probability") if dict(p.dtypes)["probability"] == "double" else vector_to_array("probability")[1]
+    return p.select(key, F.col(TARGET).cast("int").alias("label"), one.alias("score"),
                     F.col("prediction").cast("int").alias("prediction"))
 
 
 # ------------------------------------------------------------- bake-offs
-def compare_regressors(mf: ModelFrame, n_trees: int = 200, seed: int = 42, boosted: bool = False):
+def _fit_all(estimators: dict, train: DataFrame, measure: Callable, parallelism: int) -> tuple[dict, list]:
+    """Every model and its metrics; fits are independent, so they run as concurrent jobs."""
+    def one(item):
+        name, est = item
+        model = est.fit(train)
+        return name, model, measure(model)
+
+    kept = train.persist()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            done = list(pool.map(one, estimators.items()))
+    finally:
+        kept.unpersist()
+    return {n: m for n, m, _ in done}, [(n, *r) for n, _, r in done]
+
+
+def _best(rows: list, at: int) -> str | None:
+    """The name with the largest value; the first one wins ties."""
+    best = None
+    for r in rows:
+        if r[at] is not None and (best is None or r[at] > best[at]):
+            best = r
+    return best and best[0]
+
+
+def compare_regressors(mf: ModelFrame, n_trees: int = 200, seed: int = 42, boosted: bool = False, parallelism: int = 3):
     """Fit every regressor on train; RMSE / MAE / R² on test (dollar scale);
     best (flagged ``is_best``) = highest R² (the first one wins ties)."""
-    spark = mf.train.sparkSession
-    rows, best, best_r2, fitted = [], None, float("-inf"), {}
-    for name, est in regression_estimators(mf.n_train, mf.target_sd, n_trees, seed, boosted=boosted).items():
-        model = est.fit(mf.train)
-        fitted[name] = model
+    def measure(model):
         m = me.regression_metrics(score_regression(model, mf.test)).first()
-        rows.append((name, float(m["rmse"]), float(m["mae"]), float(m["r2"])))
-        if m["r2"] is not None and m["r2"] > best_r2:
-            best, best_r2 = name, m["r2"]
-    rows = [(*r, r[0] == best) for r in rows]
-    table = spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double, is_best boolean")
+        return float(m["rmse"]), float(m["mae"]), float(m["r2"])
+
+    fitted, rows = _fit_all(regression_estimators(mf.n_train, mf.target_sd, n_trees, seed, boosted=boosted), mf.train, measure, parallelism)
+    best = _best(rows, 3)
+    table = mf.train.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows],
+                                                  "model string, rmse double, mae double, r2 double, is_best boolean")
     return table, best, fitted
 
 
-def compare_classifiers(mf: ModelFrame, n_trees: int = 200, seed: int = 42, weighted: bool = True):
+def compare_classifiers(mf: ModelFrame, n_trees: int = 200, seed: int = 42, weighted: bool = True, boosted: bool = False,
+                        parallelism: int = 3):
     """Fit every classifier on train; AUC / precision / recall / F1 on test;
     best (flagged ``is_best``) = highest AUC (the first one wins ties)."""
-    spark = mf.train.sparkSession
-    sum_w = mf.train.agg(F.sum(WEIGHT)).first()[0] or float(mf.n_train)
-    rows, best, best_auc, fitted = [], None, -1.0, {}
-    for name, est in classification_estimators(sum_w, n_trees, seed, weighted).items():
-        model = est.fit(mf.train)
-        fitted[name] = model
+    def measure(model):
         scored = cut_lineage(score_classification(model, mf.test))  # two metrics read it
-        auc = me.roc_auc(scored).first()["auc"]
         prf = me.precision_recall_f1(scored).first()
-        rows.append((name, float(auc), float(prf["precision"]), float(prf["recall"]), float(prf["f1"])))
-        if auc is not None and auc > best_auc:
-            best, best_auc = name, auc
-    rows = [(*r, r[0] == best) for r in rows]
-    table = spark.createDataFrame(rows, "model string, auc double, precision double, recall double, f1 double, is_best boolean")
+        return float(me.roc_auc(scored).first()["auc"]), float(prf["precision"]), float(prf["recall"]), float(prf["f1"])
+
+    sum_w = mf.train.agg(F.sum(WEIGHT)).first()[0] or float(mf.n_train)
+    fitted, rows = _fit_all(classification_estimators(sum_w, n_trees, seed, weighted, boosted), mf.train, measure, parallelism)
+    best = _best(rows, 1)
+    table = mf.train.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows],
+                                                  "model string, auc double, precision double, recall double, f1 double, is_best boolean")
     return table, best, fitted
 
 

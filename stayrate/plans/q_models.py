@@ -2,7 +2,7 @@
 
 Models are non-deterministic across partitionings, so these carry no SQL
 oracle; tests check their properties instead.  The queries that share a
-bake-off share its fitted models within a session.
+bake-off share its fitted models: they lie in a model store under the shared folder.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from stayrate.operators import eda
 from stayrate.operators import features as fe
 from stayrate.operators import metrics as me
 from stayrate.operators import models as mo
+from stayrate.operators.store import Bundle, ModelStore
 from stayrate.plans.q_features import features_df
 from stayrate.plans.registry import finish, register
-from stayrate.session import cut_lineage
+from stayrate.session import checkpoint_dir, cut_lineage
 from stayrate.sources.fixtures import fixture
 
 N_TREES = 200
@@ -35,70 +36,90 @@ def churn_frame(spark, sf) -> mo.ModelFrame:
     return mo.build_model_frame(df, cols, "churn_30d", stratify=True, class_weighted=True)
 
 
-_cache: dict = {}
+def _store(spark) -> ModelStore:
+    return ModelStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/stayrate-models")
 
 
-def _regression(spark, sf):
-    key = ("reg", spark.sparkContext.applicationId, sf)
-    if key not in _cache:
-        mf = clv_frame(spark, sf)
-        table, best, fitted = mo.compare_regressors(mf, N_TREES)
-        _cache[key] = (mf, table, best, fitted)
-    return _cache[key]
+class Bakeoff:
+    """A stored bake-off: its table, the test part and the fitted models by name."""
 
+    def __init__(self, bundle: Bundle, schema: str):
+        self.bundle, self.facts = bundle, bundle.facts
+        self.table = bundle.spark.createDataFrame([tuple(r) for r in self.facts["table"]], schema)
+        self.test, self.train = bundle.frame("test"), bundle.frame("train")
+        self.best, self.feature_cols = self.facts["best"], self.facts["feature_cols"]
 
-def _classification(spark, sf):
-    key = ("cls", spark.sparkContext.applicationId, sf)
-    if key not in _cache:
-        mf = churn_frame(spark, sf)
-        table, best, fitted = mo.compare_classifiers(mf, N_TREES)
-        _cache[key] = (mf, table, best, fitted)
-    return _cache[key]
+    def model(self, name: str | None = None):
+        return self.bundle.model(name or self.best)
+
+
+def _bakeoff(spark, sf, name: str, frame, compare, schema: str) -> Bakeoff:
+    """Fitted once per input and parameters: later sessions on the same folder load it."""
+    fx = fixture(spark, sf)
+    store = _store(spark)
+    key = store.key(name, [fx.customers, fx.transactions, fx.events, fx.support_tickets], {"n_trees": N_TREES, "seed": 42})
+
+    def fit():
+        mf = frame(spark, sf)
+        table, best, fitted = compare(mf, N_TREES, boosted=True)
+        return fitted, {"train": mf.train, "test": mf.test}, {
+            "table": [list(r) for r in table.collect()], "best": best, "feature_cols": mf.feature_cols}
+
+    return Bakeoff(store.get_or_fit(key, fit), schema)
+
+
+def _regression(spark, sf) -> Bakeoff:
+    return _bakeoff(spark, sf, "regression", clv_frame, mo.compare_regressors,
+                    "model string, rmse double, mae double, r2 double, is_best boolean")
+
+
+def _classification(spark, sf) -> Bakeoff:
+    return _bakeoff(spark, sf, "classification", churn_frame, mo.compare_classifiers,
+                    "model string, auc double, precision double, recall double, f1 double, is_best boolean")
 
 
 @register("compare_models_regression")
 def q_compare_models_regression(spark, sf):
     """Linear, ridge, random forest and boosted trees on log1p(clv)."""
-    return finish(_regression(spark, sf)[1])
+    return finish(_regression(spark, sf).table)
 
 
 @register("score_regression")
 def q_score_regression(spark, sf):
     """Test-part predictions of the best regressor, back on the dollar scale."""
-    mf, _, best, fitted = _regression(spark, sf)
-    return finish(mo.score_regression(fitted[best], mf.test))
+    b = _regression(spark, sf)
+    return finish(mo.score_regression(b.model(), b.test))
 
 
 @register("feature_importance_regression")
 def q_feature_importance_regression(spark, sf):
-    mf, _, best, fitted = _regression(spark, sf)
-    return finish(mo.feature_importance(spark, fitted[best], mf.feature_cols, 15))
+    b = _regression(spark, sf)
+    return finish(mo.feature_importance(spark, b.model(), b.feature_cols, 15))
 
 
 @register("compare_models_classification")
 def q_compare_models_classification(spark, sf):
     """Weighted logistic regression, weighted random forest, boosted trees."""
-    return finish(_classification(spark, sf)[1])
+    return finish(_classification(spark, sf).table)
 
 
 @register("score_classification")
 def q_score_classification(spark, sf):
-    mf, _, best, fitted = _classification(spark, sf)
-    return finish(mo.score_classification(fitted[best], mf.test))
+    b = _classification(spark, sf)
+    return finish(mo.score_classification(b.model(), b.test))
 
 
 @register("feature_importance_classification")
 def q_feature_importance_classification(spark, sf):
-    mf, _, best, fitted = _classification(spark, sf)
-    return finish(mo.feature_importance(spark, fitted[best], mf.feature_cols, 15))
+    b = _classification(spark, sf)
+    return finish(mo.feature_importance(spark, b.model(), b.feature_cols, 15))
 
 
 def _per_classifier(spark, sf, measure):
     """``measure`` of every fitted classifier on the test part, under its name."""
-    mf, _, _, fitted = _classification(spark, sf)
-    out = None
-    for name, model in fitted.items():
-        scored = cut_lineage(mo.score_classification(model, mf.test))
+    b, out = _classification(spark, sf), None
+    for name in b.bundle.models:
+        scored = cut_lineage(mo.score_classification(b.model(name), b.test))
         one = measure(scored).select(F.lit(name).alias("model"), "*")
         out = one if out is None else out.unionByName(one)
     return out
@@ -125,30 +146,23 @@ def q_model_average_precision(spark, sf):
 @register("best_model_confusion_matrix")
 def q_best_model_confusion_matrix(spark, sf):
     """Confusion matrix of the best classifier on the test part."""
-    mf, _, best, fitted = _classification(spark, sf)
-    return finish(me.confusion_matrix(mo.score_classification(fitted[best], mf.test)))
-
-
-@register("fit_boosted_classifier")
-def q_fit_boosted_classifier(spark, sf):
-    """Class-ratio weighted boosted trees (depth 5), scored on the test part."""
-    mf = _classification(spark, sf)[0]
-    model = mo.fit_boosted_classifier(mf, N_TREES)
-    return finish(mo.score_classification(model, mf.test))
+    b = _classification(spark, sf)
+    return finish(me.confusion_matrix(mo.score_classification(b.model(), b.test)))
 
 
 # One query per fitted estimator of the bake-offs, scored on the
-# test part.  They reuse the models fitted by the bake-off in this session.
+# test part; models come from the store.
 REGRESSORS = {"fit_linear": "Linear Regression", "fit_ridge": "Ridge Regression",
-              "fit_rf_regressor": "Random Forest", "fit_gbt_regressor": "Gradient Boosting"}
+              "fit_rf_regressor": "Random Forest", "fit_gbt_regressor": "Gradient Boosting",
+              "fit_boosted_regressor": mo.BOOSTED}
 CLASSIFIERS = {"fit_logistic": "Logistic Regression", "fit_rf_classifier": "Random Forest",
-               "fit_gbt_classifier": "Gradient Boosting"}
+               "fit_gbt_classifier": "Gradient Boosting", "fit_boosted_classifier": mo.BOOSTED}
 
 for _q, _model in REGRESSORS.items():
     def _mk(model_name):
         def q(spark, sf):
-            mf, _, _, fitted = _regression(spark, sf)
-            return finish(mo.score_regression(fitted[model_name], mf.test))
+            b = _regression(spark, sf)
+            return finish(mo.score_regression(b.model(model_name), b.test))
         q.__doc__ = f"{model_name} on log1p(clv), test-part predictions in dollars."
         return q
     register(_q)(_mk(_model))
@@ -156,8 +170,8 @@ for _q, _model in REGRESSORS.items():
 for _q, _model in CLASSIFIERS.items():
     def _mk(model_name):
         def q(spark, sf):
-            mf, _, _, fitted = _classification(spark, sf)
-            return finish(mo.score_classification(fitted[model_name], mf.test))
+            b = _classification(spark, sf)
+            return finish(mo.score_classification(b.model(model_name), b.test))
         q.__doc__ = f"{model_name} churn classifier, test-part class and probability."
         return q
     register(_q)(_mk(_model))

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from stayrate.operators import eda
-from stayrate.operators import models as mo
 from stayrate.operators import profile as pr
 from stayrate.operators import segments as sg
 from stayrate.plans import q_profile, q_segments
-from stayrate.plans.q_models import _regression, N_TREES
 from stayrate.plans.registry import ORACLES, R, finish, register
 from stayrate.session import checkpoint_dir
 from stayrate.sources.fixtures import fixture, oracle_with
@@ -55,14 +51,3 @@ def q_sort_by_customer_date(spark, sf):
 def q_histogram_clv_40(spark, sf):
     """The dashboard's 40-bin clv histogram."""
     return finish(pr.histogram(fixture(spark, sf).clv_labels, "clv", 40))
-
-
-@register("fit_boosted_regressor")
-def q_fit_boosted_regressor(spark, sf):
-    """Depth-6 boosted trees (learning rate 0.1) on log1p(clv), scored on the
-    test part back on the dollar scale."""
-    mf = _regression(spark, sf)[0]
-    from pyspark.ml.regression import GBTRegressor
-    model = GBTRegressor(featuresCol=mo.FEATURES, labelCol=mo.TARGET, maxIter=N_TREES, maxDepth=6,
-                         stepSize=0.1, seed=42).fit(mf.train)
-    return finish(mo.score_regression(model, mf.test))

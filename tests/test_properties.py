@@ -81,7 +81,7 @@ def test_auc_and_ap_match_brute_force(spark):
 def test_models_and_importances(spark):
     from stayrate.plans import QUERIES
     table = QUERIES["compare_models_regression"](spark, SMALL).collect()
-    assert len(table) == 4 and all(r.rmse >= 0 for r in table)
+    assert len(table) == 5 and all(r.rmse >= 0 for r in table)
     imp = QUERIES["feature_importance_classification"](spark, SMALL).collect()
     assert 0 < len(imp) <= 15
     scored = QUERIES["score_classification"](spark, SMALL).collect()
@@ -99,9 +99,56 @@ def test_models_and_importances(spark):
     assert cells
     assert {r.model for r in QUERIES["model_average_precision"](spark, SMALL).collect()} == set(auc)
     from stayrate.plans.q_models import _classification
-    best = [f for n, f in _classification(spark, SMALL)[3].items() if hasattr(f, "featureImportances")]
-    assert all(f.featureImportances.toArray().sum() == pytest.approx(1.0) for f in best)
-    assert all(f.getNumTrees == 200 for f in best)
+    bundle = _classification(spark, SMALL).bundle
+    assert len(bundle.models) == 4
+    trees = [m for m in map(bundle.model, bundle.models) if hasattr(m, "featureImportances")]
+    assert len(trees) == 3 and all(f.featureImportances.toArray().sum() == pytest.approx(1.0) for f in trees)
+    assert all(getattr(f, "getNumTrees", 200) == 200 for f in trees)
+    for name in ("fit_boosted_regressor", "fit_boosted_classifier", "fit_ridge"):
+        assert QUERIES[name](spark, SMALL).count() > 0
+
+
+def test_a_second_session_scores_without_fitting(spark, monkeypatch):
+    """The models of a bake-off come from the store; changed input has another key."""
+    from stayrate.operators import models as mo
+    from stayrate.plans import q_models
+    first = q_models._classification(spark, SMALL)
+    monkeypatch.setattr(mo, "build_model_frame", lambda *a, **k: pytest.fail("fitted again"))
+    other = spark.newSession()
+    again = q_models._classification(other, SMALL)
+    assert again.bundle.path == first.bundle.path
+    a = {r.customer_id: r.score for r in mo.score_classification(first.model(), first.test).collect()}
+    b = {r.customer_id: r.score for r in mo.score_classification(again.model(), again.test).collect()}
+    assert a == b
+    from stayrate.operators.store import fingerprint
+    one, two = spark.range(5), spark.range(6)
+    assert fingerprint(one) == fingerprint(spark.range(5).repartition(3)) != fingerprint(two)
+
+
+def test_the_store_keeps_whole_bundles_only(spark, tmp_path):
+    from stayrate.operators.store import ModelStore
+    from stayrate.operators.models import LinearModel
+    from pyspark.ml.linalg import DenseVector
+    store = ModelStore(spark, str(tmp_path))
+    key = store.key("m", [spark.range(3)], {"a": 1})
+    assert key != store.key("m", [spark.range(3)], {"a": 2}) and store.get(key) is None
+
+    def broken():
+        return {"lin": LinearModel(DenseVector([1.0, 2.0]), 3.0), "bad": object()}, {}, {}
+
+    with pytest.raises(AttributeError):
+        store.get_or_fit(key, broken)
+    assert store.get(key) is None
+    fits = []
+
+    def whole():
+        fits.append(1)
+        return {"lin": LinearModel(DenseVector([1.0, 2.0]), 3.0)}, {"rows": spark.range(4)}, {"best": "lin"}
+
+    for _ in range(2):
+        b = store.get_or_fit(key, whole)
+        assert b.model("lin").coefficients.toArray().tolist() == [1.0, 2.0] and b.frame("rows").count() == 4
+    assert fits == [1] and b.facts == {"best": "lin"}
 
 
 @pytest.mark.parametrize("alpha", [1.0, 25.0])
