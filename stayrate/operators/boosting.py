@@ -89,23 +89,33 @@ def _kernels() -> tuple[Callable, Callable, Callable, Callable]:
             return w * (p - y), np.maximum(w * p * (1 - p), 1e-16)
         return w * (margin - y), w
 
-    def best_split(g, h, lam, gamma, least):
-        """(cut, missing left, gain, GL, HL) of sums per bin, the last one of missing values."""
-        total_g, total_h = g.sum(), h.sum()
-        gl, hl = np.cumsum(g[:-1])[:-1], np.cumsum(h[:-1])[:-1]
-        found = (0, False, -np.inf, 0.0, 0.0)
+    def best_splits(sums, lam, gamma, least):
+        """Rows of cut, missing left, gain, GL, HL, G, H for sums (2, rows, bins); the last bin is of missing values."""
+        g, h = sums
+        every = np.arange(g.shape[0])
+        total_g, total_h = g.sum(axis=1), h.sum(axis=1)
+        gl, hl = np.cumsum(g[:, :-1], axis=1)[:, :-1], np.cumsum(h[:, :-1], axis=1)[:, :-1]
+        out = np.zeros((len(every), 7))
+        out[:, 2], out[:, 5], out[:, 6] = -np.inf, total_g, total_h
         for miss in (False, True):
-            a, b = (gl + g[-1], hl + h[-1]) if miss else (gl, hl)
-            right = total_h - b
+            a, b = (gl + g[:, -1:], hl + h[:, -1:]) if miss else (gl, hl)
+            right_g, right = total_g[:, None] - a, total_h[:, None] - b
             with np.errstate(divide="ignore", invalid="ignore"):
-                gain = 0.5 * (a * a / (b + lam) + (total_g - a) ** 2 / (right + lam) - total_g ** 2 / (total_h + lam)) - gamma
+                gain = 0.5 * (a * a / (b + lam) + right_g ** 2 / (right + lam) - (total_g ** 2 / (total_h + lam))[:, None]) - gamma
             gain = np.where((b >= least) & (right >= least), gain, -np.inf)
-            if len(gain) and np.isfinite(gain.max()) and gain.max() > found[2] + same * abs(gain.max()):
-                at = int(np.flatnonzero(gain >= gain.max() - same * abs(gain.max()))[0])
-                found = (at, miss, float(gain[at]), float(a[at]), float(b[at]))
-        return found
+            if not gain.shape[1]:
+                continue
+            top = gain.max(axis=1)
+            real = np.isfinite(top)
+            near = np.where(real, top - same * np.abs(np.where(real, top, 0)), np.inf)
+            at = (gain >= near[:, None]).argmax(axis=1)  # the first of equal gains
+            value = gain[every, at]
+            better = real & (value > np.where(np.isfinite(out[:, 2]), out[:, 2] + same * np.abs(np.where(real, top, 0)), -np.inf))
+            new = np.stack([at, np.full(len(at), miss), value, a[every, at], b[every, at]], axis=1)
+            out[better, :5] = new[better]
+        return out
 
-    return walk, binned, derivatives, best_split
+    return walk, binned, derivatives, best_splits
 
 
 @register_model
@@ -202,9 +212,10 @@ def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: s
         mean = float(np.log(max(mean, 1e-9) / max(1 - mean, 1e-9)))
     model = BoostedModel(objective, float(mean), rate, cuts)
     data = _binned(rows, cuts, float(mean))
+    tasks = data.rdd.getNumPartitions()
     pending: list[tuple] = []
     for _ in range(n_trees):
-        tree = _grow(data, pending, model, depth, lam, gamma, min_child_weight)
+        tree = _grow(data, tasks, pending, model, depth, lam, gamma, min_child_weight)
         model.trees.append(tree)
         pending.append(tree.arrays())
         if tree.feature[0] < 0 and abs(tree.weight[0]) < 1e-9:  # nothing left to gain
@@ -255,11 +266,12 @@ def _advanced(data: DataFrame, pending: list[tuple], rate: float, n: int) -> Dat
     return cut_lineage(data.mapInArrow(run, _ROW)).persist()
 
 
-def _grow(data: DataFrame, pending: list[tuple], model: BoostedModel, depth: int, lam: float, gamma: float, least: float) -> Tree:
+def _grow(data: DataFrame, tasks: int, pending: list[tuple], model: BoostedModel, depth: int, lam: float, gamma: float,
+          least: float) -> Tree:
     tree = Tree.empty(depth)
     open_ = [0]
     for level in range(depth):
-        splits = _level(data, pending, model, tree, open_, lam, gamma, least)
+        splits = _level(data, tasks, pending, model, tree, open_, lam, gamma, least)
         after = []
         for node in open_:
             best = splits.get(node)
@@ -279,10 +291,10 @@ def _grow(data: DataFrame, pending: list[tuple], model: BoostedModel, depth: int
     return tree
 
 
-def _level(data: DataFrame, pending: list[tuple], model: BoostedModel, tree: Tree, nodes: list[int],
+def _level(data: DataFrame, tasks: int, pending: list[tuple], model: BoostedModel, tree: Tree, nodes: list[int],
            lam: float, gamma: float, least: float) -> dict[int, tuple]:
     """(feature, cut, missing left, gain, GL, HL, G, H) of the best split of each node."""
-    walk, _, derivatives, best_split = _kernels()
+    walk, _, derivatives, best_splits = _kernels()
     import numpy as np
     import pyarrow as pa
 
@@ -290,7 +302,7 @@ def _level(data: DataFrame, pending: list[tuple], model: BoostedModel, tree: Tre
     objective, rate, trees, grown = model.objective, model.rate, list(pending), tree.arrays()
     place = np.full(len(tree.feature), -1)
     place[nodes] = np.arange(len(nodes))
-    many, missing_byte = len(nodes), MISSING
+    many, missing_byte, fields = len(nodes), MISSING, ["cut", "missing_left", "gain", "gl", "hl", "g", "h"]
 
     def histogram(batches):
         total = np.zeros((2, many * n * width))
@@ -325,20 +337,20 @@ def _level(data: DataFrame, pending: list[tuple], model: BoostedModel, tree: Tre
             for k, f, s in zip(*(c.to_pylist() for c in batch.columns)):
                 sums = np.frombuffer(s).reshape(2, width)
                 held[k, f] = held[k, f] + sums if (k, f) in held else sums
-        rows = [(k, f, *best_split(*s, lam, gamma, least), float(s[0].sum()), float(s[1].sum())) for (k, f), s in sorted(held.items())]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                pa.int32(), pa.int32(), pa.int32(), pa.bool_(), *[pa.float64()] * 5))],
-                names=["node", "feature", "cut", "missing_left", "gain", "gl", "hl", "g", "h"])
+        if held:
+            found = best_splits(np.stack(list(held.values()), axis=1), lam, gamma, least)
+            keys = np.array(list(held))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0], pa.int32()), pa.array(keys[:, 1], pa.int32()), *map(pa.array, found.T)],
+                                             names=["node", "feature", *fields])
 
-    if data.rdd.getNumPartitions() * 16 * many * n * width <= DIRECT_BYTES:
+    if tasks * 16 * many * n * width <= DIRECT_BYTES:
         sums = sum(np.frombuffer(r["sums"]) for r in data.mapInArrow(whole, "sums binary").collect()).reshape(2, many, n, width)
-        rows = [(k, f, *best_split(*sums[:, k, f], lam, gamma, least), sums[0, k, f].sum(), sums[1, k, f].sum())
-                for k in range(many) for f in range(n)]
+        found = best_splits(sums.reshape(2, many * n, width), lam, gamma, least)
+        rows = [(*divmod(i, n), *r) for i, r in enumerate(found.tolist())]
     else:
         rows = (data.mapInArrow(by_feature, "node int, feature int, sums binary")
                 .repartition(min(many * n, int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "node", "feature")
-                .mapInArrow(splits, "node int, feature int, cut int, missing_left boolean, gain double, gl double, hl double, g double, h double")
+                .mapInArrow(splits, "node int, feature int, " + ", ".join(f"{c} double" for c in fields))
                 .collect())
     out: dict[int, tuple] = {}
     for k, f, *rest in sorted(map(tuple, rows)):
