@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.dates import as_date, tenure_days
-from stayrate.functions.encoding import encode_with_levels, fit_levels
+from stayrate.functions.encoding import encode_with_levels, fit_levels, label_encode
 from stayrate.functions.numeric import clip_lower, money_sum, safe_div
 
 DEFAULT_AS_OF = "2024-12-31"
@@ -89,15 +89,21 @@ def txn_features(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     )
 
 
+def _distinct(c) -> F.Column:
+    """Exact number of different values of a column with few (days, kinds): the sets merge on the
+    way, and unlike two ``countDistinct`` they keep the rows' partitioning by customer."""
+    return F.size(F.collect_set(c)).cast("long")
+
+
 def event_stats(events: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Event volume, diversity, value and distinct active days per customer."""
     e = _on_or_before(events, "event_date", as_of)
     return e.groupBy("customer_id").agg(
         F.count("event_type").alias("total_events"),
-        F.countDistinct("event_type").alias("unique_event_types"),
+        _distinct("event_type").alias("unique_event_types"),
         F.sum("event_value").alias("total_event_value"),
         F.avg("event_value").alias("avg_event_value"),
-        F.countDistinct(F.col("event_date").cast("date")).alias("active_days"),
+        _distinct(F.col("event_date").cast("date")).alias("active_days"),
     )
 
 
@@ -176,12 +182,19 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
     """
     levels = fit_levels(customers, ["plan_type", "gender"] + ([] if countries is not None else ["country"]))
     country_levels = sorted(countries) if countries is not None else levels["country"]
+    if country_levels is None:
+        raise ValueError("too many countries for a column each: pass the ones wanted, or use one_hot_vector")
+    given = customers.columns
+    for c in ("plan_type", "gender"):
+        if levels[c] is None:  # too many for a constant: joined from a distributed dictionary
+            customers = label_encode(customers, c, f"_{c}_code")
+    code = {c: encode_with_levels(c, levels[c]) if levels[c] is not None else F.when(F.col(c).isNotNull(), F.col(f"_{c}_code"))
+            for c in ("plan_type", "gender")}
     tenure = tenure_days("signup_date", as_of)
     base = customers.select(
-        *customers.columns, tenure.alias("tenure_days"),
+        *given, tenure.alias("tenure_days"),
         (tenure / F.lit(365.0)).alias("tenure_years"),
-        encode_with_levels("plan_type", levels["plan_type"]).alias("plan_encoded"),
-        encode_with_levels("gender", levels["gender"]).alias("gender_encoded"),
+        code["plan_type"].alias("plan_encoded"), code["gender"].alias("gender_encoded"),
         *[(F.col("country") == F.lit(v)).cast("int").alias(f"country_{v}") for v in country_levels])
 
     txn = txn_features(transactions, as_of)

@@ -145,11 +145,34 @@ def q_daily_churn_scoring(spark, sf):
     from stayrate.operators import prep
     from stayrate.streaming.scoring import fit_churn_pipeline, save_pipeline, score_daily
     fx = fixture(spark, sf)
-    feats = features_df(spark, sf)
+    feats = cut_lineage(features_df(spark, sf))  # the split, the fit and the scoring read them
     labelled = prep.stratified_split(eda.attach_labels(feats, fx.churn_labels), "churn_30d", 0.2, 42)
-    train = labelled.where(F.col("split") == "train").drop("split")
-    feats, train = cut_lineage(feats), cut_lineage(train)
+    train = cut_lineage(labelled.where(F.col("split") == "train").drop("split"))
     model, _ = fit_churn_pipeline(train)
     base = f"{checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
     model = save_pipeline(model, f"{base}/model")
     return finish(score_daily(spark, model, feats, AS_OF, f"{base}/scores"))
+
+
+DAYS = ["2001-10-31", "2001-11-30", "2001-12-31"]
+
+
+@register("stream_daily_scoring", oracle_with("f_customers") + f"""
+SELECT d.as_of, count(*) AS customers, count(*) AS scored
+FROM (VALUES {", ".join(f"(DATE '{d}')" for d in DAYS)}) AS d(as_of) JOIN f_customers c ON c.signup_date <= d.as_of GROUP BY 1""")
+def q_stream_daily_scoring(spark, sf):
+    """Feature snapshots of three days scored as a stream, a committed batch each; customers and valid scores per day."""
+    from stayrate.operators import features as fe
+    from stayrate.streaming.scoring import fit_churn_pipeline, read_scores, stream_daily
+    fx = fixture(spark, sf)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    for day in DAYS:
+        known = fx.customers.where(F.col("signup_date") <= F.lit(day).cast("date"))
+        feats = fe.customer_features(known, fx.transactions, fx.events, fx.support_tickets, as_of=day)
+        feats.withColumn("as_of", F.lit(day).cast("date")).coalesce(1).write.mode("append").parquet(f"{base}/snapshots")
+    snapshots = spark.read.parquet(f"{base}/snapshots")
+    last = snapshots.where(F.col("as_of") == F.lit(DAYS[-1]).cast("date")).drop("as_of")
+    model, _ = fit_churn_pipeline(cut_lineage(eda.attach_labels(last, fx.churn_labels)), n_trees=10)
+    stream_daily(spark, model, f"{base}/snapshots", f"{base}/scores", f"{base}/progress", snapshots.schema).awaitTermination()
+    ok = F.col("churn_probability").between(0, 1)
+    return read_scores(spark, f"{base}/scores").groupBy("as_of").agg(F.count(F.lit(1)).alias("customers"), F.count_if(ok).alias("scored"))

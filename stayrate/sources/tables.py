@@ -7,12 +7,14 @@ dates are parsed with an explicit format and zone-less Parquet timestamps
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayrate.session import cut_lineage
+
 CUSTOMERS = T.StructType([
     T.StructField("customer_id", T.StringType()),
     T.StructField("signup_date", T.DateType()),
@@ -88,28 +90,51 @@ def parse_dates(df: DataFrame, cols: Iterable[str], fmt: str | None = None) -> D
     return df.withColumns(out) if out else df
 
 
-def load_tables(spark: SparkSession, path: str, fmt: str = "parquet",
-                names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """Read the six tables from ``path/<name>.<fmt>`` (or a folder of files).
+def load_tables(spark: SparkSession, path: str, fmt: str = "parquet", names: Iterable[str] | None = None,
+                dates: Mapping[str, Sequence[str]] = DATE_COLUMNS) -> dict[str, DataFrame]:
+    """Read tables from ``path/<name>.<fmt>`` (files or folders), the six by default.
 
     CSV is read with the declared schema (no inference pass) and dates in
-    ``yyyy-MM-dd``.  Parquet keeps the file schema and is normalised with
-    ``parse_dates`` so that column pruning and filter pushdown still reach
+    ``yyyy-MM-dd``; fields that do not fit become NULL (see ``load_csv_checked``).
+    Parquet keeps the file schema, whatever the table, and its ``dates`` columns are
+    normalised with ``parse_dates``, so column pruning and filter pushdown still reach
     the scan.
     """
     out = {}
     for name in names or SCHEMAS:
-        schema = SCHEMAS[name]
         location = f"{path.rstrip('/')}/{name}.{fmt}"
         if fmt == "csv":
-            df = (spark.read.schema(schema).option("header", True)
+            df = (spark.read.schema(SCHEMAS[name]).option("header", True)
                   .option("dateFormat", "yyyy-MM-dd").csv(location))
         else:
             df = spark.read.format(fmt).load(location)
-            df = parse_dates(df, DATE_COLUMNS.get(name, ()))
+            df = parse_dates(df, dates.get(name, ()))
         out[name] = df
     return out
 
 
+#: The column of a malformed line's text.
+BAD_RECORD = "_bad_record"
+
+
+def load_csv_checked(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None, header: bool = True,
+                     location: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``path/<name>.csv`` (or ``location``) that fit the declared schema, and those that do not.
+
+    A line with too few or too many fields, or with a field that is not of its type, goes to the
+    second frame: (table_name, the fields that could be read, ``_bad_record``: the line).
+    Lines are parsed permissively, whole (a pruned column would not be judged) and once: the
+    parsed rows are stored in the checkpoint folder.  Nothing is lost and nothing stops the load.
+    """
+    schema = schema or SCHEMAS[name]
+    with_bad = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
+    rows = (spark.read.schema(with_bad).option("header", header).option("dateFormat", "yyyy-MM-dd").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_RECORD).csv(location or f"{path.rstrip('/')}/{name}.csv"))
+    rows = cut_lineage(rows)
+    good = rows.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+    bad = rows.where(F.col(BAD_RECORD).isNotNull()).select(F.lit(name).alias("table_name"), "*")
+    return good, bad
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
