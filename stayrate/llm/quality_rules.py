@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from stayrate.llm import ngram_model, spans
-from stayrate.llm.store import materialize, task
+from stayrate.llm import ngram_model, spans, word_model
+from stayrate.llm.store import materialize
 
 BELOW, ABOVE = 14.0, 2.5
 #: The least deviation (in log perplexity per word), for languages whose texts are all alike.
@@ -39,8 +39,6 @@ LEAST_SPREAD = 0.2
 WINDOW = 20
 #: Resolution of the quartiles.
 STEP = 0.001
-#: Words scored in one pass over the model, about.
-SCORED_WORDS = 500_000
 _SYMBOLS = spans.byte_set(*map(ord, "#*$%&|<>"))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -104,48 +102,29 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``row`` (a struct of the carried columns), the counts, base_failed, lang, log perplexity
     per word (and end) and that of the best quarter of every document, stored."""
-    model = ngram_model.fit(docs, ngram_model.WORD_ORDER, text_col, lang_col, ngram_model.WORDS, singles=False)
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = ngram_model.Scorer(model)
-
-        def out(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            langs = [x for h in held for x in h[2]]
-            offs = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(h[4]) for h in held]))])
-            surprise = -scorer.unit_scores(np.concatenate([h[3] for h in held]), offs, langs)
-            at = 0
-            for row, c, lang, units, cut in held:
-                part = surprise[at:at + len(units)]
-                at += len(units)
-                score, best = ngram_model.text_means(part, cut), best_quarter(part, cut)
-                failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > repeat_percent * c["n_words"])
-                yield pa.RecordBatch.from_arrays(
-                    [row, *(pa.array(c[x].astype(np.int64)) for x in _COUNTS),
-                     pa.array(failed), pa.array(lang, pa.string()), pa.array(score, mask=np.isnan(score)),
-                     pa.array(best, mask=np.isnan(best))],
-                    names=["row", *_COUNTS, "base_failed", "lang", "surprise", "best_quarter"])
-
-        for batch in batches:
-            data, offs = spans.text_buffer(batch.column(1))
-            langs = batch.column(2).to_pylist()
-            held, size = [], 0
-            for lo, hi in spans.chunks(offs):
-                d, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
-                held.append((batch.column(0).slice(lo, hi - lo), text_counts(d, o), langs[lo:hi],
-                             *ngram_model.word_units(d, o)))
-                size += len(held[-1][3])
-                if size > SCORED_WORDS:
-                    yield from out(held)
-                    held, size = [], 0
-            if held:
-                yield from out(held)
+    def prepare(row: pa.Array, langs: list[str], data: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
+        c = text_counts(data, offs)
+        failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > repeat_percent * c["n_words"])
+        return pa.RecordBatch.from_arrays([row, *(pa.array(c[x].astype(np.int64)) for x in _COUNTS), pa.array(failed), pa.array(langs, pa.string())],
+                                          names=["row", *_COUNTS, "base_failed", "lang"])
+
+    def finish(docs: pa.Table, surprise: np.ndarray, offs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for b in docs.to_batches():
+            cut = offs[at:at + b.num_rows + 1]
+            part = surprise[cut[0]:cut[-1]]
+            score, best = ngram_model.text_means(part, cut - cut[0]), best_quarter(part, cut - cut[0])
+            at += b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score, mask=np.isnan(score)), pa.array(best, mask=np.isnan(best))],
+                                             names=[*b.schema.names, "surprise", "best_quarter"])
 
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),
                          StructField("surprise", DoubleType()), StructField("best_quarter", DoubleType())])
-    return materialize(rows.mapInArrow(task(run), schema), "measured")
+    return materialize(word_model.score_texts(rows, prepare, finish, schema), "measured")
 
 
 def bands(measured: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
