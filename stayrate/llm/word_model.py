@@ -62,7 +62,7 @@ _ROW = "kind int, lang string, part int, chunk long, blob binary, t array<long>"
 # -- blocks ---------------------------------------------------------------------------------
 def pack(a: np.ndarray) -> bytes:
     """An array as compressed planes of its bytes."""
-    raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+    raw = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
