@@ -39,11 +39,11 @@ from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 
 #: Words of a chunk, about.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 2_000_000
 #: Text of the sample that short codes come from, and short codes at most.
-SAMPLE_BYTES = 16 << 20
+SAMPLE_BYTES = 48 << 20
 SAMPLE_TEXT = 1 << 20
-COMMON = 1 << 17
+COMMON = 1 << 19
 #: Bigrams of a range that the number of ranges aims at, ranges of a shuffle partition at most, bytes of a word, about.
 RANGE_GRAMS = 600_000
 RANGES_PER_TASK = 64

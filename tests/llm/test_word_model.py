@@ -58,7 +58,7 @@ def corpus(n=140, seed=4):
     return docs
 
 
-@pytest.mark.parametrize("chunk, common", [(1_000_000, 1 << 17), (500, 20), (1, 0)])
+@pytest.mark.parametrize("chunk, common", [(2_000_000, 1 << 19), (500, 20), (1, 0)])
 def test_surprise_equals_the_formulas(spark, monkeypatch, chunk, common):
     monkeypatch.setattr(word_model, "CHUNK_WORDS", chunk)
     monkeypatch.setattr(word_model, "COMMON", max(common, 1))
