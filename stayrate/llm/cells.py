@@ -70,14 +70,14 @@ class Layout:
         return both[0], both[1]
 
 
-def layout(placed: DataFrame, n: int) -> Layout:
-    """The layout of ``n`` rows with their ``cell``.
+def layout(placed: DataFrame, n: int, least: int | None = None) -> Layout:
+    """The layout of ``n`` rows with their ``cell``, in slabs of ``least`` rows or more (``LEAST_SLAB_ROWS``).
 
     Cells of over a quarter of a slab are cut, and of over n / ``HOT_CELLS`` rows where
     that is more, so the list of them is bounded.
     """
     for_tasks = SLABS_PER_TASK * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slabs = max(1, min(for_tasks, n // LEAST_SLAB_ROWS), -(-n // SLAB_ROWS))
+    slabs = max(1, min(for_tasks, n // (least or LEAST_SLAB_ROWS)), -(-n // SLAB_ROWS))
     most = max(1, n // slabs // 4, n // HOT_CELLS)
     hot = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most)
            .select("cell", F.ceil(F.col("rows") / most).alias("blocks")).orderBy("cell").collect())
@@ -126,8 +126,15 @@ def dealt_queries(queries: DataFrame, out: Layout) -> DataFrame:
     return queries.mapInArrow(task(run), ROW_SCHEMA)
 
 
-def scan(rows: DataFrame, queries: DataFrame, scorer: Callable) -> DataFrame:
-    """(c, slot, score, id): per query and slot the best of each slab's cells that the query visits."""
+FOUND = "c long, slot int, score double, id long"
+
+
+def scan(rows: DataFrame, queries: DataFrame, scorer: Callable, slab_of: Callable | None = None, found: str = FOUND) -> DataFrame:
+    """(c, slot, score, id): per query and slot the best of each slab's cells that the query visits.
+
+    ``slab_of(key, scorer)`` makes another kind of slab, with rows of its own (``found``).
+    """
+    slab_of = slab_of or Slab
     n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = rows.union(queries).repartition(n_parts, "slab").sortWithinPartitions("slab", "kind", "cell", "id")
 
@@ -141,13 +148,13 @@ def scan(rows: DataFrame, queries: DataFrame, scorer: Callable) -> DataFrame:
             for lo, hi in zip([0, *edge], [*edge, len(key)]):
                 if slab is None or slab.key != key[lo]:
                     if slab is not None:
-                        yield from slab.compare()
-                    slab = _Slab(key[lo], scorer)
+                        yield from slab.end()
+                    slab = slab_of(key[lo], scorer)
                 yield from slab.add(batch.slice(lo, hi - lo))
         if slab is not None:
-            yield from slab.compare()
+            yield from slab.end()
 
-    return both.mapInArrow(task(run), "c long, slot int, score double, id long")
+    return both.mapInArrow(task(run), found)
 
 
 def flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +163,9 @@ def flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return col.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]], offs - offs[0]
 
 
-class _Slab:
+class Slab:
+    """A slab's vectors by cell, and the queries that wait to be compared with them."""
+
     def __init__(self, key: int, scorer: Callable):
         self.key, self.scorer = key, scorer
         self.parts: list[pa.RecordBatch] = []
@@ -187,30 +196,40 @@ class _Slab:
         self.cells = {c: tuple(np.concatenate(p) for p in zip(*parts)) for c, parts in self.cells.items()}
         self.parts = []
 
-    def compare(self) -> Iterator[pa.RecordBatch]:
+    def end(self) -> Iterator[pa.RecordBatch]:
+        yield from self.compare()
+
+    def take(self) -> pa.RecordBatch | None:
+        """The waiting queries as one batch."""
         if not self.waiting:
-            return
+            return None
         if self.parts:
             self._index()
         b = pa.Table.from_batches(self.waiting).combine_chunks().to_batches()[0]
         self.waiting, self.n_waiting = [], 0
+        return b
+
+    def visits(self, b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(cell, its visitors, their vectors) for every cell of the slab that queries of the batch visit."""
         values, offs = flat(b.column("v"))
-        label = b.column("label").fill_null(0).to_numpy()
-        extra = b.column("extra").to_pylist()
         cells, cut = flat(b.column("cells"))
         who = np.repeat(np.arange(b.num_rows), np.diff(cut))
         order = np.argsort(cells, kind="stable")
         cells, who = cells[order], who[order]
-        score = self.scorer(label, extra)
         edge = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1], [True]]))
         for lo, hi in zip(edge[:-1], edge[1:]):
-            got = self.cells.get(int(cells[lo]))
-            if got is not None:
-                ids, of, x = got
+            cell = int(cells[lo])
+            if cell in self.cells:
                 at = who[lo:hi]
-                dim = x.shape[1]
-                a = values[offs[at][:, None] + np.arange(dim)]
-                score.add(a, at, ids, of, x)
+                yield cell, at, values[offs[at][:, None] + np.arange(self.cells[cell][2].shape[1])]
+
+    def compare(self) -> Iterator[pa.RecordBatch]:
+        b = self.take()
+        if b is None:
+            return
+        score = self.scorer(b.column("label").fill_null(0).to_numpy(), b.column("extra").to_pylist())
+        for cell, at, a in self.visits(b):
+            score.add(a, at, *self.cells[cell])
         who, slot, s, ids = score.best()
         if len(who):
             c = b.column("id").to_numpy()

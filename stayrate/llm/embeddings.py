@@ -1,17 +1,19 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products.
 
-Centroids are fitted on a bounded sample; every vector is then indexed.  A
-vector lives in the cell of its closest centroid and is also compared with
-each cell whose boundary lies so near that a vector linked to it may live
-beyond: with both centroids on the unit sphere, the boundary of cells h and c
-is a plane at distance x.(h - c) / |h - c| from x.  A vector at cosine t to x
-moves by sin(acos t) in some direction across x, of which one given axis sees
-a part with standard deviation 1 / sqrt(d), so planes up to ``SIGMAS`` of it
-(at most the whole of it) are searched.  ``exact=True`` searches up to the
-whole, which loses nothing.  Cells are compared block by block as matrix
-products in double precision; a cell with more vectors than a block is split
-over tasks.  Equal vectors are one class from the start, so copies are never
-compared with each other.
+Centroids are fitted on a bounded sample; every vector is then indexed in the cell of its
+closest centroid.  A vector x, at home in h, is compared with the vectors of cell c unless one of two
+bounds says that none of them can be within angle A of it, A = acos(threshold):
+
+* the boundary of h and c is a plane at distance x.(h - c) / |h - c| from x, and a vector
+  within A of x crosses at most sin A of that,
+* no vector of c is further than R(c) from its centroid, so x must be within R(c) + A of it.
+
+Both hold whatever the data, so no link is lost.  Where vectors form groups they leave few
+cells; in many dimensions without groups they leave most, and the comparisons per vector
+then grow with the table (``margin`` trades links for less: it searches planes only up to that
+share of sin A).  Cells are compared as matrix products in double precision, slab by slab (``cells``);
+a large cell is split over tasks.  Equal vectors are one class from the start, so copies are
+never compared with each other.
 
 Defined results: null or zero vectors and vectors with null or non-finite
 components link with nothing; vectors of different lengths never link;
@@ -28,17 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.llm import cells
 from stayrate.llm.components import components, merge_links
 from stayrate.llm.store import materialize, ship, task
 
-#: Distinct vectors that the centroids are fitted on, at most.
+#: Distinct vectors that the centroids are fitted on, about.
 SAMPLE = 32_768
 #: Cells, at most: with SAMPLE it bounds what the driver and each task hold.
 MAX_CELLS = 8_192
 ITERATIONS = 8
-SIGMAS = 4.0
-#: Home vectors of one block, and vectors compared with them at a time.
-BLOCK = 2_048
+#: Vectors of a slab at least (each vector travels once to every slab it visits), and compared at a time.
+SLAB_ROWS = 8_192
 PROBES = 512
 
 
@@ -63,24 +65,26 @@ def spherical_kmeans(x: np.ndarray, k: int, iterations: int = ITERATIONS, seed:
     return c
 
 
-def assign(x: np.ndarray, c: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell, is home) of every cell that a row lives in or is compared with."""
-    s = x @ c.T
-    home = s.argmax(axis=1)
-    gap = s[np.arange(len(x)), home][:, None] - s
-    row, cell = np.nonzero(gap <= 2 * margin)
-    own = cell == home[row]
-    apart = np.linalg.norm(c[home[row]] - c[cell], axis=1)
-    keep = own | (gap[row, cell] <= margin * apart)
-    return row[keep], cell[keep], own[keep]
+def visited(x: np.ndarray, home: np.ndarray, c: np.ndarray, radius: np.ndarray, threshold: float, margin: float = 1.0) -> np.ndarray:
+    """Which cells (columns) may hold a vector linked with each unit row; -1 is the radius of an empty cell."""
+    s = np.clip(x @ c.T, -1, 1)
+    if threshold <= 0:
+        near = np.ones(s.shape, bool)
+    else:
+        gap = s[np.arange(len(x)), home][:, None] - s
+        apart = np.sqrt(np.maximum(2 - 2 * c[home] @ c.T, 0))
+        near = gap <= margin * (1 - threshold ** 2) ** 0.5 * apart + 1e-9
+        near &= np.arccos(s) <= radius + np.arccos(threshold) + 1e-6
+    near[:, radius < 0] = False
+    near[np.arange(len(x)), home] = True
+    return near
 
 
-def embedding_links(vectors: DataFrame, threshold: float = 0.95, exact: bool = False, id_col: str = "vec_id",
+def embedding_links(vectors: DataFrame, threshold: float = 0.95, margin: float = 1.0, id_col: str = "vec_id",
                     vector_col: str = "embedding") -> DataFrame:
-    """vec_id, n_links, component_id and kept for every vector."""
+    """vec_id, n_links, component_id and kept for every vector; below 1, ``margin`` may lose links."""
     spark = vectors.sparkSession
     ship(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     usable = (F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
               & F.exists("v", lambda e: e != 0))
@@ -92,7 +96,7 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.95, exact: bool = F
     if dims is None:
         found = spark.createDataFrame([], "c long, links long, near long")
     else:
-        found = materialize(_compare(classes, dims["dim"], dims["n"], threshold, exact, n_parts), "vector-links")
+        found = materialize(_compare(classes, dims["dim"], dims["n"], threshold, margin), "vector-links")
     links = found.groupBy("c").agg((F.sum("links") - 1).alias("n_links"))
     group = components(found.select(F.col("c").alias("u"), F.col("near").alias("v")))
     owner = (classes.select("c", "v", "first").join(group, F.col("c") == F.col("node"), "left")
@@ -105,105 +109,94 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.95, exact: bool = F
                       component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def _compare(classes: DataFrame, dim: int, n: int, threshold: float, exact: bool, n_parts: int) -> DataFrame:
-    """(c, links, near): per class and block, linked vectors (itself included) and one linked class."""
+def _compare(classes: DataFrame, dim: int, n: int, threshold: float, margin: float) -> DataFrame:
+    """(c, links, near): per class and slab, linked vectors (itself included) and one linked class."""
     k = max(1, min(MAX_CELLS, round(n ** 0.5), n))
-    sample = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("v"), "c").limit(SAMPLE).select("v").toArrow()
+    share = max(1, -(-n // SAMPLE))
+    sample = (classes.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("v"), F.lit(share)) == 0)).select("v").limit(2 * SAMPLE).toArrow())
+    if not sample.num_rows:
+        sample = classes.where(F.col("dim") == dim).select("v").limit(1).toArrow()
     x = _unit(sample.column("v").combine_chunks(), dim)
-    cells = spherical_kmeans(x, min(k, len(x)))
-    reach = (1 - threshold ** 2) ** 0.5 if threshold > 0 else 1.0
-    margin = reach if exact or threshold <= 0 else reach * min(1.0, SIGMAS / dim ** 0.5)
-    bc = classes.sparkSession.sparkContext.broadcast(cells)
-
-    def place(homes_only: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, PROBES):
-                    b = batch.slice(lo, PROBES)
-                    size = b.column("dim").to_numpy()
-                    main = np.flatnonzero(size == dim)
-                    other = np.flatnonzero(size != dim)  # a cell per length
-                    r, cell, own = assign(_unit(b.column("v").take(pa.array(main)), dim), bc.value, margin)
-                    r, cell = np.concatenate([main[r], other]), np.concatenate([cell, -size[other].astype(np.int64)])
-                    own = np.concatenate([own, np.ones(len(other), bool)])
-                    if homes_only:
-                        yield pa.RecordBatch.from_arrays([pa.array(cell[own], pa.int64())], names=["cell"])
-                    else:
-                        at = pa.array(r)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(cell, pa.int64()), pa.array(own), *(b.column(c).take(at) for c in ("c", "n", "v"))],
-                            names=["cell", "home", "c", "n", "v"])
-        return run
-
-    kind = classes.schema["v"].dataType.simpleString()
-    blocks = (classes.mapInArrow(task(place(True)), "cell long").groupBy("cell").count()
-              .select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    blocks = materialize(blocks, "cells")  # a row per cell, and per other vector length
-    blocks = F.broadcast(blocks) if blocks.count() <= 2 * MAX_CELLS else blocks
-    placed = classes.mapInArrow(task(place(False)), f"cell long, home boolean, c long, n long, v {kind}").join(blocks, "cell")
-    # Every vector meets every block of the cell; its own block holds it as a home vector.
-    placed = placed.select("cell", "home", "c", "n", "v", F.pmod(F.xxhash64("c"), F.col("blocks")).alias("own"),
-                           F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    placed = placed.select("cell", "block", (F.col("home") & (F.col("own") == F.col("block"))).alias("home"), "c", "n", "v")
-    dealt = placed.repartition(n_parts, "cell", "block").sortWithinPartitions("cell", "block", F.desc("home"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = _Block(threshold)
+    x = x[np.lexsort(x.T)]
+    shared = classes.sparkSession.sparkContext.broadcast(spherical_kmeans(x, min(k, len(x))))
+
+    def parts(batches: Iterator[pa.RecordBatch]):
+        """Rows, those of the common length, the other lengths, and the unit vectors."""
         for batch in batches:
-            cell, block = (batch.column(c).to_numpy() for c in ("cell", "block"))
-            edge = np.flatnonzero((cell[1:] != cell[:-1]) | (block[1:] != block[:-1])) + 1
-            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
-                if group.key != (key := (cell[lo], block[lo])):
-                    yield from group.end()
-                    group = _Block(threshold, key)
-                for at in range(lo, hi, PROBES):
-                    yield from group.add(batch.slice(at, min(PROBES, hi - at)))
-        yield from group.end()
-
-    return dealt.mapInArrow(task(compare), "c long, links long, near long")
-
-
-class _Block:
-    """One block: its home vectors come first, then the others, all compared with the home ones."""
-
-    def __init__(self, threshold: float, key=None):
-        self.threshold, self.key = threshold, key
-        self.home: list[tuple] = []
-        self.x = None
-
-    def add(self, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        c, n = b.column("c").to_numpy(), b.column("n").to_numpy()
-        x = _unit(b.column("v"), len(b.column("v")[0]))
-        home = b.column("home").to_numpy(zero_copy_only=False)
-        if home.any():
-            self.home.append((c[home], n[home], x[home]))
-        if not home.all():
-            yield from self._probe(c[~home], x[~home])
-
-    def _ready(self) -> bool:
-        if self.x is None and self.home:
-            self.c, self.n, self.x = (np.concatenate(p) for p in zip(*self.home))
-            self.label = np.arange(len(self.c))
-        return self.x is not None
-
-    def _probe(self, c: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not self._ready():
+            for lo in range(0, batch.num_rows, PROBES):
+                b = batch.slice(lo, PROBES)
+                size = b.column("dim").to_numpy()
+                main = np.flatnonzero(size == dim)
+                yield b, main, np.where(size == dim, 0, -size.astype(np.int64)), _unit(b.column("v").take(pa.array(main)), dim)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, main, cell, x in parts(batches):
+            s = x @ shared.value.T
+            cell[main] = s.argmax(axis=1)
+            away = np.zeros(len(cell))
+            away[main] = np.arccos(np.clip(s.max(axis=1, initial=-1), -1, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell), pa.array(away), b.column("c"), b.column("n"), b.column("dim"), b.column("v").cast(pa.list_(pa.float64()))],
+                names=["cell", "away", "vec_id", "label", "dim", "v"])
+
+    placed = materialize(classes.mapInArrow(
+        task(place), "cell long, away double, vec_id long, label long, dim int, v array<double>"), "cells")
+    radius = np.full(len(shared.value), -1.0)
+    for r in placed.where("cell >= 0 AND dim = " + str(dim)).groupBy("cell").agg(F.max("away").alias("r")).collect():  # a row per cell
+        radius[r["cell"]] = r["r"]
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, main, other, x in parts(batches):
+            home = b.column("cell").to_numpy()
+            near = visited(x, home[main], shared.value, radius, threshold, margin)
+            lists: list = [[int(c)] for c in home]
+            for at, row in zip(main.tolist(), near):
+                lists[at] = np.flatnonzero(row).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [b.column("vec_id"), b.column("label"), b.column("v"), pa.nulls(b.num_rows, pa.list_(pa.float64())), pa.array(lists, pa.list_(pa.int64()))],
+                names=["c", "label", "v", "extra", "cells"])
+
+    layout = cells.layout(placed, placed.count(), SLAB_ROWS)
+    visits = placed.mapInArrow(task(visit), "c long, label long, v array<double>, extra array<double>, cells array<long>")
+    return cells.scan(cells.dealt_rows(placed.drop("dim", "away"), layout), cells.dealt_queries(visits, layout), threshold,
+                      _LinkSlab, "c long, links long, near long")
+
+
+class _LinkSlab(cells.Slab):
+    """Links of the visiting vectors with the slab's; links that visitors make between these are one set each."""
+
+    def _index(self) -> None:
+        super()._index()
+        self.cells = {cell: (c, n, x / np.linalg.norm(x, axis=1, keepdims=True)) for cell, (c, n, x) in
+                      ((k, (c, n, x / np.abs(x).max(axis=1, keepdims=True))) for k, (c, n, x) in self.cells.items())}
+        self.label = {cell: np.arange(len(c)) for cell, (c, _, _) in self.cells.items()}
+
+    def compare(self) -> Iterator[pa.RecordBatch]:
+        b = self.take()
+        if b is None:
             return
-        near = x @ self.x.T >= self.threshold
-        some = np.flatnonzero(near.any(axis=1))
-        if len(some):
-            first = near[some].argmax(axis=1)
-            r, h = np.nonzero(near[some])
-            merge_links(self.label, h, first[r])
-            yield _rows(c[some], near[some] @ self.n, self.c[first])
+        who = b.column("id").to_numpy()
+        for cell, at, a in self.visits(b):
+            c, n, x = self.cells[cell]
+            a = a / np.abs(a).max(axis=1, keepdims=True)
+            near = (a / np.linalg.norm(a, axis=1, keepdims=True)) @ x.T >= self.scorer
+            some = np.flatnonzero(near.any(axis=1))
+            if len(some):
+                near = near[some]
+                first = near.argmax(axis=1)
+                r, h = np.nonzero(near)
+                merge_links(self.label[cell], h, first[r])
+                yield _rows(who[at[some]], near @ n, c[first])
 
     def end(self) -> Iterator[pa.RecordBatch]:
-        if not self._ready():
+        yield from self.compare()
+        if self.parts or not hasattr(self, "label"):
             return
-        for lo in range(0, len(self.c), PROBES):
-            yield from self._probe(self.c[lo:lo + PROBES], self.x[lo:lo + PROBES])
-        apart = np.flatnonzero(self.label != np.arange(len(self.label)))
-        yield _rows(self.c[apart], np.zeros(len(apart), np.int64), self.c[self.label[apart]])
+        for cell, label in self.label.items():
+            apart = np.flatnonzero(label != np.arange(len(label)))
+            if len(apart):
+                c = self.cells[cell][0]
+                yield _rows(c[apart], np.zeros(len(apart), np.int64), c[label[apart]])
 
 
 def _rows(c, links, near) -> pa.RecordBatch:

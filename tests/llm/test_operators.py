@@ -404,7 +404,7 @@ def test_toxicity(spark, awkward, empty):
 
 # -- 8 embeddings ------------------------------------------------------------------------------
 def test_embedding_links_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embeddings, "BLOCK", 16)  # several blocks in a cell
+    monkeypatch.setattr(embeddings, "SLAB_ROWS", 40)  # several slabs, and large cells in blocks
     r = np.random.default_rng(0)
     x = r.normal(size=(300, 16)).astype(np.float32)
     x = np.concatenate([x, x[:60] * 3, x[:1].repeat(50, 0) + 0.05 * r.normal(size=(50, 16)).astype(np.float32), x[7:8].repeat(20, 0)])
@@ -413,7 +413,7 @@ def test_embedding_links_against_brute_force(spark, monkeypatch):
            (1004, [float("inf")] * 16, 1), (1005, [1.0, 0.0], 1), (1006, [2.0, 0.0], 1), (1007, [], 1), (None, [9.0] * 16, 1),
            (1008, [1.0, 0.0], 1)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, n long")
-    got = {q["vec_id"]: q for q in embeddings.embedding_links(df, exact=True).collect()}
+    got = {q["vec_id"]: q for q in embeddings.embedding_links(df).collect()}
     assert len(got) == len(rows) + len(odd)
     u = x.astype(np.float64)
     u /= np.linalg.norm(u, axis=1)[:, None]
@@ -433,6 +433,34 @@ def test_embedding_links_against_brute_force(spark, monkeypatch):
     assert embeddings.embedding_links(df.limit(0)).count() == 0
 
 
+def test_no_link_of_low_rank_vectors_is_lost(spark):
+    """Vectors on lines between others, in 64 dimensions, by the registered mode."""
+    r = np.random.default_rng(11)
+    ends = r.normal(size=(60, 64))
+    i, j, u = r.integers(0, 60, 1500), r.integers(0, 60, 1500), r.random((1500, 1))
+    x = ((1 - u) * ends[i] + u * ends[j]).astype(np.float32)
+    df = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {q["vec_id"]: q["n_links"] for q in embeddings.embedding_links(df, threshold=0.95).collect()}
+    y = x.astype(np.float64)
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    assert [got[k] for k in range(1500)] == ((y @ y.T >= 0.95).sum(1) - 1).tolist()
+
+
+def test_bounds_keep_every_link_and_leave_cells_out():
+    r = np.random.default_rng(12)
+    centre = r.normal(size=(40, 24))
+    x = centre[r.integers(0, 40, 1200)] + 0.15 * r.normal(size=(1200, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    c = embeddings.spherical_kmeans(x, 40)
+    home = (x @ c.T).argmax(1)
+    away = np.arccos(np.clip(x @ c.T, -1, 1))[np.arange(len(x)), home]
+    radius = np.array([away[home == k].max(initial=-1) for k in range(40)])
+    near = embeddings.visited(x, home, c, radius, 0.95)
+    a, b = np.nonzero(x @ x.T >= 0.95)
+    assert near[a, home[b]].all()
+    assert near.mean() < 0.2  # comparisons: a fifth of all pairs at most
+
+
 # -- 9 WARC ----------------------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     html = ["same", "same", None, "", "one", "x" * 3_000_000, "same", "äöü \r\n\r\n b", "null ids", "null ids"]

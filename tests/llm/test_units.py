@@ -15,7 +15,7 @@ import xxhash
 
 from stayrate.llm import features, ngram_model, quality_classifier, quality_rules, simhash, spans, token_files, toxicity, warc
 from stayrate.llm.components import merge_links
-from stayrate.llm.embeddings import assign, spherical_kmeans
+from stayrate.llm.embeddings import spherical_kmeans, visited
 from stayrate.llm.packing import plan, reduce_dominated
 from stayrate.llm.tokens import CachedEncoder
 
@@ -264,9 +264,10 @@ def test_cells_reach_every_link():
     c = spherical_kmeans(x, 40)
     near = {(a, b) for a, b in np.argwhere(x @ x.T >= 0.95).tolist() if a != b}
     assert len(near) > 300
-    reach = (1 - 0.95**2) ** 0.5
-    for margin, least in ((reach, 1.0), (reach * 4 / 32**0.5, 0.999)):
-        row, cell, own = assign(x, c, margin)
-        home = dict(zip(row[own].tolist(), cell[own].tolist()))
-        meets = set(zip(row.tolist(), cell.tolist()))
-        assert sum((a, home[b]) in meets for a, b in near) >= least * len(near)
+    s = x @ c.T
+    home = s.argmax(axis=1)
+    away = np.arccos(np.clip(s.max(axis=1), -1, 1))
+    radius = np.array([away[home == k].max(initial=-1) for k in range(len(c))])
+    for margin, least in ((1.0, 1.0), (4 / 32**0.5, 0.999)):
+        meets = visited(x, home, c, radius, 0.95, margin)
+        assert sum(meets[a, home[b]] for a, b in near) >= least * len(near)
