@@ -111,20 +111,15 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
         return pa.RecordBatch.from_arrays([row, *(pa.array(c[x].astype(np.int64)) for x in _COUNTS), pa.array(failed), pa.array(langs, pa.string())],
                                           names=["row", *_COUNTS, "base_failed", "lang"])
 
-    def finish(docs: pa.Table, surprise: np.ndarray, offs: np.ndarray) -> Iterator[pa.RecordBatch]:
-        at = 0
-        for b in docs.to_batches():
-            cut = offs[at:at + b.num_rows + 1]
-            part = surprise[cut[0]:cut[-1]]
-            score, best = ngram_model.text_means(part, cut - cut[0]), best_quarter(part, cut - cut[0])
-            at += b.num_rows
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score, mask=np.isnan(score)), pa.array(best, mask=np.isnan(best))],
-                                             names=[*b.schema.names, "surprise", "best_quarter"])
+    def finish(docs: pa.RecordBatch, surprise: np.ndarray, offs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        score, best = ngram_model.text_means(surprise, offs), best_quarter(surprise, offs)
+        yield pa.RecordBatch.from_arrays([*docs.columns, pa.array(score, mask=np.isnan(score)), pa.array(best, mask=np.isnan(best))],
+                                         names=[*docs.schema.names, "surprise", "best_quarter"])
 
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),
                          StructField("surprise", DoubleType()), StructField("best_quarter", DoubleType())])
-    return materialize(word_model.score_texts(rows, prepare, finish, schema), "measured")
+    return word_model.score_texts(rows, prepare, finish, schema, "measured")
 
 
 def bands(measured: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:

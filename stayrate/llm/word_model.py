@@ -1,19 +1,23 @@
 """Word bigrams of a corpus under modified Kneser-Ney, counted and looked up by range.
 
-The texts are read once.  A task cuts them into chunks of about ``CHUNK_WORDS`` words and
-sends each chunk's different bigrams, with their counts, to the range of words that holds them, as
-sorted, delta-coded and compressed blocks; what is needed to score the chunk later (its words in
-order) goes to a file in the shared folder.  The task of a range adds the counts up into
+A task cuts its texts into chunks of about ``CHUNK_WORDS`` words and sends each chunk's
+different bigrams, with their counts, to the range of words that holds them, as sorted,
+delta-coded and compressed blocks.  The task of a range adds the counts up into
 sorted arrays, stores them as one file of hashes and counts, and answers every chunk in the order of its
 block, by the same arrays.  Continuation counts and contexts are added up and answered by
-word range in a second step, and a last step puts each chunk's answers together:
+word range in a second step, a third one puts each chunk's answers into one file, and the texts are read
+again, chunk by chunk with its file, and scored:
 
     p2(w | v) = (c(vw) - D2(c(vw)) + F2(v) p1(w)) / c(v)
     p1(w)     = (n(w) - D1(n(w)) + F1 / size) / n
 
 with c counts, n(w) the different words before w, D the three discounts of each order and language,
 F what they free and size the language's words and an unknown one.  So each task holds a range
-or a chunk, nothing is read again for each block of text, and all work grows in proportion to the text.
+or a chunk, a chunk reads its own answers only, and all work grows in proportion to the text.
+
+A chunk is named by what it holds.  Both readings deal the texts alike: they scan the same files with the
+same splits (``spark.sql.files.minPartitionNum`` is held meanwhile; input that is more than a scan of files is
+stored first), and a chunk without answers stops the job.
 
 A text is scored without itself: a bigram, word or context that no other text has counts as not in the
 model.  What occurs once in all can thus never be found, and the array files leave it out (no count does).
@@ -25,13 +29,12 @@ a common context is split over several ranges.
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +58,7 @@ BROADCAST_LANGUAGES = 10_000
 #: Codes: before a text, after it, common words from 2 on, and the bit that marks hashes.
 PAD, END, FIRST, RARE = 0, 1, 2, np.uint64(1 << 63)
 #: Kinds of rows.
-GRAMS, WORDS, CHUNK, GRAM_ANSWER, SUMS, LEVEL, WORD_ANSWER = range(7)
+GRAMS, WORDS, GRAM_ANSWER, SUMS, LEVEL, WORD_ANSWER = range(6)
 _ROW = "kind int, lang string, part int, chunk long, blob binary, t array<long>"
 
 
@@ -228,17 +231,18 @@ def _rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         lo = hi
 
 
-class _Chunker:
-    """Collects a task's texts and hands on a chunk's blocks."""
+class Cutter:
+    """Collects a task's texts into chunks, the same at each reading."""
 
-    def __init__(self, codes: Codes, folder: str):
-        self.codes, self.folder, self.number = codes, folder, 0
+    def __init__(self, codes: Codes):
+        self.codes = codes
         self._clear()
 
     def _clear(self) -> None:
         self.hashes, self.sizes, self.full, self.langs, self.docs, self.n = [], [], [], [], [], 0
 
-    def add(self, docs: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> Iterator[pa.RecordBatch]:
+    def add(self, docs, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> Iterator[tuple[int, Chunk, list]]:
+        """(name, chunk, the ``docs`` of its texts) whenever a chunk is full."""
         starts, ends, text = spans.word_spans(data, offs)
         self.hashes.append(spans.span_hashes(data, starts, ends) if len(starts) else np.empty(0, np.uint64))
         self.sizes.append(np.bincount(text, minlength=len(offs) - 1))
@@ -249,44 +253,36 @@ class _Chunker:
         if self.n >= self.codes.chunk_words:
             yield from self.flush()
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
+    def flush(self) -> Iterator[tuple[int, Chunk, list]]:
         if not self.docs:
             return
-        h, inverse = np.unique(np.concatenate(self.hashes), return_inverse=True)
+        words, full = np.concatenate(self.hashes), np.concatenate(self.full).astype(np.int64)
+        offs = np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))]).astype(np.int64)
+        name = xxhash.xxh64(words.tobytes())
+        for part in (offs.tobytes(), full.tobytes(), "\0".join(self.langs).encode()):
+            name.update(part)
+        h, inverse = np.unique(words, return_inverse=True)
         code = self.codes.of(h)
         order = np.argsort(code)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order)) + FIRST
         codes = np.concatenate([np.array([PAD, END], np.uint64), code[order]])
-        index, offs = place[inverse], np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))]).astype(np.int64)
-        full = np.concatenate(self.full).astype(np.int64)
-        number = (TaskContext.get().partitionId() << 32) | self.number
-        uri = f"{self.folder}/chunk-{number:016x}"
-        sink = io.BytesIO()
-        with pa.ipc.new_stream(sink, self.docs[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-            for b in self.docs:
-                w.write_batch(b)
-        write_file(uri, _join(pack(_deltas(codes)), pack(index.astype(np.uint32)), pack(offs), pack(full), sink.getvalue()))
-        chunk = Chunk(codes, index, offs, full, self.langs)
-        rows = [(CHUNK, "", number % self.codes.gram_parts, number, uri.encode(), None)]
-        for lang in chunk.which:
-            _, a, b, n = chunk.grams(lang)
-            a, b = codes[a], codes[b]
-            rows += [(GRAMS, lang, part, number, pack_grams(a[at], b[at], n[at]), None) for part, at in in_parts(self.codes.gram_part(a, b))]
-            w, n = chunk.words(lang)
-            w = codes[w]
-            rows += [(WORDS, lang, part, number, pack_words(w[at], n[at].astype(np.uint32)), None) for part, at in in_parts(self.codes.word_part(w))]
-        yield from _rows(rows)
-        self.number += 1
+        docs, langs = self.docs, self.langs
         self._clear()
+        yield name.intdigest() >> 1, Chunk(codes, place[inverse], offs, full, langs), docs
 
 
-def read_chunk(uri: str) -> tuple[Chunk, pa.Table]:
-    """A chunk and the columns carried with its texts (``lang`` among them)."""
-    codes, index, offs, full, docs = _split(read_file(uri))
-    docs = pa.ipc.open_stream(docs).read_all()
-    return Chunk(np.cumsum(unpack(codes, np.uint64), dtype=np.uint64), unpack(index, np.uint32).astype(np.int64), unpack(offs, np.int64),
-                 unpack(full, np.int64), docs.column("lang").to_pylist()), docs
+def chunk_blocks(codes: Codes, name: int, chunk: Chunk) -> list[tuple]:
+    """What a chunk sends to the ranges of its bigrams and words."""
+    rows = []
+    for lang in chunk.which:
+        _, a, b, n = chunk.grams(lang)
+        a, b = chunk.codes[a], chunk.codes[b]
+        rows += [(GRAMS, lang, part, name, pack_grams(a[at], b[at], n[at]), None) for part, at in in_parts(codes.gram_part(a, b))]
+        w, n = chunk.words(lang)
+        w = chunk.codes[w]
+        rows += [(WORDS, lang, part, name, pack_words(w[at], n[at].astype(np.uint32)), None) for part, at in in_parts(codes.word_part(w))]
+    return rows
 
 
 # -- ranges ----------------------------------------------------------------------------------
@@ -447,38 +443,97 @@ def chunk_surprise(chunk: Chunk, codes: Codes, answers: dict[str, tuple]) -> np.
 
 
 # -- the whole --------------------------------------------------------------------------------
-def score_texts(docs: DataFrame, prepare, finish, out_schema, text_col: str = "text") -> DataFrame:
-    """Rows made of every chunk's texts and the surprise of their units.
+def _answer_files(folder: str):
+    """All answers of a chunk into its file: per language the bigrams' counts, the words' columns and the discounts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        for (chunk,), rows in _grouped(batches, "chunk"):
+            out = []
+            for lang in sorted({r["lang"] for r in rows}):
+                grams = [r for r in rows if r["kind"] == GRAM_ANSWER and r["lang"] == lang]
+                words = [r for r in rows if r["kind"] == WORD_ANSWER and r["lang"] == lang]
+                out += [lang.encode(), np.array(grams[0]["p"] if grams else (0.5, 1.0, 1.5)).tobytes(), np.array(words[0]["p"]).tobytes(),
+                        _join(*(r["blob"] for r in grams)), _join(*(r["blob"] for r in words))]
+            write_file(f"{folder}/answers-{chunk:016x}", _join(*out))
+            done += 1
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["chunks"])
+
+    return run
+
+
+def _read_answers(uri: str) -> dict[str, tuple]:
+    out, parts = {}, _split(read_file(uri))
+    for lang, second, first, grams, words in zip(*(parts[k::5] for k in range(5))):
+        counts = [unpack(b, np.uint32) for b in _split(grams)]
+        columns = [[unpack(b, t) for b, t in zip(_split(w), (np.uint32, np.float32, np.uint32))] for w in _split(words)]
+        out[lang.decode()] = (np.concatenate(counts) if counts else np.empty(0), [np.concatenate(c) for c in zip(*columns)],
+                              np.frombuffer(second), _order_one(np.frombuffer(first).tolist()))
+    return out
+
+
+def _scan_of_files(docs: DataFrame) -> bool:
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    return bool(docs.inputFiles()) and not any(x in plan for x in ("Exchange", "Join", "Sample", "Limit"))
 
-    ``docs``: (row, text, lang).  In tasks ``prepare(row, lang, data, offs)`` gives the columns to carry
-    (a record batch with ``lang``), and ``finish(docs, surprise, offs)`` the result's batches.
+
+def _forget(spark) -> None:
+    """Spark removes the shuffle files of finished steps once their plans are collected: collect them."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def score_texts(docs: DataFrame, prepare, finish, out_schema, name: str, text_col: str = "text") -> DataFrame:
+    """Rows made of every text and the surprise of its units, stored.
+
+    ``docs``: (row, text, lang).  In tasks ``prepare(row, langs, data, offs)`` gives what is kept of some
+    texts, and ``finish(that, surprise, offs)`` the result's batches.
     """
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.select("row", F.col(text_col).alias("text"), "lang")
+    if not _scan_of_files(docs):
+        docs = materialize(docs, "texts")
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        return _score_scan(docs, prepare, finish, out_schema, name)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> DataFrame:
+    spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    codes = fit_codes(docs, text_col)
+    codes = fit_codes(docs, "text")
     shared = spark.sparkContext.broadcast(codes)
     folder = shared_uri(spark, "word-model")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunker = _Chunker(shared.value, folder)
+    def pieces(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             data, offs = spans.text_buffer(batch.column("text"))
             langs = batch.column("lang").to_pylist()
             for lo, hi in spans.chunks(offs):
-                d, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
-                yield from chunker.add(prepare(batch.column("row").slice(lo, hi - lo), langs[lo:hi], d, o), d, o, langs[lo:hi])
-        yield from chunker.flush()
+                yield batch, lo, hi, data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], langs[lo:hi]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = Cutter(shared.value)
+        for *_, d, o, langs in pieces(batches):
+            for number, chunk, _ in cutter.add(None, d, o, langs):
+                yield from _rows(chunk_blocks(shared.value, number, chunk))
+        for number, chunk, _ in cutter.flush():
+            yield from _rows(chunk_blocks(shared.value, number, chunk))
 
     def dealt(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         return df.repartition(n_parts, *keys).sortWithinPartitions(*order)
 
-    blocks = docs.select("row", F.col(text_col).alias("text"), "lang").mapInArrow(task(cut), _ROW)
+    blocks = docs.mapInArrow(task(cut), _ROW)
     counted = materialize(dealt(blocks, ["lang", "part"], ["lang", "kind", "part"]).mapInArrow(task(_count_ranges(codes, folder)), _ROW), "bigrams")
+    _forget(spark)
     d2 = _few(materialize(_discounts(counted.where(F.col("kind") == LEVEL)), "discounts"))
     by_word = counted.where(F.col("kind").isin(WORDS, SUMS)).join(d2, F.col("lang") == F.col("of"), "left")
     by_word = by_word.select("kind", "lang", "part", "chunk", "blob", F.array(*[F.coalesce(f"d{k}", F.lit(0.5 * k)) for k in (1, 2, 3)]).alias("p"))
     words = materialize(dealt(by_word, ["lang", "part"], ["lang", "part"]).mapInArrow(task(_word_ranges(folder)), _ROW), "words")
+    _forget(spark)
     d1 = _few(materialize(_discounts(words.where(F.col("kind") == LEVEL)), "discounts"))
 
     freed = F.col("d1") * F.col("t1") + F.col("d2") * F.col("t2") + F.col("d3") * F.col("t7")
@@ -486,23 +541,29 @@ def score_texts(docs: DataFrame, prepare, finish, out_schema, text_col: str = "t
     second = F.array("d1", "d2", "d3")
     with_p = lambda df, kind, d, p: (df.where(F.col("kind") == kind).join(d, F.col("lang") == F.col("of"), "left")
                                      .select("kind", "lang", "part", "chunk", "blob", p.alias("p")))
-    parts = (counted.where(F.col("kind") == CHUNK).select("kind", "lang", "part", "chunk", "blob", F.lit(None).cast("array<double>").alias("p"))
-             .union(with_p(counted, GRAM_ANSWER, d2, second)).union(with_p(words, WORD_ANSWER, d1, first)))
-
-    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches, "chunk"):
-            chunk, docs = read_chunk(next(r["blob"] for r in rows if r["kind"] == CHUNK).decode())
-            answers = {}
-            for lang in chunk.which:
-                grams = [r for r in rows if r["kind"] == GRAM_ANSWER and r["lang"] == lang]
-                words = [r for r in rows if r["kind"] == WORD_ANSWER and r["lang"] == lang]
-                counts = [unpack(r["blob"], np.uint32) for r in grams]
-                columns = [[unpack(b, t) for b, t in zip(_split(r["blob"]), (np.uint32, np.float32, np.uint32))] for r in words]
-                answers[lang] = (np.concatenate(counts) if counts else np.empty(0), [np.concatenate(c) for c in zip(*columns)],
-                                 grams[0]["p"] if grams else (0.5, 1.0, 1.5), _order_one(words[0]["p"]))
-            yield from finish(docs, chunk_surprise(chunk, shared.value, answers), chunk.offs)
-
-    return dealt(parts, ["chunk"], ["chunk", "kind", "lang", "part"]).mapInArrow(task(put_together), out_schema)
+    answers = with_p(counted, GRAM_ANSWER, d2, second).union(with_p(words, WORD_ANSWER, d1, first))
+    answers = dealt(answers, ["chunk"], ["chunk", "kind", "lang", "part"]).mapInArrow(task(_answer_files(folder)), "chunks long")
+    materialize(answers, "answers")
+    _forget(spark)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(number: int, chunk: Chunk, kept: list) -> Iterator[pa.RecordBatch]:
+            surprise, at = chunk_surprise(chunk, shared.value, _read_answers(f"{folder}/answers-{number:016x}")), 0
+            for part in kept:
+                cut = chunk.offs[at:at + part.num_rows + 1]
+                at += part.num_rows
+                yield from finish(part, surprise[cut[0]:cut[-1]], cut - cut[0])
+
+        cutter = Cutter(shared.value)
+        for batch, lo, hi, d, o, langs in pieces(batches):
+            for full in cutter.add(prepare(batch.column("row").slice(lo, hi - lo), langs, d, o), d, o, langs):
+                yield from done(*full)
+        for full in cutter.flush():
+            yield from done(*full)
+
+    out = materialize(docs.mapInArrow(task(score), out_schema), name)
+    _forget(spark)
+    return out
 
 
 def _order_one(p: list[float]) -> list[float]:
