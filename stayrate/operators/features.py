@@ -66,8 +66,8 @@ def payment_diversity(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame
         F.countDistinct("payment_method").alias("payment_method_count"))
 
 
-def txn_features(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """``rfm`` + ``refund_stats`` + ``payment_diversity`` in one aggregate.
+def txn_features(transactions: DataFrame, as_of=DEFAULT_AS_OF, *more: F.Column) -> DataFrame:
+    """``rfm`` + ``refund_stats`` + ``payment_diversity`` (and ``more`` aggregates) in one pass.
 
     Customers with refunds only get ``frequency = 0`` and NULL recency /
     monetary, which the feature table fills like the reference's left join.
@@ -86,6 +86,7 @@ def txn_features(transactions: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         F.count_if(neg).alias("refund_count"),
         money_sum(_if(neg, F.col("amount"))).alias("refund_total"),
         F.countDistinct("payment_method").alias("payment_method_count"),
+        *more,
     )
 
 
@@ -95,8 +96,8 @@ def _distinct(c) -> F.Column:
     return F.size(F.collect_set(c)).cast("long")
 
 
-def event_stats(events: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """Event volume, diversity, value and distinct active days per customer."""
+def event_stats(events: DataFrame, as_of=DEFAULT_AS_OF, *more: F.Column) -> DataFrame:
+    """Event volume, diversity, value and distinct active days per customer (and ``more`` aggregates)."""
     e = _on_or_before(events, "event_date", as_of)
     return e.groupBy("customer_id").agg(
         F.count("event_type").alias("total_events"),
@@ -104,6 +105,7 @@ def event_stats(events: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         F.sum("event_value").alias("total_event_value"),
         F.avg("event_value").alias("avg_event_value"),
         _distinct(F.col("event_date").cast("date")).alias("active_days"),
+        *more,
     )
 
 
@@ -168,13 +170,15 @@ def fill_numeric_nulls(df: DataFrame, keep: Sequence[str] = RAW_COLUMNS, value=0
 def customer_features(customers: DataFrame, transactions: DataFrame, events: DataFrame,
                       tickets: DataFrame, as_of=DEFAULT_AS_OF, fill: str = "zero",
                       countries: Sequence[str] | None = None,
-                      ticket_categories: Sequence[str] = TICKET_CATEGORIES) -> DataFrame:
+                      ticket_categories: Sequence[str] = TICKET_CATEGORIES,
+                      last_activity: bool = False) -> DataFrame:
     """One row per customer, 51 columns (with 8 countries; one dummy per country).
 
     ``fill="zero"`` reproduces the reference (every missing numeric -> 0, so a
     customer without purchases gets recency 0).  ``fill="tenure"`` sets the
     recency of such customers to their tenure and adds ``has_txn`` /
-    ``has_tickets`` flags.
+    ``has_tickets`` flags.  ``last_activity`` adds the date of the later of last
+    transaction and last event, from the same aggregates.
 
     Plan shape: three per-customer aggregates left-joined to the customer
     base, then a single projection that fills, derives and orders every
@@ -197,8 +201,9 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
         code["plan_type"].alias("plan_encoded"), code["gender"].alias("gender_encoded"),
         *[(F.col("country") == F.lit(v)).cast("int").alias(f"country_{v}") for v in country_levels])
 
-    txn = txn_features(transactions, as_of)
-    ev = event_stats(events, as_of)
+    last = [[F.max(d).alias(f"_last_{d}")] if last_activity else [] for d in ("transaction_date", "event_date")]
+    txn = txn_features(transactions, as_of, *last[0])
+    ev = event_stats(events, as_of, *last[1])
     tk = ticket_stats(tickets, as_of, ticket_categories)
     df = base.join(txn, "customer_id", "left").join(ev, "customer_id", "left") \
              .join(tk, "customer_id", "left")
@@ -224,7 +229,8 @@ def customer_features(customers: DataFrame, transactions: DataFrame, events: Dat
              [f"tickets_{c}" for c in sorted(ticket_categories)] +
              ["recent_tickets", "tenure_fee_interaction", "events_per_ticket",
               "satisfaction_per_ticket", "monetary_per_tenure", "avg_txn_per_event"])
-    return df.select(*order, *(["has_txn", "has_tickets"] if fill == "tenure" else []))
+    latest = [F.greatest("_last_transaction_date", "_last_event_date").alias("last_activity")] if last_activity else []
+    return df.select(*order, *(["has_txn", "has_tickets"] if fill == "tenure" else []), *latest)
 
 
 def model_columns(features: DataFrame, drop: Sequence[str] = IDENTITY_COLUMNS) -> list[str]:

@@ -35,9 +35,9 @@ def last_activity(transactions: DataFrame, events: DataFrame, as_of) -> DataFram
     return u.groupBy("customer_id").agg(F.max("d").alias("last_activity"))
 
 
-def risk_flags(features: DataFrame, transactions: DataFrame, events: DataFrame, as_of,
-               basic_plan: str = "Basic") -> DataFrame:
-    """Five warning signs and their count per customer.
+def risk_flags(features: DataFrame, as_of, basic_plan: str = "Basic") -> DataFrame:
+    """Five warning signs and their count per customer, from the feature table with its
+    ``last_activity`` column (so the activity tables are read once).
 
     * inactive: more than 30 days since the later of last transaction and last
       event (customers without any activity count from signup),
@@ -46,8 +46,6 @@ def risk_flags(features: DataFrame, transactions: DataFrame, events: DataFrame,
     * several recent tickets: 2 or more in the last 90 days,
     * basic plan.
     """
-    la = last_activity(transactions, events, as_of)
-    df = features.join(la, "customer_id", "left")
     since = F.datediff(as_date(as_of), F.coalesce(F.col("last_activity"), F.col("signup_date")))
     flags = {
         "flag_inactive": since > F.lit(INACTIVE_DAYS),
@@ -57,7 +55,7 @@ def risk_flags(features: DataFrame, transactions: DataFrame, events: DataFrame,
         "flag_recent_tickets": F.col("recent_tickets") >= F.lit(SEVERAL_RECENT_TICKETS),
         "flag_basic_plan": F.col("plan_type") == F.lit(basic_plan),
     }
-    out = df.select("customer_id", since.alias("days_since_activity"),
+    out = features.select("customer_id", since.alias("days_since_activity"),
                     *[v.alias(k) for k, v in flags.items()])
     count = None
     for k in flags:

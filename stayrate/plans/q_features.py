@@ -26,10 +26,10 @@ FEATURE_COLUMNS = (
        "monetary_per_tenure", "avg_txn_per_event"])
 
 
-def features_df(spark, sf):
+def features_df(spark, sf, **options):
     fx = fixture(spark, sf)
     return fe.customer_features(fx.customers, fx.transactions, fx.events, fx.support_tickets,
-                                as_of=AS_OF)
+                                as_of=AS_OF, **options)
 
 
 @register("customer_features", with_features() + select_rounded(FEATURE_COLUMNS))

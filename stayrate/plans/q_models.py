@@ -115,6 +115,12 @@ def q_feature_importance_classification(spark, sf):
     return finish(mo.feature_importance(spark, b.model(), b.feature_cols, 15))
 
 
+@register("compare_resampling")
+def q_compare_resampling(spark, sf):
+    """Logistic churn models on plain, weighted and SMOTE-balanced training rows."""
+    return finish(mo.compare_resampling(churn_frame(spark, sf)))
+
+
 def _per_classifier(spark, sf, measure):
     """``measure`` of every fitted classifier on the test part, under its name."""
     b, out = _classification(spark, sf), None

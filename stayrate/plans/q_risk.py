@@ -35,8 +35,7 @@ SELECT *, CAST(CAST(flag_inactive AS INTEGER) + CAST(flag_low_engagement AS INTE
   + CAST(flag_low_satisfaction AS INTEGER) + CAST(flag_recent_tickets AS INTEGER)
   + CAST(flag_basic_plan AS INTEGER) AS INTEGER) AS risk_flag_count FROM rg""")
 def q_risk_flags(spark, sf):
-    fx = fixture(spark, sf)
-    return rk.risk_flags(features_df(spark, sf), fx.transactions, fx.events, AS_OF, BASIC_PLAN)
+    return rk.risk_flags(features_df(spark, sf, last_activity=True), AS_OF, BASIC_PLAN)
 
 
 @register("inactive_customers", oracle_with("f_customers", "f_transactions", "f_events") + LAST_ACT + f"""

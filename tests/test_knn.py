@@ -95,6 +95,20 @@ def test_smote_balances_between_neighbours(spark):
     assert prep.smote(df.limit(0), "y", ["a", "b"]).count() == 0
 
 
+def test_oversampled_training_part(spark):
+    from conftest import SMALL
+    from stayrate.operators import models as mo
+    from stayrate.plans import QUERIES, q_models
+    mf = q_models.churn_frame(spark, SMALL)
+    more = mo.oversampled(mf)
+    counts = {r["target"]: r["count"] for r in more.train.groupBy("target").count().collect()}
+    plain = {r["target"]: r["count"] for r in mf.train.groupBy("target").count().collect()}
+    assert counts[0.0] == counts[1.0] == plain[0.0] > plain[1.0] and more.n_train == 2 * plain[0.0]
+    rows = {r["training"]: r for r in QUERIES["compare_resampling"](spark, SMALL).collect()}
+    assert set(rows) == {"plain", "class weights", "smote"} and all(0 <= r["auc"] <= 1 for r in rows.values())
+    assert rows["smote"]["n_train"] == more.n_train > rows["plain"]["n_train"]
+
+
 def test_split_plans_no_product_even_without_broadcasts(spark, monkeypatch):
     """The eager jobs of the split too: every plan that runs is looked at."""
     seen = []
