@@ -22,13 +22,15 @@ stored first), and a chunk without answers stops the job.
 A text is scored without itself: a bigram, word or context that no other text has counts as not in the
 model.  What occurs once in all can thus never be found, and the array files leave it out (no count does).
 
-Words are 64-bit: the commonest of a bounded sample have short codes, so that blocks are small, all
-others are their hash.  The sample decides nothing but the size of blocks and how contexts are dealt:
+The commonest words of a bounded sample have short codes, so that blocks are small, all others are their
+hash of 56 bits.  The sample decides nothing but the size of blocks and how contexts are dealt:
 a common context is split over several ranges.
 """
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +44,7 @@ from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 
 #: Words of a chunk, about.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 4_000_000
 #: Text of the sample that short codes come from, and short codes at most.
 SAMPLE_BYTES = 48 << 20
 SAMPLE_TEXT = 1 << 20
@@ -52,11 +54,12 @@ RANGE_GRAMS = 600_000
 RANGES_PER_TASK = 64
 WORD_BYTES = 6
 #: Entries of sums by word that a task holds.
-HELD_STATS = 1_000_000
+HELD_STATS = 2_000_000
 #: Languages whose discounts are broadcast at most.
 BROADCAST_LANGUAGES = 10_000
-#: Codes: before a text, after it, common words from 2 on, and the bit that marks hashes.
-PAD, END, FIRST, RARE = 0, 1, 2, np.uint64(1 << 63)
+#: Codes: before a text, after it, common words from 2 on, and the bit above the hashes of all others:
+#: of 10^9 different words some seven pairs share one.
+PAD, END, FIRST, RARE = 0, 1, 2, np.uint64(1 << 56)
 #: Kinds of rows.
 GRAMS, WORDS, GRAM_ANSWER, SUMS, LEVEL, WORD_ANSWER = range(6)
 _ROW = "kind int, lang string, part int, chunk long, blob binary, t array<long>"
@@ -130,7 +133,7 @@ class Codes:
     chunk_words: int
 
     def of(self, h: np.ndarray) -> np.ndarray:
-        out = h | RARE
+        out = h >> np.uint64(8) | RARE
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             hit = self.hashes[at] == h
@@ -345,7 +348,7 @@ def _count_ranges(codes: Codes, folder: str):
 
         def sums(lang: str) -> list[tuple]:
             w, v = _by_word(*(np.concatenate(x) for x in zip(*held.pop(lang))))
-            return [(SUMS, lang, part, -1, pack_words(w[at], *(np.ascontiguousarray(c) for c in v[at].T.astype(np.uint32))), None)
+            return [(SUMS, lang, part, -1, pack_words(w[at], *(np.ascontiguousarray(c) for c in v[at].T)), None)
                     for part, at in in_parts(codes.word_part(w))]
 
         for (lang, kind, part), rows in _grouped(batches, "lang", "kind", "part"):
@@ -357,10 +360,10 @@ def _count_ranges(codes: Codes, folder: str):
             level[lang] = level.get(lang, 0) + np.array([(total == k).sum() for k in (1, 2, 3, 4)])
             again = total > 1
             array_file(folder, f"grams-{_lang_seed(lang):08x}-{part:06d}", lang, a[again], b[again], total[again].astype(np.uint32))
-            kinds = np.stack([total == 1, total == 2, total > 2, np.zeros(len(total), bool)], axis=1).astype(np.int64)
+            kinds = np.stack([total == 1, total == 2, total > 2, np.zeros(len(total), bool)], axis=1).astype(np.uint32)
             held.setdefault(lang, []).append(_by_word(a, kinds))
             b, n = np.unique(b, return_counts=True)
-            held[lang].append((b, np.stack([np.zeros(len(n), np.int64)] * 3 + [n], axis=1)))
+            held[lang].append((b, np.stack([np.zeros(len(n), np.uint32)] * 3 + [n.astype(np.uint32)], axis=1)))
             if sum(len(x[0]) for x in held[lang]) > HELD_STATS:
                 yield from _rows(sums(lang))
         for lang in list(held):
@@ -477,8 +480,12 @@ def _scan_of_files(docs: DataFrame) -> bool:
 
 
 def _forget(spark) -> None:
-    """Spark removes the shuffle files of finished steps once their plans are collected: collect them."""
-    spark.sparkContext._jvm.System.gc()
+    """Spark removes the shuffle files of finished steps once their plans are collected, which takes two
+    collections of the driver's objects: ask for them."""
+    gc.collect()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def score_texts(docs: DataFrame, prepare, finish, out_schema, name: str, text_col: str = "text") -> DataFrame:

@@ -58,7 +58,7 @@ def corpus(n=140, seed=4):
     return docs
 
 
-@pytest.mark.parametrize("chunk, common", [(2_000_000, 1 << 19), (500, 20), (1, 0)])
+@pytest.mark.parametrize("chunk, common", [(4_000_000, 1 << 19), (500, 20), (1, 0)])
 def test_surprise_equals_the_formulas(spark, monkeypatch, chunk, common):
     monkeypatch.setattr(word_model, "CHUNK_WORDS", chunk)
     monkeypatch.setattr(word_model, "COMMON", max(common, 1))
@@ -122,7 +122,7 @@ def test_model_agrees_with_the_general_one(spark):
 def test_blocks_round_trip():
     rng = np.random.default_rng(7)
     a = np.sort(rng.integers(0, 50, 1000).astype(np.uint64))
-    a[-5:] = np.uint64(2 ** 63) + np.arange(5, dtype=np.uint64)
+    a[-5:] = word_model.RARE + np.arange(5, dtype=np.uint64)
     b = rng.integers(0, 2 ** 64, 1000, dtype=np.uint64)
     order = np.lexsort((b, a))
     n = rng.integers(1, 2 ** 32, 1000, dtype=np.uint64).astype(np.uint32)
