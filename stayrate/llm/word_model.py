@@ -337,7 +337,7 @@ def _by_word(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Sums of the rows of equal codes."""
     order = np.argsort(codes, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], codes[order][1:] != codes[order][:-1]])) if len(codes) else np.empty(0, np.int64)
-    return codes[order][first], np.add.reduceat(values[order], first, axis=0) if len(codes) else values
+    return codes[order][first], np.add.reduceat(values[order], first, axis=0, dtype=values.dtype) if len(codes) else values
 
 
 def _count_ranges(codes: Codes, folder: str):
