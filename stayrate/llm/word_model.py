@@ -5,7 +5,7 @@ different bigrams, with their counts, to the range of words that holds them, as
 delta-coded and compressed blocks.  The task of a range adds the counts up into
 sorted arrays, stores them as one file of hashes and counts, and answers every chunk in the order of its
 block, by the same arrays.  Continuation counts and contexts are added up and answered by
-word range in a second step, a third one puts each chunk's answers into one file, and the texts are read
+word range in a second step, where a chunk's words are those that begin its bigrams, a third one puts each chunk's answers into one file, and the texts are read
 again, chunk by chunk with its file, and scored:
 
     p2(w | v) = (c(vw) - D2(c(vw)) + F2(v) p1(w)) / c(v)
@@ -44,7 +44,7 @@ from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 
 #: Words of a chunk, about.
-CHUNK_WORDS = 4_000_000
+CHUNK_WORDS = 2_000_000
 #: Text of the sample that short codes come from, and short codes at most.
 SAMPLE_BYTES = 48 << 20
 SAMPLE_TEXT = 1 << 20
@@ -147,7 +147,9 @@ class Codes:
         return (spans.mix64(a * np.uint64(0xD6E8FEB86659FD93) + sub) % np.uint64(self.gram_parts)).astype(np.int64)
 
     def word_part(self, w: np.ndarray) -> np.ndarray:
-        return (spans.mix64(w + np.uint64(77)) % np.uint64(self.word_parts)).astype(np.int64)
+        """One for all contexts of a range but the split ones."""
+        home = spans.mix64(w * np.uint64(0xD6E8FEB86659FD93)) % np.uint64(self.gram_parts)
+        return (home % np.uint64(self.word_parts)).astype(np.int64)
 
 
 def fit_codes(docs: DataFrame, text_col: str) -> Codes:
@@ -205,12 +207,6 @@ class Chunk:
         key, *rest = np.unique(self.before[at] * n + self.units[at], return_inverse=inverse, return_counts=True)
         return (at, key // n, key % n, rest[-1], *rest[:-1])
 
-    def words(self, lang: str) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes and occurrences of a language's different words, the start of texts first."""
-        at = np.flatnonzero(self.lang[self.text] == self.which[lang])
-        w, n = np.unique(self.units[at], return_counts=True)
-        return np.concatenate([[PAD], w]), np.concatenate([[(self.units[at] == END).sum()], n])
-
 
 def in_parts(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(part, its places in order)."""
@@ -276,26 +272,35 @@ class Cutter:
 
 
 def chunk_blocks(codes: Codes, name: int, chunk: Chunk) -> list[tuple]:
-    """What a chunk sends to the ranges of its bigrams and words."""
+    """What a chunk sends to the ranges of its bigrams."""
     rows = []
     for lang in chunk.which:
         _, a, b, n = chunk.grams(lang)
         a, b = chunk.codes[a], chunk.codes[b]
         rows += [(GRAMS, lang, part, name, pack_grams(a[at], b[at], n[at]), None) for part, at in in_parts(codes.gram_part(a, b))]
-        w, n = chunk.words(lang)
-        w = chunk.codes[w]
-        rows += [(WORDS, lang, part, name, pack_words(w[at], n[at].astype(np.uint32)), None) for part, at in in_parts(codes.word_part(w))]
     return rows
 
 
+def contexts(a: np.ndarray, n: np.ndarray | None = None):
+    """The different first words of a block (sorted) and their counts; the end of texts stands
+    behind their start, as often."""
+    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.empty(0, np.int64)
+    w = a[first]
+    count = np.add.reduceat(n.astype(np.int64), first) if n is not None and len(a) else np.zeros(len(w), np.int64)
+    if len(w) and w[0] == PAD:
+        w, count = np.insert(w, 1, END), np.insert(count, 1, count[0])
+    return w, count
+
+
 # -- ranges ----------------------------------------------------------------------------------
 def array_file(folder: str, name: str, lang: str, first: np.ndarray, second: np.ndarray | None, *columns: np.ndarray) -> None:
-    """Store sorted 64-bit hashes of (language,) words with their values."""
+    """Store sorted hashes of (language,) words with their values."""
     h = spans.mix64(first + np.uint64(_lang_seed(lang)))
     if second is not None:
         h = spans.mix64(h * np.uint64(0xD6E8FEB86659FD93) + second)
     order = np.argsort(h)
-    write_file(f"{folder}/{name}.harr", pack_words(h[order], *(c[order] for c in columns)))
+    # A range's hashes differ in their upper bits: 48 of them are kept.
+    write_file(f"{folder}/{name}.harr", pack_words(h[order] >> np.uint64(16), *(c[order] for c in columns)))
 
 
 def _lang_seed(lang: str) -> int:
@@ -319,9 +324,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tu
         yield at, rows
 
 
-def add_grams(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def add_grams(blocks: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """(first, second, counts) of a range's sorted different bigrams, and each block's places in them."""
-    blocks = [unpack_grams(r["blob"]) for r in rows]
     a, b, n = (np.concatenate(x) for x in zip(*blocks))
     order = np.lexsort((b, a))
     sa, sb = a[order], b[order]
@@ -341,7 +345,7 @@ def _by_word(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _count_ranges(codes: Codes, folder: str):
-    """Blocks of bigrams to answers, sums by word and counts of counts; other rows go on."""
+    """Blocks of bigrams to answers, questions and sums by word, and counts of counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         level: dict[str, np.ndarray] = {}
@@ -351,12 +355,15 @@ def _count_ranges(codes: Codes, folder: str):
             return [(SUMS, lang, part, -1, pack_words(w[at], *(np.ascontiguousarray(c) for c in v[at].T)), None)
                     for part, at in in_parts(codes.word_part(w))]
 
-        for (lang, kind, part), rows in _grouped(batches, "lang", "kind", "part"):
-            if kind != GRAMS:
-                yield from _rows([tuple(r.values()) for r in rows])
-                continue
-            a, b, total, places = add_grams(rows)
+        for (lang, part), rows in _grouped(batches, "lang", "part"):
+            blocks = [unpack_grams(r["blob"]) for r in rows]
+            a, b, total, places = add_grams(blocks)
             yield from _rows([(GRAM_ANSWER, lang, part, r["chunk"], pack(total[p].astype(np.uint32)), None) for r, p in zip(rows, places)])
+            for r, (x, _, n) in zip(rows, blocks):  # a chunk's words ask with the bigrams that they begin
+                w, n = contexts(x, n)
+                yield from _rows([(WORDS, lang, home, r["chunk"], pack_words(w[at], n[at].astype(np.uint32)), [part])
+                                  for home, at in in_parts(codes.word_part(w))])
+            del blocks
             level[lang] = level.get(lang, 0) + np.array([(total == k).sum() for k in (1, 2, 3, 4)])
             again = total > 1
             array_file(folder, f"grams-{_lang_seed(lang):08x}-{part:06d}", lang, a[again], b[again], total[again].astype(np.uint32))
@@ -390,7 +397,7 @@ def _word_ranges(folder: str):
                 counts[:, np.searchsorted(w, x)] += np.array(columns, np.int64)
             freed, before = np.array(rows[0]["p"]) @ counts[:3], counts[3]
             yield from _rows([(WORD_ANSWER, lang, part, r["chunk"], _join(
-                pack(seen[at].astype(np.uint32)), pack(freed[at].astype(np.float32)), pack(before[at].astype(np.uint32))), None)
+                pack(seen[at].astype(np.uint32)), pack(freed[at].astype(np.float32)), pack(before[at].astype(np.uint32))), r["t"])
                 for r, at in zip(asked, places)])
             again = seen > 1
             array_file(folder, f"words-{_lang_seed(lang):08x}-{part:06d}", lang, w[again], None, seen[again].astype(np.uint32),
@@ -427,14 +434,15 @@ def chunk_surprise(chunk: Chunk, codes: Codes, answers: dict[str, tuple]) -> np.
     for lang in chunk.which:
         counts, (seen, freed, before), d2, (total, freed1, size, *d1) = answers[lang]
         at, a, b, _, inverse = chunk.grams(lang, True)
-        order = np.concatenate([x for _, x in in_parts(codes.gram_part(chunk.codes[a], chunk.codes[b]))]) if len(a) else np.empty(0, np.int64)
+        parts = [x for _, x in in_parts(codes.gram_part(chunk.codes[a], chunk.codes[b]))]
+        order = np.concatenate([np.empty(0, np.int64), *parts])
         c = np.empty(len(a))
         c[order] = counts
-        w, _ = chunk.words(lang)
-        order = np.concatenate([x for _, x in in_parts(codes.word_part(chunk.codes[w]))])
+        asked = [w[x] for w in (contexts(a[part])[0] for part in parts) for _, x in in_parts(codes.word_part(chunk.codes[w]))]
+        asked = np.concatenate([np.empty(0, np.int64), *asked])
         table = np.zeros((3, len(chunk.codes)))
         for k, v in enumerate((seen, freed, before)):
-            table[k, w[order]] = v
+            table[k, asked] = v
         c, v, u = c[inverse], chunk.before[at], chunk.units[at]
         own_gram = own(chunk.text[at] * len(a) + inverse) if len(at) else np.empty(0)
         n = np.where(table[0, u] > own_word[at], table[2, u], 0)
@@ -534,11 +542,11 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
         return df.repartition(n_parts, *keys).sortWithinPartitions(*order)
 
     blocks = docs.mapInArrow(task(cut), _ROW)
-    counted = materialize(dealt(blocks, ["lang", "part"], ["lang", "kind", "part"]).mapInArrow(task(_count_ranges(codes, folder)), _ROW), "bigrams")
+    counted = materialize(dealt(blocks, ["lang", "part"], ["lang", "part"]).mapInArrow(task(_count_ranges(codes, folder)), _ROW), "bigrams")
     _forget(spark)
     d2 = _few(materialize(_discounts(counted.where(F.col("kind") == LEVEL)), "discounts"))
     by_word = counted.where(F.col("kind").isin(WORDS, SUMS)).join(d2, F.col("lang") == F.col("of"), "left")
-    by_word = by_word.select("kind", "lang", "part", "chunk", "blob", F.array(*[F.coalesce(f"d{k}", F.lit(0.5 * k)) for k in (1, 2, 3)]).alias("p"))
+    by_word = by_word.select("kind", "lang", "part", "chunk", "blob", "t", F.array(*[F.coalesce(f"d{k}", F.lit(0.5 * k)) for k in (1, 2, 3)]).alias("p"))
     words = materialize(dealt(by_word, ["lang", "part"], ["lang", "part"]).mapInArrow(task(_word_ranges(folder)), _ROW), "words")
     _forget(spark)
     d1 = _few(materialize(_discounts(words.where(F.col("kind") == LEVEL)), "discounts"))
@@ -547,9 +555,9 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
     first = F.array(*[x.cast("double") for x in (F.col("t5"), freed, F.col("t6") + 1, F.col("d1"), F.col("d2"), F.col("d3"))])
     second = F.array("d1", "d2", "d3")
     with_p = lambda df, kind, d, p: (df.where(F.col("kind") == kind).join(d, F.col("lang") == F.col("of"), "left")
-                                     .select("kind", "lang", "part", "chunk", "blob", p.alias("p")))
+                                     .select("kind", "lang", "part", "chunk", "blob", "t", p.alias("p")))
     answers = with_p(counted, GRAM_ANSWER, d2, second).union(with_p(words, WORD_ANSWER, d1, first))
-    answers = dealt(answers, ["chunk"], ["chunk", "kind", "lang", "part"]).mapInArrow(task(_answer_files(folder)), "chunks long")
+    answers = dealt(answers, ["chunk"], ["chunk", "kind", "lang", "t", "part"]).mapInArrow(task(_answer_files(folder)), "chunks long")
     materialize(answers, "answers")
     _forget(spark)
 
