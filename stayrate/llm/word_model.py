@@ -50,7 +50,7 @@ SAMPLE_BYTES = 48 << 20
 SAMPLE_TEXT = 1 << 20
 COMMON = 1 << 19
 #: Bigrams of a range that the number of ranges aims at, ranges of a shuffle partition at most, bytes of a word, about.
-RANGE_GRAMS = 600_000
+RANGE_GRAMS = 1_200_000
 RANGES_PER_TASK = 64
 WORD_BYTES = 6
 #: Entries of sums by word that a task holds.
@@ -327,7 +327,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tu
 def add_grams(blocks: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """(first, second, counts) of a range's sorted different bigrams, and each block's places in them."""
     a, b, n = (np.concatenate(x) for x in zip(*blocks))
-    order = np.lexsort((b, a))
+    both = _numbered(a, b)
+    order = np.argsort(both[0] << np.uint64(32) | both[1])
     sa, sb = a[order], b[order]
     new = np.concatenate([[True], (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])])
     place = np.empty(len(order), np.int64)
@@ -337,6 +338,12 @@ def add_grams(blocks: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return sa[first], sb[first], total, np.split(place, np.cumsum([len(x[0]) for x in blocks])[:-1])
 
 
+def _numbered(*codes: np.ndarray) -> list[np.ndarray]:
+    """The codes as numbers of 32 bits in the same order: hashes by their place among those that occur."""
+    rare = np.unique(np.concatenate([c[c >= RARE] for c in codes]))
+    return [np.where(c >= RARE, np.uint64(1 << 31) + np.searchsorted(rare, c).astype(np.uint64), c) for c in codes]
+
+
 def _by_word(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the rows of equal codes."""
     order = np.argsort(codes, kind="stable")
@@ -395,13 +402,11 @@ def _word_ranges(folder: str):
                 seen[at] += n
             for x, *columns in added:
                 counts[:, np.searchsorted(w, x)] += np.array(columns, np.int64)
-            freed, before = np.array(rows[0]["p"]) @ counts[:3], counts[3]
-            yield from _rows([(WORD_ANSWER, lang, part, r["chunk"], _join(
-                pack(seen[at].astype(np.uint32)), pack(freed[at].astype(np.float32)), pack(before[at].astype(np.uint32))), r["t"])
-                for r, at in zip(asked, places)])
+            before = counts[3]
+            values = [v.astype(np.uint32) for v in (seen, *counts)]
+            yield from _rows([(WORD_ANSWER, lang, part, r["chunk"], _join(*(pack(v[at]) for v in values)), r["t"]) for r, at in zip(asked, places)])
             again = seen > 1
-            array_file(folder, f"words-{_lang_seed(lang):08x}-{part:06d}", lang, w[again], None, seen[again].astype(np.uint32),
-                       freed[again].astype(np.float32), before[again].astype(np.uint32))
+            array_file(folder, f"words-{_lang_seed(lang):08x}-{part:06d}", lang, w[again], None, *(v[again] for v in values))
             n = [(before == k).sum() for k in (1, 2, 3, 4)]
             level[lang] = level.get(lang, 0) + np.array([*n, before.sum(), (before > 0).sum(), (before > 2).sum()])
         yield from _rows([(LEVEL, lang, 1, -1, b"", t.tolist()) for lang, t in level.items()])
@@ -423,16 +428,13 @@ def _cut(n: np.ndarray, d) -> np.ndarray:
 
 
 def chunk_surprise(chunk: Chunk, codes: Codes, answers: dict[str, tuple]) -> np.ndarray:
-    """-log p of each unit; ``answers`` by language: counts of bigrams, (seen, freed, before) of words
-    in the order of their blocks, discounts of order 2 and (total, freed, size, discounts) of order 1."""
+    """-log p of each unit; ``answers`` by language: counts of bigrams, (seen, bigrams it begins once, twice and
+    more often, before) of words in the order of their blocks, discounts of order 2 and (total, freed, size,
+    discounts) of order 1."""
     out = np.zeros(len(chunk.units))
-    # How often a unit's text has the word and the bigram itself.
-    own = lambda key: (lambda u: u[2][u[1]])(np.unique(key, return_inverse=True, return_counts=True))
-    own_word = own(chunk.text * len(chunk.codes) + chunk.units)
-    own_before = np.concatenate([[1], own_word[:-1]])[:len(own_word)]
-    own_before[chunk.before == PAD] = 1
+    size_of = np.diff(chunk.offs)
     for lang in chunk.which:
-        counts, (seen, freed, before), d2, (total, freed1, size, *d1) = answers[lang]
+        counts, words, d2, (total, freed1, size, *d1) = answers[lang]
         at, a, b, _, inverse = chunk.grams(lang, True)
         parts = [x for _, x in in_parts(codes.gram_part(chunk.codes[a], chunk.codes[b]))]
         order = np.concatenate([np.empty(0, np.int64), *parts])
@@ -440,16 +442,25 @@ def chunk_surprise(chunk: Chunk, codes: Codes, answers: dict[str, tuple]) -> np.
         c[order] = counts
         asked = [w[x] for w in (contexts(a[part])[0] for part in parts) for _, x in in_parts(codes.word_part(chunk.codes[w]))]
         asked = np.concatenate([np.empty(0, np.int64), *asked])
-        table = np.zeros((3, len(chunk.codes)))
-        for k, v in enumerate((seen, freed, before)):
-            table[k, asked] = v
-        c, v, u = c[inverse], chunk.before[at], chunk.units[at]
-        own_gram = own(chunk.text[at] * len(a) + inverse) if len(at) else np.empty(0)
-        n = np.where(table[0, u] > own_word[at], table[2, u], 0)
+        seen, freed, before = np.zeros((3, len(chunk.codes)))
+        for column, values in ((seen, words[0]), (freed, d2[0] * words[1] + d2[1] * words[2] + d2[2] * words[3]), (before, words[4])):
+            column[asked] = values
+        text, c, v, u = chunk.text[at], c[inverse], chunk.before[at], chunk.units[at]
+
+        def elsewhere(found: np.ndarray, key: np.ndarray) -> np.ndarray:
+            """Whether a key occurs more often than in the unit's own text: sure beyond the text's size."""
+            known = found > size_of[text]
+            unsure = np.flatnonzero(~known & (found > 1))
+            if len(unsure):
+                _, which, own = np.unique(text[unsure] * (int(key.max()) + 1) + key[unsure], return_inverse=True, return_counts=True)
+                known[unsure] = found[unsure] > own[which]
+            return known
+
+        n = np.where(elsewhere(seen[u], u), before[u], 0)
         p = (np.where(n > 0, n - _cut(n, d1), 0) + freed1 / size) / total
-        c = np.where(c > own_gram, c, 0)
-        p2 = (np.where(c > 0, c - _cut(c, d2), 0) + table[1, v] * p) / np.maximum(table[0, v], 1)
-        out[at] = -np.log(np.where(table[0, v] > own_before[at], p2, p))
+        c = np.where(elsewhere(c, inverse), c, 0)
+        p2 = (np.where(c > 0, c - _cut(c, d2), 0) + freed[v] * p) / np.maximum(seen[v], 1)
+        out[at] = -np.log(np.where(elsewhere(seen[v], v), p2, p))
     return out
 
 
@@ -476,7 +487,7 @@ def _read_answers(uri: str) -> dict[str, tuple]:
     out, parts = {}, _split(read_file(uri))
     for lang, second, first, grams, words in zip(*(parts[k::5] for k in range(5))):
         counts = [unpack(b, np.uint32) for b in _split(grams)]
-        columns = [[unpack(b, t) for b, t in zip(_split(w), (np.uint32, np.float32, np.uint32))] for w in _split(words)]
+        columns = [[unpack(b, np.uint32) for b in _split(w)] for w in _split(words)]
         out[lang.decode()] = (np.concatenate(counts) if counts else np.empty(0), [np.concatenate(c) for c in zip(*columns)],
                               np.frombuffer(second), _order_one(np.frombuffer(first).tolist()))
     return out
@@ -545,8 +556,7 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
     counted = materialize(dealt(blocks, ["lang", "part"], ["lang", "part"]).mapInArrow(task(_count_ranges(codes, folder)), _ROW), "bigrams")
     _forget(spark)
     d2 = _few(materialize(_discounts(counted.where(F.col("kind") == LEVEL)), "discounts"))
-    by_word = counted.where(F.col("kind").isin(WORDS, SUMS)).join(d2, F.col("lang") == F.col("of"), "left")
-    by_word = by_word.select("kind", "lang", "part", "chunk", "blob", "t", F.array(*[F.coalesce(f"d{k}", F.lit(0.5 * k)) for k in (1, 2, 3)]).alias("p"))
+    by_word = counted.where(F.col("kind").isin(WORDS, SUMS))
     words = materialize(dealt(by_word, ["lang", "part"], ["lang", "part"]).mapInArrow(task(_word_ranges(folder)), _ROW), "words")
     _forget(spark)
     d1 = _few(materialize(_discounts(words.where(F.col("kind") == LEVEL)), "discounts"))
