@@ -44,7 +44,7 @@ from stayrate.llm import spans
 from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
 
 #: Words of a chunk, about.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 3_000_000
 #: Text of the sample that short codes come from, and short codes at most.
 SAMPLE_BYTES = 48 << 20
 SAMPLE_TEXT = 1 << 20
@@ -403,8 +403,8 @@ def _word_ranges(folder: str):
             for x, *columns in added:
                 counts[:, np.searchsorted(w, x)] += np.array(columns, np.int64)
             before = counts[3]
-            values = [v.astype(np.uint32) for v in (seen, *counts)]
-            yield from _rows([(WORD_ANSWER, lang, part, r["chunk"], _join(*(pack(v[at]) for v in values)), r["t"]) for r, at in zip(asked, places)])
+            values = np.stack([seen, *counts]).astype(np.uint32)
+            yield from _rows([(WORD_ANSWER, lang, part, r["chunk"], pack(values[:, at].ravel()), r["t"]) for r, at in zip(asked, places)])
             again = seen > 1
             array_file(folder, f"words-{_lang_seed(lang):08x}-{part:06d}", lang, w[again], None, *(v[again] for v in values))
             n = [(before == k).sum() for k in (1, 2, 3, 4)]
@@ -434,6 +434,8 @@ def chunk_surprise(chunk: Chunk, codes: Codes, answers: dict[str, tuple]) -> np.
     out = np.zeros(len(chunk.units))
     size_of = np.diff(chunk.offs)
     for lang in chunk.which:
+        if lang not in answers:  # nothing but empty texts
+            continue
         counts, words, d2, (total, freed1, size, *d1) = answers[lang]
         at, a, b, _, inverse = chunk.grams(lang, True)
         parts = [x for _, x in in_parts(codes.gram_part(chunk.codes[a], chunk.codes[b]))]
@@ -474,8 +476,9 @@ def _answer_files(folder: str):
             for lang in sorted({r["lang"] for r in rows}):
                 grams = [r for r in rows if r["kind"] == GRAM_ANSWER and r["lang"] == lang]
                 words = [r for r in rows if r["kind"] == WORD_ANSWER and r["lang"] == lang]
-                out += [lang.encode(), np.array(grams[0]["p"] if grams else (0.5, 1.0, 1.5)).tobytes(), np.array(words[0]["p"]).tobytes(),
-                        _join(*(r["blob"] for r in grams)), _join(*(r["blob"] for r in words))]
+                counts = np.concatenate([unpack(r["blob"], np.uint32) for r in grams])
+                columns = np.concatenate([unpack(r["blob"], np.uint32).reshape(5, -1) for r in words], axis=1)
+                out += [lang.encode(), np.array(grams[0]["p"]).tobytes(), np.array(words[0]["p"]).tobytes(), pack(counts), pack(columns.ravel())]
             write_file(f"{folder}/answers-{chunk:016x}", _join(*out))
             done += 1
         yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["chunks"])
@@ -486,10 +489,8 @@ def _answer_files(folder: str):
 def _read_answers(uri: str) -> dict[str, tuple]:
     out, parts = {}, _split(read_file(uri))
     for lang, second, first, grams, words in zip(*(parts[k::5] for k in range(5))):
-        counts = [unpack(b, np.uint32) for b in _split(grams)]
-        columns = [[unpack(b, np.uint32) for b in _split(w)] for w in _split(words)]
-        out[lang.decode()] = (np.concatenate(counts) if counts else np.empty(0), [np.concatenate(c) for c in zip(*columns)],
-                              np.frombuffer(second), _order_one(np.frombuffer(first).tolist()))
+        out[lang.decode()] = (unpack(grams, np.uint32), unpack(words, np.uint32).reshape(5, -1), np.frombuffer(second),
+                              np.frombuffer(first).tolist())
     return out
 
 
@@ -573,7 +574,8 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(number: int, chunk: Chunk, kept: list) -> Iterator[pa.RecordBatch]:
-            surprise, at = chunk_surprise(chunk, shared.value, _read_answers(f"{folder}/answers-{number:016x}")), 0
+            answers = _read_answers(f"{folder}/answers-{number:016x}") if len(chunk.units) else {}
+            surprise, at = chunk_surprise(chunk, shared.value, answers), 0
             for part in kept:
                 cut = chunk.offs[at:at + part.num_rows + 1]
                 at += part.num_rows
@@ -591,11 +593,6 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
     return out
 
 
-def _order_one(p: list[float]) -> list[float]:
-    """A language without units has no total: nothing is looked up in it."""
-    return [max(p[0], 1.0), *p[1:]]
-
-
 def _few(d: DataFrame) -> DataFrame:
     """A row per language: broadcast while they are few."""
     return F.broadcast(d) if d.count() <= BROADCAST_LANGUAGES else d

@@ -133,3 +133,12 @@ def test_blocks_round_trip():
     words = np.unique(b)
     got = word_model.unpack_words(word_model.pack_words(words, n[:len(words)]), np.uint32)
     assert np.array_equal(got[0], words) and np.array_equal(got[1], n[:len(words)])
+
+
+def test_texts_without_words(spark):
+    rows = [(k, None if k % 2 else "", "en") for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality_rules.measure(df, ["doc_id"]).collect()
+    assert len(got) == 10 and all(r["surprise"] is None and r["n_words"] == 0 for r in got)
+    some = spark.createDataFrame([*rows, (20, " ", "de"), (21, "one", "fr")], "doc_id long, text string, lang string")
+    assert sum(r["surprise"] is not None for r in quality_rules.measure(some, ["doc_id"]).collect()) == 2
