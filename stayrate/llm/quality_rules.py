@@ -43,16 +43,15 @@ _SYMBOLS = spans.byte_set(*map(ord, "#*$%&|<>"))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def text_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
-    """The counts of each text of a buffer."""
+def text_counts(data: np.ndarray, offs: np.ndarray, words: tuple | None = None) -> dict[str, np.ndarray]:
+    """The counts of each text of a buffer (``words``: its ``hashed_words``, if they are known)."""
     n = len(offs) - 1
-    starts, ends, text = spans.word_spans(data, offs)
+    starts, ends, text, h = words or word_model.hashed_words(data, offs)
     gap = spans.SPACE[data] if len(data) else np.empty(0, bool)
     lead = (data & 0xC0) != 0x80  # first bytes of code points
     out = {"n_words": np.bincount(text, minlength=n), "word_chars": spans.per_text(lead & ~gap, offs),
            "n_symbols": spans.per_text(_SYMBOLS[data] if len(data) else gap, offs)}
     # Words in 3-word windows that the text has twice or more.
-    h = spans.span_hashes(data, starts, ends) if len(starts) else np.empty(0, np.uint64)
     window, first = spans.window_hashes(h, text, 3)
     twice = _twice(window, text[first])
     cover = np.zeros(len(starts) + 1, np.int64)
@@ -105,8 +104,8 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
 
-    def prepare(row: pa.Array, langs: list[str], data: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
-        c = text_counts(data, offs)
+    def prepare(row: pa.Array, langs: list[str], data: np.ndarray, offs: np.ndarray, words: tuple) -> pa.RecordBatch:
+        c = text_counts(data, offs, words)
         failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > repeat_percent * c["n_words"])
         return pa.RecordBatch.from_arrays([row, *(pa.array(c[x].astype(np.int64)) for x in _COUNTS), pa.array(failed), pa.array(langs, pa.string())],
                                           names=["row", *_COUNTS, "base_failed", "lang"])
@@ -119,7 +118,9 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),
                          StructField("surprise", DoubleType()), StructField("best_quarter", DoubleType())])
-    return word_model.score_texts(rows, prepare, finish, schema, "measured")
+    # Tasks hold the carried columns of a chunk: half the words where these are the texts themselves.
+    chunk = word_model.CHUNK_WORDS // (2 if text_col in carry else 1)
+    return word_model.score_texts(rows, prepare, finish, schema, "measured", chunk_words=max(1, chunk))
 
 
 def bands(measured: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:

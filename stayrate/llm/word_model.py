@@ -152,7 +152,7 @@ class Codes:
         return (home % np.uint64(self.word_parts)).astype(np.int64)
 
 
-def fit_codes(docs: DataFrame, text_col: str) -> Codes:
+def fit_codes(docs: DataFrame, text_col: str, chunk_words: int) -> Codes:
     """Codes from a sample of about ``SAMPLE_BYTES``; ranges from the size of all texts."""
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -180,7 +180,7 @@ def fit_codes(docs: DataFrame, text_col: str) -> Codes:
     seen = np.concatenate([[size["n"] / max(share, 1), 0], n])
     splits = np.ceil(4 * grams * seen / max(seen.sum(), 1)).clip(1).astype(np.int64)
     order = np.argsort(h)
-    return Codes(h[order], (order + FIRST).astype(np.uint64), splits, grams, max(1, grams // 8), CHUNK_WORDS)
+    return Codes(h[order], (order + FIRST).astype(np.uint64), splits, grams, max(1, grams // 8), chunk_words)
 
 
 # -- chunks ----------------------------------------------------------------------------------
@@ -191,11 +191,10 @@ class Chunk:
         self.codes, self.langs = codes, langs  # codes: PAD, END, then the words
         size = np.diff(offs) + full
         self.offs = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        self.text = np.repeat(np.arange(len(size)), size)
-        words = np.repeat(np.arange(len(full)), np.diff(offs))
-        self.units = np.full(self.offs[-1], END, np.int64)
-        self.units[np.arange(len(index)) + (np.cumsum(full) - full)[words]] = index
-        self.before = np.concatenate([[PAD], self.units[:-1]])[:len(self.units)]
+        self.text = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.units = np.full(self.offs[-1], END, np.int32)
+        self.units[np.arange(len(index)) + np.repeat(np.cumsum(full) - full, np.diff(offs))] = index
+        self.before = np.concatenate([np.full(1, PAD, np.int32), self.units[:-1]])[:len(self.units)]
         self.before[self.offs[:-1][full > 0]] = PAD
         self.which = {x: k for k, x in enumerate(dict.fromkeys(langs))}
         self.lang = np.array([self.which[x] for x in langs], np.int64)
@@ -204,7 +203,7 @@ class Chunk:
         """(places, first, second, counts[, inverse]) of a language's different bigrams, by their codes."""
         at = np.flatnonzero(self.lang[self.text] == self.which[lang])
         n = len(self.codes)
-        key, *rest = np.unique(self.before[at] * n + self.units[at], return_inverse=inverse, return_counts=True)
+        key, *rest = np.unique(self.before[at].astype(np.int64) * n + self.units[at], return_inverse=inverse, return_counts=True)
         return (at, key // n, key % n, rest[-1], *rest[:-1])
 
 
@@ -230,6 +229,12 @@ def _rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         lo = hi
 
 
+def hashed_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(starts, ends, text, hash) of every word."""
+    starts, ends, text = spans.word_spans(data, offs)
+    return starts, ends, text, spans.span_hashes(data, starts, ends) if len(starts) else np.empty(0, np.uint64)
+
+
 class Cutter:
     """Collects a task's texts into chunks, the same at each reading."""
 
@@ -240,21 +245,23 @@ class Cutter:
     def _clear(self) -> None:
         self.hashes, self.sizes, self.full, self.langs, self.docs, self.n = [], [], [], [], [], 0
 
-    def add(self, docs, data: np.ndarray, offs: np.ndarray, langs: list[str]) -> Iterator[tuple[int, Chunk, list]]:
-        """(name, chunk, the ``docs`` of its texts) whenever a chunk is full."""
-        starts, ends, text = spans.word_spans(data, offs)
-        self.hashes.append(spans.span_hashes(data, starts, ends) if len(starts) else np.empty(0, np.uint64))
+    def add(self, docs, offs: np.ndarray, langs: list[str], words: tuple) -> Iterator[tuple[int, Chunk, list]]:
+        """(name, chunk, the ``docs`` of its texts) whenever a chunk is full; ``words`` of ``hashed_words``."""
+        *_, text, h = words
+        self.hashes.append(h)
         self.sizes.append(np.bincount(text, minlength=len(offs) - 1))
         self.full.append(np.diff(offs) > 0)
         self.langs += langs
         self.docs.append(docs)
-        self.n += len(starts)
+        self.n += len(h)
         if self.n >= self.codes.chunk_words:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple[int, Chunk, list]]:
-        if not self.docs:
-            return
+        if self.docs:
+            yield self._chunk()
+
+    def _chunk(self) -> tuple[int, Chunk, list]:
         words, full = np.concatenate(self.hashes), np.concatenate(self.full).astype(np.int64)
         offs = np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))]).astype(np.int64)
         name = xxhash.xxh64(words.tobytes())
@@ -268,7 +275,7 @@ class Cutter:
         codes = np.concatenate([np.array([PAD, END], np.uint64), code[order]])
         docs, langs = self.docs, self.langs
         self._clear()
-        yield name.intdigest() >> 1, Chunk(codes, place[inverse], offs, full, langs), docs
+        return name.intdigest() >> 1, Chunk(codes, place[inverse], offs, full, langs), docs
 
 
 def chunk_blocks(codes: Codes, name: int, chunk: Chunk) -> list[tuple]:
@@ -299,8 +306,8 @@ def array_file(folder: str, name: str, lang: str, first: np.ndarray, second: np.
     if second is not None:
         h = spans.mix64(h * np.uint64(0xD6E8FEB86659FD93) + second)
     order = np.argsort(h)
-    # A range's hashes differ in their upper bits: 48 of them are kept.
-    write_file(f"{folder}/{name}.harr", pack_words(h[order] >> np.uint64(16), *(c[order] for c in columns)))
+    # Of a range's million hashes the upper 40 bits tell them apart.
+    write_file(f"{folder}/{name}.harr", pack_words(h[order] >> np.uint64(24), *(c[order] for c in columns)))
 
 
 def _lang_seed(lang: str) -> int:
@@ -454,15 +461,18 @@ def chunk_surprise(chunk: Chunk, codes: Codes, answers: dict[str, tuple]) -> np.
             known = found > size_of[text]
             unsure = np.flatnonzero(~known & (found > 1))
             if len(unsure):
-                _, which, own = np.unique(text[unsure] * (int(key.max()) + 1) + key[unsure], return_inverse=True, return_counts=True)
+                _, which, own = np.unique(text[unsure].astype(np.int64) * (int(key.max()) + 1) + key[unsure], return_inverse=True, return_counts=True)
                 known[unsure] = found[unsure] > own[which]
             return known
 
-        n = np.where(elsewhere(seen[u], u), before[u], 0)
+        word = elsewhere(seen[u], u)
+        # A text begins as many bigrams with a word as it has of it, and one with its start.
+        context = np.where(v == PAD, seen[PAD] > 1, np.concatenate([[False], word[:-1]]))
+        n = np.where(word, before[u], 0)
         p = (np.where(n > 0, n - _cut(n, d1), 0) + freed1 / size) / total
         c = np.where(elsewhere(c, inverse), c, 0)
         p2 = (np.where(c > 0, c - _cut(c, d2), 0) + freed[v] * p) / np.maximum(seen[v], 1)
-        out[at] = -np.log(np.where(elsewhere(seen[v], v), p2, p))
+        out[at] = -np.log(np.where(context, p2, p))
     return out
 
 
@@ -508,11 +518,12 @@ def _forget(spark) -> None:
         time.sleep(0.2)
 
 
-def score_texts(docs: DataFrame, prepare, finish, out_schema, name: str, text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, prepare, finish, out_schema, name: str, text_col: str = "text", chunk_words: int = 0) -> DataFrame:
     """Rows made of every text and the surprise of its units, stored.
 
-    ``docs``: (row, text, lang).  In tasks ``prepare(row, langs, data, offs)`` gives what is kept of some
-    texts, and ``finish(that, surprise, offs)`` the result's batches.
+    ``docs``: (row, text, lang).  In tasks ``prepare(row, langs, data, offs, words)`` gives what is kept of
+    some texts, and ``finish(that, surprise, offs)`` the result's batches.  Tasks hold what is kept
+    of a chunk: ``chunk_words`` makes chunks smaller than ``CHUNK_WORDS`` where that is much.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -523,15 +534,16 @@ def score_texts(docs: DataFrame, prepare, finish, out_schema, name: str, text_co
     before = spark.conf.get(key, None)
     spark.conf.set(key, before or str(spark.sparkContext.defaultParallelism))
     try:
-        return _score_scan(docs, prepare, finish, out_schema, name)
+        return _score_scan(docs, prepare, finish, out_schema, name, chunk_words or CHUNK_WORDS)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> DataFrame:
+def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str, chunk_words: int) -> DataFrame:
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    codes = fit_codes(docs, "text")
+    codes = fit_codes(docs, "text", chunk_words)
+    _forget(spark)
     shared = spark.sparkContext.broadcast(codes)
     folder = shared_uri(spark, "word-model")
 
@@ -540,12 +552,13 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
             data, offs = spans.text_buffer(batch.column("text"))
             langs = batch.column("lang").to_pylist()
             for lo, hi in spans.chunks(offs):
-                yield batch, lo, hi, data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], langs[lo:hi]
+                d, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
+                yield batch, lo, hi, d, o, langs[lo:hi], hashed_words(d, o)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(shared.value)
-        for *_, d, o, langs in pieces(batches):
-            for number, chunk, _ in cutter.add(None, d, o, langs):
+        for *_, o, langs, words in pieces(batches):
+            for number, chunk, _ in cutter.add(None, o, langs, words):
                 yield from _rows(chunk_blocks(shared.value, number, chunk))
         for number, chunk, _ in cutter.flush():
             yield from _rows(chunk_blocks(shared.value, number, chunk))
@@ -582,8 +595,8 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str) -> Data
                 yield from finish(part, surprise[cut[0]:cut[-1]], cut - cut[0])
 
         cutter = Cutter(shared.value)
-        for batch, lo, hi, d, o, langs in pieces(batches):
-            for full in cutter.add(prepare(batch.column("row").slice(lo, hi - lo), langs, d, o), d, o, langs):
+        for batch, lo, hi, d, o, langs, words in pieces(batches):
+            for full in cutter.add(prepare(batch.column("row").slice(lo, hi - lo), langs, d, o, words), o, langs, words):
                 yield from done(*full)
         for full in cutter.flush():
             yield from done(*full)
