@@ -118,8 +118,8 @@ def measure(docs: DataFrame, carry: list[str], min_words: int = 50, repeat_perce
     schema = StructType([rows.schema["row"], *(StructField(x, LongType()) for x in _COUNTS),
                          StructField("base_failed", BooleanType()), StructField("lang", StringType()),
                          StructField("surprise", DoubleType()), StructField("best_quarter", DoubleType())])
-    # Tasks hold the carried columns of a chunk: half the words where these are the texts themselves.
-    chunk = word_model.CHUNK_WORDS // (2 if text_col in carry else 1)
+    # Tasks hold the carried columns of a chunk: a quarter of the words where these are the texts themselves.
+    chunk = word_model.CHUNK_WORDS // (4 if text_col in carry else 1)
     return word_model.score_texts(rows, prepare, finish, schema, "measured", chunk_words=max(1, chunk))
 
 

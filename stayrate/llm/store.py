@@ -96,7 +96,16 @@ def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> Data
     finally:
         if before is not None:
             spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove folders of intermediate files that nothing reads any more (of a table: its ``stored_at``)."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def task(fn: Callable) -> Callable:

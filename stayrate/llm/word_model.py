@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.llm import spans
-from stayrate.llm.store import materialize, read_file, shared_uri, ship, task, write_file
+from stayrate.llm.store import discard, materialize, read_file, shared_uri, ship, task, write_file
 
 #: Words of a chunk, about.
 CHUNK_WORDS = 3_000_000
@@ -545,7 +545,7 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str, chunk_w
     codes = fit_codes(docs, "text", chunk_words)
     _forget(spark)
     shared = spark.sparkContext.broadcast(codes)
-    folder = shared_uri(spark, "word-model")
+    folder, answered = shared_uri(spark, "word-model"), shared_uri(spark, "answers")
 
     def pieces(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -581,13 +581,14 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str, chunk_w
     with_p = lambda df, kind, d, p: (df.where(F.col("kind") == kind).join(d, F.col("lang") == F.col("of"), "left")
                                      .select("kind", "lang", "part", "chunk", "blob", "t", p.alias("p")))
     answers = with_p(counted, GRAM_ANSWER, d2, second).union(with_p(words, WORD_ANSWER, d1, first))
-    answers = dealt(answers, ["chunk"], ["chunk", "kind", "lang", "t", "part"]).mapInArrow(task(_answer_files(folder)), "chunks long")
+    answers = dealt(answers, ["chunk"], ["chunk", "kind", "lang", "t", "part"]).mapInArrow(task(_answer_files(answered)), "chunks long")
     materialize(answers, "answers")
+    discard(spark, counted.stored_at, words.stored_at)  # the answers are in files of their own now
     _forget(spark)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(number: int, chunk: Chunk, kept: list) -> Iterator[pa.RecordBatch]:
-            answers = _read_answers(f"{folder}/answers-{number:016x}") if len(chunk.units) else {}
+            answers = _read_answers(f"{answered}/answers-{number:016x}") if len(chunk.units) else {}
             surprise, at = chunk_surprise(chunk, shared.value, answers), 0
             for part in kept:
                 cut = chunk.offs[at:at + part.num_rows + 1]
@@ -602,6 +603,7 @@ def _score_scan(docs: DataFrame, prepare, finish, out_schema, name: str, chunk_w
             yield from done(*full)
 
     out = materialize(docs.mapInArrow(task(score), out_schema), name)
+    discard(spark, answered)
     _forget(spark)
     return out
 
