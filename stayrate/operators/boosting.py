@@ -10,9 +10,9 @@ A pass sends one histogram per task.  While a level's histograms of all tasks ar
 ``DIRECT_BYTES`` the driver adds them up; beyond it they are shuffled by node and feature
 and only the best split of each leaves the tasks, so the driver holds a row per node and feature.
 
-Trees that were added since the last checkpoint are evaluated within the pass;
-every ``TREES_PER_CHECKPOINT`` trees the margins are written to the checkpoint folder, so a
-lost executor repeats a bounded number of trees.
+Rows lie in blocks, a feature's bytes side by side.  A tree's first pass brings the margins up to
+the tree before and keeps them, so a row meets each tree once; every ``TREES_PER_CHECKPOINT`` trees
+they are written to the checkpoint folder, so a lost executor repeats a bounded number of trees.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ MAX_BINS = 64
 MISSING = 255
 TREES_PER_CHECKPOINT = 25
 DIRECT_BYTES = 64 << 20
+#: Rows of a block.
+BLOCK = 16_384
 #: Gains closer than this (relative) are equal: then the first feature and the first bin win.
 SAME_GAIN = 1e-9
 
@@ -213,22 +215,33 @@ def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: s
     model = BoostedModel(objective, float(mean), rate, cuts)
     data = _binned(rows, cuts, float(mean))
     tasks = data.rdd.getNumPartitions()
-    pending: list[tuple] = []
-    for _ in range(n_trees):
-        tree = _grow(data, tasks, pending, model, depth, lam, gamma, min_child_weight)
+    stale = None
+    for k in range(n_trees):
+        tree = _grow(data, tasks, model, depth, lam, gamma, min_child_weight)
+        if stale is not None:  # the passes above have made what followed it
+            stale.unpersist()
         model.trees.append(tree)
-        pending.append(tree.arrays())
         if tree.feature[0] < 0 and abs(tree.weight[0]) < 1e-9:  # nothing left to gain
             break
-        if len(pending) == TREES_PER_CHECKPOINT:
-            old, data = data, _advanced(data, pending, rate, n)
-            old.unpersist()
-            pending = []
+        stale, data = data, _advanced(data, tree, rate, n)
+        if (k + 1) % TREES_PER_CHECKPOINT == 0:
+            stored = cut_lineage(data).persist()
+            for old in (stale, data):
+                old.unpersist()
+            stale, data = None, stored
     data.unpersist()
+    if stale is not None:
+        stale.unpersist()
     return model
 
 
-_ROW = "bins binary, y double, w double, margin double"
+_ROW = "m long, bins binary, y binary, w binary, margin binary"
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Over all cores: small files make fewer partitions than a pass could use."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _binned(rows: DataFrame, cuts: list[np.ndarray], base: float) -> DataFrame:
@@ -236,42 +249,46 @@ def _binned(rows: DataFrame, cuts: list[np.ndarray], base: float) -> DataFrame:
     import numpy as np
     import pyarrow as pa
 
+    size = BLOCK
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            b = binned(x, cuts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in b], pa.binary()), batch.column("y"), batch.column("w"), pa.array(np.full(len(b), base))],
-                names=["bins", "y", "w", "margin"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, size):
+                batch = whole.slice(lo, size)
+                m = batch.num_rows
+                b = binned(batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(m, -1), cuts)
+                parts = (b.T.tobytes(), *(batch.column(c).to_numpy().tobytes() for c in ("y", "w")), np.full(m, base).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([m], pa.int64()), *(pa.array([p], pa.binary()) for p in parts)],
+                                                 names=["m", "bins", "y", "w", "margin"])
 
-    return cut_lineage(rows.mapInArrow(run, _ROW)).persist()
+    return cut_lineage(_spread(rows).mapInArrow(run, _ROW)).persist()
 
 
-def _advanced(data: DataFrame, pending: list[tuple], rate: float, n: int) -> DataFrame:
+def _advanced(data: DataFrame, tree: Tree, rate: float, n: int) -> DataFrame:
+    """The margins with one more tree."""
     walk, *_ = _kernels()
     import numpy as np
     import pyarrow as pa
 
-    trees = list(pending)
+    t = tree.arrays()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            b = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, n)
-            m = batch.column("margin").to_numpy().copy()
-            for t in trees:
-                m += rate * t[3][walk(b, t)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("bins", "y", "w")), pa.array(m)],
-                                             names=["bins", "y", "w", "margin"])
+            out = []
+            for m, bins, margin in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "margin"))):
+                b = np.frombuffer(bins, np.uint8).reshape(n, m).T
+                out.append((np.frombuffer(margin) + rate * t[3][walk(b, t)]).tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("m", "bins", "y", "w")), pa.array(out, pa.binary())],
+                                             names=["m", "bins", "y", "w", "margin"])
 
-    return cut_lineage(data.mapInArrow(run, _ROW)).persist()
+    return data.mapInArrow(run, _ROW).persist()
 
 
-def _grow(data: DataFrame, tasks: int, pending: list[tuple], model: BoostedModel, depth: int, lam: float, gamma: float,
-          least: float) -> Tree:
+def _grow(data: DataFrame, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float) -> Tree:
     tree = Tree.empty(depth)
     open_ = [0]
     for level in range(depth):
-        splits = _level(data, tasks, pending, model, tree, open_, lam, gamma, least)
+        splits = _level(data, tasks, model, tree, open_, lam, gamma, least)
         after = []
         for node in open_:
             best = splits.get(node)
@@ -291,35 +308,37 @@ def _grow(data: DataFrame, tasks: int, pending: list[tuple], model: BoostedModel
     return tree
 
 
-def _level(data: DataFrame, tasks: int, pending: list[tuple], model: BoostedModel, tree: Tree, nodes: list[int],
-           lam: float, gamma: float, least: float) -> dict[int, tuple]:
+def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], lam: float, gamma: float,
+           least: float) -> dict[int, tuple]:
     """(feature, cut, missing left, gain, GL, HL, G, H) of the best split of each node."""
     walk, _, derivatives, best_splits = _kernels()
     import numpy as np
     import pyarrow as pa
 
     n, width = len(model.cuts), max((len(c) for c in model.cuts), default=0) + 2  # and one for missing values
-    objective, rate, trees, grown = model.objective, model.rate, list(pending), tree.arrays()
+    objective, grown = model.objective, tree.arrays()
     place = np.full(len(tree.feature), -1)
     place[nodes] = np.arange(len(nodes))
     many, missing_byte, fields = len(nodes), MISSING, ["cut", "missing_left", "gain", "gl", "hl", "g", "h"]
 
     def histogram(batches):
-        total = np.zeros((2, many * n * width))
+        total = np.zeros((2, many, n, width))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 16_384):
-                part = batch.slice(lo, 16_384)
-                b = np.frombuffer(b"".join(part.column("bins").to_pylist()), np.uint8).reshape(-1, n)
-                m = part.column("margin").to_numpy().copy()
-                for t in trees:
-                    m += rate * t[3][walk(b, t)]
-                g, h = derivatives(objective, part.column("y").to_numpy(), part.column("w").to_numpy(), m)
-                at = place[walk(b, grown)]
-                live = at >= 0
-                slot = np.where(b[live] == missing_byte, width - 1, b[live]) + width * (np.arange(n) + n * at[live][:, None])
-                for k, v in enumerate((g[live], h[live])):
-                    total[k] += np.bincount(slot.ravel(), np.repeat(v, n), total.shape[1])
-        return total.reshape(2, many, n, width)
+            for m, bins, *rest in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "y", "w", "margin"))):
+                b = np.frombuffer(bins, np.uint8).reshape(n, m)
+                y, w, margin = map(np.frombuffer, rest)
+                g, h = derivatives(objective, y, w, margin)
+                at = place[walk(b.T, grown)]
+                if at.min(initial=0) < 0:
+                    live = np.flatnonzero(at >= 0)
+                    b, at, g, h = b[:, live], at[live], g[live], h[live]
+                first = at * width
+                for f in range(n):
+                    v = np.where(b[f] == missing_byte, width - 1, b[f]) if b[f].max(initial=0) == missing_byte else b[f]
+                    slot = first + v
+                    total[0, :, f] += np.bincount(slot, g, many * width).reshape(many, width)
+                    total[1, :, f] += np.bincount(slot, h, many * width).reshape(many, width)
+        return total
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([histogram(batches).tobytes()], pa.binary())], names=["sums"])
