@@ -1,8 +1,9 @@
 """Queries: model bake-offs, scored test parts and feature importances.
 
 Models are non-deterministic across partitionings, so these carry no SQL
-oracle; tests check their properties instead.  The queries that share a
-bake-off share its fitted models: they lie in a model store under the shared folder.
+oracle; tests check their properties instead.  Queries share
+splits and fitted models, which lie in a model store under the shared folder; a query
+that names one model fits that one only.
 """
 
 from __future__ import annotations
@@ -40,41 +41,77 @@ def _store(spark) -> ModelStore:
     return ModelStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/stayrate-models")
 
 
+class Fits:
+    """The stored split of one target and its models, each under a key of its own: a query
+    that names a model fits that one only, and what one query fitted the others load."""
+
+    def __init__(self, spark, sf, kind: str, frame, estimators):
+        fx = fixture(spark, sf)
+        self.store, self.kind, self._estimators = _store(spark), kind, estimators
+        self._inputs = [fx.customers, fx.transactions, fx.events, fx.support_tickets]
+
+        def make():
+            mf = frame(spark, sf)
+            weights = mf.train.agg(F.sum(mo.WEIGHT)).first()[0] or float(mf.n_train)
+            return {}, {"train": mf.train, "test": mf.test}, {"feature_cols": mf.feature_cols, "n_train": mf.n_train,
+                                                               "target_sd": mf.target_sd, "sum_weights": weights}
+
+        self.bundle = self.store.get_or_fit(self.key("frame", {"seed": 42}), make)
+        f = self.bundle.facts
+        self.feature_cols = f["feature_cols"]
+        self.train, self.test = self.bundle.frame("train"), self.bundle.frame("test")
+        self.frame = mo.ModelFrame(self.train, self.test, self.feature_cols, f["n_train"], f["target_sd"])
+
+    def key(self, name: str, params) -> str:
+        return self.store.key(f"{self.kind}-{name}", self._inputs, params)
+
+    def model(self, name: str, est=None):
+        def fit():
+            return {name: (est or self._estimators(self)[name]).fit(self.train)}, {}, {}
+
+        return self.store.get_or_fit(self.key(name.replace(" ", "-").lower(), {"n_trees": N_TREES, "seed": 42}), fit).model(name)
+
+
 class Bakeoff:
     """A stored bake-off: its table, the test part and the fitted models by name."""
 
-    def __init__(self, bundle: Bundle, schema: str):
-        self.bundle, self.facts = bundle, bundle.facts
+    def __init__(self, fits: Fits, bundle: Bundle, schema: str):
+        self.fits, self.facts, self.bundle = fits, bundle.facts, self
+        self.path, self.models = bundle.path, [r[0] for r in self.facts["table"]]
         self.table = bundle.spark.createDataFrame([tuple(r) for r in self.facts["table"]], schema)
-        self.test, self.train = bundle.frame("test"), bundle.frame("train")
-        self.best, self.feature_cols = self.facts["best"], self.facts["feature_cols"]
+        self.test, self.train = fits.test, fits.train
+        self.best, self.feature_cols = self.facts["best"], fits.feature_cols
 
     def model(self, name: str | None = None):
-        return self.bundle.model(name or self.best)
+        return self.fits.model(name or self.best)
 
 
-def _bakeoff(spark, sf, name: str, frame, compare, schema: str) -> Bakeoff:
-    """Fitted once per input and parameters: later sessions on the same folder load it."""
-    fx = fixture(spark, sf)
-    store = _store(spark)
-    key = store.key(name, [fx.customers, fx.transactions, fx.events, fx.support_tickets], {"n_trees": N_TREES, "seed": 42})
+def _regression_fits(spark, sf) -> Fits:
+    return Fits(spark, sf, "regression", clv_frame,
+                lambda f: mo.regression_estimators(f.frame.n_train, f.frame.target_sd, N_TREES, boosted=True))
+
+
+def _classification_fits(spark, sf) -> Fits:
+    return Fits(spark, sf, "classification", churn_frame,
+                lambda f: mo.classification_estimators(f.bundle.facts["sum_weights"], N_TREES, boosted=True))
+
 
+def _bakeoff(fits: Fits, compare, schema: str) -> Bakeoff:
+    """Compared once per input and parameters: later sessions on the same folder load it."""
     def fit():
-        mf = frame(spark, sf)
-        table, best, fitted = compare(mf, N_TREES, boosted=True)
-        return fitted, {"train": mf.train, "test": mf.test}, {
-            "table": [list(r) for r in table.collect()], "best": best, "feature_cols": mf.feature_cols}
+        table, best, _ = compare(fits.frame, N_TREES, boosted=True, fit=fits.model)
+        return {}, {}, {"table": [list(r) for r in table.collect()], "best": best}
 
-    return Bakeoff(store.get_or_fit(key, fit), schema)
+    return Bakeoff(fits, fits.store.get_or_fit(fits.key("bakeoff", {"n_trees": N_TREES, "seed": 42}), fit), schema)
 
 
 def _regression(spark, sf) -> Bakeoff:
-    return _bakeoff(spark, sf, "regression", clv_frame, mo.compare_regressors,
+    return _bakeoff(_regression_fits(spark, sf), mo.compare_regressors,
                     "model string, rmse double, mae double, r2 double, is_best boolean")
 
 
 def _classification(spark, sf) -> Bakeoff:
-    return _bakeoff(spark, sf, "classification", churn_frame, mo.compare_classifiers,
+    return _bakeoff(_classification_fits(spark, sf), mo.compare_classifiers,
                     "model string, auc double, precision double, recall double, f1 double, is_best boolean")
 
 
@@ -167,8 +204,8 @@ CLASSIFIERS = {"fit_logistic": "Logistic Regression", "fit_rf_classifier": "Rand
 for _q, _model in REGRESSORS.items():
     def _mk(model_name):
         def q(spark, sf):
-            b = _regression(spark, sf)
-            return finish(mo.score_regression(b.model(model_name), b.test))
+            f = _regression_fits(spark, sf)
+            return finish(mo.score_regression(f.model(model_name), f.test))
         q.__doc__ = f"{model_name} on log1p(clv), test-part predictions in dollars."
         return q
     register(_q)(_mk(_model))
@@ -176,8 +213,8 @@ for _q, _model in REGRESSORS.items():
 for _q, _model in CLASSIFIERS.items():
     def _mk(model_name):
         def q(spark, sf):
-            b = _classification(spark, sf)
-            return finish(mo.score_classification(b.model(model_name), b.test))
+            f = _classification_fits(spark, sf)
+            return finish(mo.score_classification(f.model(model_name), f.test))
         q.__doc__ = f"{model_name} churn classifier, test-part class and probability."
         return q
     register(_q)(_mk(_model))
