@@ -36,7 +36,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def rename(spark: SparkSession, old: str, new: str) -> bool:
     fs, p = _fs(spark, old)
-    return fs.rename(p, _fs(spark, new)[1])
+    _, to = _fs(spark, new)
+    fs.mkdirs(to.getParent())
+    return fs.rename(p, to)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -162,16 +162,18 @@ FROM (VALUES {", ".join(f"(DATE '{d}')" for d in DAYS)}) AS d(as_of) JOIN f_cust
 def q_stream_daily_scoring(spark, sf):
     """Feature snapshots of three days scored as a stream, a committed batch each; customers and valid scores per day."""
     from stayrate.operators import features as fe
+    from stayrate.operators.store import rename
     from stayrate.streaming.scoring import fit_churn_pipeline, read_scores, stream_daily
     fx = fixture(spark, sf)
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     for day in DAYS:
         known = fx.customers.where(F.col("signup_date") <= F.lit(day).cast("date"))
-        feats = fe.customer_features(known, fx.transactions, fx.events, fx.support_tickets, as_of=day)
-        feats.withColumn("as_of", F.lit(day).cast("date")).coalesce(1).write.mode("append").parquet(f"{base}/snapshots")
-    snapshots = spark.read.parquet(f"{base}/snapshots")
-    last = snapshots.where(F.col("as_of") == F.lit(DAYS[-1]).cast("date")).drop("as_of")
+        fe.customer_features(known, fx.transactions, fx.events, fx.support_tickets, as_of=day).write.parquet(f"{base}/made/as_of={day}")
+    last = spark.read.parquet(f"{base}/made/as_of={DAYS[-1]}")
+    schema = last.withColumn("as_of", F.lit(None).cast("date")).schema
     model, _ = fit_churn_pipeline(cut_lineage(eda.attach_labels(last, fx.churn_labels)), n_trees=10)
-    stream_daily(spark, model, f"{base}/snapshots", f"{base}/scores", f"{base}/progress", snapshots.schema).awaitTermination()
+    for day in DAYS:  # a day's files, however many, arrive by one rename and are one batch
+        rename(spark, f"{base}/made/as_of={day}", f"{base}/snapshots/as_of={day}")
+        stream_daily(spark, model, f"{base}/snapshots", f"{base}/scores", f"{base}/progress", schema, files_per_batch=None).awaitTermination()
     ok = F.col("churn_probability").between(0, 1)
     return read_scores(spark, f"{base}/scores").groupBy("as_of").agg(F.count(F.lit(1)).alias("customers"), F.count_if(ok).alias("scored"))

@@ -87,12 +87,13 @@ SCORES = "customer_id long, churn_probability double, predicted_churn int, as_of
 
 
 def stream_daily(spark: SparkSession, model: PipelineModel, snapshots_dir: str, out_dir: str, checkpoint_location: str,
-                 schema, files_per_batch: int = 1, on_batch=None) -> StreamingQuery:
+                 schema, files_per_batch: int | None = 1, on_batch=None) -> StreamingQuery:
     """Score the snapshot files of a folder that are new since the last run, then stop (availableNow).
 
     A batch is scored, written to a folder of its own and committed by one rename under its
     number (``write_batch``); read the scores with ``read_scores``.  ``on_batch(id)`` is called
-    after a commit, before the stream records the batch as done.
+    after a commit, before the stream records the batch as done.  ``files_per_batch`` None makes
+    all new files one batch: a day's snapshot may then be of any number of files.
     """
     def one(df: DataFrame, batch: int) -> None:
         p = model.transform(df)
@@ -102,7 +103,10 @@ def stream_daily(spark: SparkSession, model: PipelineModel, snapshots_dir: str,
         if on_batch:
             on_batch(batch)
 
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(snapshots_dir)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    src = reader.parquet(snapshots_dir)
     return (src.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())
 
