@@ -13,6 +13,7 @@ from stayrate.operators import segments as sg
 from stayrate.plans.q_features import features_df
 from stayrate.plans.registry import R, finish, register
 from stayrate.plans.sqlparts import with_features
+from stayrate.session import cut_lineage
 from stayrate.sources.fixtures import fixture
 
 COLS = sg.SEG_FEATURES
@@ -41,8 +42,13 @@ def scaled_df(spark, sf):
     return sg.segment_features(features_df(spark, sf))
 
 
-def assigned(spark, sf):
-    scaled = scaled_df(spark, sf)
+def stored_features(spark, sf):
+    """The segmentation columns, made once for queries that read them more than once."""
+    return cut_lineage(features_df(spark, sf).select("customer_id", *COLS))
+
+
+def assigned(spark, sf, features=None):
+    scaled = scaled_df(spark, sf) if features is None else sg.segment_features(features)
     cents = sg.first_k_centroids(scaled, K)
     return sg.assign_segment(scaled, cents).select("customer_id", "segment")
 
@@ -83,17 +89,19 @@ def _mean_sql(c: str) -> str:
     f"{R(_mean_sql(c))} AS mean_{c}" for c in COLS) +
     " FROM seg s JOIN feat f ON s.customer_id = f.customer_id GROUP BY s.segment")
 def q_segment_profiles(spark, sf):
-    return finish(sg.segment_profiles(assigned(spark, sf), features_df(spark, sf)))
+    feats = stored_features(spark, sf)
+    return finish(sg.segment_profiles(assigned(spark, sf, feats), feats))
 
 
 _cache: dict = {}
 
 
-def _kmeans(spark, sf):
+def _kmeans(spark, sf, features=None, clv=None):
+    """``features`` and ``clv`` are given by queries that read them themselves too."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _cache:
-        fx = fixture(spark, sf)
-        _cache[key] = sg.kmeans_segments(features_df(spark, sf), fx.clv_labels, K, N_INIT)
+        feats = features_df(spark, sf) if features is None else features
+        _cache[key] = sg.kmeans_segments(feats, fixture(spark, sf).clv_labels if clv is None else clv, K, N_INIT)
     return _cache[key]
 
 
@@ -106,7 +114,8 @@ def q_kmeans_segments(spark, sf):
 @register("kmeans_segment_summary")
 def q_kmeans_segment_summary(spark, sf):
     fx = fixture(spark, sf)
-    return finish(sg.segment_summary(_kmeans(spark, sf)[0], fx.clv_labels, fx.churn_labels))
+    clv = cut_lineage(fx.clv_labels)  # for the order of the segments and for their means
+    return finish(sg.segment_summary(_kmeans(spark, sf, clv=clv)[0], clv, fx.churn_labels))
 
 
 @register("elbow")
@@ -130,6 +139,7 @@ def q_pca_explained_variance(spark, sf):
 @register("segment_scatter")
 def q_segment_scatter(spark, sf):
     """Data behind the segment scatter: PCA coordinates with the K-Means segment."""
-    proj, _ = sg.pca_2d(spark, scaled_df(spark, sf))
-    return finish(proj.join(_kmeans(spark, sf)[0], "customer_id").select(
+    feats = stored_features(spark, sf)
+    proj, _ = sg.pca_2d(spark, sg.segment_features(feats))
+    return finish(proj.join(_kmeans(spark, sf, feats)[0], "customer_id").select(
         "customer_id", "pc1", "pc2", F.col("segment")))
