@@ -6,9 +6,14 @@ feature and bin, and the best split of every node follows from those sums alone
 (gain 1/2 [GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)] - gamma, leaf -G/(H+l)).  Rows without a
 value go to the side with the larger gain.
 
-A pass sends one histogram per task.  While a level's histograms of all tasks are within
-``DIRECT_BYTES`` the driver adds them up; beyond it they are shuffled by node and feature
-and only the best split of each leaves the tasks, so the driver holds a row per node and feature.
+A pass sends one histogram per task, a feature taking as many numbers as it has bins.  While a
+level's histograms of all tasks are within ``DIRECT_BYTES`` the driver adds them up, and of two
+children only the lighter one's rows are counted: the other's sums are its parent's less those.
+Beyond it histograms are shuffled by node and feature and only the best split of each leaves the
+tasks, so the driver holds a row per node and feature.
+
+Objectives: "squared"; "logistic"; "deviance", which is logistic with splits by the squared error
+of the residuals and a Newton step per leaf (gradient boosting of the first order).
 
 Rows lie in blocks, a feature's bytes side by side.  A tree's first pass brings the margins up to
 the tree before and keeps them, so a row meets each tree once; every ``TREES_PER_CHECKPOINT`` trees
@@ -40,6 +45,8 @@ DIRECT_BYTES = 64 << 20
 BLOCK = 16_384
 #: Gains closer than this (relative) are equal: then the first feature and the first bin win.
 SAME_GAIN = 1e-9
+#: Gains below this share of the labels' sum of squares are rounding.
+NO_GAIN = 1e-14
 
 
 @dataclass
@@ -89,6 +96,8 @@ def _kernels() -> tuple[Callable, Callable, Callable, Callable]:
         if objective == "logistic":
             p = 1 / (1 + np.exp(-margin))
             return w * (p - y), np.maximum(w * p * (1 - p), 1e-16)
+        if objective == "deviance":
+            return w / (1 + np.exp(-margin)) - w * y, w
         return w * (margin - y), w
 
     def best_splits(sums, lam, gamma, least):
@@ -138,7 +147,7 @@ class BoostedModel:
         """Adds ``prediction`` and, for the logistic objective, ``probability`` of class 1."""
         walk, binned, _, _ = _kernels()
         base, rate, cuts, trees = self.base, self.rate, self.cuts, [t.arrays() for t in self.trees]
-        logistic, n = self.objective == "logistic", len(self.cuts)
+        logistic, n = self.objective != "squared", len(self.cuts)
         import numpy as np
         import pyarrow as pa
 
@@ -187,6 +196,21 @@ class BoostedModel:
                    [Tree(**{k: np.array(t[k], v) for k, v in kinds.items()}) for t in d["trees"]])
 
 
+@register_model
+@dataclass
+class GradientBoostedModel(BoostedModel):
+    """Boosted trees of the first order: importances are total gains."""
+
+    def importances(self) -> np.ndarray:
+        """Each tree's gains by feature as shares, then their mean as shares."""
+        out = np.zeros(len(self.cuts))
+        for t in self.trees:
+            at, one = t.feature >= 0, np.zeros(len(self.cuts))
+            np.add.at(one, t.feature[at], t.gain[at])
+            out += one / one.sum() if one.sum() > 0 else 0
+        return out / out.sum() if out.sum() > 0 else out
+
+
 def quantile_cuts(rows: DataFrame, n: int, bins: int = MAX_BINS) -> list[np.ndarray]:
     """Different values at the quantiles of each of the ``n`` features of the array column x."""
     probs = [k / bins for k in range(1, bins)]
@@ -198,7 +222,7 @@ def quantile_cuts(rows: DataFrame, n: int, bins: int = MAX_BINS) -> list[np.ndar
 def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: str | None = None, objective: str = "squared",
                 n_trees: int = 200, depth: int = 6, rate: float = 0.1, lam: float = 1.0, gamma: float = 0.0,
                 min_child_weight: float = 1.0, cuts: Sequence[np.ndarray] | None = None, bins: int = MAX_BINS) -> BoostedModel:
-    """Boosted trees for ``objective`` "squared" or "logistic" (labels 0 and 1).
+    """Boosted trees for ``objective`` "squared", "logistic" or "deviance" (labels 0 and 1).
 
     Rows with a null label are left out; a null weight is 1.  No rows give the base alone.
     """
@@ -209,15 +233,16 @@ def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: s
         return BoostedModel(objective, 0.0, rate, [])
     n = first["n"]
     cuts = list(cuts) if cuts is not None else quantile_cuts(rows, n, bins)
-    mean = rows.agg((F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("m")).first()["m"]
-    if objective == "logistic":
+    wy = F.col("w") * F.col("y")
+    mean, squares = rows.agg((F.sum(wy) / F.sum("w")).alias("m"), F.sum(wy * F.col("y")).alias("s")).first()
+    if objective != "squared":
         mean = float(np.log(max(mean, 1e-9) / max(1 - mean, 1e-9)))
     model = BoostedModel(objective, float(mean), rate, cuts)
     data = _binned(rows, cuts, float(mean))
     tasks = data.rdd.getNumPartitions()
     stale = None
     for k in range(n_trees):
-        tree = _grow(data, tasks, model, depth, lam, gamma, min_child_weight)
+        tree = _grow(data, tasks, model, depth, lam, gamma, min_child_weight, NO_GAIN * squares)
         if stale is not None:  # the passes above have made what followed it
             stale.unpersist()
         model.trees.append(tree)
@@ -284,12 +309,12 @@ def _advanced(data: DataFrame, tree: Tree, rate: float, n: int) -> DataFrame:
     return data.mapInArrow(run, _ROW).persist()
 
 
-def _grow(data: DataFrame, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float) -> Tree:
+def _grow(data: DataFrame, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float, floor: float) -> Tree:
     tree = Tree.empty(depth)
-    open_ = [0]
+    open_, light, held = [0], [0], {}  # nodes to split, those whose rows are counted, sums of the nodes above
     for level in range(depth):
-        splits = _level(data, tasks, model, tree, open_, lam, gamma, least)
-        after = []
+        splits, held = _level(data, tasks, model, tree, open_, light, held, lam, gamma, least)
+        after, light = [], []
         for node in open_:
             best = splits.get(node)
             if best is None:
@@ -297,58 +322,99 @@ def _grow(data: DataFrame, tasks: int, model: BoostedModel, depth: int, lam: flo
             f, cut, miss, gain, gl, hl, g, h = best
             if level == 0:
                 tree.weight[0] = -g / (h + lam)
-            if not gain > 0:
+            if not gain > floor:
                 continue
             tree.feature[node], tree.cut[node], tree.missing_left[node], tree.gain[node] = f, cut, miss, gain
             tree.weight[2 * node + 1], tree.weight[2 * node + 2] = -gl / (hl + lam), -(g - gl) / (h - hl + lam)
             after += [2 * node + 1, 2 * node + 2]
+            light.append(2 * node + 1 if 2 * hl <= h else 2 * node + 2)
         open_ = after
         if not open_:
             break
+    if model.objective == "deviance":
+        _newton(data, len(model.cuts), tree, lam)
     return tree
 
 
-def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], lam: float, gamma: float,
-           least: float) -> dict[int, tuple]:
-    """(feature, cut, missing left, gain, GL, HL, G, H) of the best split of each node."""
+def _newton(data: DataFrame, n: int, tree: Tree, lam: float) -> None:
+    """Leaves of the least deviance to second order: the sums of gradients and Hessians of their rows."""
+    walk, _, derivatives, _ = _kernels()
+    import numpy as np
+    import pyarrow as pa
+
+    grown, many = tree.arrays(), len(tree.feature)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, many))
+        for batch in batches:
+            for m, bins, *rest in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "y", "w", "margin"))):
+                at = walk(np.frombuffer(bins, np.uint8).reshape(n, m).T, grown)
+                for i, s in enumerate(derivatives("logistic", *map(np.frombuffer, rest))):
+                    total[i] += np.bincount(at, s, many)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    g, h = sum(np.frombuffer(r["sums"]) for r in data.mapInArrow(sums, "sums binary").collect()).reshape(2, many)
+    leaf = h > 0
+    tree.weight[leaf] = -g[leaf] / (h[leaf] + lam)
+
+
+def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], light: list[int], above: dict, lam: float,
+           gamma: float, least: float) -> tuple[dict[int, tuple], dict]:
+    """(feature, cut, missing left, gain, GL, HL, G, H) of the best split of each node, and the nodes' sums
+    where the driver holds them.  ``light`` are the lighter children, ``above`` the sums of the level before."""
     walk, _, derivatives, best_splits = _kernels()
     import numpy as np
     import pyarrow as pa
 
-    n, width = len(model.cuts), max((len(c) for c in model.cuts), default=0) + 2  # and one for missing values
+    n, widths = len(model.cuts), [len(c) + 2 for c in model.cuts]  # the last bin is of missing values
+    width, starts = max(widths, default=2), np.concatenate([[0], np.cumsum(widths)]).astype(int)
+    wide = int(starts[-1])
+    # Where a feature's bins lie in the sums; ``wide`` is a place that stays zero.
+    place_of = np.full((n, width), wide)
+    for f, (lo, k) in enumerate(zip(starts, widths)):
+        place_of[f, :k - 1], place_of[f, -1] = np.arange(lo, lo + k - 1), lo + k - 1
+    counted = light if above else nodes
+    direct = tasks * 16 * len(counted) * wide <= DIRECT_BYTES
+    counted = counted if direct else nodes
     objective, grown = model.objective, tree.arrays()
     place = np.full(len(tree.feature), -1)
-    place[nodes] = np.arange(len(nodes))
-    many, missing_byte, fields = len(nodes), MISSING, ["cut", "missing_left", "gain", "gl", "hl", "g", "h"]
+    place[counted] = np.arange(len(counted))
+    many, missing_byte, fields = len(counted), MISSING, ["cut", "missing_left", "gain", "gl", "hl", "g", "h"]
 
     def histogram(batches):
-        total = np.zeros((2, many, n, width))
+        total = np.zeros((2, many, wide))
         for batch in batches:
             for m, bins, *rest in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "y", "w", "margin"))):
                 b = np.frombuffer(bins, np.uint8).reshape(n, m)
                 y, w, margin = map(np.frombuffer, rest)
                 g, h = derivatives(objective, y, w, margin)
+                plain = h is w and m and w.min() == 1 == w.max()
                 at = place[walk(b.T, grown)]
                 if at.min(initial=0) < 0:
                     live = np.flatnonzero(at >= 0)
                     b, at, g, h = b[:, live], at[live], g[live], h[live]
-                first = at * width
-                for f in range(n):
-                    v = np.where(b[f] == missing_byte, width - 1, b[f]) if b[f].max(initial=0) == missing_byte else b[f]
-                    slot = first + v
-                    total[0, :, f] += np.bincount(slot, g, many * width).reshape(many, width)
-                    total[1, :, f] += np.bincount(slot, h, many * width).reshape(many, width)
+                first = {k: at * k for k in set(widths)}
+                for f, k in enumerate(widths):
+                    v = np.where(b[f] == missing_byte, k - 1, b[f]) if b[f].max(initial=0) == missing_byte else b[f]
+                    slot, lo = first[k] + v, starts[f]
+                    total[0, :, lo:lo + k] += np.bincount(slot, g, many * k).reshape(many, k)
+                    total[1, :, lo:lo + k] += np.bincount(slot, None if plain else h, many * k).reshape(many, k)
         return total
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([histogram(batches).tobytes()], pa.binary())], names=["sums"])
 
+    def padded(sums):
+        """Sums (2, nodes, features, bins) with features of equal width."""
+        return np.concatenate([sums, np.zeros((2, sums.shape[1], 1))], axis=2)[:, :, place_of]
+
     def by_feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = histogram(batches)
         for k in range(many):
+            one = padded(sums[:, k:k + 1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, k, np.int32)), pa.array(np.arange(n, dtype=np.int32)),
-                 pa.array([sums[:, k, f].tobytes() for f in range(n)], pa.binary())], names=["node", "feature", "sums"])
+                 pa.array([one[:, 0, f].tobytes() for f in range(n)], pa.binary())], names=["node", "feature", "sums"])
 
     def splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, object] = {}  # a task's nodes and features
@@ -362,9 +428,15 @@ def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes:
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0], pa.int32()), pa.array(keys[:, 1], pa.int32()), *map(pa.array, found.T)],
                                              names=["node", "feature", *fields])
 
-    if tasks * 16 * many * n * width <= DIRECT_BYTES:
-        sums = sum(np.frombuffer(r["sums"]) for r in data.mapInArrow(whole, "sums binary").collect()).reshape(2, many, n, width)
-        found = best_splits(sums.reshape(2, many * n, width), lam, gamma, least)
+    held: dict = {}
+    if direct:
+        sums = sum(np.frombuffer(r["sums"]) for r in data.mapInArrow(whole, "sums binary").collect()).reshape(2, many, wide)
+        held = {k: sums[:, i] for i, k in enumerate(counted)}
+        for k in nodes:
+            if k not in held:
+                other = k + 1 if k % 2 else k - 1
+                held[k] = above[(k - 1) // 2] - held[other]
+        found = best_splits(padded(np.stack([held[k] for k in nodes], axis=1)).reshape(2, len(nodes) * n, width), lam, gamma, least)
         rows = [(*divmod(i, n), *r) for i, r in enumerate(found.tolist())]
     else:
         rows = (data.mapInArrow(by_feature, "node int, feature int, sums binary")
@@ -376,4 +448,4 @@ def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes:
         best = out.get(nodes[k])
         if best is None or rest[2] > best[3] + SAME_GAIN * abs(rest[2]):
             out[nodes[k]] = (f, *rest)
-    return out
+    return out, held

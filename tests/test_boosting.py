@@ -96,3 +96,16 @@ def test_awkward_rows(spark):
     assert np.allclose(a.margins(x), b.margins(x))
     none = boosting.fit_boosted(frame(spark, x, signal, w).limit(0), "y", n_trees=2)
     assert none.trees == [] and none.base == 0.0
+
+
+def test_of_two_children_only_the_lighter_is_counted(spark, monkeypatch):
+    counted, real = [], boosting._level
+
+    def level(data, tasks, model, tree, nodes, light, above, *rest):
+        counted.append((len(nodes), len(light) if above else len(nodes)))
+        return real(data, tasks, model, tree, nodes, light, above, *rest)
+
+    monkeypatch.setattr(boosting, "_level", level)
+    x, signal, w = data()
+    boosting.fit_boosted(frame(spark, x, signal, w), "y", n_trees=2, depth=4)
+    assert all(c == (n + 1) // 2 for n, c in counted) and max(n for n, _ in counted) > 4
