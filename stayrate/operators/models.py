@@ -7,9 +7,9 @@ executor recomputes from it.  Metrics come from the SQL aggregates in
 ``operators.metrics`` on the held-out part.
 
 Linear and ridge regression solve the normal equations of one shared Gram
-aggregate (``operators.gram``), whatever the number of penalties; the optional
-boosted models are second-order histogram boosting (``operators.boosting``); random
-forests hand small nodes to single tasks (``operators.forest``).
+aggregate (``operators.gram``), whatever the number of penalties; gradient boosting and the
+optional boosted models are histogram boosting of the first and second order
+(``operators.boosting``); random forests hand small nodes to single tasks (``operators.forest``).
 Independent fits run as concurrent Spark jobs.
 
 Parameter mapping from the reference's estimators:
@@ -26,17 +26,16 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.operators import metrics as me
 from stayrate.operators import prep
-from stayrate.operators.boosting import BoostedModel, fit_boosted
+from stayrate.operators.boosting import BoostedModel, GradientBoostedModel, fit_boosted
 from stayrate.operators.forest import ForestModel, fit_forest
 from stayrate.operators.gram import Gram, gram
 from stayrate.operators.store import register_model
@@ -176,6 +175,42 @@ class BoostedTrees:
         return fit_boosted(train, TARGET, FEATURES, weight, self.objective, self.n_trees, self.depth, self.rate)
 
 
+#: Bins of a feature in gradient boosting; children may have any weight that is not rounding.
+GBT_BINS = 32
+LEAST_WEIGHT = 1e-6
+
+
+@dataclass
+class GBTRegressor:
+    """Gradient boosting: trees on the residuals by squared error, leaves their means."""
+
+    depth: int
+    n_trees: int = 200
+    rate: float = 0.1
+
+    def fit(self, train: DataFrame) -> GradientBoostedModel:
+        return _gradient_boosted(self, train, "squared", None)
+
+
+@dataclass
+class GBTClassifier:
+    """Gradient boosting of the deviance: trees on the residuals by squared error, a Newton step per leaf."""
+
+    depth: int
+    n_trees: int = 200
+    rate: float = 0.1
+    weight: str | None = None
+
+    def fit(self, train: DataFrame) -> GradientBoostedModel:
+        return _gradient_boosted(self, train, "deviance", self.weight)
+
+
+def _gradient_boosted(est, train: DataFrame, objective: str, weight: str | None) -> GradientBoostedModel:
+    m = fit_boosted(train, TARGET, FEATURES, weight, objective, est.n_trees, est.depth, est.rate, lam=0.0,
+                    min_child_weight=LEAST_WEIGHT, bins=GBT_BINS)
+    return GradientBoostedModel(m.objective, m.base, m.rate, m.cuts, m.trees)
+
+
 @dataclass
 class Forest:
     """A random forest: the regressor tries all features at a split, the classifier the square root of their number."""
@@ -202,8 +237,7 @@ def regression_estimators(n_train: int, target_sd: float, n_trees: int = 200, se
         "Linear Regression": family.estimator(0.0),
         "Ridge Regression": family.estimator(alpha),
         "Random Forest": Forest(False, 12, n_trees, seed),
-        "Gradient Boosting": GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees, cacheNodeIds=True,
-                                          checkpointInterval=10, maxDepth=5, stepSize=0.1, seed=seed),
+        "Gradient Boosting": GBTRegressor(5, n_trees),
     }
     if boosted:
         est[BOOSTED] = BoostedTrees("squared", 6, n_trees)
@@ -218,8 +252,7 @@ def classification_estimators(sum_weights: float, n_trees: int = 200, seed: int
                                                   regParam=1.0 / max(sum_weights, 1.0), elasticNetParam=0.0,
                                                   standardization=False, **wcol),
         "Random Forest": Forest(True, 10, n_trees, seed, WEIGHT if weighted else None),
-        "Gradient Boosting": GBTClassifier(featuresCol=FEATURES, labelCol=TARGET, maxIter=n_trees, cacheNodeIds=True,
-                                           checkpointInterval=10, maxDepth=4, stepSize=0.1, seed=seed, **wcol),
+        "Gradient Boosting": GBTClassifier(4, n_trees, weight=WEIGHT if weighted else None),
     }
     if boosted:  # positives weigh negatives / positives of the training part; no resampling
         est[BOOSTED] = BoostedTrees("logistic", 5, n_trees, ratio_weights=True)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 
 from stayrate.operators import boosting
+from stayrate.operators import models as mo
 
 
 def brute_fit(x, y, w, cuts, objective, n_trees, depth, rate=0.1, lam=1.0, least=1.0):
@@ -98,6 +99,57 @@ def test_awkward_rows(spark):
     assert none.trees == [] and none.base == 0.0
 
 
+def brute_first_order(x, y, w, cuts, deviance, n_trees, depth, rate):
+    """Margins of gradient boosting: splits by squared error of the residuals, Newton leaves for the deviance."""
+    mean = (w * y).sum() / w.sum()
+    margin = np.full(len(y), np.log(mean / (1 - mean)) if deviance else mean)
+    for _ in range(n_trees):
+        p = 1 / (1 + np.exp(-margin)) if deviance else margin
+        r, h = y - p, w * p * (1 - p) if deviance else w
+        leaves = [np.arange(len(y))]
+        for _ in range(depth):
+            after = []
+            for rows in leaves:
+                fit = lambda s: (w[s] * r[s]).sum() ** 2 / w[s].sum() if len(s) else -np.inf
+                best, score = None, 1e-9
+                for f in range(x.shape[1]):
+                    v = x[rows, f]
+                    for c in cuts[f]:
+                        for miss in (False, True):
+                            left = (v <= c) | (np.isnan(v) & miss)
+                            gain = 0.5 * (fit(rows[left]) + fit(rows[~left]) - fit(rows))
+                            if gain > score * (1 + 1e-9):
+                                best, score = (rows[left], rows[~left]), gain
+                after += best or [rows]
+            leaves = after
+        step = np.zeros(len(y))
+        for rows in leaves:
+            step[rows] = (w[rows] * r[rows]).sum() / h[rows].sum()
+        margin = margin + rate * step
+    return margin
+
+
+@pytest.mark.parametrize("deviance, direct", [(False, 64 << 20), (True, 64 << 20), (True, 0)])
+def test_gradient_boosting_equals_brute_force(spark, monkeypatch, deviance, direct):
+    monkeypatch.setattr(boosting, "DIRECT_BYTES", direct)
+    x, signal, w = data(160, 5)
+    y = (signal + np.random.default_rng(6).normal(0, 1, len(signal)) > 1).astype(float) if deviance else signal
+    df = frame(spark, x, y, w).withColumnsRenamed({"y": mo.TARGET, "w": mo.WEIGHT})
+    monkeypatch.setattr(mo, "GBT_BINS", 8)
+    if deviance:
+        model, weights = mo.GBTClassifier(3, 4, 0.3, mo.WEIGHT).fit(df), w
+    else:
+        model, weights = mo.GBTRegressor(3, 4, 0.3).fit(df), np.ones(len(w))
+    want = brute_first_order(x, y, weights, model.cuts, deviance, 4, 3, 0.3)
+    assert np.allclose(model.margins(x), want, atol=1e-9)
+    assert model.importances().sum() == pytest.approx(1)
+    got = {r["k"]: r for r in model.transform(df).collect()}
+    for k in range(len(x)):
+        assert got[k]["probability" if deviance else "prediction"] == pytest.approx(1 / (1 + np.exp(-want[k])) if deviance else want[k])
+    again = boosting.GradientBoostedModel.from_json(model.to_json())
+    assert np.array_equal(again.margins(x), model.margins(x))
+
+
 def test_of_two_children_only_the_lighter_is_counted(spark, monkeypatch):
     counted, real = [], boosting._level
 
