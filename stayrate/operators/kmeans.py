@@ -4,6 +4,10 @@ Models are (k, seed) pairs.  Their centroids stand side by side in one matrix, s
 pass over the rows assigns each row in every model with a single matrix product, and one
 aggregate by centroid gives all new centroids.  Models that no longer move leave the pass.
 What reaches the driver per pass is a row per centroid.
+
+Where the first centroids are drawn from a part of the rows, each model first settles on that part,
+a task per model, so that few of the passes over all rows are spent on the way from a poor start.
+A model ends, as without it, when no centroid moves any more over all rows.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that the first centroids are drawn from, about, and rows assigned at a time.
@@ -59,6 +63,9 @@ def fit_many(rows: DataFrame, models: Sequence[tuple[int, int]], max_iter: int =
     x = np.array([r["x"] for r in sample], float)
     x = x[np.lexsort(x.T[::-1])]
     runs = [KMeansRun(k, seed, first_centroids(x, k, seed)) for k, seed in models]
+    if len(x) < n:
+        for run, c in zip(runs, settled(rows.sparkSession, x, [r.centroids for r in runs], max_iter, tol)):
+            run.centroids = c
     active = list(runs)
     for _ in range(max_iter):
         moved = []
@@ -76,6 +83,30 @@ def fit_many(rows: DataFrame, models: Sequence[tuple[int, int]], max_iter: int =
     return runs
 
 
+def settled(spark: SparkSession, x: np.ndarray, starts: Sequence[np.ndarray], max_iter: int, tol: float) -> list[np.ndarray]:
+    """Lloyd's algorithm over the rows ``x`` from each of the starts, a task each."""
+    import numpy as np
+
+    sample = spark.sparkContext.broadcast(x)
+
+    def settle(c):
+        x = sample.value
+        for _ in range(max_iter):
+            near = ((c * c).sum(axis=1) / 2 - x @ c.T).argmin(axis=1)
+            count = np.bincount(near, minlength=len(c))
+            total = np.stack([np.bincount(near, v, len(c)) for v in x.T], axis=1)
+            new = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], c)
+            moved = ((new - c) ** 2).sum(axis=1).max()
+            c = new
+            if moved <= tol * tol:
+                break
+        return c
+
+    out = spark.sparkContext.parallelize(list(starts), len(starts)).map(settle).collect()
+    sample.unpersist()
+    return out
+
+
 def one_pass(rows: DataFrame, runs: Sequence[KMeansRun]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per run the number of rows, squared distances and sums of rows of each centroid."""
     import numpy as np

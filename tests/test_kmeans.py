@@ -73,3 +73,20 @@ def test_registered_elbow(spark):
     assert all(b.inertia <= a.inertia * 1.001 for a, b in zip(rows, rows[1:]))
     seg = QUERIES["kmeans_segments"](spark, SMALL)
     assert seg.select(F.countDistinct("segment")).first()[0] == 4
+
+
+def test_models_settle_on_the_drawn_rows_first(spark, monkeypatch):
+    """Few passes over all rows are left, and each ends where no centroid moves over all rows."""
+    monkeypatch.setattr(km, "SAMPLE", 1_000)
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (12_000, 3)) * [3, 2, 1]  # no groups: Lloyd's algorithm goes a long way
+    df = frame(spark, x)
+    models = [(k, s) for k in (4, 6) for s in (1, 2)]
+    runs = km.fit_many(df, models)
+    monkeypatch.setattr(km, "settled", lambda spark, x, starts, *a: starts)
+    far = km.fit_many(df, models)
+    assert sum(r.iterations for r in runs) < 0.8 * sum(r.iterations for r in far)
+    for r, f in zip(runs, far):
+        cost, steps = lloyd(x, r.centroids)
+        assert steps <= 2 and r.inertia == pytest.approx(cost, rel=1e-6)
+        assert r.inertia < 1.1 * f.inertia
