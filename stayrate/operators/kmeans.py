@@ -117,19 +117,22 @@ def one_pass(rows: DataFrame, runs: Sequence[KMeansRun]) -> list[tuple[np.ndarra
     n, d, step = len(centres), centres.shape[1], ROWS
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = (centres * centres).sum(axis=1) / 2
-        count, cost, total = np.zeros(n), np.zeros(n), np.zeros((d, n))
+        half = (centres * centres).sum(axis=1)[:, None] / 2
+        cost, total = np.zeros(n), np.zeros((n, 1 + d))
         for batch in batches:
             for lo in range(0, batch.num_rows, step):
                 x = batch.slice(lo, step).column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-                far = half - x @ centres.T
-                near = np.stack([lo_ + far[:, lo_:hi].argmin(axis=1) for lo_, hi in zip(first[:-1], first[1:])], axis=1)
-                at = near.ravel()
-                count += np.bincount(at, minlength=n)
-                away = np.maximum((x * x).sum(axis=1)[:, None] + 2 * np.take_along_axis(far, near, 1), 0)
-                cost += np.bincount(at, away.ravel(), n)
-                for k in range(d):
-                    total[k] += np.bincount(at, np.repeat(x[:, k], near.shape[1]), n)
+                m, far = len(x), half - centres @ x.T
+                squares, mine = (x * x).sum(axis=1), np.zeros((n, m))  # 1 where a row is a centroid's
+                for a, z in zip(first[:-1], first[1:]):
+                    at, least = np.zeros(m, np.intp), far[a]
+                    for k in range(a + 1, z):  # the first of equally near ones
+                        at = np.where(far[k] < least, k - a, at)
+                        least = np.minimum(far[k], least)
+                    mine[a + at, np.arange(m)] = 1
+                    cost[a:z] += np.bincount(at, np.maximum(squares + 2 * least, 0), z - a)
+                total += mine @ np.column_stack([np.ones(m), x])
+        count, total = total[:, 0], total[:, 1:].T
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(n), pa.int32()), pa.array(count), pa.array(cost), *(pa.array(t) for t in total)],
             names=["slot", "n", "cost", *(f"s{k}" for k in range(d))])
