@@ -6,7 +6,8 @@ feature and bin, and the best split of every node follows from those sums alone
 (gain 1/2 [GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)] - gamma, leaf -G/(H+l)).  Rows without a
 value go to the side with the larger gain.
 
-A pass sends one histogram per task, a feature taking as many numbers as it has bins.  While a
+A pass is a job over cached blocks of arrays, without a plan to make: a tree takes as many jobs as it has
+levels, and on small tables a job costs more than its work.  It sends one histogram per task, a feature taking as many numbers as it has bins.  While a
 level's histograms of all tasks are within ``DIRECT_BYTES`` the driver adds them up, and of two
 children only the lighter one's rows are counted: the other's sums are its parent's less those.
 Beyond it histograms are shuffled by node and feature and only the best split of each leaves the
@@ -28,6 +29,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
@@ -213,9 +215,10 @@ class GradientBoostedModel(BoostedModel):
 
 def quantile_cuts(rows: DataFrame, n: int, bins: int = MAX_BINS) -> list[np.ndarray]:
     """Different values at the quantiles of each of the ``n`` features of the array column x."""
-    probs = [k / bins for k in range(1, bins)]
-    value = lambda i: F.when(~F.isnan(F.col("x")[i]), F.col("x")[i])
-    row = rows.agg(*[F.percentile_approx(value(i), probs, 20 * bins).alias(f"q{i}") for i in range(n)]).first()
+    # As SQL text: an expression tree of a literal per feature and quantile takes longer to build than to run.
+    probs = ", ".join(f"{k / bins!r}D" for k in range(1, bins))
+    row = rows.selectExpr(*[f"percentile_approx(CASE WHEN NOT isnan(x[{i}]) THEN x[{i}] END, array({probs}), {20 * bins}) AS q{i}"
+                            for i in range(n)]).first()
     return [np.unique(np.array(q or [], float)) for q in row]
 
 
@@ -239,7 +242,7 @@ def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: s
         mean = float(np.log(max(mean, 1e-9) / max(1 - mean, 1e-9)))
     model = BoostedModel(objective, float(mean), rate, cuts)
     data = _binned(rows, cuts, float(mean))
-    tasks = data.rdd.getNumPartitions()
+    tasks = data.getNumPartitions()
     stale = None
     for k in range(n_trees):
         tree = _grow(data, tasks, model, depth, lam, gamma, min_child_weight, NO_GAIN * squares)
@@ -248,68 +251,58 @@ def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: s
         model.trees.append(tree)
         if tree.feature[0] < 0 and abs(tree.weight[0]) < 1e-9:  # nothing left to gain
             break
-        stale, data = data, _advanced(data, tree, rate, n)
+        stale, data = data, _advanced(data, tree, rate)
         if (k + 1) % TREES_PER_CHECKPOINT == 0:
-            stored = cut_lineage(data).persist()
-            for old in (stale, data):
-                old.unpersist()
-            stale, data = None, stored
+            data.checkpoint()  # with the next pass
     data.unpersist()
     if stale is not None:
         stale.unpersist()
     return model
 
 
-_ROW = "m long, bins binary, y binary, w binary, margin binary"
-
-
 def _spread(rows: DataFrame) -> DataFrame:
     """Over all cores: small files make fewer partitions than a pass could use."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _binned(rows: DataFrame, cuts: list[np.ndarray], base: float) -> DataFrame:
+def _binned(rows: DataFrame, cuts: list[np.ndarray], base: float) -> RDD:
+    """Blocks of (bins, a feature's bytes side by side, labels, weights, margins)."""
     _, binned, _, _ = _kernels()
     import numpy as np
     import pyarrow as pa
 
-    size = BLOCK
+    size, n = BLOCK, len(cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, size):
                 batch = whole.slice(lo, size)
-                m = batch.num_rows
-                b = binned(batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(m, -1), cuts)
-                parts = (b.T.tobytes(), *(batch.column(c).to_numpy().tobytes() for c in ("y", "w")), np.full(m, base).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([m], pa.int64()), *(pa.array([p], pa.binary()) for p in parts)],
-                                                 names=["m", "bins", "y", "w", "margin"])
+                b = binned(batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1), cuts)
+                parts = (b.T.tobytes(), *(batch.column(c).to_numpy().tobytes() for c in ("y", "w")))
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=["bins", "y", "w"])
+
+    def block(r):
+        y = np.frombuffer(r[1])
+        return np.frombuffer(r[0], np.uint8).reshape(n, len(y)), y, np.frombuffer(r[2]), np.full(len(y), base)
 
-    return cut_lineage(_spread(rows).mapInArrow(run, _ROW)).persist()
+    stored = cut_lineage(_spread(rows).mapInArrow(run, "bins binary, y binary, w binary"))
+    return stored.rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _advanced(data: DataFrame, tree: Tree, rate: float, n: int) -> DataFrame:
+def _advanced(data: RDD, tree: Tree, rate: float) -> RDD:
     """The margins with one more tree."""
     walk, *_ = _kernels()
-    import numpy as np
-    import pyarrow as pa
-
     t = tree.arrays()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for m, bins, margin in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "margin"))):
-                b = np.frombuffer(bins, np.uint8).reshape(n, m).T
-                out.append((np.frombuffer(margin) + rate * t[3][walk(b, t)]).tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("m", "bins", "y", "w")), pa.array(out, pa.binary())],
-                                             names=["m", "bins", "y", "w", "margin"])
+    def add(block):
+        bins, y, w, margin = block
+        return bins, y, w, margin + rate * t[3][walk(bins.T, t)]
 
-    return data.mapInArrow(run, _ROW).persist()
+    return data.map(add).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _grow(data: DataFrame, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float, floor: float) -> Tree:
+def _grow(data: RDD, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float, floor: float) -> Tree:
     tree = Tree.empty(depth)
     open_, light, held = [0], [0], {}  # nodes to split, those whose rows are counted, sums of the nodes above
     for level in range(depth):
@@ -332,39 +325,36 @@ def _grow(data: DataFrame, tasks: int, model: BoostedModel, depth: int, lam: flo
         if not open_:
             break
     if model.objective == "deviance":
-        _newton(data, len(model.cuts), tree, lam)
+        _newton(data, tree, lam)
     return tree
 
 
-def _newton(data: DataFrame, n: int, tree: Tree, lam: float) -> None:
+def _newton(data: RDD, tree: Tree, lam: float) -> None:
     """Leaves of the least deviance to second order: the sums of gradients and Hessians of their rows."""
     walk, _, derivatives, _ = _kernels()
     import numpy as np
-    import pyarrow as pa
 
     grown, many = tree.arrays(), len(tree.feature)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
         total = np.zeros((2, many))
-        for batch in batches:
-            for m, bins, *rest in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "y", "w", "margin"))):
-                at = walk(np.frombuffer(bins, np.uint8).reshape(n, m).T, grown)
-                for i, s in enumerate(derivatives("logistic", *map(np.frombuffer, rest))):
-                    total[i] += np.bincount(at, s, many)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    g, h = sum(np.frombuffer(r["sums"]) for r in data.mapInArrow(sums, "sums binary").collect()).reshape(2, many)
+        for bins, *rest in blocks:
+            at = walk(bins.T, grown)
+            for i, s in enumerate(derivatives("logistic", *rest)):
+                total[i] += np.bincount(at, s, many)
+        yield total
+
+    g, h = sum(data.mapPartitions(sums).collect())
     leaf = h > 0
     tree.weight[leaf] = -g[leaf] / (h[leaf] + lam)
 
 
-def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], light: list[int], above: dict, lam: float,
+def _level(data: RDD, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], light: list[int], above: dict, lam: float,
            gamma: float, least: float) -> tuple[dict[int, tuple], dict]:
     """(feature, cut, missing left, gain, GL, HL, G, H) of the best split of each node, and the nodes' sums
     where the driver holds them.  ``light`` are the lighter children, ``above`` the sums of the level before."""
     walk, _, derivatives, best_splits = _kernels()
     import numpy as np
-    import pyarrow as pa
 
     n, widths = len(model.cuts), [len(c) + 2 for c in model.cuts]  # the last bin is of missing values
     width, starts = max(widths, default=2), np.concatenate([[0], np.cumsum(widths)]).astype(int)
@@ -379,58 +369,47 @@ def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes:
     objective, grown = model.objective, tree.arrays()
     place = np.full(len(tree.feature), -1)
     place[counted] = np.arange(len(counted))
-    many, missing_byte, fields = len(counted), MISSING, ["cut", "missing_left", "gain", "gl", "hl", "g", "h"]
+    many, missing_byte = len(counted), MISSING
 
-    def histogram(batches):
+    def histogram(blocks):
         total = np.zeros((2, many, wide))
-        for batch in batches:
-            for m, bins, *rest in zip(*(batch.column(c).to_pylist() for c in ("m", "bins", "y", "w", "margin"))):
-                b = np.frombuffer(bins, np.uint8).reshape(n, m)
-                y, w, margin = map(np.frombuffer, rest)
-                g, h = derivatives(objective, y, w, margin)
-                plain = h is w and m and w.min() == 1 == w.max()
-                at = place[walk(b.T, grown)]
-                if at.min(initial=0) < 0:
-                    live = np.flatnonzero(at >= 0)
-                    b, at, g, h = b[:, live], at[live], g[live], h[live]
-                first = {k: at * k for k in set(widths)}
-                for f, k in enumerate(widths):
-                    v = np.where(b[f] == missing_byte, k - 1, b[f]) if b[f].max(initial=0) == missing_byte else b[f]
-                    slot, lo = first[k] + v, starts[f]
-                    total[0, :, lo:lo + k] += np.bincount(slot, g, many * k).reshape(many, k)
-                    total[1, :, lo:lo + k] += np.bincount(slot, None if plain else h, many * k).reshape(many, k)
+        for b, y, w, margin in blocks:
+            g, h = derivatives(objective, y, w, margin)
+            plain = h is w and len(w) and w.min() == 1 == w.max()
+            at = place[walk(b.T, grown)]
+            if at.min(initial=0) < 0:
+                live = np.flatnonzero(at >= 0)
+                b, at, g, h = b[:, live], at[live], g[live], h[live]
+            first = {k: at * k for k in set(widths)}
+            for f, k in enumerate(widths):
+                v = np.where(b[f] == missing_byte, k - 1, b[f]) if b[f].max(initial=0) == missing_byte else b[f]
+                slot, lo = first[k] + v, starts[f]
+                total[0, :, lo:lo + k] += np.bincount(slot, g, many * k).reshape(many, k)
+                total[1, :, lo:lo + k] += np.bincount(slot, None if plain else h, many * k).reshape(many, k)
         return total
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array([histogram(batches).tobytes()], pa.binary())], names=["sums"])
+    def whole(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
+        yield histogram(blocks)
 
     def padded(sums):
         """Sums (2, nodes, features, bins) with features of equal width."""
         return np.concatenate([sums, np.zeros((2, sums.shape[1], 1))], axis=2)[:, :, place_of]
 
-    def by_feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = histogram(batches)
+    def by_feature(blocks: Iterator[tuple]) -> Iterator[tuple]:
+        sums = histogram(blocks)
         for k in range(many):
             one = padded(sums[:, k:k + 1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, k, np.int32)), pa.array(np.arange(n, dtype=np.int32)),
-                 pa.array([one[:, 0, f].tobytes() for f in range(n)], pa.binary())], names=["node", "feature", "sums"])
-
-    def splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, object] = {}  # a task's nodes and features
-        for batch in batches:
-            for k, f, s in zip(*(c.to_pylist() for c in batch.columns)):
-                sums = np.frombuffer(s).reshape(2, width)
-                held[k, f] = held[k, f] + sums if (k, f) in held else sums
+            yield from ((k * n + f, one[:, 0, f]) for f in range(n))
+
+    def splits(sums: Iterator[tuple]) -> Iterator[tuple]:
+        held = list(sums)  # a task's nodes and features
         if held:
-            found = best_splits(np.stack(list(held.values()), axis=1), lam, gamma, least)
-            keys = np.array(list(held))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0], pa.int32()), pa.array(keys[:, 1], pa.int32()), *map(pa.array, found.T)],
-                                             names=["node", "feature", *fields])
+            found = best_splits(np.stack([s for _, s in held], axis=1), lam, gamma, least)
+            yield from ((*divmod(i, n), *r) for (i, _), r in zip(held, found.tolist()))
 
     held: dict = {}
     if direct:
-        sums = sum(np.frombuffer(r["sums"]) for r in data.mapInArrow(whole, "sums binary").collect()).reshape(2, many, wide)
+        sums = sum(data.mapPartitions(whole).collect())
         held = {k: sums[:, i] for i, k in enumerate(counted)}
         for k in nodes:
             if k not in held:
@@ -439,10 +418,7 @@ def _level(data: DataFrame, tasks: int, model: BoostedModel, tree: Tree, nodes:
         found = best_splits(padded(np.stack([held[k] for k in nodes], axis=1)).reshape(2, len(nodes) * n, width), lam, gamma, least)
         rows = [(*divmod(i, n), *r) for i, r in enumerate(found.tolist())]
     else:
-        rows = (data.mapInArrow(by_feature, "node int, feature int, sums binary")
-                .repartition(min(many * n, int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "node", "feature")
-                .mapInArrow(splits, "node int, feature int, " + ", ".join(f"{c} double" for c in fields))
-                .collect())
+        rows = data.mapPartitions(by_feature).reduceByKey(np.add, min(many * n, 3 * data.ctx.defaultParallelism)).mapPartitions(splits).collect()
     out: dict[int, tuple] = {}
     for k, f, *rest in sorted(map(tuple, rows)):
         best = out.get(nodes[k])

@@ -161,3 +161,21 @@ def test_of_two_children_only_the_lighter_is_counted(spark, monkeypatch):
     x, signal, w = data()
     boosting.fit_boosted(frame(spark, x, signal, w), "y", n_trees=2, depth=4)
     assert all(c == (n + 1) // 2 for n, c in counted) and max(n for n, _ in counted) > 4
+
+
+def test_a_fit_plans_its_rows_once(spark, monkeypatch):
+    """The passes of the trees are jobs over cached blocks; only the binning is a query."""
+    planned, real = [], type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, *a, **k: planned.append(1) or real(df, *a, **k))
+    x, signal, w = data()
+    model = boosting.fit_boosted(frame(spark, x, signal, w), "y", n_trees=4, depth=3)
+    assert len(model.trees) == 4 and len(planned) == 1
+
+
+def test_cuts_are_asked_for_in_few_calls(spark, monkeypatch):
+    rows = spark.createDataFrame([([float(k * j % 101) for j in range(40)],) for k in range(500)], "x array<double>")
+    client, calls = spark._jvm._gateway_client, []
+    real = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(1) or real(*a, **k))
+    cuts = boosting.quantile_cuts(rows, 40, 64)
+    assert len(cuts) == 40 and len(cuts[0]) == 1 and len(calls) < 1000
