@@ -145,3 +145,18 @@ def test_many_levels_are_joined_not_listed(spark, monkeypatch):
     few = fe.customer_features(fx.customers, fx.transactions, fx.events, fx.support_tickets, as_of=AS_OF)
     codes = {(r["plan_type"], r["plan_encoded"]) for r in few.select("plan_type", "plan_encoded").distinct().collect()}
     assert sorted(c for _, c in sorted(codes)) == list(range(len(codes)))
+
+
+def test_an_order_meets_its_customer_before_its_lines(spark):
+    """The lines of all orders are joined, and shuffled, once; the rows are those of the view's text."""
+    from stayrate.sources.fixtures import VIEW_SQL, fixture
+
+    fx = fixture(spark, "/root/testdata/sf0.001")
+    t = fx.transactions
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    depth = {c: next(line.index("Relation") for line in plan.splitlines() if "Relation" in line and c in line)
+             for c in ("l_orderkey", "o_orderkey", "c_custkey")}
+    assert depth["l_orderkey"] < depth["o_orderkey"] <= depth["c_custkey"]
+    plain = spark.sql(VIEW_SQL["f_transactions"], lineitem=fx.raw("lineitem"), orders=fx.raw("orders"), f_customers=fx.customers)
+    assert t.dtypes == plain.dtypes and t.count() > 0
+    assert t.exceptAll(plain).isEmpty() and plain.exceptAll(t).isEmpty()
