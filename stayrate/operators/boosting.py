@@ -16,7 +16,9 @@ tasks, so the driver holds a row per node and feature.
 Objectives: "squared"; "logistic"; "deviance", which is logistic with splits by the squared error
 of the residuals and a Newton step per leaf (gradient boosting of the first order).
 
-Rows lie in blocks, a feature's bytes side by side.  A tree's first pass brings the margins up to
+Rows lie in blocks of joint codes.  Features whose bins in use multiply to at most ``JOINT`` share a code
+and are counted at once; a feature's sums are the margins of its group's, so they are the same to rounding.
+A pass goes only down to the rows of the nodes it counts.  A tree's first pass brings the margins up to
 the tree before and keeps them, so a row meets each tree once; every ``TREES_PER_CHECKPOINT`` trees
 they are written to the checkpoint folder, so a lost executor repeats a bounded number of trees.
 """
@@ -24,6 +26,7 @@ they are written to the checkpoint folder, so a lost executor repeats a bounded
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -44,7 +47,12 @@ MISSING = 255
 TREES_PER_CHECKPOINT = 25
 DIRECT_BYTES = 64 << 20
 #: Rows of a block.
-BLOCK = 16_384
+BLOCK = 131_072
+#: Rows of a task at most; up to that there is a task for each core.
+TASK_ROWS = 4 << 20
+#: Cells of a group of features at most, and numbers that a task's sums over all groups take at most.
+JOINT = 8_192
+CELLS = 4 << 20
 #: Gains closer than this (relative) are equal: then the first feature and the first bin win.
 SAME_GAIN = 1e-9
 #: Gains below this share of the labels' sum of squares are rounding.
@@ -237,37 +245,124 @@ def fit_boosted(df: DataFrame, label: str, features: str = "features", weight: s
     n = first["n"]
     cuts = list(cuts) if cuts is not None else quantile_cuts(rows, n, bins)
     wy = F.col("w") * F.col("y")
-    mean, squares = rows.agg((F.sum(wy) / F.sum("w")).alias("m"), F.sum(wy * F.col("y")).alias("s")).first()
+    mean, squares, many = rows.agg((F.sum(wy) / F.sum("w")).alias("m"), F.sum(wy * F.col("y")).alias("s"), F.count(F.lit(1)).alias("n")).first()
     if objective != "squared":
         mean = float(np.log(max(mean, 1e-9) / max(1 - mean, 1e-9)))
     model = BoostedModel(objective, float(mean), rate, cuts)
-    data = _binned(rows, cuts, float(mean))
-    tasks = data.getNumPartitions()
+    data = _binned(rows, many, cuts, float(mean), depth)
+    tasks = data.rows.getNumPartitions()
     stale = None
     for k in range(n_trees):
         tree = _grow(data, tasks, model, depth, lam, gamma, min_child_weight, NO_GAIN * squares)
         if stale is not None:  # the passes above have made what followed it
-            stale.unpersist()
+            stale.rows.unpersist()
         model.trees.append(tree)
         if tree.feature[0] < 0 and abs(tree.weight[0]) < 1e-9:  # nothing left to gain
             break
         stale, data = data, _advanced(data, tree, rate)
         if (k + 1) % TREES_PER_CHECKPOINT == 0:
-            data.checkpoint()  # with the next pass
-    data.unpersist()
+            data.rows.checkpoint()  # with the next pass
+    data.rows.unpersist()
     if stale is not None:
-        stale.unpersist()
+        stale.rows.unpersist()
     return model
 
 
+def _groups(used: list[np.ndarray], rows: int, depth: int) -> list[list[int]]:
+    """Features counted together, by the bins that each has in use: widest first, each to the first group with
+    room.  A group has no more cells than is worth it for ``rows`` rows a task."""
+    limit = min(JOINT, max(256, rows // 8))
+    while True:
+        out: list[list[int]] = []
+        cells: list[int] = []
+        for f in sorted(range(len(used)), key=lambda f: -len(used[f])):
+            k = next((k for k, c in enumerate(cells) if c * len(used[f]) <= limit), len(out))
+            if k == len(out):
+                out.append([])
+                cells.append(1)
+            out[k].append(f)
+            cells[k] *= max(1, len(used[f]))
+        if limit <= 256 or (2 << max(depth - 1, 0)) * sum(cells) <= CELLS:
+            return out
+        limit //= 2
+
+
+def _joint() -> tuple[Callable, Callable]:
+    """Codes of a group, and sums by code as sums by bin; nested, so that they travel with the job."""
+    import numpy as np
+
+    def encode(bins, group, used):
+        """Places in the grid of the bins in use, for rows given by a feature's bytes side by side."""
+        out = np.zeros(bins.shape[1], np.uint16)
+        for f in group:
+            place = np.zeros(256, np.uint16)
+            place[used[f]] = np.arange(len(used[f]))
+            out = out * np.uint16(len(used[f])) + place[bins[f]]
+        return out
+
+    def margins(sums, group, used):
+        """(feature, sums by bin in use) of sums (rows, cells)."""
+        for f in reversed(group):
+            grid = sums.reshape(len(sums), -1, len(used[f]))
+            yield f, grid.sum(axis=1)
+            sums = grid.sum(axis=2)
+
+    return encode, margins
+
+
+@dataclass
+class Blocks:
+    """Cached blocks of (codes by group, labels, weights, margins); the groups and the bins in use of each feature."""
+
+    rows: RDD
+    groups: list[list[int]]
+    used: list[np.ndarray]
+
+
+def _descent(groups: list[list[int]], used: list[np.ndarray]) -> Callable:
+    """A function of a block's codes and a tree: (node, its rows) of the tree's leaves, or of those wanted."""
+    home = {}  # per feature its group, and the cells before and after it in the grid
+    for i, group in enumerate(groups):
+        sizes = [len(used[f]) for f in group]
+        home |= {f: (i, math.prod(sizes[:j]), math.prod(sizes[j + 1:])) for j, f in enumerate(group)}
+    missing_byte = MISSING
+
+    def descend(codes, tree, wanted=None):
+        feature, cut, missing_left, _ = tree
+        above = None
+        if wanted is not None:
+            above = set()
+            for k in wanted:
+                while k not in above:
+                    above.add(k)
+                    k = max(0, (k - 1) // 2)
+        tasks = [(0, None)]
+        while tasks:
+            k, rows = tasks.pop()
+            if above is not None and k not in above:
+                continue
+            f = feature[k]
+            if f < 0:
+                yield k, slice(None) if rows is None else rows
+                continue
+            i, before, after = home[f]
+            to_left = (used[f] <= cut[k]) & (used[f] != missing_byte) | missing_left[k] & (used[f] == missing_byte)
+            left = np.tile(np.repeat(to_left, after), before)[codes[i] if rows is None else codes[i][rows]]
+            for child, those in ((2 * k + 2, ~left), (2 * k + 1, left)):
+                if above is None or child in above:
+                    tasks.append((child, np.flatnonzero(those) if rows is None else rows[those]))
+
+    return descend
+
+
 def _spread(rows: DataFrame) -> DataFrame:
     """Over all cores: small files make fewer partitions than a pass could use."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _binned(rows: DataFrame, cuts: list[np.ndarray], base: float) -> RDD:
-    """Blocks of (bins, a feature's bytes side by side, labels, weights, margins)."""
+def _binned(rows: DataFrame, many: int, cuts: list[np.ndarray], base: float, depth: int) -> Blocks:
+    """The ``many`` rows as blocks of joint codes, a task for each core; margins start at ``base``."""
     _, binned, _, _ = _kernels()
     import numpy as np
     import pyarrow as pa
@@ -282,27 +377,60 @@ def _binned(rows: DataFrame, cuts: list[np.ndarray], base: float) -> RDD:
                 parts = (b.T.tobytes(), *(batch.column(c).to_numpy().tobytes() for c in ("y", "w")))
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=["bins", "y", "w"])
 
-    def block(r):
-        y = np.frombuffer(r[1])
-        return np.frombuffer(r[0], np.uint8).reshape(n, len(y)), y, np.frombuffer(r[2]), np.full(len(y), base)
+    # A pass waits for its slowest task, and many small tasks cost more than their work.
+    spread = _spread(rows)
+    wanted = max(rows.sparkSession.sparkContext.defaultParallelism, -(-many // TASK_ROWS))
+    small = spread.mapInArrow(run, "bins binary, y binary, w binary")
+    stored = cut_lineage(small if spread.rdd.getNumPartitions() == wanted else small.repartition(wanted)).rdd
+
+    def together(parts: Iterator) -> Iterator[tuple]:
+        """Small blocks as blocks of up to ``size`` rows: (a feature's bytes side by side, labels, weights)."""
+        held, rows = [], 0
+        for r in parts:
+            y = np.frombuffer(r[1])
+            if held and rows + len(y) > size:
+                yield tuple(np.concatenate(h, axis=-1) for h in zip(*held))
+                held, rows = [], 0
+            held.append((np.frombuffer(r[0], np.uint8).reshape(n, len(y)), y, np.frombuffer(r[2])))
+            rows += len(y)
+        if held:
+            yield tuple(np.concatenate(h, axis=-1) for h in zip(*held))
+
+    def seen(parts: Iterator) -> Iterator[tuple]:
+        rows, used = 0, np.zeros((n, 256), bool)
+        for b, y, _ in together(parts):
+            rows += len(y)
+            for f in range(n):
+                used[f] |= np.bincount(b[f], minlength=256) > 0
+        yield rows, used
+
+    found = stored.mapPartitions(seen).collect()
+    bins_used = [np.flatnonzero(u) for u in sum((u for _, u in found), np.zeros((n, 256), bool))]
+    groups = _groups(bins_used, max((m for m, _ in found), default=0), depth)
+    encode, _ = _joint()
+
+    def coded(parts: Iterator) -> Iterator[tuple]:
+        for b, y, w in together(parts):
+            yield [encode(b, group, bins_used) for group in groups], y, w, np.full(len(y), base)
 
-    stored = cut_lineage(_spread(rows).mapInArrow(run, "bins binary, y binary, w binary"))
-    return stored.rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
+    return Blocks(stored.mapPartitions(coded).persist(StorageLevel.MEMORY_AND_DISK), groups, bins_used)
 
 
-def _advanced(data: RDD, tree: Tree, rate: float) -> RDD:
+def _advanced(data: Blocks, tree: Tree, rate: float) -> Blocks:
     """The margins with one more tree."""
-    walk, *_ = _kernels()
-    t = tree.arrays()
+    descend, t = _descent(data.groups, data.used), tree.arrays()
 
     def add(block):
-        bins, y, w, margin = block
-        return bins, y, w, margin + rate * t[3][walk(bins.T, t)]
+        codes, y, w, margin = block
+        margin = margin.copy()
+        for k, rows in descend(codes, t):
+            margin[rows] += rate * t[3][k]
+        return codes, y, w, margin
 
-    return data.map(add).persist(StorageLevel.MEMORY_AND_DISK)
+    return Blocks(data.rows.map(add).persist(StorageLevel.MEMORY_AND_DISK), data.groups, data.used)
 
 
-def _grow(data: RDD, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float, floor: float) -> Tree:
+def _grow(data: Blocks, tasks: int, model: BoostedModel, depth: int, lam: float, gamma: float, least: float, floor: float) -> Tree:
     tree = Tree.empty(depth)
     open_, light, held = [0], [0], {}  # nodes to split, those whose rows are counted, sums of the nodes above
     for level in range(depth):
@@ -329,31 +457,33 @@ def _grow(data: RDD, tasks: int, model: BoostedModel, depth: int, lam: float, ga
     return tree
 
 
-def _newton(data: RDD, tree: Tree, lam: float) -> None:
+def _newton(data: Blocks, tree: Tree, lam: float) -> None:
     """Leaves of the least deviance to second order: the sums of gradients and Hessians of their rows."""
-    walk, _, derivatives, _ = _kernels()
+    _, _, derivatives, _ = _kernels()
+    descend = _descent(data.groups, data.used)
     import numpy as np
 
     grown, many = tree.arrays(), len(tree.feature)
 
     def sums(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
         total = np.zeros((2, many))
-        for bins, *rest in blocks:
-            at = walk(bins.T, grown)
-            for i, s in enumerate(derivatives("logistic", *rest)):
-                total[i] += np.bincount(at, s, many)
+        for codes, *rest in blocks:
+            for k, rows in descend(codes, grown):
+                total[:, k] += [s.sum() for s in derivatives("logistic", *(r[rows] for r in rest))]
         yield total
 
-    g, h = sum(data.mapPartitions(sums).collect())
+    g, h = sum(data.rows.mapPartitions(sums).collect())
     leaf = h > 0
     tree.weight[leaf] = -g[leaf] / (h[leaf] + lam)
 
 
-def _level(data: RDD, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], light: list[int], above: dict, lam: float,
+def _level(data: Blocks, tasks: int, model: BoostedModel, tree: Tree, nodes: list[int], light: list[int], above: dict, lam: float,
            gamma: float, least: float) -> tuple[dict[int, tuple], dict]:
     """(feature, cut, missing left, gain, GL, HL, G, H) of the best split of each node, and the nodes' sums
     where the driver holds them.  ``light`` are the lighter children, ``above`` the sums of the level before."""
-    walk, _, derivatives, best_splits = _kernels()
+    _, _, derivatives, best_splits = _kernels()
+    groups, used, descend = data.groups, data.used, _descent(data.groups, data.used)
+    _, margins = _joint()
     import numpy as np
 
     n, widths = len(model.cuts), [len(c) + 2 for c in model.cuts]  # the last bin is of missing values
@@ -367,26 +497,25 @@ def _level(data: RDD, tasks: int, model: BoostedModel, tree: Tree, nodes: list[i
     direct = tasks * 16 * len(counted) * wide <= DIRECT_BYTES
     counted = counted if direct else nodes
     objective, grown = model.objective, tree.arrays()
-    place = np.full(len(tree.feature), -1)
-    place[counted] = np.arange(len(counted))
     many, missing_byte = len(counted), MISSING
+    place = {k: i for i, k in enumerate(counted)}
 
     def histogram(blocks):
-        total = np.zeros((2, many, wide))
-        for b, y, w, margin in blocks:
-            g, h = derivatives(objective, y, w, margin)
-            plain = h is w and len(w) and w.min() == 1 == w.max()
-            at = place[walk(b.T, grown)]
-            if at.min(initial=0) < 0:
-                live = np.flatnonzero(at >= 0)
-                b, at, g, h = b[:, live], at[live], g[live], h[live]
-            first = {k: at * k for k in set(widths)}
-            for f, k in enumerate(widths):
-                v = np.where(b[f] == missing_byte, k - 1, b[f]) if b[f].max(initial=0) == missing_byte else b[f]
-                slot, lo = first[k] + v, starts[f]
-                total[0, :, lo:lo + k] += np.bincount(slot, g, many * k).reshape(many, k)
-                total[1, :, lo:lo + k] += np.bincount(slot, None if plain else h, many * k).reshape(many, k)
-        return total
+        cells = [np.zeros((2, many, math.prod(len(used[f]) for f in group))) for group in groups]
+        for codes, *rest in blocks:
+            for k, rows in descend(codes, grown, counted):
+                y, w, margin = (r[rows] for r in rest)
+                g, h = derivatives(objective, y, w, margin)
+                plain = h is w and len(w) and w.min() == 1 == w.max()
+                for total, code in zip(cells, codes):
+                    slot = code[rows].astype(np.intp)
+                    total[0, place[k]] += np.bincount(slot, g, total.shape[2])
+                    total[1, place[k]] += np.bincount(slot, None if plain else h, total.shape[2])
+        out = np.zeros((2 * many, wide))
+        for group, total in zip(groups, cells):
+            for f, s in margins(total.reshape(2 * many, -1), group, used):
+                out[:, starts[f] + np.where(used[f] == missing_byte, widths[f] - 1, used[f])] = s
+        return out.reshape(2, many, wide)
 
     def whole(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
         yield histogram(blocks)
@@ -409,7 +538,7 @@ def _level(data: RDD, tasks: int, model: BoostedModel, tree: Tree, nodes: list[i
 
     held: dict = {}
     if direct:
-        sums = sum(data.mapPartitions(whole).collect())
+        sums = sum(data.rows.mapPartitions(whole).collect())
         held = {k: sums[:, i] for i, k in enumerate(counted)}
         for k in nodes:
             if k not in held:
@@ -418,7 +547,7 @@ def _level(data: RDD, tasks: int, model: BoostedModel, tree: Tree, nodes: list[i
         found = best_splits(padded(np.stack([held[k] for k in nodes], axis=1)).reshape(2, len(nodes) * n, width), lam, gamma, least)
         rows = [(*divmod(i, n), *r) for i, r in enumerate(found.tolist())]
     else:
-        rows = data.mapPartitions(by_feature).reduceByKey(np.add, min(many * n, 3 * data.ctx.defaultParallelism)).mapPartitions(splits).collect()
+        rows = data.rows.mapPartitions(by_feature).reduceByKey(np.add, min(many * n, 3 * data.rows.ctx.defaultParallelism)).mapPartitions(splits).collect()
     out: dict[int, tuple] = {}
     for k, f, *rest in sorted(map(tuple, rows)):
         best = out.get(nodes[k])

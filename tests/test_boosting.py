@@ -179,3 +179,31 @@ def test_cuts_are_asked_for_in_few_calls(spark, monkeypatch):
     monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(1) or real(*a, **k))
     cuts = boosting.quantile_cuts(rows, 40, 64)
     assert len(cuts) == 40 and len(cuts[0]) == 1 and len(calls) < 1000
+
+
+def test_features_are_counted_in_groups(spark, monkeypatch):
+    """Narrow features share a code; sums of a group give each feature's, with missing values and bins not in use."""
+    seen, real = [], boosting._groups
+    monkeypatch.setattr(boosting, "_groups", lambda *a: seen.append(real(*a)) or seen[-1])
+    rng = np.random.default_rng(7)
+    x = np.column_stack([rng.integers(0, 2, (300, 20)), rng.normal(0, 1, (300, 2))]).astype(float)
+    x[rng.random(300) < 0.3, 4] = np.nan
+    y = x[:, 0] + 2 * x[:, 7] * x[:, 20] + np.where(np.isnan(x[:, 4]), 3, x[:, 4])
+    model = boosting.fit_boosted(frame(spark, x, y, np.ones(300)), "y", n_trees=4, depth=3, rate=0.3, bins=8)
+    assert len(seen[0]) <= 6 and sorted(f for g in seen[0] for f in g) == list(range(22))
+    assert np.allclose(model.margins(x), brute_fit(x, y, np.ones(300), model.cuts, "squared", 4, 3, rate=0.3), atol=1e-9)
+
+
+def test_groups_stay_within_their_cells():
+    wide = boosting._groups([np.arange(64)] * 9 + [np.arange(2)] * 40, 10 ** 6, 5)
+    assert all(np.prod([64 if f < 9 else 2 for f in g]) <= boosting.JOINT for g in wide) and len(wide) <= 9
+    assert boosting._groups([np.arange(200)] * 3, 10, 5) == [[0], [1], [2]]  # too wide to share
+
+
+def test_a_task_for_each_core(spark):
+    """Many small partitions are not many small tasks."""
+    x, signal, w = data()
+    rows = frame(spark, x, signal, w, 40).selectExpr("array(1D, 2D) AS x", "y", "w")
+    blocks = boosting._binned(rows, 240, [np.array([0.5])] * 2, 0.0, 3)
+    assert blocks.rows.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sum(blocks.rows.map(lambda b: len(b[1])).collect()) == 240
