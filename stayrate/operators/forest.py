@@ -3,7 +3,7 @@
 Features are cut once into quantile bins.  A tree sees a row as often as a Poisson draw says;
 the draws follow from the seed, the row's stored block and the tree, so a repeated task draws
 the same.  Nodes of more than ``HAND_OVER`` rows are split level by level: each task adds up
-its rows per node, feature and bin, and the sums meet by node.  The rows of a smaller node
+its rows per node, feature and bin, and the sums, which also say how many rows a child has, meet by node.  The rows of a smaller node
 then go to one task, which grows the rest of the subtree.  So what a tree ships is its rows
 once and a few dense histograms, where a level-by-level forest ships a histogram per node, of
 which deep trees have thousands, from every task.
@@ -34,7 +34,7 @@ from stayrate.session import cut_lineage
 #: Bins of a feature; rows of a node that one task finishes; rows of a stored block.
 BINS = 32
 HAND_OVER = 131_072
-BLOCK = 16_384
+BLOCK = 65_536
 #: Numbers in the histograms that a task holds at a time.
 CELLS = 4 << 20
 #: Gains below this share of a node's sum of squares are rounding.
@@ -226,12 +226,11 @@ def fit_forest(df: DataFrame, label: str, features: str = "features", weight: st
     for level in range(depth):
         if not large:
             break
-        children = _split_large(data, model, large, n, job)
+        sizes = _split_large(data, model, large, n, job)
         if level + 1 == depth:  # leaves: their weights are known
             break
-        sizes = _sizes(data, model, children, n, seed)
-        waiting += [c for c in children if sizes[c] <= hand_over]
-        large = [c for c in children if sizes[c] > hand_over]
+        waiting += [c for c in sizes if sizes[c] <= hand_over]
+        large = [c for c in sizes if sizes[c] > hand_over]
     _finish_small(data, model, waiting, n, job)
     data.unpersist()
     return model
@@ -248,82 +247,113 @@ def _blocks(rows: DataFrame, cuts: Sequence[np.ndarray], n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, at = TaskContext.get().partitionId(), 0
+        part, at, held, many = TaskContext.get().partitionId(), 0, [], 0
+
+        def block():
+            b, y, w = (np.concatenate(h) for h in zip(*held))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([at], pa.int64()), pa.array([len(b)], pa.int64()),
+                 *(pa.array([p.tobytes()], pa.binary()) for p in (b, y, w))],
+                names=["part", "block", "m", "bins", "y", "w"])
+
         for batch in batches:
             for lo in range(0, batch.num_rows, size):
                 piece = batch.slice(lo, size)
+                if held and many + piece.num_rows > size:
+                    yield block()
+                    at, held, many = at + 1, [], 0
                 b = binned(piece.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n), cuts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([at], pa.int64()), pa.array([len(b)], pa.int64()), pa.array([b.tobytes()], pa.binary()),
-                     *(pa.array([piece.column(c).to_numpy().tobytes()], pa.binary()) for c in ("y", "w"))],
-                    names=["part", "block", "m", "bins", "y", "w"])
-                at += 1
+                held.append((b, piece.column("y").to_numpy(), piece.column("w").to_numpy()))
+                many += len(b)
+        if held:
+            yield block()
 
     return cut_lineage(_spread(rows).mapInArrow(run, "part int, block long, m long, bins binary, y binary, w binary")).persist()
 
 
 def _by_tree(model: ForestModel, nodes: Sequence[tuple[int, int]]) -> dict:
-    """Per tree its arrays and the places of the wanted nodes (-1: others)."""
-    out: dict = {}
-    for t, k in nodes:
-        if t not in out:
-            out[t] = (model.trees[t].arrays(), np.full(len(model.trees[t].feature), -1, np.int32))
-        out[t][1][k] = 1
-    for _, place in out.values():
-        at = np.flatnonzero(place >= 0)
-        place[at] = np.arange(len(at))
-    return out
+    """Per tree its arrays and the wanted nodes in ascending order."""
+    ids: dict = {}
+    for t, k in sorted(nodes):
+        ids.setdefault(t, []).append(k)
+    return {t: (model.trees[t].arrays(), np.array(k)) for t, k in ids.items()}
 
 
 def _reader(n: int, seed: int):
-    """For a block and a tree: the rows that are in wanted nodes, their places, labels and weights."""
-    walk, *_ = _kernels()
+    """For a block, a feature's bytes side by side, and a tree: each wanted node that has rows, by its place among
+    them, and those rows with how often the tree sees each."""
     times, *_ = _growing()
+    missing_byte = MISSING
     import numpy as np
 
     def blocks(batches):
         for batch in batches:
             for part, block, m, bins, y, w in zip(*(c.to_pylist() for c in batch.columns)):
-                yield part, block, np.frombuffer(bins, np.uint8).reshape(m, n), np.frombuffer(y), np.frombuffer(w)
-
-    def seen(part, block, b, y, w, tree, arrays, place):
-        c = times(seed, part, block, tree, len(b))
-        rows = np.flatnonzero(c)
-        at = place[walk(b[rows], arrays)] if arrays[0][0] >= 0 else np.full(len(rows), place[0])
-        rows, at = rows[at >= 0], at[at >= 0]
-        return rows, at, y[rows], c[rows] * w[rows]
+                b = np.ascontiguousarray(np.frombuffer(bins, np.uint8).reshape(m, n).T)
+                yield part, block, b, np.frombuffer(y), np.frombuffer(w)
+
+    def seen(part, block, b, tree, arrays, ids):
+        feature, cut, missing_left, _ = arrays
+        c = times(seed, part, block, tree, b.shape[1])
+        place, on_way = {int(k): i for i, k in enumerate(ids)}, set()
+        for k in place:  # the nodes above, down to which rows are followed
+            while k and k not in on_way:
+                on_way.add(k)
+                k = (k - 1) // 2
+        todo = [(0, np.flatnonzero(c))]
+        while todo:
+            k, rows = todo.pop()
+            if k in place:
+                if len(rows):
+                    yield place[k], rows, c[rows]
+                continue
+            if feature[k] < 0 or not len(rows):
+                continue
+            to_left = np.arange(256) <= cut[k]
+            to_left[missing_byte] = missing_left[k]
+            left = to_left[b[feature[k]][rows]]
+            for child, those in ((2 * k + 2, ~left), (2 * k + 1, left)):
+                if child in on_way:
+                    todo.append((child, rows[those]))
 
     return blocks, seen
 
 
-def _split_large(data: DataFrame, model: ForestModel, nodes: list[tuple[int, int]], n: int, job: tuple) -> list[tuple[int, int]]:
-    """Split the nodes by histograms that meet by node; returns the children."""
+def _split_large(data: DataFrame, model: ForestModel, nodes: list[tuple[int, int]], n: int, job: tuple) -> dict[tuple[int, int], int]:
+    """Split the nodes by histograms that meet by node; returns the children and how many rows each has."""
     seed, _, per_split, width = job
     blocks, seen = _reader(n, seed)
-    _, choose, histogram, best, _ = _growing()
+    _, choose, _, best, _ = _growing()
+    missing_byte = MISSING
     import numpy as np
     import pyarrow as pa
 
-    children = []
+    children: dict = {}
     spread = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    step = max(1, 4 * CELLS // (2 * per_split * width))
+    step = max(1, 4 * CELLS // (3 * per_split * width))
     nodes = sorted(nodes)
     for lo in range(0, len(nodes), step):
         wanted = _by_tree(model, nodes[lo:lo + step])
 
         def sums(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
-            total, feats = {}, {}
-            for t, (_, place) in wanted.items():
-                feats[t] = choose(seed, t, np.flatnonzero(place >= 0), n, per_split)
+            # Per node and feature by bin: weighted labels, weights, rows.
+            total = {t: np.zeros((len(ids), 3, per_split, width)) for t, (_, ids) in wanted.items()}
+            feats = {t: choose(seed, t, ids, n, per_split) for t, (_, ids) in wanted.items()}
             for part, block, b, y, w in blocks(batches):
-                for t, (arrays, place) in wanted.items():
-                    rows, at, yy, ww = seen(part, block, b, y, w, t, arrays, place)
-                    found = histogram(b[rows], at, yy, ww, feats[t], width)
-                    total[t] = total[t] + found if t in total else found
-            for t, s in total.items():
-                ids = np.flatnonzero(wanted[t][1] >= 0)
+                gaps = b.max(axis=1, initial=0) == missing_byte
+                for t, (arrays, ids) in wanted.items():
+                    for i, rows, c in seen(part, block, b, t, arrays, ids):
+                        ww = c * w[rows]
+                        wy, out = ww * y[rows], total[t][i]
+                        for j, f in enumerate(feats[t][i]):
+                            slot = b[f][rows].astype(np.intp)
+                            if gaps[f]:
+                                slot[slot == missing_byte] = width - 1
+                            for s, weights in enumerate((wy, ww, None)):
+                                out[s, j] += np.bincount(slot, weights, width)
+            for t, (_, ids) in wanted.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), t), pa.int32()), pa.array(ids, pa.int32()), pa.array([s[:, i].tobytes() for i in range(len(ids))], pa.binary())],
+                    [pa.array(np.full(len(ids), t), pa.int32()), pa.array(ids, pa.int32()), pa.array([s.tobytes() for s in total[t]], pa.binary())],
                     names=["tree", "node", "sums"])
 
         def splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,45 +362,26 @@ def _split_large(data: DataFrame, model: ForestModel, nodes: list[tuple[int, int
                 for t, k, s in zip(*(c.to_pylist() for c in batch.columns)):
                     held[t, k] = held[t, k] + np.frombuffer(s) if (t, k) in held else np.frombuffer(s)
             for (t, k), s in held.items():
-                feats = choose(seed, t, [k], n, per_split)
+                feats, s = choose(seed, t, [k], n, per_split), s.reshape(3, 1, per_split, width)
+                split = best(s[:2], feats)[0]
+                rows = s[2, 0, int((feats[0] == split[0]).argmax())]
+                left = rows[:int(split[1]) + 1].sum() + (rows[-1] if split[2] else 0)
                 yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([k], pa.int32()),
-                                                  pa.array([best(s.reshape(2, 1, -1, width), feats)[0].tolist()], pa.list_(pa.float64()))],
+                                                  pa.array([[*split.tolist(), left, rows.sum() - left]], pa.list_(pa.float64()))],
                                                  names=["tree", "node", "split"])
 
         met = data.mapInArrow(sums, "tree int, node int, sums binary").repartition(min(spread, step), "tree", "node")
         for r in met.mapInArrow(splits, "tree int, node int, split array<double>").collect():  # a row per node
-            f, cut, miss, gain, gl, hl, g, h = r["split"]
+            f, cut, miss, gain, gl, hl, g, h, left, right = r["split"]
             tree, k = model.trees[r["tree"]], r["node"]
             tree.weight[k] = g / h
             if f >= 0:
                 tree.feature[k], tree.cut[k], tree.missing_left[k], tree.gain[k] = f, cut, miss, gain
                 tree.weight[2 * k + 1], tree.weight[2 * k + 2] = gl / hl, (g - gl) / (h - hl)
-                children += [(r["tree"], 2 * k + 1), (r["tree"], 2 * k + 2)]
+                children |= {(r["tree"], 2 * k + 1): int(left), (r["tree"], 2 * k + 2): int(right)}
     return children
 
 
-def _sizes(data: DataFrame, model: ForestModel, nodes: list[tuple[int, int]], n: int, seed: int) -> dict:
-    """Rows of each of the nodes."""
-    blocks, seen = _reader(n, seed)
-    import numpy as np
-    import pyarrow as pa
-
-    wanted = _by_tree(model, nodes)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {t: np.zeros(place.max() + 1, np.int64) for t, (_, place) in wanted.items()}
-        for part, block, b, y, w in blocks(batches):
-            for t, (arrays, place) in wanted.items():
-                total[t] += np.bincount(seen(part, block, b, y, w, t, arrays, place)[1], minlength=len(total[t]))
-        for t, c in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), t), pa.int32()), pa.array(np.flatnonzero(wanted[t][1] >= 0), pa.int32()), pa.array(c)],
-                                             names=["tree", "node", "n"])
-
-    counted = data.mapInArrow(count, "tree int, node int, n long").groupBy("tree", "node").agg(F.sum("n").alias("n"))
-    out = dict.fromkeys(nodes, 0)
-    return out | {(r["tree"], r["node"]): r["n"] for r in counted.collect()}  # a row per node
-
-
 def _finish_small(data: DataFrame, model: ForestModel, nodes: list[tuple[int, int]], n: int, job: tuple) -> None:
     """Each node's rows go to one task, which grows what is below it."""
     seed, depth, per_split, width = job
@@ -385,13 +396,10 @@ def _finish_small(data: DataFrame, model: ForestModel, nodes: list[tuple[int, in
 
     def hand_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, block, b, y, w in blocks(batches):
-            for t, (arrays, place) in wanted.items():
-                rows, at, yy, ww = seen(part, block, b, y, w, t, arrays, place)
-                ids, out = np.flatnonzero(place >= 0), []
-                order = np.argsort(at, kind="stable")
-                for i in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
-                    if len(i):  # a feature's bytes side by side: they pack well
-                        out.append((t, int(ids[at[i[0]]]), block, part, len(i), b[rows[i]].T.tobytes(), yy[i].tobytes(), ww[i].tobytes()))
+            for t, (arrays, ids) in wanted.items():
+                # A feature's bytes side by side: they pack well.
+                out = [(t, int(ids[i]), block, part, len(rows), b[:, rows].tobytes(), y[rows].tobytes(), (c * w[rows]).tobytes())
+                       for i, rows, c in seen(part, block, b, t, arrays, ids)]
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],

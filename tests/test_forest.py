@@ -85,3 +85,22 @@ def test_a_tree_ships_its_rows_once(spark, data):
     same = forest.fit_forest(df, "y", n_trees=4, depth=9)
     for a, b in zip(model.trees, same.trees):
         assert (a.feature == b.feature).all() and (a.weight == b.weight).all()
+
+
+def test_splits_say_how_many_rows_the_children_have(data):
+    """So no pass over all rows counts them."""
+    df = data[3]
+    cuts = forest.fit_forest(df, "y", n_trees=1, depth=1, bins=16).cuts
+    model = forest.ForestModel(False, cuts, [forest._blank(15) for _ in range(3)])
+    blocks = forest._blocks(df.select(forest.vector_to_array("features").alias("x"), "y", "w"), cuts, 5)
+    rows, (times, *_) = blocks.collect(), forest._growing()
+    job, (walk, *_) = (42, 3, 5, max(len(c) for c in cuts) + 2), forest._kernels()
+    sizes = forest._split_large(blocks, model, [(t, 0) for t in range(3)], 5, job)
+    sizes |= forest._split_large(blocks, model, list(sizes), 5, job)
+    assert len(sizes) == 18
+    for t, tree in enumerate(model.trees):
+        b = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(-1, 5) for r in rows])
+        drawn = np.concatenate([times(42, r["part"], r["block"], t, r["m"]) for r in rows]) > 0
+        leaves = walk(b[drawn], tree.arrays())
+        assert [sizes[t, k] for k in range(3, 7)] == [(leaves == k).sum() for k in range(3, 7)]
+        assert sizes[t, 1] == np.isin(leaves, [3, 4]).sum() and sizes[t, 2] == np.isin(leaves, [5, 6]).sum()
