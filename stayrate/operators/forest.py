@@ -3,7 +3,8 @@
 Features are cut once into quantile bins.  A tree sees a row as often as a Poisson draw says;
 the draws follow from the seed, the row's stored block and the tree, so a repeated task draws
 the same.  Nodes of more than ``HAND_OVER`` rows are split level by level: each task adds up
-its rows per node, feature and bin, and the sums, which also say how many rows a child has, meet by node.  The rows of a smaller node
+its rows per node, feature and bin, and the sums, which also say how many rows a child has,
+meet by node.  The rows of a smaller node
 then go to one task, which grows the rest of the subtree.  So what a tree ships is its rows
 once and a few dense histograms, where a level-by-level forest ships a histogram per node, of
 which deep trees have thousands, from every task.
